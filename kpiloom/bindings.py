@@ -384,8 +384,8 @@ def assortment_rates(spark: SparkSession, sf: str) -> DataFrame:
     """Availability, depth (percent, one decimal) and gap by year, store, month."""
     n = F.count("*")
     tenth = lambda c: F.floor(c * 1000 / n)
-    return (scan_table(spark, "lineitem", sf).filter(F.col("l_suppkey") % 5 < 4)
-            .groupBy(F.year("l_shipdate").alias("sheet"), (F.col("l_suppkey") % 5).alias("s"),
+    return (scan_table(spark, "lineitem", sf)
+            .groupBy(F.year("l_shipdate").alias("sheet"), (F.col("l_suppkey") % 4).alias("s"),
                      F.month("l_shipdate").alias("m"))
             .agg(tenth(F.count_if(F.col("l_discount") < 0.075)).alias("disp"),
                  tenth(F.count_if(F.col("l_quantity") < 31)).alias("prof"),

@@ -10,9 +10,14 @@ from kpiloom.constants import AGE_BANDS, PARTIALLY_REFUNDED, SEGMENTS, TOTAL, UN
 from kpiloom.functions.numbers import safe_ratio
 
 
+#: Pieces are fixed-point, so that sums do not depend on the order of the rows.
+PIECES = "decimal(18,9)"
+
+
 def qty_normalise(qty: Column, measure: Column, net_weight: Column) -> Column:
     """Pieces: quantity as is for goods sold by unit, else divided by net weight."""
-    return F.when(measure != UNIT_MEASURE, safe_ratio(qty, net_weight)).otherwise(qty.cast("double"))
+    pieces = F.when(measure != UNIT_MEASURE, safe_ratio(qty, net_weight)).otherwise(qty.cast("double"))
+    return pieces.cast(PIECES)
 
 
 def qty_cap(picked: Column, requested: Column) -> Column:

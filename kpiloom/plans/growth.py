@@ -99,8 +99,8 @@ def growth(order_lines: DataFrame, picks: DataFrame, grain: str, start: DateLike
         F.countDistinct("order_id").alias("Ordenes"),
         F.round(F.sum("nmv"), 0).alias("NMV"),
         F.round(F.sum("nmv") * mean_fx, 0).alias("NMV_USD"),
-        F.round(F.sum("nsi"), 0).alias("NSI"),
-        F.round(F.sum("tsie"), 0).alias("TSIE_total"))
+        F.round(F.sum("nsi"), 0).cast("double").alias("NSI"),
+        F.round(F.sum("tsie"), 0).cast("bigint").alias("TSIE_total"))
         .withColumnRenamed("period", name))
 
 
