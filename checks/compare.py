@@ -91,7 +91,7 @@ def compare(df: DataFrame, con, sql: str) -> list[str]:
 def session() -> SparkSession:
     spark = (SparkSession.builder.master("local[8]").appName("kpiloom-checks")
              .config("spark.sql.shuffle.partitions", "8").config("spark.driver.memory", "8g")
-             .config("spark.sql.session.timeZone", "UTC").config("spark.ui.enabled", "false").getOrCreate())
+             .config("spark.sql.session.timeZone", "UTC").config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false").getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     return configure(spark)
 
