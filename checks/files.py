@@ -84,8 +84,10 @@ def _(spark, sf):
 
 
 def _status(spark, sf):
-    jobs = {"visits": lambda: i.v_day(spark, sf), "buyers": lambda: i.b_week_store(spark, sf),
-            "broken": lambda: sources.scan_table(spark, "no_such_table", sf)}
+    def broken():
+        raise LookupError("input not delivered")
+
+    jobs = {"visits": lambda: i.v_day(spark, sf), "buyers": lambda: i.b_week_store(spark, sf), "broken": broken}
     return sources.run_batch(spark, jobs, scratch_path(spark, "batch"))
 
 

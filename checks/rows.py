@@ -33,6 +33,13 @@ def _(spark, sf):
     return tally(items, F.col("item.node_id").alias("store_id"), "status")
 
 
+@check("unnest", "SELECT store_id, count(*) AS n, count(DISTINCT order_id) AS orders FROM order_items GROUP BY 1")
+def _(spark, sf):
+    items = ops.unnest_items(b.nested_orders(spark, sf), "items")
+    return items.groupBy(F.col("item.node_id").alias("store_id")).agg(
+        F.count("*").alias("n"), F.countDistinct("order_id").alias("orders"))
+
+
 @check("unnest_events", """SELECT day, e.name AS name, count(*) AS n, CAST(sum(user_id) AS BIGINT) AS checksum
 FROM traffic, unnest(events) AS e(name) WHERE e.name IN ('ITEM_PAGE', 'HOME_INSTORE', 'ADD_TO_CART') GROUP BY ALL""")
 def _(spark, sf):
