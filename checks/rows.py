@@ -117,7 +117,8 @@ PIECES = """SELECT measure, count(TSIE) AS requested_known, CAST(sum(TSIE) AS DO
 @check("qty_normalise", PIECES)
 def _(spark, sf):
     pieces = lambda q: fn.qty_normalise(F.col(q), F.col("measure"), F.col("net_weight"))
-    rows = b.picks(spark, sf).select("measure", pieces("requested_qty").alias("r"), pieces("picked_qty").alias("p"))
+    fixed = lambda q: pieces(q).cast("decimal(18,9)")
+    rows = b.picks(spark, sf).select("measure", fixed("requested_qty").alias("r"), fixed("picked_qty").alias("p"))
     return rows.groupBy("measure").agg(
         F.count("r").alias("requested_known"), F.sum("r").cast("double").alias("requested"),
         F.count("p").alias("picked_known"), F.sum("p").cast("double").alias("picked"))

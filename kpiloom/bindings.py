@@ -45,8 +45,9 @@ def _status() -> Column:
 
 
 def _lines_of_orders(spark: SparkSession, sf: str) -> DataFrame:
-    return scan_table(spark, "lineitem", sf).join(
-        scan_table(spark, "orders", sf), F.col("l_orderkey") == F.col("o_orderkey"))
+    """Two facts that grow together: a sort-merge join, which AQE can split by key."""
+    orders = scan_table(spark, "orders", sf).hint("merge")
+    return scan_table(spark, "lineitem", sf).join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
 
 
 def order_lines(spark: SparkSession, sf: str) -> DataFrame:
@@ -84,9 +85,9 @@ def nested_orders(spark: SparkSession, sf: str) -> DataFrame:
     item = lambda supplier: F.struct(
         F.concat(F.lit("N"), (supplier % 5).cast("string")).alias("node_id"),
         _supermarket().alias("supermarket_flag"), _tags().alias("tags"))
-    one = F.array(item(F.col("l_suppkey")))
-    two = F.array(item(F.col("l_suppkey")), item(F.col("l_suppkey") + 1))
-    items = F.when(F.col("l_quantity") == 1, F.slice(one, 1, 0)).when(F.col("l_returnflag") == "R", two).otherwise(one)
+    both = F.array(item(F.col("l_suppkey")), item(F.col("l_suppkey") + 1))
+    n_items = F.when(F.col("l_quantity") == 1, 0).when(F.col("l_returnflag") == "R", 2).otherwise(1)
+    items = F.slice(both, F.lit(1), n_items)
     price = F.col("l_extendedprice")
     return _lines_of_orders(spark, sf).select(
         F.col("l_orderkey").alias("order_id"), F.col("o_custkey").alias("buyer_id"), _status().alias("status"),

@@ -26,6 +26,9 @@ from kpiloom.operators.joins import join_picks
 
 Stores = Mapping[str, str]
 
+#: Pieces are summed in fixed point, so that totals do not depend on row order.
+PIECES = "decimal(18,9)"
+
 
 def scoped_lines(order_lines: DataFrame, start: DateLike | None = None, site: str | None = None,
                  marketplace: str | None = None, tag: str = PARTNERSHIP_TAG,
@@ -65,12 +68,13 @@ def sold_lines(lines: DataFrame, picks: DataFrame, period: Column, stores: Store
         *[k for k in dict.fromkeys([*pick_keys, *line_key]) if k != "order_id"])
     if stores is not None:
         head = head.filter(F.col("Tienda").isNotNull())
-    tsi = qty_cap(F.col("TSI_PICKED"), F.col("TSIE"))
+    tsie, picked = (F.col(c).cast(PIECES) for c in ("TSIE", "TSI_PICKED"))
+    tsi = qty_cap(picked, tsie)
     keys = ["period", *(["Tienda"] if label else []), "purchase_id", "order_id", "status", "fx_ratio"]
     return (join_picks(head, pick_quantities(picks, pick_keys), pick_keys)
-            .select(*keys, *line_key, "TSIE", tsi.alias("TSI"),
-                    line_value(F.col("unit_price"), F.col("TSIE")).alias("full_value"),
-                    line_value(F.col("unit_price"), tsi).alias("picked_value"))
+            .select(*keys, *line_key, "unit_price", tsie.alias("TSIE"), tsi.alias("TSI"))
+            .select(*keys, *line_key, "TSIE", "TSI", line_value(F.col("unit_price"), F.col("TSIE")).alias("full_value"),
+                    line_value(F.col("unit_price"), F.col("TSI")).alias("picked_value"))
             .distinct())
 
 
