@@ -24,6 +24,17 @@ def _(spark, sf):
     return df.select("Fecha", "Compras", "Ordenes", "TSIE_total")
 
 
+@check("growth_weekly_order_key", f"""
+SELECT {week('closed_at')} AS Fecha, count(DISTINCT purchase_id) AS Compras, count(DISTINCT order_id) AS Ordenes,
+  CAST(round(sum(TSIE), 0) AS BIGINT) AS TSIE_total
+FROM (SELECT DISTINCT {week('closed_at')} AS Fecha, closed_at, purchase_id, order_id, status, fx_ratio, TSIE,
+    CASE WHEN TSI_PICKED > TSIE THEN TSIE ELSE TSI_PICKED END AS TSI, unit_price * CAST(TSIE AS DOUBLE) AS v
+  FROM scoped LEFT JOIN pick_pieces USING (order_id) WHERE status NOT IN ('cancelled')) GROUP BY 1""")
+def _(spark, sf):
+    df = plans.growth_weekly(b.order_lines(spark, sf), b.picks(spark, sf), i.START, site="S1", marketplace="TM")
+    return df.select("Fecha", "Compras", "Ordenes", "TSIE_total")
+
+
 @check("growth_daily", """
 SELECT order_date, store_id, count(DISTINCT order_id) AS orders, count(DISTINCT buyer_id) AS buyers,
   round(sum(gross_value_usd), 2) AS gmv_usd, count(DISTINCT CASE WHEN has_fresh = 1 THEN order_id END) AS fresh_orders,

@@ -54,12 +54,15 @@ def _(spark, sf):
     return present.unionByName(missing).groupBy("day").agg(F.count("*").alias("n"))
 
 
-@check("source_fallback", "SELECT 'kept' AS source, * FROM v_day UNION ALL SELECT 'replaced', * FROM v_week")
-def _(spark, sf):
-    daily, weekly = i.v_day(spark, sf), i.v_week(spark, sf)
-    empty = spark.createDataFrame([], schemas.VISITS)
-    kept = sources.source_fallback(daily, weekly).withColumn("source", F.lit("kept"))
-    return kept.unionByName(sources.source_fallback(empty, weekly).withColumn("source", F.lit("replaced")))
+@check("source_fallback", """SELECT 'kept' AS source, day, CAST(sum(visits) AS BIGINT) AS visits FROM order_visits GROUP BY 2
+UNION ALL SELECT 'replaced', day, CAST(sum(visits) AS BIGINT) FROM event_visits GROUP BY 2""")
+def _(spark, sf):
+    columns = ["day", "visits"]
+    orders, events = b.order_visits(spark, sf).select(columns), b.event_visits(spark, sf).select(columns)
+    empty = spark.createDataFrame([], "day date, visits bigint")
+    kept = sources.source_fallback(orders, events).withColumn("source", F.lit("kept"))
+    replaced = sources.source_fallback(empty, events).withColumn("source", F.lit("replaced"))
+    return kept.unionByName(replaced).groupBy("source", "day").agg(F.sum("visits").alias("visits"))
 
 
 @check("category_census", "SELECT l_returnflag, l_linestatus, count(*) AS rows_count FROM lineitem GROUP BY 1, 2")

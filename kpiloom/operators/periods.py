@@ -90,8 +90,10 @@ def forward_fill(df: DataFrame, by: list[str], order: str, cols: list[str], chun
 
 
 def rolling_anchor(daily: DataFrame, date_col: str, as_of: DateLike) -> DataFrame:
-    """One row ``anchor``: the last date, but at most the day before ``as_of``."""
-    return daily.agg(F.least(F.max(date_col), day_before(as_of)).alias("anchor"))
+    """One row ``anchor``: the last date, but at most the day before ``as_of``; null
+    without dates (``least`` alone would skip that null)."""
+    last = F.max(date_col)
+    return daily.agg(F.when(last.isNotNull(), F.least(last, day_before(as_of))).alias("anchor"))
 
 
 def last_n_days(daily: DataFrame, date_col: str, as_of: DateLike, n: int,

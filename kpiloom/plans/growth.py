@@ -58,7 +58,10 @@ def sold_lines(lines: DataFrame, picks: DataFrame, period: Column, stores: Store
                pick_keys: Iterable[str] = ("order_id",), line_key: Iterable[str] = ()) -> DataFrame:
     """Valued order lines, distinct over all their columns.
 
-    Two equal lines of an order count once unless ``line_key`` tells them apart.
+    Two equal lines of an order count once unless ``line_key`` tells them apart. Pick
+    rows that are matched by order id alone pair up with every line of the order; as
+    only distinct pairs count, both sides are then reduced to distinct rows first.
+    Better name the line columns in ``pick_keys`` where the data has them.
     """
     label = [store_label(F.col("item.node_id"), stores).alias("Tienda")] if stores is not None else []
     line_key = list(line_key)
@@ -68,10 +71,13 @@ def sold_lines(lines: DataFrame, picks: DataFrame, period: Column, stores: Store
         *[k for k in dict.fromkeys([*pick_keys, *line_key]) if k != "order_id"])
     if stores is not None:
         head = head.filter(F.col("Tienda").isNotNull())
+    pieces = pick_quantities(picks, pick_keys)
+    if list(pick_keys) == ["order_id"]:
+        head, pieces = head.distinct(), pieces.distinct()
     tsie, picked = (F.col(c).cast(PIECES) for c in ("TSIE", "TSI_PICKED"))
     tsi = qty_cap(picked, tsie)
     keys = ["period", *(["Tienda"] if label else []), "purchase_id", "order_id", "status", "fx_ratio"]
-    return (join_picks(head, pick_quantities(picks, pick_keys), pick_keys)
+    return (join_picks(head, pieces, pick_keys)
             .select(*keys, *line_key, "unit_price", tsie.alias("TSIE"), tsi.alias("TSI"))
             .select(*keys, *line_key, "TSIE", "TSI", line_value(F.col("unit_price"), F.col("TSIE")).alias("full_value"),
                     line_value(F.col("unit_price"), F.col("TSI")).alias("picked_value"))

@@ -25,6 +25,30 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+#: Input bytes a shuffle partition should stand for before AQE merges small ones.
+PARTITION_BYTES = 128 * 1024 * 1024
+
+
+def input_bytes(spark: SparkSession, path: str) -> int:
+    """Total file size under ``path``, from the file system's own summary."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.getContentSummary(folder).getLength()
+
+
+def size_shuffles(spark: SparkSession, path: str) -> SparkSession:
+    """Start shuffles with enough partitions for the data under ``path``.
+
+    The session's own ``spark.sql.shuffle.partitions`` is the minimum; AQE merges
+    partitions that turn out small, but cannot split an aggregate's partition.
+    """
+    wanted = -(-input_bytes(spark, path) // PARTITION_BYTES)
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(max(wanted, least)))
+    return spark
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path for intermediate tables, under the cluster's shared folder.
 
