@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from checks import inputs as i
 from checks.registry import check
 from checks.tables_sql import (
-    STORE_LIST, STORE_RATE_NAMES, cvr_sql, growth_sql, month, rates_sql, store_case, week)
+    STORE_LIST, STORE_RATE_NAMES, cvr_sql, growth_sql, month, store_case, week)
 from kpiloom import bindings as b, plans
 
 check("growth_weekly", growth_sql("week"))(i.g_week)
@@ -117,15 +117,7 @@ def _(spark, sf):
 check("ops_weekly", "SELECT * FROM o_week")(i.o_week)
 check("ops_weekly_store", f"SELECT Semana, Tienda, {', '.join(STORE_RATE_NAMES)} FROM o_week_store")(i.o_week_store)
 
-IDS = "('7000', '7001', '7002', '7003')"
-
-
-@check("ops_daily", f"""
-SELECT day AS Fecha, {rates_sql()} FROM scorecard
-WHERE site = 'S1' AND CAST(store_id AS VARCHAR) IN {IDS} AND day >= DATE '1993-01-01' - 60 GROUP BY 1""")
-def _(spark, sf):
-    return plans.ops_daily(b.scorecard(spark, sf), b.STORE_IDS, i.SHIP_START, site="S1")
-
+check("ops_daily", "SELECT * FROM o_day")(i.o_day)
 
 RECENT = f"node_id IN {STORE_LIST} AND day >= DATE '1993-06-01' - 395"
 

@@ -293,7 +293,7 @@ def _(spark, sf):
     return ops.relative_label(i.b_week_store(spark, sf), "Semana")
 
 
-SHARE = """SELECT Mes, segment, CAST(v AS DOUBLE) AS MABs, CASE WHEN total > 0 THEN CAST(floor(v / total * 100 + 0.5) AS BIGINT) ELSE 0 END AS share
+SHARE = """SELECT Mes, segment, v AS MABs, CASE WHEN total > 0 THEN CAST(floor(v / total * 100 + 0.5) AS BIGINT) ELSE 0 END AS share
 FROM (SELECT *, sum(v) OVER (PARTITION BY Mes) AS total FROM (SELECT m.Mes, s.segment, count(d.Mes) AS v FROM (SELECT DISTINCT Mes FROM demographics) m
   CROSS JOIN (SELECT unnest(['PLATINUM', 'GOLD', 'SILVER']) AS segment) s LEFT JOIN demographics d ON d.Mes = m.Mes AND d.segment = s.segment GROUP BY 1, 2))"""
 

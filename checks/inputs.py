@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from kpiloom import bindings as b, plans
 
@@ -50,6 +50,10 @@ def o_week(spark: SparkSession, sf: str) -> DataFrame:
     return plans.ops_weekly(b.scorecard(spark, sf), b.STORE_IDS, SHIP_START, "S1")
 
 
+def o_day(spark: SparkSession, sf: str) -> DataFrame:
+    return plans.ops_daily(b.scorecard(spark, sf), b.STORE_IDS, SHIP_START, site="S1")
+
+
 def o_week_store(spark: SparkSession, sf: str) -> DataFrame:
     return plans.ops_weekly_store(b.scorecard(spark, sf), b.STORE_IDS, SHIP_START, "S1")
 
@@ -75,5 +79,4 @@ def nps(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def assortment(spark: SparkSession, sf: str) -> DataFrame:
-    from pyspark.sql import functions as F
     return plans.assortment_parse(b.assortment_sheet(spark, sf), F.col("sheet"), list(b.STORES.values()), ["sheet"])

@@ -78,10 +78,10 @@ def _(spark, sf):
     return plans.monthly_store(i.g_week_store(spark, sf))
 
 
-@check("daily_ops", f"""SELECT Fecha, {OPS} FROM (SELECT Semana AS Fecha, * FROM o_week)
+@check("daily_ops", f"""SELECT Fecha, {OPS} FROM o_day
 WHERE Fecha BETWEEN (SELECT min(Fecha) FROM k_day) AND (SELECT max(Fecha) FROM k_day)""")
 def _(spark, sf):
-    return plans.daily_ops(i.o_week(spark, sf).withColumnRenamed("Semana", "Fecha"), i.k_day(spark, sf))
+    return plans.daily_ops(i.o_day(spark, sf), i.k_day(spark, sf))
 
 
 @check("daily_store", """SELECT Fecha, Tienda, Compras, Ordenes, NMV, NSI,

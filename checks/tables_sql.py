@@ -264,6 +264,8 @@ CTES |= {
     "c_week": cvr_sql("week", "Semana", "order_buyers", "order_traffic"),
     "o_week": f"""SELECT {week('day')} AS Semana, {rates_sql()}, CAST(sum(cr_purchases) AS BIGINT) AS CR_Purchases_total
 FROM scorecard WHERE site = 'S1' AND CAST(store_id AS VARCHAR) IN ('7000', '7001', '7002', '7003') AND day >= DATE '1993-01-01' GROUP BY 1""",
+    "o_day": f"""SELECT day AS Fecha, {rates_sql()} FROM scorecard
+WHERE site = 'S1' AND CAST(store_id AS VARCHAR) IN ('7000', '7001', '7002', '7003') AND day >= DATE '1993-01-01' - 60 GROUP BY 1""",
     "o_week_store": f"""SELECT {week('day')} AS Semana, {store_case('CAST(store_id AS VARCHAR)', ('7000', '7001', '7002', '7003'))} AS Tienda,
   {rates_sql(STORE_RATE_NAMES)}
 FROM scorecard WHERE site = 'S1' AND CAST(store_id AS VARCHAR) IN ('7000', '7001', '7002', '7003') AND day >= DATE '1993-01-01' GROUP BY 1, 2""",

@@ -26,24 +26,22 @@ def unnest_items(df: DataFrame, items_col: str, alias: str = "item") -> DataFram
 
 def unnest_events(df: DataFrame, events_col: str, names: Iterable[str], alias: str = "event") -> DataFrame:
     """One row per nested event whose ``name`` is listed."""
-    wanted = F.filter(events_col, lambda e: e["name"].isin(*names))
-    rest = [c for c in df.columns if c != events_col]
-    return df.select(*rest, F.explode(wanted).alias(alias))
+    return unnest_items(df, events_col, alias).filter(F.col(f"{alias}.name").isin(*names))
 
 
 def has_event(events: Column, names: Iterable[str]) -> Column:
     """True where any nested event is listed: the filter without row growth."""
-    return F.exists(events, lambda e: e["name"].isin(*names))
+    return F.arrays_overlap(events.getField("name"), F.array(*[F.lit(n) for n in names]))
 
 
-def has_tag(tags: Column, substring: str) -> Column:
-    if "," in substring:
-        return F.array_join(tags, ",").contains(substring)
-    return F.exists(tags, lambda t: t.contains(substring))
+def has_tag(tags: Column, substring: str, ignore_case: bool = False) -> Column:
+    """True where the comma-joined tags contain ``substring``."""
+    joined = F.array_join(tags, ",")
+    return (F.lower(joined) if ignore_case else joined).contains(substring)
 
 
 def tag_filter(df: DataFrame, tags: str | Column, substring: str) -> DataFrame:
-    """Rows with a tag containing ``substring``; null and empty arrays go."""
+    """Rows whose comma-joined tags contain ``substring``; null and empty arrays go."""
     return df.filter(has_tag(F.col(tags) if isinstance(tags, str) else tags, substring))
 
 

@@ -164,7 +164,7 @@ def share_of_total(df: DataFrame, period: str, segment: str, value: str, order:
     sums = {s: zero_sum(F.when(F.col(segment) == s, F.col(value))) for s in order}
     wide = df.groupBy(period).agg(*[v.alias(f"__{i}") for i, v in enumerate(sums.values())])
     total = sum((F.col(f"__{i}") for i in range(1, len(order))), F.col("__0"))
-    cells = F.array(*[F.struct(F.lit(s).alias(segment), F.col(f"__{i}").cast("double").alias(value))
+    cells = F.array(*[F.struct(F.lit(s).alias(segment), F.col(f"__{i}").alias(value))
                       for i, s in enumerate(order)])
     return (wide.select(period, total.alias("__total"), F.explode(cells).alias("c"))
             .select(period, f"c.{segment}", f"c.{value}",

@@ -177,7 +177,7 @@ def growth_daily(orders: DataFrame, stores: Iterable[str], as_of: DateLike, orde
     counts over a single shuffle.
     """
     items = scoped_items(orders, stores, as_of, **scope)
-    fresh = has_tag(F.transform("tags", F.lower), FRESH_TAG)
+    fresh = has_tag(F.col("tags"), FRESH_TAG, ignore_case=True)
     keys = ["order_date", "store_id", "order_id", "buyer_id"]
     compact = items.groupBy(*keys).agg(
         F.max(F.when(fresh, 1).otherwise(0)).alias("fresh"), *per_order(items, ["gross_value_usd"], order_once))
