@@ -7,6 +7,7 @@ from checks.registry import check
 from checks.tables_sql import ECONOMICS, month, week
 from kpiloom import bindings as b, operators as ops, plans
 from kpiloom.plans import marts
+from kpiloom.session import materialise
 
 check("weekly_kpis", "SELECT * FROM k_week")(i.k_week)
 check("monthly_kpis", "SELECT * FROM k_month")(i.k_month)
@@ -81,7 +82,7 @@ def _(spark, sf):
 @check("daily_ops", f"""SELECT Fecha, {OPS} FROM o_day
 WHERE Fecha BETWEEN (SELECT min(Fecha) FROM k_day) AND (SELECT max(Fecha) FROM k_day)""")
 def _(spark, sf):
-    return plans.daily_ops(i.o_day(spark, sf), i.k_day(spark, sf))
+    return plans.daily_ops(i.o_day(spark, sf), materialise(i.k_day(spark, sf).select("Fecha"), "window"))
 
 
 @check("daily_store", """SELECT Fecha, Tienda, Compras, Ordenes, NMV, NSI,
@@ -97,7 +98,7 @@ WHERE Semana BETWEEN (SELECT min(Fecha) FROM k_day) - 6 AND (SELECT max(Fecha) F
 
 @check("window_store_totals", TOTALS)
 def _(spark, sf):
-    return plans.window_store_totals(i.g_week_store(spark, sf), i.k_day(spark, sf))
+    return plans.window_store_totals(i.g_week_store(spark, sf), materialise(i.k_day(spark, sf).select("Fecha"), "window"))
 
 
 def _rolling_sql(width, n, prefix):
@@ -118,12 +119,12 @@ LEFT JOIN {sums('c_day', 'sum(Buyers) / nullif(sum(Visitors), 0) AS CVR')} USING
 
 @check("rolling_7d", _rolling_sql(7, 14, "P"))
 def _(spark, sf):
-    return plans.rolling_7d(i.g_day(spark, sf), i.v_day(spark, sf), i.c_day(spark, sf), i.AS_OF)
+    return plans.rolling_7d(i.stored_g_day(spark, sf), i.v_day(spark, sf), i.c_day(spark, sf), i.AS_OF)
 
 
 @check("rolling_28d", _rolling_sql(28, 7, "P28"))
 def _(spark, sf):
-    return plans.rolling_28d(i.g_day(spark, sf), i.v_day(spark, sf), i.c_day(spark, sf), i.AS_OF)
+    return plans.rolling_28d(i.stored_g_day(spark, sf), i.v_day(spark, sf), i.c_day(spark, sf), i.AS_OF)
 
 
 PL_LINES = ("TGMV, NMV, Net_Variable_Fee, Net_Monetization, Product_Net_Monetization, Variable_Contribution, "
@@ -353,7 +354,7 @@ def _(spark, sf):
     "SELECT", _rolling_sql(28, 7, "P28").replace("SELECT s.bucket", "rolled AS (SELECT s.bucket", 1).replace(
         "AS anchor FROM g_day)\n", "AS anchor FROM g_day),\n", 1) + ")\nSELECT", 1))
 def _(spark, sf):
-    rolled = plans.rolling_28d(i.g_day(spark, sf), i.v_day(spark, sf), i.c_day(spark, sf), i.AS_OF)
+    rolled = plans.rolling_28d(i.stored_g_day(spark, sf), i.v_day(spark, sf), i.c_day(spark, sf), i.AS_OF)
     return plans.metric_table(rolled, tables.ROLLING_METRICS, "end")
 
 

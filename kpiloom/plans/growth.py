@@ -54,52 +54,55 @@ def pick_quantities(picks: DataFrame, keys: Iterable[str]) -> DataFrame:
     return picks.select(*keys, pieces("requested_qty").alias("TSIE"), pieces("picked_qty").alias("TSI_PICKED"))
 
 
-def sold_lines(lines: DataFrame, picks: DataFrame, period: Column, stores: Stores | None = None,
-               pick_keys: Iterable[str] = ("order_id",), line_key: Iterable[str] = ()) -> DataFrame:
-    """Valued order lines, distinct over all their columns.
+def valued_lines(order_lines: DataFrame, picks: DataFrame, start: DateLike | None = None,
+                 pick_keys: Iterable[str] = ("order_id",), line_key: Iterable[str] = (), **scope) -> DataFrame:
+    """Scoped order lines with requested and picked pieces and their values.
 
-    Two equal lines of an order count once unless ``line_key`` tells them apart. Pick
-    rows that are matched by order id alone pair up with every line of the order; as
-    only distinct pairs count, both sides are then reduced to distinct rows first.
+    The one join of large tables behind all growth results: store this table once
+    (``session.materialise``) when more than one of them is wanted, and give it to
+    ``growth_of_lines``.
+
+    Pick rows that are matched by order id alone pair up with every line of the order;
+    as only distinct pairs count, both sides are then reduced to distinct rows first.
     Better name the line columns in ``pick_keys`` where the data has them.
     """
-    label = [store_label(F.col("item.node_id"), stores).alias("Tienda")] if stores is not None else []
-    line_key = list(line_key)
-    head = lines.select(
-        period.alias("period"), *label, F.col("purchase_id"), F.col("order_id"), "status",
-        F.coalesce("fx_ratio", F.lit(0.0)).alias("fx_ratio"), F.col("item.unit_price").alias("unit_price"),
-        *[k for k in dict.fromkeys([*pick_keys, *line_key]) if k != "order_id"])
-    if stores is not None:
-        head = head.filter(F.col("Tienda").isNotNull())
+    keys = ["day", "node_id", "purchase_id", "order_id", "status", "fx_ratio", *line_key]
+    extra = [k for k in dict.fromkeys([*pick_keys, *line_key]) if k != "order_id"]
+    head = scoped_lines(order_lines, start, **scope).select(
+        day(F.col("closed_at")).alias("day"), F.col("item.node_id").alias("node_id"), "purchase_id", "order_id", "status",
+        F.coalesce("fx_ratio", F.lit(0.0)).alias("fx_ratio"), F.col("item.unit_price").alias("unit_price"), *extra)
     pieces = pick_quantities(picks, pick_keys)
     if list(pick_keys) == ["order_id"]:
         head, pieces = head.distinct(), pieces.distinct()
     tsie, picked = (F.col(c).cast(PIECES) for c in ("TSIE", "TSI_PICKED"))
-    tsi = qty_cap(picked, tsie)
-    keys = ["period", *(["Tienda"] if label else []), "purchase_id", "order_id", "status", "fx_ratio"]
+    value = lambda qty: line_value(F.col("unit_price"), F.col(qty))
     return (join_picks(head, pieces, pick_keys)
-            .select(*keys, *line_key, "unit_price", tsie.alias("TSIE"), tsi.alias("TSI"))
-            .select(*keys, *line_key, "TSIE", "TSI", line_value(F.col("unit_price"), F.col("TSIE")).alias("full_value"),
-                    line_value(F.col("unit_price"), F.col("TSI")).alias("picked_value"))
-            .distinct())
+            .select(*keys, "unit_price", tsie.alias("TSIE"), qty_cap(picked, tsie).alias("TSI"))
+            .select(*keys, "TSIE", "TSI", value("TSIE").alias("full_value"), value("TSI").alias("picked_value")))
 
 
-def growth(order_lines: DataFrame, picks: DataFrame, grain: str, start: DateLike | None = None,
-           stores: Stores | None = None, only_stores: bool = False, name: str = "Fecha",
-           pick_keys: Iterable[str] = ("order_id",), line_key: Iterable[str] = (), **scope) -> DataFrame:
+def growth_of_lines(lines: DataFrame, grain: str, stores: Stores | None = None, only_stores: bool = False,
+                    name: str = "Fecha") -> DataFrame:
     """Purchases, orders and net value per period, and per store if ``stores`` is given.
 
-    ``only_stores`` drops other stores' lines at the scan. Lines are reduced to one
-    row per (period, store, purchase, order) before the two distinct counts, so those
-    expand orders rather than lines; every shuffle key includes the order id.
+    ``only_stores`` drops other stores' lines first. Lines are distinct within their
+    period: two equal lines of an order count once unless a line key tells them apart.
+    They are then reduced to one row per (period, store, purchase, order) before the
+    two distinct counts, so those expand orders rather than lines; every shuffle key
+    includes the order id.
     """
-    lines = scoped_lines(order_lines, start, **scope)
     if only_stores:
-        lines = store_filter(lines, "item.node_id", stores)
-    sold = sold_lines(lines, picks, to_period(F.col("closed_at"), grain), stores, pick_keys, line_key)
-    by = ["period", "Tienda"] if stores is not None else ["period"]
+        lines = store_filter(lines, "node_id", stores)
+    period = to_period(F.col("day"), grain).alias("period")
+    rest = [c for c in lines.columns if c not in ("day", "node_id")]
+    if stores is None:
+        by, sold = ["period"], lines.select(period, *rest)
+    else:
+        by = ["period", "Tienda"]
+        sold = (lines.select(period, store_label(F.col("node_id"), stores).alias("Tienda"), *rest)
+                .filter(F.col("Tienda").isNotNull()))
     fx = F.nullif(F.col("fx_ratio"), F.lit(0.0))
-    orders = sold.groupBy(*by, "purchase_id", "order_id").agg(
+    orders = sold.distinct().groupBy(*by, "purchase_id", "order_id").agg(
         F.sum(refund_value(F.col("status"), F.col("full_value"), F.col("picked_value"))).alias("nmv"),
         F.sum(fx).alias("fx_sum"), F.count(fx).alias("fx_n"),
         F.sum(F.coalesce("TSI", "TSIE")).alias("nsi"), F.sum("TSIE").alias("tsie"))
@@ -114,6 +117,12 @@ def growth(order_lines: DataFrame, picks: DataFrame, grain: str, start: DateLike
         .withColumnRenamed("period", name))
 
 
+def growth(order_lines: DataFrame, picks: DataFrame, grain: str, start: DateLike | None = None,
+           stores: Stores | None = None, only_stores: bool = False, name: str = "Fecha", **lines) -> DataFrame:
+    """``growth_of_lines`` straight from the facts; ``lines`` goes to ``valued_lines``."""
+    return growth_of_lines(valued_lines(order_lines, picks, start, **lines), grain, stores, only_stores, name)
+
+
 def growth_weekly(order_lines: DataFrame, picks: DataFrame, start: DateLike | None = None, **options) -> DataFrame:
     return growth(order_lines, picks, "week", start, **options)
 

@@ -2,6 +2,8 @@
 
 All inputs here are period tables (one row per day or week, and store), so their size
 follows the calendar. Spark broadcasts the lookups when their measured size allows.
+Window and rolling marts read the growth table more than once: give them a stored
+table (``session.materialise``), not a plan that goes back to the order lines.
 """
 
 from __future__ import annotations

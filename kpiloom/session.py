@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: Runtime settings the plans count on. Skew joins are forced because a join on
 #: a hot order id is often followed by an aggregate that could reuse the join's
@@ -59,3 +59,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if not base:
         base = tempfile.mkdtemp(prefix="kpiloom-")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to the scratch folder and return the stored table.
+
+    For results that several plans read: they are computed once, and a lost executor
+    costs no recomputation of what lies behind them.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
