@@ -23,7 +23,7 @@ ORDER_FILE = "o_orderkey bigint, o_orderpriority string, o_totalprice double, da
 
 
 def order_file(spark, sf):
-    orders = sources.scan_table(spark, "orders", sf).select(
+    orders = b.scan_table(spark, "orders", sf).select(
         "o_orderkey", "o_orderpriority", "o_totalprice", F.to_date("o_orderdate").alias("day"))
     return sources.write_csv(orders, scratch_path(spark, "orders-csv"))
 
@@ -43,7 +43,7 @@ def _(spark, sf):
 WHERE o_orderpriority != '1-URGENT' GROUP BY 1""")
 def _(spark, sf):
     text = F.when(F.col("o_orderpriority") == "1-URGENT", "31/31/1999").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
-    rows = sources.scan_table(spark, "orders", sf).select(text.alias("day"))
+    rows = b.scan_table(spark, "orders", sf).select(text.alias("day"))
     return sources.coerce_dates(rows, ["day"]).groupBy("day").agg(F.count("*").alias("n"))
 
 
@@ -67,7 +67,7 @@ def _(spark, sf):
 
 @check("category_census", "SELECT l_returnflag, l_linestatus, count(*) AS rows_count FROM lineitem GROUP BY 1, 2")
 def _(spark, sf):
-    return sources.category_census(sources.scan_table(spark, "lineitem", sf), "l_returnflag", "l_linestatus")
+    return sources.category_census(b.scan_table(spark, "lineitem", sf), "l_returnflag", "l_linestatus")
 
 
 @check("write_json_doc", """SELECT 'weekly' AS mart, CAST(Fecha AS VARCHAR) AS key, CAST(Visitas AS DOUBLE) AS value FROM v_week

@@ -6,7 +6,7 @@ from checks import inputs as i
 from checks.registry import check
 from checks.tables_sql import STORE_LIST, cvr_sql, month, store_case, week
 from kpiloom import bindings as b, functions as fn, operators as ops
-from kpiloom.sources import scan_table
+from kpiloom.bindings import scan_table
 
 
 @check("join_picks", """SELECT node_id, count(*) AS n, count(requested_qty) AS picked_rows, CAST(sum(requested_qty) AS DOUBLE) AS requested

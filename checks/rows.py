@@ -6,7 +6,7 @@ from checks.registry import check
 from checks.tables_sql import K, STORE_LIST, month, store_case, week
 from kpiloom import bindings as b, functions as fn, operators as ops
 from kpiloom.constants import TRAFFIC_EVENTS
-from kpiloom.sources import scan_table
+from kpiloom.bindings import scan_table
 
 
 def tally(df, *keys, total="order_id"):

@@ -12,7 +12,19 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from kpiloom.constants import MONTH_ABBR, MONTH_NAMES, PARTNERSHIP_TAG
 from kpiloom.functions.dates import month_start
-from kpiloom.sources.tables import scan_table
+from kpiloom.sources import tables
+
+#: Columns of the generated tables.
+SCHEMAS = {
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+                "l_shipdate timestamp_ntz",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
 
 #: Node id -> store name; node N4 is not listed, so it is unmapped.
 STORES = {"N0": "North", "N1": "East", "N2": "South", "N3": "West"}
@@ -21,6 +33,10 @@ STORE_IDS = {"7000": "North", "7001": "East", "7002": "South", "7003": "West"}
 PICK_KEYS = ("order_id", "sku_id", "line_id")
 
 
+def scan_table(spark: SparkSession, name: str, sf: str) -> DataFrame:
+    return tables.scan_table(spark, name, sf, SCHEMAS[name])
+
+
 def _node(key: str) -> Column:
     return F.concat(F.lit("N"), (F.col(key) % 5).cast("string"))
 

@@ -11,9 +11,16 @@ from pyspark.sql.types import StructType
 from kpiloom.functions.dates import try_date
 
 
-def scan_table(spark: SparkSession, name: str, path: str | None = None) -> DataFrame:
-    """A parquet table under ``path``, or the catalog table ``name``."""
-    return spark.read.parquet(f"{path}/{name}.parquet") if path else spark.table(name)
+def scan_table(spark: SparkSession, name: str, path: str | None = None,
+               schema: StructType | str | None = None) -> DataFrame:
+    """A parquet table under ``path``, or the catalog table ``name``.
+
+    A declared schema saves the footer reads of schema inference.
+    """
+    if path is None:
+        return spark.table(name)
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(f"{path}/{name}.parquet")
 
 
 def scan_csv(spark: SparkSession, path: str, schema: StructType | str, encoding: str = "UTF-8",
