@@ -167,7 +167,7 @@ def _(spark, sf):
     return ops.total_label(b.order_lines(spark, sf), ["site", "status"], "status", [F.count("*").alias("n")], unmapped="unknown")
 
 
-@check("nps_score", f"""SELECT {month('end_date')} AS Mes, round((count(*) FILTER (bucket = 1) - count(*) FILTER (bucket = -1)) / count(*) * 100, 0) AS NPS_Score,
+@check("nps_score", f"""SELECT {month('end_date')} AS Mes, round((count(*) FILTER (bucket = 1) - count(*) FILTER (bucket = -1)) / count(*) * 100, 0) + 0 AS NPS_Score,
   count(*) AS Total_Responses, count(*) FILTER (bucket = 1) AS Promotores, count(*) FILTER (bucket = 0) AS Neutros, count(*) FILTER (bucket = -1) AS Detractores
 FROM survey_buckets WHERE bucket IS NOT NULL GROUP BY 1""")
 def _(spark, sf):

@@ -241,7 +241,7 @@ SUMMARY = """SELECT Mes, round(avg(coalesce(disp, 0) / 10 / 100), 6) AS Disponib
 @check("assortment_summary", f"""SELECT *, CASE WHEN Disponibilidad >= 0.70 THEN 'good' ELSE 'bad' END AS Disponibilidad_status,
   CASE WHEN Profundidad >= 0.60 THEN 'good' ELSE 'bad' END AS Profundidad_status, CASE WHEN Gap <= 10 THEN 'good' ELSE 'bad' END AS Gap_status FROM ({SUMMARY})""")
 def _(spark, sf):
-    return _rounded(plans.assortment_summary(i.assortment(spark, sf)), ["Disponibilidad", "Profundidad", "Gap"])
+    return _rounded(plans.assortment_summary(i.assortment(spark, sf), list(b.STORES.values())), ["Disponibilidad", "Profundidad", "Gap"])
 
 
 @check("claims_reasons", """SELECT Mes, Tienda, motivo, fallo, CAST(sum(claims) AS BIGINT) AS claims, sum(gmv) AS gmv FROM claims_rows GROUP BY 1, 2, 3, 4""")
@@ -254,7 +254,7 @@ CLAIM_MONTHS = [f"{y}-{m:02d}-01" for y in range(1994, 2003) for m in range(1, 1
 
 @check("claims_reasons_wide", "SELECT Tienda, motivo, fallo, " + ", ".join(
     f"max(claims) FILTER (Mes = DATE '{m}') AS \"{m}\"" for m in CLAIM_MONTHS) + """
-FROM (SELECT Mes, Tienda, motivo, fallo, CAST(sum(claims) AS BIGINT) AS claims FROM claims_rows GROUP BY ALL HAVING sum(claims) != 0) GROUP BY 1, 2, 3""")
+FROM (SELECT Mes, Tienda, motivo, fallo, CAST(sum(claims) AS BIGINT) AS claims FROM claims_rows GROUP BY ALL) GROUP BY 1, 2, 3 HAVING max(claims) != 0""")
 def _(spark, sf):
     return plans.claims_reasons(b.claims_monthly(spark, sf), CLAIM_MONTHS, wide=True)
 

@@ -257,7 +257,7 @@ def _(spark, sf):
         F.when(c("p_size") > 25, "big").otherwise("small").alias("size_class"))
 
 
-@check("scalar_parsing", """SELECT o_orderkey, v AS whole, t / 10 AS tenths, t / 1000 AS percent, CAST(NULL AS DOUBLE) AS not_a_number
+@check("scalar_parsing", """SELECT o_orderkey, v AS whole, t / 10 AS tenths, t / 10 / 100 AS percent, CAST(NULL AS DOUBLE) AS not_a_number
 FROM (SELECT o_orderkey, floor(o_totalprice) AS v, CAST(CAST(floor(o_totalprice) AS BIGINT) % 1000 AS DOUBLE) AS t FROM orders)""")
 def _(spark, sf):
     v = F.floor("o_totalprice").cast("bigint")

@@ -291,7 +291,7 @@ WHERE g.Fecha BETWEEN (SELECT least(max(Fecha), DATE '2001-07-14') - 27 FROM g_d
   CAST(round_even(coalesce(sum(NSI_48), 0), 0) AS BIGINT) AS "NSI_4+8", CAST(round_even(coalesce(sum(Pur_48), 0), 0) AS BIGINT) AS "Purchases_4+8"
 FROM plan GROUP BY 1""",
     "nps": f"""SELECT Mes, CASE WHEN grouping(Tienda) = 1 THEN 'Total' ELSE coalesce(Tienda, 'unmapped') END AS Tienda,
-  round((count(*) FILTER (bucket = 1) - count(*) FILTER (bucket = -1)) / count(*) * 100, 0) AS NPS_Score,
+  round((count(*) FILTER (bucket = 1) - count(*) FILTER (bucket = -1)) / count(*) * 100, 0) + 0 AS NPS_Score,
   count(*) AS Total_Responses, count(*) FILTER (bucket = 1) AS Promotores, count(*) FILTER (bucket = 0) AS Neutros,
   count(*) FILTER (bucket = -1) AS Detractores
 FROM (SELECT {month('s.end_date')} AS Mes, s.bucket, m.Tienda FROM survey_buckets s

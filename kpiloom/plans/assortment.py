@@ -14,6 +14,7 @@ from kpiloom.constants import MONTH_NAMES
 from kpiloom.functions.numbers import parse_comma_cell
 from kpiloom.functions.retail import value_status
 from kpiloom.operators.aggregates import mean_over_stores
+from kpiloom.operators.joins import period_spine_join
 from kpiloom.operators.periods import forward_fill
 
 # Fixed values -- metric words of the sheet, whether given in percent, status limits.
@@ -63,8 +64,14 @@ def assortment_wide(assortment: DataFrame) -> DataFrame:
     return assortment.groupBy("Tienda", "Mes").pivot("metric", list(METRICS)).agg(F.max("value"))
 
 
-def assortment_summary(assortment: DataFrame) -> DataFrame:
-    """Month means over stores with status, from the long form."""
-    means = mean_over_stores(assortment_wide(assortment), "Mes", list(METRICS))
+def assortment_summary(assortment: DataFrame, stores: Iterable[str] | None = None) -> DataFrame:
+    """Month means over stores with status, from the long form.
+
+    With ``stores``, a listed store without figures for a month counts as 0 there.
+    """
+    wide = assortment_wide(assortment)
+    if stores is not None:
+        wide = period_spine_join(wide, stores, "Mes", "Tienda")
+    means = mean_over_stores(wide, "Mes", list(METRICS))
     return means.withColumns({f"{m}_status": value_status(F.col(m), limit, higher_better=up)
                               for m, (limit, up) in LIMITS.items()})

@@ -102,7 +102,7 @@ def claims_reasons(claims: DataFrame, months: Iterable[str] | None = None, wide:
                    value: str = "gmv_reclamado") -> DataFrame:
     """Claims and claimed value by month, store, reason and verdict.
 
-    The wide form has a claims column per month and leaves out rows without claims.
+    The wide form has a claims column per month and leaves out rows without any claim.
     """
     rows = not_null_filter(claims, "mes").select(
         month_start(F.col("mes")).alias("Mes"), blank_to_total(F.col("tienda"), blanks=("",)).alias("Tienda"),
@@ -113,8 +113,10 @@ def claims_reasons(claims: DataFrame, months: Iterable[str] | None = None, wide:
     sums = rows.groupBy("Mes", *keys).agg(zero_sum("claims").alias("claims"), zero_sum("gmv").alias("gmv"))
     if not wide:
         return sums
-    return (sums.filter(F.col("claims") != 0).withColumn("Mes", F.date_format("Mes", "yyyy-MM-dd"))
+    grid = (sums.withColumn("Mes", F.date_format("Mes", "yyyy-MM-dd"))
             .groupBy(*keys).pivot("Mes", list(months) if months is not None else None).agg(F.max("claims")))
+    cells = [F.coalesce(F.col(c), F.lit(0)) for c in grid.columns if c not in keys]
+    return grid.filter(F.exists(F.array(*cells), lambda n: n != 0))
 
 
 def _bpp_rows(bpp: DataFrame, paid_col: str, recovered_col: str) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from kpiloom.constants import DAILY_WINDOW_DAYS
 from kpiloom.functions.dates import month_from_yyyymm, month_start, previous_month_end
-from kpiloom.functions.numbers import positive_ratio, safe_ratio, safe_ratio_nz
+from kpiloom.functions.numbers import safe_ratio, safe_ratio_nz
 from kpiloom.operators.aggregates import mean_of_rates, store_nunique, sum_to_period, zero_sum
 from kpiloom.operators.filters import DateLike, between_filter, cutoff_filter
 from kpiloom.operators.joins import enrich_period, join_pl_growth
@@ -179,8 +179,14 @@ def pl_month(pl_monthly: DataFrame) -> DataFrame:
 
 
 def pl_ratios(pl_monthly: DataFrame) -> DataFrame:
-    """P&L lines with their share of the P&L's NMV, where that is above 0."""
-    ratio: dict[str, Column] = {out: positive_ratio(F.col(c), F.col("NMV")) for out, c in PL_RATIOS.items()}
+    """P&L lines with their share of the P&L's NMV, where that is above 0.
+
+    Where it is not, a ratio the input already has is kept.
+    """
+    given = {out: F.col(out) if out in pl_monthly.columns else F.lit(None).cast("double") for out in PL_RATIOS}
+    ratio: dict[str, Column] = {
+        out: F.when(F.col("NMV") > 0, safe_ratio(F.col(c), F.col("NMV"))).otherwise(given[out])
+        for out, c in PL_RATIOS.items()}
     return pl_month(pl_monthly).withColumns(ratio)
 
 

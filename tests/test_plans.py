@@ -161,10 +161,12 @@ def test_status_flags(spark, rows):
 
 def test_claims_wide_leaves_out_empty_rows(spark, rows):
     claims = spark.createDataFrame(
-        [(d(2026, 1, 9), None, " r ", "v", 2, 1.5), (d(2026, 1, 20), "", "r", "v", 1, None), (d(2026, 2, 1), "North", "q", None, None, 5.0)],
+        [(d(2026, 1, 9), None, " r ", "v", 2, 1.5), (d(2026, 1, 20), "", "r", "v", 1, None), (d(2026, 2, 1), "North", "q", None, None, 5.0),
+         (d(2026, 2, 2), None, "r", "v", 0, None)],
         "mes date, tienda string, motivo string, fallo string, claims int, gmv_reclamado double")
-    assert rows(plans.claims_reasons(claims)) == [(d(2026, 1, 1), "Total", "r", "v", 3, 1.5), (d(2026, 2, 1), "North", "q", "", 0, 5.0)]
-    assert rows(plans.claims_reasons(claims, ["2026-01-01", "2026-02-01"], wide=True)) == [("Total", "r", "v", 3, None)]
+    assert rows(plans.claims_reasons(claims)) == [
+        (d(2026, 1, 1), "Total", "r", "v", 3, 1.5), (d(2026, 2, 1), "North", "q", "", 0, 5.0), (d(2026, 2, 1), "Total", "r", "v", 0, 0.0)]
+    assert rows(plans.claims_reasons(claims, ["2026-01-01", "2026-02-01"], wide=True)) == [("Total", "r", "v", 3, 0)]
 
 
 def test_window_without_rows_in_cvr(spark):
@@ -174,3 +176,19 @@ def test_window_without_rows_in_cvr(spark):
     latest = plans.rolling_7d(growth, visits, cvr, "2026-07-15").filter("bucket = 0").collect()[0]
     assert (latest.label, latest.NMV, latest.Visitas, latest.CVR) == ("P", 5.0, None, None)
     assert plans.rolling_28d(growth, visits, cvr, "2026-07-15").count() == 7
+
+
+def test_pl_ratios_keep_given_ones_without_nmv(spark, rows):
+    lines = ["TGMV", "Net_Variable_Fee", "Net_Monetization", "Product_Net_Monetization", "Variable_Contribution",
+             "Direct_Contribution", "Shipping_Cost", "Promotions", "Coupons"]
+    pl = spark.createDataFrame([(202601, 0, 0.5), (202602, 100, 0.5)], "Mes int, NMV bigint, Take_Rate double")
+    for name in lines:
+        pl = pl.withColumn(name, F.lit(9).cast("bigint"))
+    got = rows(plans.pl_ratios(pl).select("Mes", "Take_Rate", "VC_Over_NMV"))
+    assert got == [(d(2026, 1, 1), 0.5, None), (d(2026, 2, 1), 0.09, 0.09)]
+
+
+def test_summary_counts_missing_stores_as_zero(spark):
+    long = spark.createDataFrame([("A", d(2026, 1, 1), "Gap", 8.0)], "Tienda string, Mes date, metric string, value double")
+    gap = lambda **o: plans.assortment_summary(long, **o).collect()[0].Gap
+    assert (gap(), gap(stores=["A", "B"])) == (8.0, 4.0)
