@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, mixing
+from . import exact_dedup, language_id, mixing
 from .common import table
 
 
@@ -12,9 +12,14 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.language_of(table(spark, sf_dir, "documents"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op3_mixing": op3_mixing, "op7_exact_dedup": op7_exact_dedup}
+QUERIES = {"op3_mixing": op3_mixing, "op6_language_id": op6_language_id,
+           "op7_exact_dedup": op7_exact_dedup}
 ORACLES = {"op3_mixing": mixing.ORACLE, "op7_exact_dedup": exact_dedup.ORACLE}
