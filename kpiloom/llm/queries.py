@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, jaccard_join, language_id, mixing
+from . import exact_dedup, html_text, jaccard_join, language_id, mixing
 from .common import table
 
 
@@ -20,10 +20,15 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {"op10_jaccard_join": op10_jaccard_join, "op3_mixing": op3_mixing, "op6_language_id": op6_language_id,
-           "op7_exact_dedup": op7_exact_dedup}
+           "op7_exact_dedup": op7_exact_dedup,
+           "op8_html_text": op8_html_text}
 ORACLES = {"op3_mixing": mixing.ORACLE, "op7_exact_dedup": exact_dedup.ORACLE}
