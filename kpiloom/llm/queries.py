@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, html_text, jaccard_join, language_id, mixing
+from . import embedding_dedup, exact_dedup, html_text, jaccard_join, language_id, mixing
 from .common import table
 
 
@@ -12,6 +12,10 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.language_of(table(spark, sf_dir, "documents"))
 
@@ -28,7 +32,8 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op10_jaccard_join": op10_jaccard_join, "op3_mixing": op3_mixing, "op6_language_id": op6_language_id,
+QUERIES = {"op10_jaccard_join": op10_jaccard_join, "op3_mixing": op3_mixing, "op5_embedding_dedup": op5_embedding_dedup,
+           "op6_language_id": op6_language_id,
            "op7_exact_dedup": op7_exact_dedup,
            "op8_html_text": op8_html_text}
 ORACLES = {"op3_mixing": mixing.ORACLE, "op7_exact_dedup": exact_dedup.ORACLE}
