@@ -47,7 +47,7 @@ def draw(doc_id: Column, seed: int) -> Column:
     return F.conv(F.substring(digest, 1, 3), 16, 10).cast("int")
 
 
-def mix(docs: DataFrame, share: float = 1.0, most_epochs: int = 3, seed: int = 7) -> DataFrame:
+def mix(docs: DataFrame, share: float = 1.0, most_epochs: int = 3, seed: int = 7, carry: bool = False) -> DataFrame:
     """How often each document of ``docs`` (doc_id, text, source) goes into the mix.
 
     Sources by code point, null last, weigh 1, 2, 3, repeating. A source whose target is
@@ -55,9 +55,10 @@ def mix(docs: DataFrame, share: float = 1.0, most_epochs: int = 3, seed: int = 7
     cells of a seeded draw that bring its words nearest to the target. Null and empty
     texts have size 0. Returns doc_id, size, source_size, target, taken (words, repeats
     counted), repeats, source; one row per row of ``docs``. Rows that repeat an id share its draw.
+    With ``carry`` a struct ``row`` holds the document's own columns, whatever their names.
     """
     sized = docs.select("doc_id", "source", n_words(F.col("text")).alias("size"),
-                        draw(F.col("doc_id"), seed).alias("cell"))
+                        draw(F.col("doc_id"), seed).alias("cell"), *([F.struct("*").alias("row")] if carry else []))
     cells = sized.groupBy("source", "cell").agg(F.sum("size").alias("words"))
     sources = cells.groupBy("source").agg(F.sum("words").alias("source_size"))
     place = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
@@ -79,7 +80,7 @@ def mix(docs: DataFrame, share: float = 1.0, most_epochs: int = 3, seed: int = 7
     return rows.join(salted, F.col("d.source").eqNullSafe(F.col("p.source"))
                      & (F.col("d.salt") == F.col("p.salt"))).select(
         "doc_id", "size", "source_size", "target", (F.col("size") * repeats).cast("long").alias("taken"),
-        repeats.cast("int").alias("repeats"), F.col("d.source").alias("source"))
+        repeats.cast("int").alias("repeats"), F.col("d.source").alias("source"), *(["row"] if carry else []))
 
 
 ORACLE = r"""

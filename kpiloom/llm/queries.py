@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import embedding_dedup, exact_dedup, html_text, jaccard_join, language_id, mixing
+from . import embedding_dedup, exact_dedup, html_text, jaccard_join, language_id, mixing, packing
 from .common import table
 
 
@@ -28,6 +28,10 @@ def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -35,5 +39,5 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {"op10_jaccard_join": op10_jaccard_join, "op3_mixing": op3_mixing, "op5_embedding_dedup": op5_embedding_dedup,
            "op6_language_id": op6_language_id,
            "op7_exact_dedup": op7_exact_dedup,
-           "op8_html_text": op8_html_text}
+           "op8_html_text": op8_html_text, "op9_packing": op9_packing}
 ORACLES = {"op3_mixing": mixing.ORACLE, "op7_exact_dedup": exact_dedup.ORACLE}
