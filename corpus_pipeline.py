@@ -1,8 +1,71 @@
-"""A training corpus from raw documents: stages that each apply one operator."""
+"""A training corpus from raw documents: stages that each apply one operator.
 
-STAGES = []
+``STAGES`` lists (name, function); a function takes (spark, docs, sf_dir) and returns a
+DataFrame. Each stage works on all that its predecessor kept.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from kpiloom.llm import exact_dedup, jaccard_join, language_id, mixing, packing
+from kpiloom.llm.common import stored, table
+
+#: The draw of a mixture depends on its rows: SQL can't express the near-duplicate stage before it.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose doc_id is not among ``rejected``; a row without an id stays."""
+    gone = rejected.select(F.col("doc_id").alias("gone_id")).distinct()
+    return docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop texts in no language: those without a letter."""
+    found = language_id.language_of(docs)
+    return without(docs, found.where("lang_pred = 'und'"))
+
+
+def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one row of each group of equal texts, also where rows repeat an id."""
+    found = exact_dedup.exact_duplicates(docs)
+    # of rows that repeat an id as well as the text, the longest text stays
+    left = without(docs, found.where("not kept"))
+    repeated = docs.groupBy("doc_id").agg(F.count("*").alias("rows")).where("rows > 1")
+    again = repeated.select(F.col("doc_id").alias("again_id"))
+    once = left.join(again, left["doc_id"] == again["again_id"], "left_semi")
+    bare = F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]", "")
+    longest = F.max_by(F.struct("*"), F.coalesce(F.length("text"), F.lit(0)))
+    once = once.groupBy("doc_id", F.sha2(bare, 256)).agg(longest.alias("row")).select("row.*")
+    return without(left, repeated).unionByName(once.select(*docs.columns))
+
+
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the document with the smallest id of each component of near duplicates."""
+    found = jaccard_join.near_duplicates(docs)
+    return without(docs, found.where("doc_id <> component_id"))
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeat or leave out documents so that sources reach their targets."""
+    mixed = mixing.mix(docs, carry=True)
+    return mixed.select("row", F.explode(F.array_repeat(F.lit(1), F.col("repeats")))).select("row.*")
+
+
+def packs(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Place all words in training sequences."""
+    return packing.pack(docs)
+
+
+STAGES = [("language_id", language), ("exact_dedup", exact), ("near_dedup", near), ("mixing", mixture),
+          ("packing", packs)]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``, each written and read again."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)
