@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import embedding_dedup, exact_dedup, html_text, jaccard_join, language_id, mixing, packing, toxicity
+from . import embedding_dedup, exact_dedup, html_text, jaccard_join, language_id, lm_scoring, mixing, packing, toxicity
 from .common import table
 
 
@@ -16,6 +16,10 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
@@ -40,7 +44,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op10_jaccard_join": op10_jaccard_join, "op2_toxicity": op2_toxicity, "op3_mixing": op3_mixing, "op5_embedding_dedup": op5_embedding_dedup,
+QUERIES = {"op10_jaccard_join": op10_jaccard_join, "op2_toxicity": op2_toxicity, "op3_mixing": op3_mixing, "op4_lm_scoring": op4_lm_scoring, "op5_embedding_dedup": op5_embedding_dedup,
            "op6_language_id": op6_language_id,
            "op7_exact_dedup": op7_exact_dedup,
            "op8_html_text": op8_html_text, "op9_packing": op9_packing}
