@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import embedding_dedup, exact_dedup, html_text, jaccard_join, language_id, lm_scoring, mixing, packing, toxicity
+from . import embedding_dedup, exact_dedup, html_text, jaccard_join, language_id, lm_scoring, mixing, packing, substring_dedup, toxicity
 from .common import table
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeated_substrings(table(spark, sf_dir, "documents"))
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -44,7 +48,8 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op10_jaccard_join": op10_jaccard_join, "op2_toxicity": op2_toxicity, "op3_mixing": op3_mixing, "op4_lm_scoring": op4_lm_scoring, "op5_embedding_dedup": op5_embedding_dedup,
+QUERIES = {"op10_jaccard_join": op10_jaccard_join, "op1_substring_dedup": op1_substring_dedup,
+           "op2_toxicity": op2_toxicity, "op3_mixing": op3_mixing, "op4_lm_scoring": op4_lm_scoring, "op5_embedding_dedup": op5_embedding_dedup,
            "op6_language_id": op6_language_id,
            "op7_exact_dedup": op7_exact_dedup,
            "op8_html_text": op8_html_text, "op9_packing": op9_packing}
