@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 import numpy as np
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,6 +58,29 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
+class WordHashes(dict):
+    """64-bit hashes of words, remembered up to a limit."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > 300_000:
+            self.clear()
+        value = self[word] = xxhash.xxh3_64_intdigest(word)
+        return value
+
+
+def slices(batches, most_bytes: int = 6 << 20):
+    """Batches cut to about ``most_bytes`` of their last column, so that a task's arrays stay small."""
+    for batch in batches:
+        at, held = 0, 0
+        for k, raw in enumerate(batch.column(batch.num_columns - 1)):
+            held += len(raw.as_buffer() or b"") if raw.is_valid else 0
+            if held > most_bytes:
+                yield batch.slice(at, k + 1 - at)
+                at, held = k + 1, 0
+        if at < batch.num_rows:
+            yield batch.slice(at)
+
+
 def components(edges: DataFrame, name: str = "components", most_rounds: int = 60) -> DataFrame:
     """Connected components of ``edges`` (a, b: long): one row (id, root) per end of an edge.
 

@@ -5,8 +5,8 @@ arrays; a bucket learns which tokens occur in several sets, and how often. A pai
 only reach the threshold if it shares a token in both prefixes under any one global order, so
 a set whose unshared tokens alone fill its prefix has no partner and leaves. The others
 meet in the posting lists of a rare-first order; a candidate must also share prefix tokens
-under a second order before its overlap is counted. A list is first compared with one
-member; only members that are then still in another component than most of the list are
+under a second order before its overlap is counted. A list is first compared with a few
+members; only members that are then still in another component than most of the list are
 compared with the rest of it. No link between components can be missed, and a group of
 near copies costs a few comparisons a member.
 """
@@ -15,28 +15,19 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, mixed, stored
+from .common import WordHashes, components, mixed, slices, stored
 
 WORDS = 5
 #: Tokens of one bucket on average; a token in one of RARITY sets or more is common.
 BUCKET_TOKENS, RARITY = 3_000_000, 100
+#: Members that every other one of a posting list is compared with at first.
+LEADERS = 4
 LOW48 = np.uint64((1 << 48) - 1)
 
 
-class WordHashes(dict):
-    """64-bit hashes of words, remembered up to a limit."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 300_000:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
 def shingles(raw: bytes, hashes: WordHashes) -> np.ndarray:
     """Distinct hashed shingles of a text, ascending; fewer words than WORDS are one."""
     words = raw.lower().split()
@@ -61,7 +52,7 @@ def signature(tokens: np.ndarray) -> int:
 def set_rows(batches):
     """Of every text the size and signature of its set; and the tokens that are common in the batch."""
     hashes = WordHashes()
-    for batch in batches:
+    for batch in slices(batches):
         ids, raws = batch.columns
         sizes, marks, seen = [], [], {}
         for raw in raws.to_pylist():
@@ -89,7 +80,7 @@ PACKED = "bucket int, common boolean, sids binary, sizes binary, counts binary,
 def packed_rows(batches, buckets: int, common: np.ndarray):
     """Tokens of each batch's sets by bucket: a row holds the tokens of many sets, six bytes each."""
     hashes = WordHashes()
-    for batch in batches:
+    for batch in slices(batches):
         sets = {}
         for raw in batch.column(0).to_pylist():
             tokens = shingles(raw or b"", hashes)
@@ -123,26 +114,26 @@ def packed_rows(batches, buckets: int, common: np.ndarray):
             names=["bucket", "common", "sids", "sizes", "counts", "low", "high"])
 
 
-SHARED = "sid long, n long, tokens binary, often binary"
+SHARED = "part int, sids binary, sizes binary, tokens binary, often binary"
 
 
-def by_set(sids, sizes, tokens, often):
-    """One row per set with its tokens, each once."""
-    order = np.lexsort((tokens, sids))
-    sids, sizes, tokens, often = sids[order], sizes[order], tokens[order], often[order]
-    once = np.concatenate([[True], (sids[1:] != sids[:-1]) | (tokens[1:] != tokens[:-1])])
-    sids, sizes, tokens, often = sids[once], sizes[once], tokens[once], often[once]
-    starts = np.flatnonzero(np.concatenate([[True], sids[1:] != sids[:-1]]))
-    ends = np.append(starts[1:], len(sids))
-    return pa.RecordBatch.from_arrays(
-        [pa.array(sids[starts]), pa.array(sizes[starts].astype(np.int64)),
-         pa.array([tokens[a:b].tobytes() for a, b in zip(starts, ends)], pa.binary()),
-         pa.array([often[a:b].tobytes() for a, b in zip(starts, ends)], pa.binary())],
-        names=["sid", "n", "tokens", "often"])
+def by_part(sids, sizes, tokens, often, parts: int):
+    """The rows of a bucket dealt to parts by set, packed."""
+    part = (mixed(sids.view(np.uint64)) % np.uint64(parts)).astype(np.int32)
+    order = np.argsort(part, kind="stable")
+    edges = np.searchsorted(part[order], np.arange(parts + 1))
+    out = []
+    for k in range(parts):
+        rows = order[edges[k]:edges[k + 1]]
+        if len(rows):
+            out.append((k, sids[rows].tobytes(), sizes[rows].tobytes(), tokens[rows].tobytes(), often[rows].tobytes()))
+    columns = list(zip(*out)) or [[]] * 5
+    return pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), *(pa.array(c, pa.binary()) for c in columns[1:])],
+                                      names=["part", "sids", "sizes", "tokens", "often"])
 
 
-def shared_tokens(table: pa.Table, common: np.ndarray, common_counts: np.ndarray) -> pa.Table:
-    """Of one bucket: the tokens that several sets hold, by set, with the number of their holders."""
+def shared_tokens(table: pa.Table, parts: int, common: np.ndarray, common_counts: np.ndarray) -> pa.Table:
+    """Of one bucket: the tokens that several sets hold, by parts of the sets, with the number of their holders."""
     out = []
     usual, frequent = [], []
     for row in table.to_batches():
@@ -166,41 +157,45 @@ def shared_tokens(table: pa.Table, common: np.ndarray, common_counts: np.ndarray
         several = np.minimum.reduceat(sids, starts) != np.maximum.reduceat(sids, starts)
         kept = np.repeat(several, held)
         if kept.any():
-            out.append(by_set(sids[kept], sizes[kept], tokens[kept].view(np.int64),
-                              np.repeat(held, held)[kept].astype(np.int32)))
+            out.append(by_part(sids[kept], sizes[kept], tokens[kept].view(np.int64),
+                               np.repeat(held, held)[kept].astype(np.int32), parts))
     if frequent:
         sids, sizes, tokens = (np.concatenate(x) for x in zip(*frequent))
         often = common_counts[np.searchsorted(common, tokens)]
         # above every bucket's tokens, so that the two kinds can't meet
-        out.append(by_set(sids, sizes, (tokens | np.uint64(1 << 63)).view(np.int64), often.astype(np.int32)))
-    schema = pa.schema([("sid", pa.int64()), ("n", pa.int64()), ("tokens", pa.binary()), ("often", pa.binary())])
+        out.append(by_part(sids, sizes, (tokens | np.uint64(1 << 63)).view(np.int64), often.astype(np.int32), parts))
+    schema = pa.schema([("part", pa.int32()), *((c, pa.binary()) for c in ("sids", "sizes", "tokens", "often"))])
     return pa.Table.from_batches(out, schema=schema)
 
 
 RECORD = ("sid long, n long, shared long, tokens binary, first array<long>, second binary")
 
 
-def records(batches):
-    """Sets that can have a partner: their shared tokens and their prefixes under two orders."""
-    for batch in batches:
-        out = []
-        for sid, n, parts in zip(*(c.to_pylist() for c in batch.columns)):
-            tokens = np.concatenate([np.frombuffer(p["tokens"], np.int64) for p in parts])
-            often = np.concatenate([np.frombuffer(p["often"], np.int32) for p in parts])
-            tokens, once = np.unique(tokens, return_index=True)
-            often = often[once]
-            prefix = n - (4 * n + 4) // 5 + 1 - (n - len(tokens))
-            if prefix > 0:
-                scrambled = mixed(tokens.view(np.uint64))
-                first = tokens[np.lexsort((scrambled, often))[:prefix]]
-                grade = np.log2(often).astype(np.int8)
-                second = tokens[np.lexsort((scrambled ^ np.uint64((1 << 64) - 1), grade))[:prefix]]
-                out.append((sid, n, len(tokens), tokens.tobytes(), first.tolist(), np.sort(second).tobytes()))
-        columns = list(zip(*out)) or [[]] * 6
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.int64()),
-             pa.array(columns[3], pa.binary()), pa.array(columns[4], pa.list_(pa.int64())),
-             pa.array(columns[5], pa.binary())], names=["sid", "n", "shared", "tokens", "first", "second"])
+def records(table: pa.Table) -> pa.Table:
+    """Sets of one part that can have a partner: their shared tokens and their prefixes under two orders."""
+    kinds = (("sids", np.int64), ("sizes", np.uint32), ("tokens", np.int64), ("often", np.int32))
+    sids, sizes, tokens, often = (np.concatenate([np.frombuffer(x, kind) for x in table[name].to_pylist()])
+                                  for name, kind in kinds)
+    order = np.lexsort((tokens, sids))
+    sids, tokens = sids[order], tokens[order]
+    once = np.concatenate([[True], (sids[1:] != sids[:-1]) | (tokens[1:] != tokens[:-1])])
+    sids, sizes, tokens, often = sids[once], sizes[order][once].astype(np.int64), tokens[once], often[order][once]
+    starts = np.flatnonzero(np.concatenate([[True], sids[1:] != sids[:-1]]))
+    out = []
+    for a, b in zip(starts, np.append(starts[1:], len(sids))):
+        n = int(sizes[a])
+        prefix = n - (4 * n + 4) // 5 + 1 - (n - (b - a))
+        if prefix > 0:
+            own, held = tokens[a:b], often[a:b]
+            scrambled = mixed(own.view(np.uint64))
+            first = own[np.lexsort((scrambled, held))[:prefix]]
+            grade = np.log2(held).astype(np.int8)
+            second = own[np.lexsort((scrambled ^ np.uint64((1 << 64) - 1), grade))[:prefix]]
+            out.append((int(sids[a]), n, int(b - a), own.tobytes(), first.tolist(), np.sort(second).tobytes()))
+    columns = list(zip(*out)) or [[]] * 6
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.binary())
+    return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)],
+                                names=["sid", "n", "shared", "tokens", "first", "second"])
 
 
 def overlap_check(batches):
@@ -226,9 +221,9 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         overlap_check, "a long, b long")
 
 
-def fits(n1, c1, n2, c2):
-    """Whether two sets' shared tokens are enough for the overlap that their sizes ask for."""
-    return 9 * F.least(c1, c2) >= 4 * (n1 + n2)
+def fits(n1, rest1, n2, rest2):
+    """Whether a pair's first common token leaves both enough tokens for the overlap that their sizes ask for."""
+    return 9 * F.least(rest1, rest2) >= 4 * (n1 + n2)
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -253,28 +248,31 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     common_tokens, counts = common_tokens[order], np.array([r[1] for r in common], np.int64)[order]
     packed = docs.select(raw).mapInArrow(lambda batches: packed_rows(batches, buckets, common_tokens), PACKED)
     shared = (packed.repartition(buckets, "bucket").groupBy("bucket")
-              .applyInArrow(lambda t: shared_tokens(t, common_tokens, counts), SHARED))
-    sets = stored(shared.groupBy("sid").agg(F.first("n").alias("n"), F.collect_list(F.struct("tokens", "often")).alias("p"))
-                  .select("sid", "n", "p").mapInArrow(records, RECORD), "shingle-records")
-    postings = sets.select("sid", "n", "shared", F.explode("first").alias("token"))
-
-    lead = F.min(F.struct((F.col("n") - F.col("shared")).alias("alone"), "sid", "n", "shared"))
-    lists = postings.groupBy("token").agg(lead.alias("l"), F.count("*").alias("m")).where("m > 1").select("token", "l")
+              .applyInArrow(lambda t: shared_tokens(t, buckets, common_tokens, counts), SHARED))
+    sets = stored(shared.repartition(buckets, "part").groupBy("part").applyInArrow(records, RECORD), "shingle-records")
+    # rest: shared tokens from this one on, in the first order
+    postings = sets.select("sid", "n", "shared", F.posexplode("first").alias("at", "token")).select(
+        "token", "sid", "n", (F.col("n") - F.col("shared")).alias("alone"), (F.col("shared") - F.col("at")).alias("rest"))
+
+    member = F.struct("alone", "sid", "n", "rest")
+    lead = [F.min(F.when(F.pmod(F.xxhash64("sid"), F.lit(LEADERS)) == k, member)) for k in range(LEADERS)]
+    lists = postings.groupBy("token").agg(F.array_compact(F.array(*lead)).alias("l"), F.count("*").alias("m")).where(
+        "m > 1").select("token", F.explode("l").alias("l"))
     met = postings.join(lists, "token").where(F.col("sid") != F.col("l.sid")).where(
-        fits(F.col("n"), F.col("shared"), F.col("l.n"), F.col("l.shared")))
+        fits(F.col("n"), F.col("rest"), F.col("l.n"), F.col("l.rest")))
     pairs = met.select(F.least("sid", "l.sid").alias("a"), F.greatest("sid", "l.sid").alias("b")).distinct()
     links = stored(verified(pairs, sets), "leader-links")
 
     roots = components(links, "leader-components")
     placed = postings.join(roots, postings.sid == roots.id, "left").select(
-        "token", "sid", "n", "shared", F.coalesce("root", "sid").alias("root"))
+        "token", "sid", "n", "rest", F.coalesce("root", "sid").alias("root"))
     placed = stored(placed, "postings")
     tops = (placed.groupBy("token", "root").agg(F.count("*").alias("m")).groupBy("token")
             .agg(F.max_by("root", "m").alias("top"), F.count("*").alias("parts")).where("parts > 1"))
     apart = placed.join(tops, "token").where("root <> top").select(
-        "token", *(F.col(c).alias(f"{c}_1") for c in ("sid", "n", "shared", "root")))
+        "token", *(F.col(c).alias(f"{c}_1") for c in ("sid", "n", "rest", "root")))
     crossed = placed.join(apart, "token").where("root <> root_1").where(
-        fits(F.col("n"), F.col("shared"), F.col("n_1"), F.col("shared_1")))
+        fits(F.col("n"), F.col("rest"), F.col("n_1"), F.col("rest_1")))
     pairs = crossed.select(F.least("sid", "sid_1").alias("a"), F.greatest("sid", "sid_1").alias("b")).distinct()
     more = stored(verified(pairs, sets).unionByName(links), "links")
 
