@@ -14,7 +14,7 @@ import duckdb
 from pyspark.sql import DataFrame, SparkSession
 
 from checks import ORACLES, QUERIES
-from kpiloom.session import configure
+from kpiloom.session import RUNTIME_CONF
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
           "pages benchmark labels conversations").split()
@@ -91,9 +91,10 @@ def compare(df: DataFrame, con, sql: str) -> list[str]:
 def session() -> SparkSession:
     spark = (SparkSession.builder.master("local[8]").appName("kpiloom-checks")
              .config("spark.sql.shuffle.partitions", "8").config("spark.driver.memory", "8g")
-             .config("spark.sql.session.timeZone", "UTC").config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false").getOrCreate())
+             .config("spark.sql.session.timeZone", "UTC").config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
+             .config(map=RUNTIME_CONF).getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
-    return configure(spark)
+    return spark
 
 
 def main(argv: list[str]) -> int:

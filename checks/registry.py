@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import re
+import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from checks.tables_sql import CTES
+from kpiloom.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -46,3 +48,11 @@ def check(name: str, sql: str | None = None):
             ORACLES[name] = with_tables(sql)
         return build
     return register
+
+
+def shared_path(spark: SparkSession, name: str) -> str:
+    """``scratch_path``; a local session without a shared folder gets one of its own."""
+    unset = not (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir())
+    if unset and spark.sparkContext.master.startswith("local"):
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="checks-"))
+    return scratch_path(spark, name)

@@ -1,15 +1,15 @@
-"""Session settings and shared scratch folders."""
+"""Recommended settings and shared folders. Nothing here changes a session."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: Runtime settings the plans count on. Skew joins are forced because a join on
-#: a hot order id is often followed by an aggregate that could reuse the join's
-#: partitioning; without the flag AQE would keep the hot partition whole.
+#: Settings to start a session with. Skew joins are forced because a join on a hot order
+#: id is often followed by an aggregate that could reuse the join's partitioning; without
+#: the flag AQE would keep the hot partition whole. The number of shuffle partitions is
+#: the cluster's to set: AQE merges those that turn out small.
 RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -18,55 +18,23 @@ RUNTIME_CONF = {
 }
 
 
-def configure(spark: SparkSession) -> SparkSession:
-    """Apply ``RUNTIME_CONF`` to a running session and return it."""
-    for key, value in RUNTIME_CONF.items():
-        spark.conf.set(key, value)
-    return spark
-
-
-#: Input bytes a shuffle partition should stand for before AQE merges small ones.
-PARTITION_BYTES = 128 * 1024 * 1024
-
-
-def input_bytes(spark: SparkSession, path: str) -> int:
-    """Total file size under ``path``, from the file system's own summary."""
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(path)
-    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.getContentSummary(folder).getLength()
-
-
-def size_shuffles(spark: SparkSession, path: str) -> SparkSession:
-    """Start shuffles with enough partitions for the data under ``path``.
-
-    The session's own ``spark.sql.shuffle.partitions`` is the minimum; AQE merges
-    partitions that turn out small, but cannot split an aggregate's partition.
-    """
-    wanted = -(-input_bytes(spark, path) // PARTITION_BYTES)
-    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(max(wanted, least)))
-    return spark
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path for intermediate tables, under the cluster's shared folder.
+    """A fresh path for intermediate tables, under the folder of ``spark.checkpoint.dir``.
 
-    The folder is ``spark.checkpoint.dir``; only a session without that setting
-    (tests, a laptop) gets a temporary folder of its own.
+    Executors write there and read each other's files, so it must be shared; a session
+    without one is an error.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        base = tempfile.mkdtemp(prefix="kpiloom-")
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the scratch folder and return the stored table.
+def materialise(df: DataFrame, path: str, by: list[str] = ()) -> DataFrame:
+    """Write ``df`` to ``path``, partitioned by ``by``, and return the stored table.
 
-    For results that several plans read: they are computed once, and a lost executor
-    costs no recomputation of what lies behind them.
+    For results that several plans read: they are computed once, when this is called. The
+    caller owns ``path`` and removes it.
     """
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.partitionBy(*by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

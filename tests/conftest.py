@@ -6,17 +6,18 @@ from pyspark.sql import Column, SparkSession, functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from kpiloom.session import configure  # noqa: E402
+from kpiloom.session import RUNTIME_CONF  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = (SparkSession.builder.master("local[4]").appName("kpiloom-tests")
                .config("spark.sql.shuffle.partitions", "4").config("spark.driver.memory", "4g")
                .config("spark.sql.session.timeZone", "UTC").config("spark.ui.enabled", "false")
-               .config("spark.ui.showConsoleProgress", "false").getOrCreate())
+               .config("spark.ui.showConsoleProgress", "false").config(map=RUNTIME_CONF).getOrCreate())
     session.sparkContext.setLogLevel("OFF")
-    yield configure(session)
+    session.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("shared")))
+    yield session
     session.stop()
 
 
