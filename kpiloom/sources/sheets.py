@@ -1,47 +1,61 @@
 """Positional spreadsheet exports (CSV without a usable header).
 
-A sheet is a DataFrame ``(row_no, cells)``: the 0-based line number over all
-files of the path in name order, and the cells as an array of strings.
+A sheet is a DataFrame ``(row_no, cells)``: the 0-based row number over all files of
+the path in name order, and all cells of the row as an array of strings, null where
+empty. A quoted cell may hold commas, doubled quotes and line breaks.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+#: A cell after a comma: quoted, or up to the next comma. Rows get a comma in front.
+CELL = r',("(?:[^"]|"")*"|[^,]*)'
+SPLIT = ["file", "split_start"]
 
-def _numbered_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Text lines with a dense line number, without reading a file in one task.
 
-    Lines are counted per input split; the few split totals give each split its
-    first line number.
+def _before_split(lines: DataFrame, *sums: Column) -> DataFrame:
+    """Totals of each input split, and their running sums over the splits before it.
+
+    One row per split passes through one task, not one per line.
+    """
+    totals = lines.groupBy(*SPLIT).agg(*sums)
+    earlier = Window.orderBy(*SPLIT).rowsBetween(Window.unboundedPreceding, -1)
+    names = [c for c in totals.columns if c not in SPLIT]
+    return totals.select(*SPLIT, *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(c) for c in names])
+
+
+def _rows(spark: SparkSession, path: str) -> DataFrame:
+    """Rows with a dense number, without reading a file in one task.
+
+    Lines are counted per split. A line begins a row if the quotes before it are even.
     """
-    split = ["file", "split_start"]
-    lines = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("split_start"),
-        F.monotonically_increasing_id().alias("pos"),
-        "value",
-    )
-    totals = lines.groupBy(*split).agg(F.count("*").alias("n"), F.min("pos").alias("first_pos"))
-    before = Window.orderBy(*split).rowsBetween(Window.unboundedPreceding, -1)
-    starts = totals.withColumn("first_row", F.coalesce(F.sum("n").over(before), F.lit(0)))
-    return lines.join(starts, split).select(
-        (F.col("first_row") + F.col("pos") - F.col("first_pos")).alias("row_no"), "value")
-
-
-def _sheet(spark: SparkSession, path: str, width: int) -> DataFrame:
-    schema = ", ".join(f"c{i} string" for i in range(width))
-    cells = F.from_csv(F.regexp_replace("value", r"\r$", ""), schema)
-    return (_numbered_lines(spark, path)
-            .withColumn("row", cells)
-            .select("row_no", F.array(*[F.col(f"row.c{i}") for i in range(width)]).alias("cells")))
-
-
-def scan_plan_sheet(spark: SparkSession, path: str, width: int = 60) -> DataFrame:
-    """The plan sheet: fixed row and column positions, up to ``width`` columns."""
-    return _sheet(spark, path, width)
-
-
-def scan_block_sheet(spark: SparkSession, path: str, width: int = 26) -> DataFrame:
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    lines = spark.read.text(path, lineSep="\n").select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split_start"),
+        F.monotonically_increasing_id().alias("pos"), F.regexp_replace("value", "\r$", "").alias("value"))
+    within = Window.partitionBy(*SPLIT).orderBy("pos")
+    counted = lines.withColumn("quotes", quotes).withColumn(
+        "seen", F.coalesce(F.sum("quotes").over(within.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    opened = counted.join(_before_split(counted, F.sum("quotes").alias("earlier")), SPLIT)
+    begun = opened.withColumn("begins", F.when((F.col("earlier") + F.col("seen")) % 2 == 0, 1).otherwise(0))
+    numbered = begun.join(_before_split(begun, F.sum("begins").alias("rows_before")), SPLIT).withColumn(
+        "row_no", (F.col("rows_before") + F.sum("begins").over(within) - 1).cast("bigint"))
+    parts = F.array_sort(F.collect_list(F.struct("file", "split_start", "pos", "value")))
+    return numbered.groupBy("row_no").agg(F.array_join(F.transform(parts, lambda p: p["value"]), "\n").alias("value"))
+
+
+def _sheet(spark: SparkSession, path: str) -> DataFrame:
+    cell = lambda c: F.when(c.startswith('"'), F.replace(F.substring(c, F.lit(2), F.length(c) - 2), F.lit('""'), F.lit('"'))
+                            ).when(c != "", c)
+    return _rows(spark, path).select("row_no", F.transform(F.regexp_extract_all(F.concat(F.lit(","), "value"), F.lit(CELL), 1), cell).alias("cells"))
+
+
+def scan_plan_sheet(spark: SparkSession, path: str) -> DataFrame:
+    """The plan sheet: fixed row and column positions."""
+    return _sheet(spark, path)
+
+
+def scan_block_sheet(spark: SparkSession, path: str) -> DataFrame:
     """The assortment sheet: one block of rows per store, stacked."""
-    return _sheet(spark, path, width)
+    return _sheet(spark, path)

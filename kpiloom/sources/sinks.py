@@ -6,9 +6,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from kpiloom.sources.tables import union_sources
 
-#: A JSON document is assembled in one task, so its marts must stay small.
-DOC_ROW_LIMIT = 100_000
-
 
 def write_csv(df: DataFrame, path: str) -> str:
     """Overwrite ``path`` with header CSV part files; returns ``path``."""
@@ -34,24 +31,29 @@ def json_records(marts: dict[str, tuple[DataFrame, list[str]]]) -> DataFrame:
         for name, (df, keys) in marts.items()])
 
 
-def write_json_doc(marts: dict[str, tuple[DataFrame, list[str]]], path: str,
-                   row_limit: int = DOC_ROW_LIMIT) -> str:
-    """Write all marts as one JSON document, ``{mart: {"key/key": {measures}}}``.
+def _key_text(keys: Column) -> Column:
+    """Key parts joined by ``/``; ``~`` and ``/`` inside are ``~0`` and ``~1``, null is ``~n``."""
+    plain = lambda k: F.replace(F.replace(k, F.lit("~"), F.lit("~0")), F.lit("/"), F.lit("~1"))
+    return F.array_join(F.transform(keys, lambda k: F.coalesce(plain(k), F.lit("~n"))), "/")
+
+
+def _quoted(text: Column) -> Column:
+    return F.regexp_extract(F.to_json(F.array(text)), r"(?s)^\[(.*)\]$", 1)
 
-    The rows are first written as JSON lines under ``path/records``. Only if their
-    number is within ``row_limit`` the single document follows under
-    ``path/document``; a larger set stays whole as records. Returns the folder
-    written last.
+
+def write_json_doc(marts: dict[str, tuple[DataFrame, list[str]]], path: str) -> str:
+    """Write one JSON document per mart and period, ``{"period": .., "rows": {key: {measures}}}``.
+
+    A mart's first key is its period; the others name the rows of a document, so only one
+    period's rows are ever gathered. Documents are lines of text under ``path/mart=<name>``;
+    measures keep the text they have in ``json_records``. Returns ``path``.
     """
     records = json_records(marts)
-    spark = records.sparkSession
-    records.write.mode("overwrite").partitionBy("mart").json(f"{path}/records")
-    stored = spark.read.schema("keys array<string>, values string, mart string").json(f"{path}/records")
-    if stored.count() > row_limit:
-        return f"{path}/records"
-    member = F.struct(F.array_join("keys", "/"), F.parse_json("values"))
-    doc = (stored.groupBy("mart").agg(F.map_from_entries(F.collect_list(member)).alias("rows"))
-           .agg(F.map_from_entries(F.collect_list(F.struct("mart", "rows"))).alias("doc"))
-           .select(F.to_json("doc").alias("value")))
-    doc.coalesce(1).write.mode("overwrite").text(f"{path}/document")
-    return f"{path}/document"
+    member = F.concat(_quoted(_key_text(F.slice("keys", 2, F.greatest(F.size("keys") - 1, F.lit(0))))), F.lit(":"), "values")
+    documents = records.groupBy("mart", F.get("keys", F.lit(0)).alias("period")).agg(
+        F.array_join(F.array_sort(F.collect_list(member)), ",").alias("members"))
+    period = F.coalesce(_quoted(F.col("period")), F.lit("null"))
+    value = F.concat(F.lit('{"period":'), F.when(F.col("period").isNull(), "null").otherwise(period),
+                     F.lit(',"rows":{'), "members", F.lit("}}"))
+    documents.select("mart", value.alias("value")).write.mode("overwrite").partitionBy("mart").text(path)
+    return path

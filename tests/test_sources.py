@@ -7,17 +7,17 @@ import pytest
 from pyspark.sql import functions as F
 
 from kpiloom import plans, schemas, sources
-from kpiloom.session import scratch_path
+from kpiloom.session import RUNTIME_CONF, materialise, scratch_path
 
 d = dt.date
 
 
 def test_csv_types_and_bad_dates(spark, tmp_path, rows):
-    (tmp_path / "g.csv").write_text("Fecha,Compras,Ordenes,NMV,NMV_USD,NSI,TSIE_total\n2025-11-02,190,1347,1.0080689E7,6966.0,3321.0,3334\n")
+    (tmp_path / "g.csv").write_text("Fecha,Compras,Ordenes,NMV,NMV_USD,NSI,TSIE_total\n2031-05-04,3,8,2.5E3,1.5,21.0,22\n")
     got = sources.scan_csv(spark, str(tmp_path / "g.csv"), schemas.GROWTH).collect()[0]
-    assert (got.Fecha, got.NMV, got.TSIE_total) == (d(2025, 11, 2), 10080689.0, 3334)
-    text = spark.createDataFrame([("2025-11-02",), ("02/13/2025",), (None,)], "Fecha string")
-    assert rows(sources.coerce_dates(text, ["Fecha"])) == [(d(2025, 11, 2),)]
+    assert (got.Fecha, got.NMV, got.TSIE_total) == (d(2031, 5, 4), 2500.0, 22)
+    text = spark.createDataFrame([("2031-05-04",), ("05/31/2031",), (None,)], "Fecha string")
+    assert rows(sources.coerce_dates(text, ["Fecha"])) == [(d(2031, 5, 4),)]
 
 
 def test_latin1_and_na(spark, tmp_path):
@@ -53,7 +53,7 @@ def plan_lines():
     lines[4] = line({0: "NMV", 1: "1.000,5", 2: "2.000", 3: "50%"})
     lines[6] = line({0: "4+8", 1: "900", 3: "x"})
     lines[22] = line({0: "Dia"})
-    lines += [line({0: "Domingo", 1: "3", 2: "1-mar", 12: "7.338.455", 13: "1.889", 47: "6.765.813", 48: "1.724", 49: "115"}),
+    lines += [line({0: "Domingo", 1: "3", 2: "1-mar", 12: "4.000.200", 13: "2.100", 47: "3.000.000", 48: "2.050", 49: "64"}),
               line({0: "Total", 12: "1"}), line({0: "sábado", 1: "3", 2: "7-xyz", 12: "1,5"}), line({0: "lunes", 2: "40-mar"})]
     return lines
 
@@ -65,7 +65,7 @@ def test_plan_sheet(spark, tmp_path, rows):
     assert rows(plans.plan_monthly(sheet, 2026)) == [
         (d(2026, 1, 1), 1000.5, 900.0), (d(2026, 2, 1), 2000.0, None), (d(2026, 3, 1), None, None)]
     assert rows(plans.plan_daily(sheet, 2026)) == [
-        (d(2026, 3, 1), "Domingo", 7338455.0, 1889.0, 6765813.0, 1724.0, 115.0), (d(2026, 3, 7), "sábado", 1.5, None, None, None, None)]
+        (d(2026, 3, 1), "Domingo", 4000200.0, 2100.0, 3000000.0, 2050.0, 64.0), (d(2026, 3, 7), "sábado", 1.5, None, None, None, None)]
 
 
 def test_lines_are_numbered_across_splits(spark, tmp_path):
@@ -74,7 +74,7 @@ def test_lines_are_numbered_across_splits(spark, tmp_path):
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
     try:
-        sheet = sources.scan_block_sheet(spark, str(tmp_path), 2)
+        sheet = sources.scan_block_sheet(spark, str(tmp_path))
         assert sheet.rdd.getNumPartitions() >= 1
         got = sheet.select("row_no", F.col("cells")[0].cast("int") * 2000 + F.col("cells")[1].cast("int")).collect()
     finally:
@@ -82,41 +82,57 @@ def test_lines_are_numbered_across_splits(spark, tmp_path):
     assert len(got) == 6000 and all(a == b for a, b in got)
 
 
-BLOCKS = """,Central,,,,
-,Enero,Febrero,Tendencia,,
-Disponibilidad,"71,0%","71,4%",,,
-Profundidad,"58,79%",,,,
-Gap (p.p.),"12,2","9,9",,,
-,,,,,
-Notas,"1,0","2,0",,,
-,Norte Grande,,,,
-,Enero,Febrero,Tendencia,,
-Gap (p.p.),"1,5","x",,,
+BLOCKS = """,Alpha,,,
+,Marzo,Abril,Tendencia,
+Disponibilidad,"20,5%","30,0%",,
+Gap (p.p.),"4,0","6,5",,
+,,,,
+Comentarios,"8,0","9,0",,
+,Beta Sur,,,
+,Marzo,Abril,Tendencia,
+Profundidad,"40,25%",x,,
+Gap (p.p.),"3,0",,,
 """
 
 
-def test_assortment_sheet(spark, tmp_path, rows):
+def test_assortment_sheet(spark, tmp_path):
     (tmp_path / "a.csv").write_text(BLOCKS)
     sheet = sources.scan_block_sheet(spark, str(tmp_path / "a.csv"))
-    jan, feb = d(2026, 1, 1), d(2026, 2, 1)
-    parsed = plans.assortment_parse(sheet, 2026, ["Central", "Norte"])
+    mar, apr = d(2031, 3, 1), d(2031, 4, 1)
+    parsed = plans.assortment_parse(sheet, 2031, ["Alpha", "Beta"])
     got = {(r.Tienda, r.Mes, r.metric): r.value for r in parsed.collect()}
-    want = {("Central", jan, "Disponibilidad"): 0.71, ("Central", feb, "Disponibilidad"): 0.714, ("Central", jan, "Profundidad"): 0.5879,
-            ("Central", feb, "Profundidad"): None, ("Central", jan, "Gap"): 12.2, ("Central", feb, "Gap"): 9.9,
-            ("Norte", jan, "Gap"): 1.5, ("Norte", feb, "Gap"): None}
-    assert got == pytest.approx(want)
-    month = plans.assortment_summary(parsed).filter(F.col("Mes") == jan).collect()[0]
-    assert (month.Disponibilidad, month.Disponibilidad_status, month.Gap, month.Gap_status) == pytest.approx(
-        (0.355, "bad", 6.85, "good")) or (round(month.Gap, 2), month.Gap_status, month.Disponibilidad_status) == (6.85, "good", "bad")
-
-
-def test_json_document_and_its_limit(spark, tmp_path):
-    mart = spark.createDataFrame([(d(2026, 1, 4), "a", 1.5, None), (d(2026, 1, 11), 'q"', 2.0, 3)], "p date, s string, x double, y int")
+    assert got == pytest.approx({
+        ("Alpha", mar, "Disponibilidad"): 0.205, ("Alpha", apr, "Disponibilidad"): 0.3, ("Alpha", mar, "Gap"): 4.0, ("Alpha", apr, "Gap"): 6.5,
+        ("Beta", mar, "Profundidad"): 0.4025, ("Beta", apr, "Profundidad"): None, ("Beta", mar, "Gap"): 3.0, ("Beta", apr, "Gap"): None})
+    month = plans.assortment_summary(parsed).filter(F.col("Mes") == mar).collect()[0]
+    assert month.Gap == pytest.approx(3.5)
+    assert (month.Gap_status, month.Disponibilidad_status) == ("good", "bad")
+
+
+def test_sheets_keep_all_cells_and_quoted_line_breaks(spark, tmp_path):
+    wide = ",".join(f"v{i}" for i in range(70))
+    (tmp_path / "s.csv").write_text(f'{wide}\na,"two\nlines, and ""quotes""",\n"",z\n\nlast\n')
+    for part in ("4", "1m"):
+        before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+        spark.conf.set("spark.sql.files.maxPartitionBytes", part)
+        try:
+            got = [tuple(r) for r in sources.scan_plan_sheet(spark, str(tmp_path / "s.csv")).orderBy("row_no").collect()]
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        assert got == [(0, [f"v{i}" for i in range(70)]), (1, ["a", 'two\nlines, and "quotes"', None]), (2, ["", "z"]), (3, [None]),
+                       (4, ["last"])]
+
+
+def test_json_documents_per_period(spark, tmp_path):
+    mart = spark.createDataFrame([(d(2026, 1, 4), "a", 1.0, None), (d(2026, 1, 4), None, 0.5, 1), (d(2026, 1, 4), "x/y~", 2.5, 2),
+                                  (d(2026, 1, 11), 'q"', 2.0, 3), (None, "a", 9.0, 9)], "p date, s string, x double, y int")
     path = sources.write_json_doc({"m": (mart, ["p", "s"])}, str(tmp_path / "doc"))
-    doc = json.loads(spark.read.text(path).collect()[0].value)
-    assert doc == {"m": {"2026-01-04/a": {"x": 1.5, "y": None}, '2026-01-11/q"': {"x": 2.0, "y": 3}}}
-    kept = sources.write_json_doc({"m": (mart, ["p", "s"])}, str(tmp_path / "big"), row_limit=1)
-    assert kept.endswith("records") and spark.read.json(kept).count() == 2
+    lines = [r.value for r in spark.read.text(f"{path}/mart=m").collect()]
+    assert sorted((json.loads(t) for t in lines), key=lambda t: t["period"] or "") == [
+        {"period": None, "rows": {"a": {"x": 9.0, "y": 9}}},
+        {"period": "2026-01-04", "rows": {"a": {"x": 1.0, "y": None}, "~n": {"x": 0.5, "y": 1}, "x~1y~0": {"x": 2.5, "y": 2}}},
+        {"period": "2026-01-11", "rows": {'q"': {"x": 2.0, "y": 3}}}]
+    assert any('"x":1.0' in t for t in lines)
 
 
 def test_batch_isolates_failures(spark, tmp_path):
@@ -132,9 +148,35 @@ def test_batch_isolates_failures(spark, tmp_path):
     assert sources.raise_on_failure(status.filter("ok")).count() == 1
 
 
-def test_scratch_follows_the_session(spark):
+def test_errors_are_kept_whole(spark, tmp_path):
+    def broken():
+        raise LookupError("x" * 5000)
+
+    assert "x" * 5000 in sources.run_batch(spark, {"bad": broken}, str(tmp_path)).first().error
+
+
+def test_scratch_needs_a_shared_folder(spark, tmp_path):
     class Session:
         conf = {"spark.checkpoint.dir": "/shared/somewhere/"}
 
+    class Bare:
+        conf = {}
+
+        class sparkContext:
+            getCheckpointDir = staticmethod(lambda: None)
+
     assert scratch_path(Session, "x").startswith("/shared/somewhere/x-")
     assert "/x-" in scratch_path(spark, "x")
+    with pytest.raises(ValueError, match="checkpoint"):
+        scratch_path(Bare, "x")
+    kept = materialise(spark.range(4).selectExpr("id", "id % 2 AS half"), str(tmp_path / "m"), ["half"])
+    assert kept.filter("half = 1").count() == 2
+
+
+def test_queries_leave_the_session_as_it_was(spark):
+    from __spark_entry__ import queries
+    conf = lambda: {k: spark.conf.get(k, None) for k in (*RUNTIME_CONF, "spark.sql.shuffle.partitions",
+                    "spark.sql.adaptive.coalescePartitions.initialPartitionNum")}
+    before = conf()
+    queries()["growth_weekly"](spark, "/root/testdata/sf0.001")
+    assert conf() == before
