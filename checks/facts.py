@@ -9,49 +9,49 @@ from checks.tables_sql import (
 from kpiloom import bindings as b, plans
 
 check("growth_weekly", growth_sql("week"))(i.g_week)
+check("growth_weekly_line_key", growth_sql("week", line_key=True))(
+    lambda spark, sf: plans.growth_weekly(b.order_lines(spark, sf), b.picks(spark, sf), i.START, line_key=b.PICK_KEYS[1:], **i.SCOPE))
+check("growth_weekly_order_key", growth_sql("week", order_key=True))(
+    lambda spark, sf: plans.growth_weekly(b.order_lines(spark, sf), b.picks(spark, sf), i.START, site="S1", marketplace="TM"))
 check("growth_daily_net", growth_sql("day"))(i.g_day)
 check("growth_weekly_store", growth_sql("week", True, name="Semana"))(i.g_week_store)
 check("growth_daily_store", growth_sql("day", True, True))(i.g_day_store)
 
 
-@check("growth_weekly_line_key", f"""
-SELECT {week('l.closed_at')} AS Fecha, count(DISTINCT purchase_id) AS Compras, count(DISTINCT order_id) AS Ordenes,
-  CAST(round(sum(p.TSIE), 0) AS BIGINT) AS TSIE_total
-FROM (SELECT DISTINCT closed_at, purchase_id, order_id, sku_id, line_id, status, fx_ratio, unit_price FROM scoped WHERE status NOT IN ('cancelled')) l
-LEFT JOIN (SELECT DISTINCT * FROM pick_pieces) p USING (order_id, sku_id, line_id) GROUP BY 1""")
+@check("growth_daily", """
+WITH live AS (SELECT * FROM scoped_items WHERE status NOT IN ('cancelled', 'invalid')),
+fresh AS (SELECT order_id FROM live WHERE list_contains(string_split(lower(array_to_string(tags, ',')), ','), 'fresh') GROUP BY order_id),
+sold AS (SELECT order_date, store_id, round(sum(gross_value_usd), 2) AS gmv_usd FROM live GROUP BY ALL),
+ids AS (SELECT DISTINCT l.order_date, l.store_id, l.order_id, l.buyer_id, f.order_id IS NOT NULL AS is_fresh
+  FROM live l LEFT JOIN fresh f ON l.order_id = f.order_id),
+counted AS (SELECT order_date, store_id, count(DISTINCT order_id) AS orders, count(DISTINCT buyer_id) AS buyers FROM ids GROUP BY ALL),
+chilled AS (SELECT order_date, store_id, count(DISTINCT order_id) AS fresh_orders, count(DISTINCT buyer_id) AS fresh_buyers
+  FROM ids WHERE is_fresh GROUP BY ALL)
+SELECT order_date, store_id, orders, buyers, gmv_usd, coalesce(fresh_orders, 0) AS fresh_orders, coalesce(fresh_buyers, 0) AS fresh_buyers
+FROM counted JOIN sold USING (order_date, store_id) LEFT JOIN chilled USING (order_date, store_id)""")
 def _(spark, sf):
-    df = plans.growth_weekly(b.order_lines(spark, sf), b.picks(spark, sf), i.START, line_key=b.PICK_KEYS[1:], **i.SCOPE)
-    return df.select("Fecha", "Compras", "Ordenes", "TSIE_total")
+    return plans.growth_daily(b.nested_orders(spark, sf), b.STORES, i.LOOKBACK_AS_OF)
 
 
-@check("growth_weekly_order_key", f"""
-SELECT {week('closed_at')} AS Fecha, count(DISTINCT purchase_id) AS Compras, count(DISTINCT order_id) AS Ordenes,
-  CAST(round(sum(TSIE), 0) AS BIGINT) AS TSIE_total
-FROM (SELECT DISTINCT {week('closed_at')} AS Fecha, closed_at, purchase_id, order_id, status, fx_ratio, TSIE,
-    CASE WHEN TSI_PICKED > TSIE THEN TSIE ELSE TSI_PICKED END AS TSI, unit_price * CAST(TSIE AS DOUBLE) AS v
-  FROM scoped LEFT JOIN pick_pieces USING (order_id) WHERE status NOT IN ('cancelled')) GROUP BY 1""")
-def _(spark, sf):
-    df = plans.growth_weekly(b.order_lines(spark, sf), b.picks(spark, sf), i.START, site="S1", marketplace="TM")
-    return df.select("Fecha", "Compras", "Ordenes", "TSIE_total")
+PNL = """
+WITH amounts AS (SELECT order_date, store_id, order_id, sum(gross_value_usd) AS gross, sum(net_value_usd) AS net,
+    sum(delivery_fee_usd) AS delivery, sum(service_fee_usd) AS service
+  FROM {} WHERE coalesce(status NOT IN ('cancelled', 'invalid'), FALSE) GROUP BY ALL)
+SELECT order_date, store_id, count(order_id) AS orders, round(sum(gross), 2) AS gmv_usd, round(sum(net), 2) AS nmv_usd,
+  round(sum(delivery), 2) AS delivery_fee_usd, round(sum(service), 2) AS service_fee_usd,
+  CASE WHEN sum(gross) != 0 THEN round(sum(net) / sum(gross), 4) END AS take_rate
+FROM amounts GROUP BY ALL"""
 
 
-@check("growth_daily", """
-SELECT order_date, store_id, count(DISTINCT order_id) AS orders, count(DISTINCT buyer_id) AS buyers,
-  round(sum(gross_value_usd), 2) AS gmv_usd, count(DISTINCT CASE WHEN has_fresh = 1 THEN order_id END) AS fresh_orders,
-  count(DISTINCT CASE WHEN has_fresh = 1 THEN buyer_id END) AS fresh_buyers
-FROM (SELECT *, max(CASE WHEN lower(array_to_string(tags, ',')) LIKE '%fresh%' THEN 1 ELSE 0 END) OVER (PARTITION BY order_id) AS has_fresh
-  FROM scoped_items WHERE status NOT IN ('cancelled', 'invalid')) GROUP BY 1, 2""")
+@check("pnl_daily", PNL.format("scoped_items"))
 def _(spark, sf):
-    return plans.growth_daily(b.nested_orders(spark, sf), b.STORES, i.LOOKBACK_AS_OF)
+    return plans.pnl_daily(b.nested_orders(spark, sf), b.STORES, i.LOOKBACK_AS_OF)
 
 
-@check("pnl_daily", """
-SELECT order_date, store_id, count(DISTINCT order_id) AS orders, round(sum(gross_value_usd), 2) AS gmv_usd,
-  round(sum(net_value_usd), 2) AS nmv_usd, round(sum(delivery_fee_usd), 2) AS delivery_fee_usd,
-  round(sum(service_fee_usd), 2) AS service_fee_usd, round(sum(net_value_usd) / nullif(sum(gross_value_usd), 0), 4) AS take_rate
-FROM scoped_items WHERE status NOT IN ('cancelled', 'invalid') GROUP BY 1, 2""")
+# a lookback that leaves out most of the table
+@check("pnl_daily_recent", PNL.format("(SELECT * FROM scoped_items_all WHERE order_date >= DATE '2000-06-01' - 395)"))
 def _(spark, sf):
-    return plans.pnl_daily(b.nested_orders(spark, sf), b.STORES, i.LOOKBACK_AS_OF)
+    return plans.pnl_daily(b.nested_orders(spark, sf), b.STORES, "2000-06-01")
 
 
 @check("visits_daily_store", f"""
@@ -167,13 +167,11 @@ def _(spark, sf):
 
 check("nps_monthly", "SELECT * FROM nps")(i.nps)
 
-MONTHS = [f"{y}-{m:02d}-01" for y in range(1995, 2002) for m in range(1, 13)]
-
 
-@check("nps_pivot", "SELECT Tienda, " + ", ".join(
-    f"max(NPS_Score) FILTER (Mes = DATE '{m}') AS \"{m}\"" for m in MONTHS) + " FROM nps GROUP BY 1")
+@check("nps_pivot", "SELECT Tienda, CAST(Mes AS VARCHAR) AS Mes, NPS_Score FROM nps WHERE NPS_Score IS NOT NULL")
 def _(spark, sf):
-    return plans.nps_pivot(i.nps(spark, sf), MONTHS)
+    wide = plans.nps_pivot(i.nps(spark, sf))
+    return wide.unpivot(["Tienda"], [c for c in wide.columns if c != "Tienda"], "Mes", "NPS_Score").dropna()
 
 
 @check("nps_pivot_status", """

@@ -110,8 +110,8 @@ def _(spark, sf):
 
 
 PIECES = """SELECT measure, count(TSIE) AS requested_known, CAST(sum(TSIE) AS DOUBLE) AS requested, count(TSI_PICKED) AS picked_known,
-  CAST(sum(TSI_PICKED) AS DOUBLE) AS picked FROM (SELECT k.measure, CAST(CASE WHEN measure != 'unit' THEN requested_qty / nullif(net_weight, 0) ELSE requested_qty END AS DECIMAL(18, 9)) AS TSIE,
-  CAST(CASE WHEN measure != 'unit' THEN picked_qty / nullif(net_weight, 0) ELSE picked_qty END AS DECIMAL(18, 9)) AS TSI_PICKED FROM picks k) GROUP BY 1"""
+  CAST(sum(TSI_PICKED) AS DOUBLE) AS picked FROM (SELECT k.measure, CAST(CASE WHEN measure != 'unit' THEN requested_qty / nullif(net_weight, 0) ELSE requested_qty END AS DECIMAL(28, 9)) AS TSIE,
+  CAST(CASE WHEN measure != 'unit' THEN picked_qty / nullif(net_weight, 0) ELSE picked_qty END AS DECIMAL(28, 9)) AS TSI_PICKED FROM picks k) GROUP BY 1"""
 
 
 @check("qty_normalise", PIECES)

@@ -43,6 +43,18 @@ def flag(cond: str) -> str:
     return f"CASE WHEN {cond} THEN 1 ELSE 0 END"
 
 
+def _cx(key: str) -> str:
+    shares = {"Perfect_Purchase_Rate": "l_discount < 0.035", "Claims_Rate": "l_returnflag = 'R'", "On_Time": "l_linestatus = 'O'",
+              "Cancel_Rate": "l_discount > 0.085"}
+    claims = ", ".join(f"count(*) FILTER (l_returnflag = 'R' AND l_partkey % 5 = {k}) AS {name}_Claims"
+                       for k, name in enumerate(("Repentance", "Incomplete", "Different", "Defective")))
+    return f"""
+SELECT {month('l_shipdate')} AS Mes{key}, CAST(count(*) FILTER (l_discount < 0.035) AS DOUBLE) AS Perfect_Purchases,
+  CAST(count(*) AS DOUBLE) AS Total_Purchases, count(*) FILTER (l_returnflag = 'R') AS Total_Claims, {claims},
+  {', '.join(f"round(count(*) FILTER ({cond}) / count(*), 4) AS {name}" for name, cond in shares.items())}
+FROM lineitem GROUP BY ALL"""
+
+
 CTES: dict[str, str] = {
     "order_lines": f"""
 SELECT l_orderkey AS order_id, l_partkey AS sku_id, l_linenumber AS line_id,
@@ -59,13 +71,12 @@ FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
 SELECT l_orderkey AS order_id, l_partkey AS sku_id, l_linenumber AS line_id, l_quantity AS requested_qty,
   CASE l_returnflag WHEN 'A' THEN 'unit' WHEN 'R' THEN 'kg' END AS measure,
   CASE WHEN l_returnflag = 'R' THEN l_quantity * 1.1 WHEN l_discount <= 0.085 THEN l_quantity * (1 - l_discount) END AS picked_qty,
-  CAST(l_partkey % 25 AS DOUBLE) AS net_weight
+  CASE WHEN l_partkey % 997 = 1 THEN 1e-7 ELSE CAST(l_partkey % 25 AS DOUBLE) END AS net_weight
 FROM lineitem""",
-    "pick_pieces": """
-SELECT order_id, sku_id, line_id,
-  CAST(CASE WHEN measure != 'unit' THEN requested_qty / nullif(net_weight, 0) ELSE requested_qty END AS DECIMAL(18, 9)) AS TSIE,
-  CAST(CASE WHEN measure != 'unit' THEN picked_qty / nullif(net_weight, 0) ELSE picked_qty END AS DECIMAL(18, 9)) AS TSI_PICKED
-FROM picks""",
+    "pick_counts": """
+SELECT order_id, sku_id, line_id, CAST(requested_qty / per_piece AS DECIMAL(28, 9)) AS wanted,
+  least(CAST(picked_qty / per_piece AS DECIMAL(28, 9)), CASE WHEN picked_qty IS NOT NULL THEN CAST(requested_qty / per_piece AS DECIMAL(28, 9)) END) AS got
+FROM (SELECT *, CASE WHEN coalesce(measure, 'unit') = 'unit' THEN 1 WHEN net_weight != 0 THEN net_weight END AS per_piece FROM picks)""",
     "scoped": """
 SELECT * FROM order_lines WHERE site = 'S1' AND gmv_flag IS TRUE AND marketplace_id = 'TM'
   AND auto_offer_flag IS NOT TRUE AND supermarket_flag IS TRUE
@@ -81,9 +92,9 @@ FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
     "order_items": """
 SELECT * EXCLUDE (nodes), CAST(created_at AS DATE) AS order_date, n.node AS store_id
 FROM nested_orders, unnest(nodes) AS n(node)""",
-    "scoped_items": f"""
-SELECT * FROM order_items WHERE supermarket_flag IS TRUE AND array_to_string(tags, ',') LIKE '%supermarket_partnership%'
-  AND store_id IN {STORE_LIST} AND order_date >= DATE '1996-01-15' - 395""",
+    "scoped_items_all": f"""
+SELECT * FROM order_items WHERE supermarket_flag IS TRUE AND list_contains(tags, 'supermarket_partnership') AND store_id IN {STORE_LIST}""",
+    "scoped_items": "SELECT * FROM scoped_items_all WHERE order_date >= DATE '1996-01-15' - 395",
     "traffic": f"""
 SELECT CAST(ts AS DATE) AS day, user_id, {MODEL} AS model, 'S1' AS site,
   CASE event_type WHEN 'view' THEN ['ITEM_PAGE', 'HOME_INSTORE'] WHEN 'click' THEN ['ADD_TO_CART', 'FOOTER']
@@ -130,12 +141,13 @@ SELECT CAST(l_shipdate AS DATE) AS day, {node('l_suppkey')} AS node_id, l_orderk
     "survey": """
 SELECT CAST(o_orderkey AS VARCHAR) AS order_id,
   CASE WHEN cents % 13 = 0 THEN '6.5' WHEN cents % 17 = 0 THEN NULL WHEN cents % 19 = 0 THEN 'n/a'
+    WHEN cents % 23 = 0 THEN 'NaN' WHEN cents % 29 = 0 THEN '1e12'
     ELSE CAST(cents % 11 AS VARCHAR) END AS score,
   o_orderdate AS end_date, 'SHOP_' || o_orderpriority AS code, substr(o_orderpriority, 1, 1) AS survey_site
 FROM (SELECT *, CAST(round(o_totalprice * 100) AS BIGINT) AS cents FROM orders)""",
     "survey_buckets": """
 SELECT *, CASE WHEN s < 7 THEN -1 WHEN s < 9 THEN 0 WHEN s IN (9, 10) THEN 1 END AS bucket
-FROM (SELECT *, CAST(round(TRY_CAST(score AS DOUBLE)) AS INTEGER) AS s FROM survey)""",
+FROM (SELECT *, TRY_CAST(round(TRY_CAST(score AS DOUBLE)) AS INTEGER) AS s FROM survey)""",
     "claims": """
 SELECT l_orderkey AS order_id, CAST(l_shipdate AS DATE) AS claim_date,
   CASE l_partkey % 4 WHEN 0 THEN 'incomplete' WHEN 1 THEN 'different' WHEN 2 THEN 'defective' ELSE 'repentance' END AS claim_type,
@@ -168,19 +180,8 @@ SELECT {month('o_orderdate')} AS Mes, CAST(sum(floor(l_extendedprice)) AS BIGINT
   CAST(-sum(floor(l_extendedprice * l_discount)) AS BIGINT) AS Promotions,
   CAST(-sum(floor(l_extendedprice * l_discount / 2)) AS BIGINT) AS Coupons
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1""",
-    "cx_store": f"""
-SELECT {month('l_shipdate')} AS Mes, {node('l_suppkey')} AS Tienda,
-  CAST(count(*) FILTER (l_discount < 0.035) AS DOUBLE) AS Perfect_Purchases, CAST(count(*) AS DOUBLE) AS Total_Purchases,
-  round(count(*) FILTER (l_discount < 0.035) / count(*), 4) AS Perfect_Purchase_Rate,
-  count(*) FILTER (l_returnflag = 'R') AS Total_Claims,
-  count(*) FILTER (l_returnflag = 'R' AND l_partkey % 5 = 0) AS Repentance_Claims,
-  count(*) FILTER (l_returnflag = 'R' AND l_partkey % 5 = 1) AS Incomplete_Claims,
-  count(*) FILTER (l_returnflag = 'R' AND l_partkey % 5 = 2) AS Different_Claims,
-  count(*) FILTER (l_returnflag = 'R' AND l_partkey % 5 = 3) AS Defective_Claims,
-  round(count(*) FILTER (l_returnflag = 'R') / count(*), 4) AS Claims_Rate,
-  round(count(*) FILTER (l_linestatus = 'O') / count(*), 4) AS On_Time,
-  round(count(*) FILTER (l_discount > 0.085) / count(*), 4) AS Cancel_Rate
-FROM lineitem GROUP BY 1, 2""",
+    "cx_store": _cx(f", {node('l_suppkey')} AS Tienda"),
+    "cx_month": _cx(""),
     "plan": """
 SELECT Fecha, round(v * CAST(1.1 AS DOUBLE)) AS NMV_V2, CAST(n * 10 AS DOUBLE) AS NSI_V2,
   round(v * CAST(0.9 AS DOUBLE)) AS NMV_48, CAST(n * 9 AS DOUBLE) AS NSI_48, CASE WHEN n > 3 THEN CAST(n AS DOUBLE) END AS Pur_48
@@ -206,23 +207,28 @@ LEFT JOIN (SELECT CASE l_suppkey % 4 WHEN 0 THEN 'North' WHEN 1 THEN 'East' WHEN
 }
 
 
-def growth_sql(grain: str, store: bool = False, only_stores: bool = False, name: str = "Fecha") -> str:
-    """Text of the growth query; the caller's CTEs must include scoped and pick_pieces."""
-    label = f", {store_case('b.node_id')} AS Tienda" if store else ""
-    keys = f"{name}, Tienda" if store else name
-    where = [f"b.node_id IN {STORE_LIST}"] if only_stores else []
+def growth_sql(grain: str, store: bool = False, only_stores: bool = False, name: str = "Fecha", line_key: bool = False,
+               order_key: bool = False) -> str:
+    """Growth stated by its definition: each different line of a period once, summed per order, then per period."""
+    place = f"{store_case('node_id')}" if store else "'all'"
+    keep = f"node_id IN {STORE_LIST}" if only_stores else "TRUE"
+    out = f"{name}, place AS Tienda" if store else name
+    tell = ", sku_id, line_id" if line_key else ""
+    match = "order_id" if order_key else "order_id, sku_id, line_id"
     return f"""
-SELECT {keys}, count(DISTINCT purchase_id) AS Compras, count(DISTINCT order_id) AS Ordenes,
-  round(sum(CASE WHEN status = 'partially_refunded' THEN fr_value ELSE full_value END), 0) AS NMV,
-  round(sum(CASE WHEN status = 'partially_refunded' THEN fr_value ELSE full_value END) * avg(nullif(fx, 0)), 0) AS NMV_USD,
-  CAST(round(sum(coalesce(TSI, TSIE)), 0) AS DOUBLE) AS NSI, CAST(round(sum(TSIE), 0) AS BIGINT) AS TSIE_total
-FROM (SELECT DISTINCT {PERIOD[grain]('b.closed_at')} AS {name}{label}, b.purchase_id, b.order_id, b.status,
-    coalesce(b.fx_ratio, 0) AS fx, f.TSIE, CASE WHEN f.TSI_PICKED > f.TSIE THEN f.TSIE ELSE f.TSI_PICKED END AS TSI,
-    b.unit_price * CAST(f.TSIE AS DOUBLE) AS full_value,
-    b.unit_price * CAST(CASE WHEN f.TSI_PICKED > f.TSIE THEN f.TSIE ELSE f.TSI_PICKED END AS DOUBLE) AS fr_value
-  FROM scoped b LEFT JOIN pick_pieces f USING (order_id, sku_id, line_id)
-  WHERE b.status NOT IN ('cancelled') {' '.join('AND ' + w for w in where)})
-{'WHERE Tienda IS NOT NULL' if store else ''} GROUP BY {keys}"""
+SELECT {out}, count(DISTINCT purchase_id) AS Compras, count(DISTINCT order_id) AS Ordenes, round(sum(worth), 0) AS NMV,
+  round(sum(worth) * (sum(rates) / nullif(sum(n_rates), 0)), 0) AS NMV_USD,
+  CAST(round(sum(sent), 0) AS DOUBLE) AS NSI, CAST(round(sum(asked), 0) AS BIGINT) AS TSIE_total
+FROM (
+  SELECT {name}, place, purchase_id, order_id, sum(CASE status WHEN 'partially_refunded' THEN price_got ELSE price_wanted END) AS worth,
+    sum(rate) FILTER (rate != 0) AS rates, count(*) FILTER (rate != 0) AS n_rates, sum(ifnull(got, wanted)) AS sent, sum(wanted) AS asked
+  FROM (
+    SELECT DISTINCT {PERIOD[grain]('closed_at')} AS {name}, {place} AS place, purchase_id, order_id, status, ifnull(fx_ratio, 0) AS rate,
+      wanted, got, unit_price * CAST(wanted AS DOUBLE) AS price_wanted, unit_price * CAST(got AS DOUBLE) AS price_got{tell}
+    FROM scoped LEFT JOIN pick_counts USING ({match})
+    WHERE status <> 'cancelled' AND {keep})
+  WHERE place IS NOT NULL GROUP BY ALL)
+GROUP BY {name}, place"""
 
 
 RATE_PAIRS = {

@@ -9,11 +9,11 @@ from pyspark.sql import DataFrame, functions as F
 from kpiloom.functions.numbers import positive_ratio, safe_ratio
 
 
-def join_picks(lines: DataFrame, picks: DataFrame, keys: Iterable[str] = ("order_id",)) -> DataFrame:
+def join_picks(lines: DataFrame, picks: DataFrame, keys: Iterable[str]) -> DataFrame:
     """Order lines with their pick details; unpicked lines are kept.
 
     Both sides are facts, so this is always a sort-merge join: no side is broadcast
-    because it looked small once compressed.
+    because it looked small once compressed. ``keys`` should tell the lines of an order apart.
     """
     return lines.join(picks.hint("merge"), list(keys), "left")
 

@@ -27,7 +27,7 @@ from kpiloom.operators.joins import join_picks
 Stores = Mapping[str, str]
 
 #: Pieces are summed in fixed point, so that totals do not depend on row order.
-PIECES = "decimal(18,9)"
+PIECES = "decimal(28,9)"
 
 
 def scoped_lines(order_lines: DataFrame, start: DateLike | None = None, site: str | None = None,
@@ -55,25 +55,26 @@ def pick_quantities(picks: DataFrame, keys: Iterable[str]) -> DataFrame:
 
 
 def valued_lines(order_lines: DataFrame, picks: DataFrame, start: DateLike | None = None,
-                 pick_keys: Iterable[str] = ("order_id",), line_key: Iterable[str] = (), **scope) -> DataFrame:
+                 pick_keys: Iterable[str] = ("order_id", "line_id"), line_key: Iterable[str] = (), **scope) -> DataFrame:
     """Scoped order lines with requested and picked pieces and their values.
 
     The one join of large tables behind all growth results: store this table once
-    (``session.materialise``) when more than one of them is wanted, and give it to
+    (``session.materialise``, by day) when more than one of them is wanted, and give it to
     ``growth_of_lines``.
 
-    Pick rows that are matched by order id alone pair up with every line of the order;
-    as only distinct pairs count, both sides are then reduced to distinct rows first.
-    Better name the line columns in ``pick_keys`` where the data has them.
+    ``pick_keys`` must name the columns that tell an order's lines apart: by the order id
+    alone every line would pair up with every pick of its order. ``growth`` has a form of
+    its own for data without such columns.
     """
+    pick_keys = list(pick_keys)
+    if pick_keys == ["order_id"]:
+        raise ValueError("name the line columns in pick_keys, or use growth(pick_keys=('order_id',))")
     keys = ["day", "node_id", "purchase_id", "order_id", "status", "fx_ratio", *line_key]
     extra = [k for k in dict.fromkeys([*pick_keys, *line_key]) if k != "order_id"]
     head = scoped_lines(order_lines, start, **scope).select(
         day(F.col("closed_at")).alias("day"), F.col("item.node_id").alias("node_id"), "purchase_id", "order_id", "status",
         F.coalesce("fx_ratio", F.lit(0.0)).alias("fx_ratio"), F.col("item.unit_price").alias("unit_price"), *extra)
     pieces = pick_quantities(picks, pick_keys)
-    if list(pick_keys) == ["order_id"]:
-        head, pieces = head.distinct(), pieces.distinct()
     tsie, picked = (F.col(c).cast(PIECES) for c in ("TSIE", "TSI_PICKED"))
     value = lambda qty: line_value(F.col("unit_price"), F.col(qty))
     return (join_picks(head, pieces, pick_keys)
@@ -106,6 +107,11 @@ def growth_of_lines(lines: DataFrame, grain: str, stores: Stores | None = None,
         F.sum(refund_value(F.col("status"), F.col("full_value"), F.col("picked_value"))).alias("nmv"),
         F.sum(fx).alias("fx_sum"), F.count(fx).alias("fx_n"),
         F.sum(F.coalesce("TSI", "TSIE")).alias("nsi"), F.sum("TSIE").alias("tsie"))
+    return _of_orders(orders, by, name)
+
+
+def _of_orders(orders: DataFrame, by: list[str], name: str) -> DataFrame:
+    """Period results from one row per period, store, purchase and order."""
     mean_fx = safe_ratio(F.sum("fx_sum"), F.sum("fx_n"))
     return (orders.groupBy(*by).agg(
         F.countDistinct("purchase_id").alias("Compras"),
@@ -117,9 +123,64 @@ def growth_of_lines(lines: DataFrame, grain: str, stores: Stores | None = None,
         .withColumnRenamed("period", name))
 
 
+def growth_by_order(order_lines: DataFrame, picks: DataFrame, grain: str, start: DateLike | None = None,
+                    stores: Stores | None = None, only_stores: bool = False, name: str = "Fecha", **scope) -> DataFrame:
+    """Growth where lines and picks share only the order id.
+
+    Every different price of an order counts with every different pair of requested
+    and picked pieces, and equal products once. No such pair is built: prices and pieces
+    are each reduced to counts and sums per order, and those are multiplied. Only pieces
+    other than 0 tell prices apart; of the rest, products are equal for all known prices.
+    """
+    lines = scoped_lines(order_lines, start, **scope)
+    if only_stores:
+        lines = store_filter(lines, "item.node_id", stores)
+    period = to_period(F.col("closed_at"), grain).alias("period")
+    by = ["period"] if stores is None else ["period", "Tienda"]
+    label = [] if stores is None else [store_label(F.col("item.node_id"), stores).alias("Tienda")]
+    sold = lines.select(period, *label, "purchase_id", "order_id", "status",
+                        F.coalesce("fx_ratio", F.lit(0.0)).alias("fx_ratio"), F.col("item.unit_price").alias("unit_price"))
+    if stores is not None:
+        sold = sold.filter(F.col("Tienda").isNotNull())
+    keys = [*by, "purchase_id", "order_id", "status", "fx_ratio"]
+    prices = sold.distinct().groupBy(*keys).agg(
+        F.count("unit_price").alias("known"), F.count_if(F.col("unit_price").isNull()).alias("unknown"),
+        F.sum("unit_price").alias("price_sum"))
+
+    tsie, picked = (F.col(c).cast(PIECES) for c in ("TSIE", "TSI_PICKED"))
+    pieces = pick_quantities(picks, ["order_id"]).select(
+        "order_id", tsie.alias("TSIE"), qty_cap(picked, tsie).alias("TSI")).distinct()
+    some = F.coalesce(F.col("TSIE") != 0, F.lit(False)) | F.coalesce(F.col("TSI") != 0, F.lit(False))
+    none = F.col("TSIE").isNull() & F.col("TSI").isNull()
+    counts = pieces.groupBy("order_id").agg(
+        F.count_if(some).alias("n_some"), F.count_if(~some & ~none).alias("n_zero"), F.count_if(none).alias("n_none"),
+        *[F.sum(c).cast(PIECES).alias(out) for c, out in (("TSIE", "asked"), ("TSI", "got"))],
+        F.sum(F.coalesce("TSI", "TSIE")).cast(PIECES).alias("sent"))
+
+    joined = prices.join(counts.hint("merge"), "order_id", "left")
+    n = lambda c, missing=0: F.coalesce(c, F.lit(missing))
+    different = F.col("known") + F.col("unknown")
+    rows = (n("n_some") * different + n("n_zero") * (F.least("known", F.lit(1)) + F.col("unknown")) + n("n_none", 1))
+    times = different.cast("decimal(9,0)")
+    fx = F.nullif(F.col("fx_ratio"), F.lit(0.0))
+    value = lambda c: F.col("price_sum") * F.col(c).cast("double")
+    orders = joined.groupBy(*by, "purchase_id", "order_id").agg(
+        F.sum(refund_value(F.col("status"), value("asked"), value("got"))).alias("nmv"),
+        F.sum(fx * rows).alias("fx_sum"), F.sum(F.when(fx.isNotNull(), rows)).alias("fx_n"),
+        F.sum(F.col("sent") * times).alias("nsi"), F.sum(F.col("asked") * times).alias("tsie"))
+    return _of_orders(orders, by, name)
+
+
 def growth(order_lines: DataFrame, picks: DataFrame, grain: str, start: DateLike | None = None,
            stores: Stores | None = None, only_stores: bool = False, name: str = "Fecha", **lines) -> DataFrame:
-    """``growth_of_lines`` straight from the facts; ``lines`` goes to ``valued_lines``."""
+    """``growth_of_lines`` straight from the facts; ``lines`` goes to ``valued_lines``.
+
+    By default, and wherever ``pick_keys`` is the order id alone, ``growth_by_order``.
+    """
+    if list(lines.get("pick_keys", ["order_id"])) == ["order_id"] and not lines.get("line_key"):
+        lines.pop("pick_keys", None)
+        lines.pop("line_key", None)
+        return growth_by_order(order_lines, picks, grain, start, stores, only_stores, name, **lines)
     return growth_of_lines(valued_lines(order_lines, picks, start, **lines), grain, stores, only_stores, name)
 
 

@@ -3,6 +3,7 @@
 import datetime as dt
 import itertools
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -166,7 +167,9 @@ def test_claims_wide_leaves_out_empty_rows(spark, rows):
         "mes date, tienda string, motivo string, fallo string, claims int, gmv_reclamado double")
     assert rows(plans.claims_reasons(claims)) == [
         (d(2026, 1, 1), "Total", "r", "v", 3, 1.5), (d(2026, 2, 1), "North", "q", "", 0, 5.0), (d(2026, 2, 1), "Total", "r", "v", 0, 0.0)]
-    assert rows(plans.claims_reasons(claims, ["2026-01-01", "2026-02-01"], wide=True)) == [("Total", "r", "v", 3, 0)]
+    wide = plans.claims_reasons(claims, wide=True)
+    assert wide.columns == ["Tienda", "motivo", "fallo", "2026-01-01", "2026-02-01"]
+    assert rows(wide) == [("Total", "r", "v", 3, 0)]
 
 
 def test_window_without_rows_in_cvr(spark):
@@ -192,3 +195,47 @@ def test_summary_counts_missing_stores_as_zero(spark):
     long = spark.createDataFrame([("A", d(2026, 1, 1), "Gap", 8.0)], "Tienda string, Mes date, metric string, value double")
     gap = lambda **o: plans.assortment_summary(long, **o).collect()[0].Gap
     assert (gap(), gap(stores=["A", "B"])) == (8.0, 4.0)
+
+
+KEYED_LINE = ("order_id long, line_id int, purchase_id long, buyer_id long, status string, closed_at timestamp, site string, marketplace_id string,"
+        "gmv_flag boolean, auto_offer_flag boolean, fx_ratio double, item struct<node_id:string,unit_price:double,supermarket_flag:boolean>, tags array<string>")
+
+
+def test_order_key_growth_equals_the_pairs_it_does_not_build(spark):
+    """All pairs of an order's prices and pieces, by brute force."""
+    random.seed(5)
+    prices = [1.0, 2.0, 2.0, None, 0.0]
+    pieces = [(3.0, 1.0), (3.0, 5.0), (0.0, 0.0), (0.0, None), (None, None), (None, 2.0), (4.0, None)]
+    lines, picks, want = [], [], [0.0, 0.0, 0.0]
+    for order in range(40):
+        status = random.choice(["paid", "partially_refunded"])
+        own, got = random.choices(prices, k=random.randint(1, 4)), random.choices(pieces, k=random.randint(0, 4))
+        lines += [(order, k, order // 2, 1, status, dt.datetime(2026, 1, 5), "S", "M", True, False, 2.0, ("N0", p, True), ["supermarket_partnership"])
+                  for k, p in enumerate(own)]
+        picks += [(order, q, "unit", t, 1.0) for q, t in got]
+        rows = set()
+        for price, (q, t) in itertools.product(own, got or [(None, None)]):
+            t = q if t is not None and q is not None and t > q else t
+            times = lambda x: None if price is None or x is None else price * x
+            rows.add((q, t, times(q), times(t)))
+        for q, t, full, part in rows:
+            want[0] += (part if status == "partially_refunded" else full) or 0
+            want[1] += (q if t is None else t) or 0
+            want[2] += q or 0
+    orders = spark.createDataFrame(lines, KEYED_LINE)
+    details = spark.createDataFrame(picks, "order_id long, requested_qty double, measure string, picked_qty double, net_weight double")
+    row = plans.growth_weekly(orders, details).first()
+    assert (row.NMV, row.NSI, row.TSIE_total, row.Compras, row.Ordenes) == (*want, 20, 40)
+
+
+def test_order_key_growth_of_a_hot_order(spark):
+    n = 100_000
+    lines = spark.range(n).selectExpr(
+        "1L AS order_id", "2L AS purchase_id", "'paid' AS status", "timestamp'2026-01-05' AS closed_at", "true AS gmv_flag", "false AS auto_offer_flag",
+        "1.0D AS fx_ratio", "struct('N0' AS node_id, cast(id AS double) AS unit_price, true AS supermarket_flag) AS item",
+        "array('supermarket_partnership') AS tags")
+    picks = spark.range(n).selectExpr("1L AS order_id", "cast(id + 1 AS double) AS requested_qty", "'unit' AS measure",
+                                      "cast(null AS double) AS picked_qty", "1.0D AS net_weight")
+    start = time.time()
+    row = plans.growth_weekly(lines, picks).first()
+    assert row.NMV == pytest.approx(sum(range(n)) * sum(range(1, n + 1))) and time.time() - start < 60
