@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from kpiloom import bindings as b, plans
-from kpiloom.session import materialise
 
 SCOPE = {"site": "S1", "marketplace": "TM", "pick_keys": b.PICK_KEYS}
 START = "1995-01-03"
@@ -63,30 +62,25 @@ def b_week_store(spark: SparkSession, sf: str) -> DataFrame:
     return plans.buyers_weekly_store(b.store_sales(spark, sf))
 
 
-def stored_lines(spark: SparkSession, sf: str) -> DataFrame:
-    """The valued lines as a stored table, for marts of several growth results."""
-    lines = plans.valued_lines(b.order_lines(spark, sf), b.picks(spark, sf), START, **SCOPE)
-    return materialise(lines, "valued-lines")
-
-
-def stored_g_day(spark: SparkSession, sf: str) -> DataFrame:
-    return materialise(g_day(spark, sf), "growth-daily")
+def valued(spark: SparkSession, sf: str) -> DataFrame:
+    """The valued lines behind marts of several growth results; a job of its own would store them first."""
+    return plans.valued_lines(b.order_lines(spark, sf), b.picks(spark, sf), START, **SCOPE)
 
 
 def k_week(spark: SparkSession, sf: str) -> DataFrame:
-    lines = stored_lines(spark, sf)
+    lines = valued(spark, sf)
     by_store = plans.growth_of_lines(lines, "week", b.STORES, name="Semana")
     return plans.weekly_kpis(plans.growth_of_lines(lines, "week"), v_week(spark, sf), c_week(spark, sf), by_store, AS_OF)
 
 
 def k_month(spark: SparkSession, sf: str) -> DataFrame:
-    lines = stored_lines(spark, sf)
+    lines = valued(spark, sf)
     by_store = plans.growth_of_lines(lines, "week", b.STORES, name="Semana")
     return plans.monthly_kpis(plans.growth_of_lines(lines, "day"), v_day(spark, sf), c_week(spark, sf), by_store, AS_OF)
 
 
 def k_day(spark: SparkSession, sf: str) -> DataFrame:
-    return plans.daily_kpis(stored_g_day(spark, sf), v_day(spark, sf), c_day(spark, sf), AS_OF)
+    return plans.daily_kpis(g_day(spark, sf), v_day(spark, sf), c_day(spark, sf), AS_OF)
 
 
 def nps(spark: SparkSession, sf: str) -> DataFrame:

@@ -4,10 +4,9 @@ from pyspark.sql import functions as F
 
 from checks import inputs as i
 from checks.registry import check
-from checks.tables_sql import ECONOMICS, month, week
+from checks.tables_sql import ECONOMICS, RATE_PAIRS, month, rates_sql, week
 from kpiloom import bindings as b, operators as ops, plans
 from kpiloom.plans import marts
-from kpiloom.session import materialise
 
 check("weekly_kpis", "SELECT * FROM k_week")(i.k_week)
 check("monthly_kpis", "SELECT * FROM k_month")(i.k_month)
@@ -52,10 +51,18 @@ def _(spark, sf):
     return _rounded(plans.monthly_ops_store(i.o_week_store(spark, sf)), marts.OPS_STORE_NAMES)
 
 
-@check("monthly_ops_weighted", f"""SELECT {month('Semana')} AS Mes,
-  round(sum(Cancel_Rate * CR_Purchases_total) / nullif(sum(CR_Purchases_total), 0), 6) AS Cancel_Rate FROM o_week GROUP BY 1""")
+WEIGHTED = ", ".join(
+    f"round(sum({n} * {d}) / nullif(sum({d}) FILTER ({n} IS NOT NULL), 0), 6) AS {out}"
+    for out, n, d in ((out, n, RATE_PAIRS[n][1]) for out, n in marts.OPS_NAMES.items()))
+
+
+@check("monthly_ops_weighted", f"""SELECT {month('Semana')} AS Mes, {WEIGHTED}
+FROM (SELECT {week('day')} AS Semana, {rates_sql()}, sum(fi_requested) AS fi_requested, sum(fc_purchases) AS fc_purchases,
+    sum(ot_packs) AS ot_packs, sum(cr_purchases) AS cr_purchases
+  FROM scorecard WHERE site = 'S1' AND store_id IN (7000, 7001, 7002, 7003) AND day >= DATE '1993-01-01' GROUP BY 1) GROUP BY 1""")
 def _(spark, sf):
-    return _rounded(plans.monthly_ops(i.o_week(spark, sf), "CR_Purchases_total"), ["Cancel_Rate"]).select("Mes", "Cancel_Rate")
+    weeks = plans.ops_weekly(b.scorecard(spark, sf), b.STORE_IDS, i.SHIP_START, "S1", totals=True)
+    return _rounded(plans.monthly_ops(weeks, plans.ops.RATE_WEIGHTS), marts.OPS_NAMES)
 
 
 @check("weekly_store_mart", "SELECT Semana, Tienda, Compras, Ordenes, NMV, NSI, TSIE_total AS TSIE FROM g_week_store")
@@ -82,7 +89,7 @@ def _(spark, sf):
 @check("daily_ops", f"""SELECT Fecha, {OPS} FROM o_day
 WHERE Fecha BETWEEN (SELECT min(Fecha) FROM k_day) AND (SELECT max(Fecha) FROM k_day)""")
 def _(spark, sf):
-    return plans.daily_ops(i.o_day(spark, sf), materialise(i.k_day(spark, sf).select("Fecha"), "window"))
+    return plans.daily_ops(i.o_day(spark, sf), i.k_day(spark, sf).select("Fecha"))
 
 
 @check("daily_store", """SELECT Fecha, Tienda, Compras, Ordenes, NMV, NSI,
@@ -98,7 +105,7 @@ WHERE Semana BETWEEN (SELECT min(Fecha) FROM k_day) - 6 AND (SELECT max(Fecha) F
 
 @check("window_store_totals", TOTALS)
 def _(spark, sf):
-    return plans.window_store_totals(i.g_week_store(spark, sf), materialise(i.k_day(spark, sf).select("Fecha"), "window"))
+    return plans.window_store_totals(i.g_week_store(spark, sf), i.k_day(spark, sf).select("Fecha"))
 
 
 def _rolling_sql(width, n, prefix):
@@ -119,12 +126,12 @@ LEFT JOIN {sums('c_day', 'sum(Buyers) / nullif(sum(Visitors), 0) AS CVR')} USING
 
 @check("rolling_7d", _rolling_sql(7, 14, "P"))
 def _(spark, sf):
-    return plans.rolling_7d(i.stored_g_day(spark, sf), i.v_day(spark, sf), i.c_day(spark, sf), i.AS_OF)
+    return plans.rolling_7d(i.g_day(spark, sf), i.v_day(spark, sf), i.c_day(spark, sf), i.AS_OF)
 
 
 @check("rolling_28d", _rolling_sql(28, 7, "P28"))
 def _(spark, sf):
-    return plans.rolling_28d(i.stored_g_day(spark, sf), i.v_day(spark, sf), i.c_day(spark, sf), i.AS_OF)
+    return plans.rolling_28d(i.g_day(spark, sf), i.v_day(spark, sf), i.c_day(spark, sf), i.AS_OF)
 
 
 PL_LINES = ("TGMV, NMV, Net_Variable_Fee, Net_Monetization, Product_Net_Monetization, Variable_Contribution, "
@@ -149,9 +156,9 @@ def _(spark, sf):
 
 @check("cx_monthly", """SELECT Mes, Perfect_Purchases, Total_Purchases, Perfect_Purchase_Rate, Total_Claims, Repentance_Claims AS Repentance,
   Incomplete_Claims AS Incomplete, Different_Claims AS Different, Defective_Claims AS Defective, Claims_Rate, On_Time AS On_Time_CX,
-  Cancel_Rate AS Cancel_Rate_CX FROM cx_store""")
+  Cancel_Rate AS Cancel_Rate_CX FROM cx_month""")
 def _(spark, sf):
-    return plans.cx_monthly(b.cx_store(spark, sf))
+    return plans.cx_monthly(b.cx_month(spark, sf))
 
 
 @check("cx_monthly_store", "SELECT Mes, Tienda, Perfect_Purchase_Rate, Claims_Rate, Total_Claims, On_Time FROM cx_store")
@@ -249,14 +256,14 @@ def _(spark, sf):
     return plans.claims_reasons(b.claims_monthly(spark, sf))
 
 
-CLAIM_MONTHS = [f"{y}-{m:02d}-01" for y in range(1994, 2003) for m in range(1, 13)]
-
-
-@check("claims_reasons_wide", "SELECT Tienda, motivo, fallo, " + ", ".join(
-    f"max(claims) FILTER (Mes = DATE '{m}') AS \"{m}\"" for m in CLAIM_MONTHS) + """
-FROM (SELECT Mes, Tienda, motivo, fallo, CAST(sum(claims) AS BIGINT) AS claims FROM claims_rows GROUP BY ALL) GROUP BY 1, 2, 3 HAVING max(claims) != 0""")
+@check("claims_reasons_wide", """
+SELECT Tienda, motivo, fallo, CAST(Mes AS VARCHAR) AS Mes, claims
+FROM (SELECT *, max(claims) OVER (PARTITION BY Tienda, motivo, fallo) AS most
+  FROM (SELECT Mes, Tienda, motivo, fallo, CAST(sum(claims) AS BIGINT) AS claims FROM claims_rows GROUP BY ALL)) WHERE most > 0""")
 def _(spark, sf):
-    return plans.claims_reasons(b.claims_monthly(spark, sf), CLAIM_MONTHS, wide=True)
+    wide = plans.claims_reasons(b.claims_monthly(spark, sf), wide=True)
+    keys = ["Tienda", "motivo", "fallo"]
+    return wide.unpivot(keys, [c for c in wide.columns if c not in keys], "Mes", "claims").dropna(subset=["claims"])
 
 
 BPP_TYPES = """SELECT Mes, CASE WHEN grouping(CLAIM_TYPE) = 1 THEN 'TOTAL' ELSE CLAIM_TYPE END AS CLAIM_TYPE,
@@ -354,7 +361,7 @@ def _(spark, sf):
     "SELECT", _rolling_sql(28, 7, "P28").replace("SELECT s.bucket", "rolled AS (SELECT s.bucket", 1).replace(
         "AS anchor FROM g_day)\n", "AS anchor FROM g_day),\n", 1) + ")\nSELECT", 1))
 def _(spark, sf):
-    rolled = plans.rolling_28d(i.stored_g_day(spark, sf), i.v_day(spark, sf), i.c_day(spark, sf), i.AS_OF)
+    rolled = plans.rolling_28d(i.g_day(spark, sf), i.v_day(spark, sf), i.c_day(spark, sf), i.AS_OF)
     return plans.metric_table(rolled, tables.ROLLING_METRICS, "end")
 
 

@@ -93,7 +93,7 @@ def picks(spark: SparkSession, sf: str) -> DataFrame:
         F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("sku_id"),
         F.col("l_linenumber").alias("line_id"), F.col("l_quantity").alias("requested_qty"),
         F.when(F.col("l_returnflag") == "A", "unit").when(F.col("l_returnflag") == "R", "kg").alias("measure"),
-        picked.alias("picked_qty"), (F.col("l_partkey") % 25).cast("double").alias("net_weight"))
+        picked.alias("picked_qty"), F.when(F.col("l_partkey") % 997 == 1, 1e-7).otherwise((F.col("l_partkey") % 25).cast("double")).alias("net_weight"))
 
 
 def nested_orders(spark: SparkSession, sf: str) -> DataFrame:
@@ -235,6 +235,7 @@ def survey(spark: SparkSession, sf: str) -> DataFrame:
     """A survey response per order, scores as text with fractions and junk."""
     cents = F.round(F.col("o_totalprice") * 100).cast("bigint")
     score = (F.when(cents % 13 == 0, "6.5").when(cents % 17 == 0, F.lit(None)).when(cents % 19 == 0, "n/a")
+             .when(cents % 23 == 0, "NaN").when(cents % 29 == 0, "1e12")
              .otherwise((cents % 11).cast("string")))
     return scan_table(spark, "orders", sf).select(
         F.col("o_orderkey").cast("string").alias("order_id"), score.alias("score"),
@@ -301,15 +302,13 @@ def pl_monthly(spark: SparkSession, sf: str) -> DataFrame:
         (-whole(price * off / 2)).alias("Coupons"))
 
 
-def cx_store(spark: SparkSession, sf: str) -> DataFrame:
-    """Customer-experience month file by store, counted from the lines."""
+def _cx(spark: SparkSession, sf: str, *keys: Column) -> DataFrame:
     n = lambda cond: F.count_if(cond)
     perfect, all_ = n(F.col("l_discount") < 0.035).cast("double"), F.count("*").cast("double")
     total = n(F.col("l_returnflag") == "R")
     of = lambda part: n((F.col("l_returnflag") == "R") & (F.col("l_partkey") % 5 == part))
     rate = lambda a, b: F.round(F.try_divide(a.cast("double"), b.cast("double")), 4)
-    return scan_table(spark, "lineitem", sf).groupBy(
-        month_start(F.col("l_shipdate")).alias("Mes"), _node("l_suppkey").alias("Tienda")).agg(
+    return scan_table(spark, "lineitem", sf).groupBy(month_start(F.col("l_shipdate")).alias("Mes"), *keys).agg(
         perfect.alias("Perfect_Purchases"), all_.alias("Total_Purchases"),
         rate(perfect, all_).alias("Perfect_Purchase_Rate"), total.alias("Total_Claims"),
         of(0).alias("Repentance_Claims"), of(1).alias("Incomplete_Claims"), of(2).alias("Different_Claims"),
@@ -318,6 +317,16 @@ def cx_store(spark: SparkSession, sf: str) -> DataFrame:
         rate(n(F.col("l_discount") > 0.085), all_).alias("Cancel_Rate"))
 
 
+def cx_month(spark: SparkSession, sf: str) -> DataFrame:
+    """Customer-experience file by month, counted from the lines."""
+    return _cx(spark, sf)
+
+
+def cx_store(spark: SparkSession, sf: str) -> DataFrame:
+    """The same by month and store."""
+    return _cx(spark, sf, _node("l_suppkey").alias("Tienda"))
+
+
 def plan(spark: SparkSession, sf: str) -> DataFrame:
     """Daily plan: revenue of the same day one year earlier, times 1.1 and 0.9."""
     base = (scan_table(spark, "orders", sf)

@@ -48,7 +48,7 @@ def try_date(c: Column, fmt: str | None = None) -> Column:
 
 def month_from_yyyymm(c: Column) -> Column:
     """Integer month such as 202510 (or its text, '202510.0') to first of month."""
-    digits = c.try_cast("double").cast("long").cast("string")
+    digits = c.try_cast("double").try_cast("long").cast("string")
     return try_date(digits, "yyyyMM")
 
 

@@ -31,7 +31,7 @@ def refund_value(status: Column, full: Column, picked: Column) -> Column:
 
 def nps_bucket(score: Column) -> Column:
     """-1 detractor, 0 neutral, 1 promoter; scores are rounded to integers first."""
-    s = F.round(score.try_cast("double"), 0).cast("int")
+    s = F.round(score.try_cast("double"), 0).try_cast("int")
     return F.when(s < 7, -1).when(s < 9, 0).when(s.isin(9, 10), 1)
 
 

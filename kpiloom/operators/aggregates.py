@@ -102,14 +102,15 @@ def nps_score(df: DataFrame, by: list[str], bucket: str, weight: str | None = No
 
 
 def mean_of_rates(df: DataFrame, period: str, rates: Mapping[str, str] | list[str], by: list[str] = (),
-                  weight: str | None = None, month: str = "Mes") -> DataFrame:
+                  weights: Mapping[str, str] | None = None, month: str = "Mes") -> DataFrame:
     """Month mean of weekly rates, a week counting for the month of its first day.
 
-    Unweighted unless ``weight`` names a denominator column; nulls are skipped.
+    Unweighted unless ``weights`` names each rate's denominator column; nulls are skipped.
     """
     rates = rates if isinstance(rates, Mapping) else {r: r for r in rates}
 
     def mean(c: str) -> Column:
+        weight = (weights or {}).get(c)
         if weight is None:
             return F.avg(c)
         known = F.when(F.col(c).isNotNull(), F.col(weight))

@@ -65,19 +65,17 @@ def nps_monthly(survey: DataFrame, order_lines: DataFrame, stores: Mapping[str,
     return total_label(per_bucket, ["Mes", "Tienda"], "Tienda", counts, TOTAL, unmapped)
 
 
-def nps_pivot(nps: DataFrame, months: Iterable[str] | None = None, wide: bool = True) -> DataFrame:
+def nps_pivot(nps: DataFrame, wide: bool = True) -> DataFrame:
     """Store by month grid of scores; long form with status when not ``wide``.
 
-    ``months`` fixes the columns (ISO first-of-month texts); without it Spark looks
-    them up first.
+    The wide form has a column for every month of the data, which Spark looks up first.
     """
     scores = not_null_filter(nps, "Mes").select(
         blank_to_total(F.col("Tienda")).alias("Tienda"), month_start(F.col("Mes")).alias("Mes"), "NPS_Score")
     if not wide:
         return scores.withColumn("status", value_status(F.col("NPS_Score"), 50, 20))
     columns = scores.withColumn("Mes", F.date_format("Mes", "yyyy-MM-dd"))
-    return (columns.groupBy("Tienda").pivot("Mes", list(months) if months is not None else None)
-            .agg(F.max("NPS_Score")))
+    return (columns.groupBy("Tienda").pivot("Mes").agg(F.max("NPS_Score")))
 
 
 def cx_monthly(cx: DataFrame) -> DataFrame:
@@ -98,11 +96,11 @@ def cx_monthly_store(cx_store: DataFrame) -> DataFrame:
         "Total_Claims", "On_Time")
 
 
-def claims_reasons(claims: DataFrame, months: Iterable[str] | None = None, wide: bool = False,
-                   value: str = "gmv_reclamado") -> DataFrame:
+def claims_reasons(claims: DataFrame, wide: bool = False, value: str = "gmv_reclamado") -> DataFrame:
     """Claims and claimed value by month, store, reason and verdict.
 
-    The wide form has a claims column per month and leaves out rows without any claim.
+    The wide form has a claims column for every month of the data and leaves out rows
+    without any claim.
     """
     rows = not_null_filter(claims, "mes").select(
         month_start(F.col("mes")).alias("Mes"), blank_to_total(F.col("tienda"), blanks=("",)).alias("Tienda"),
@@ -114,7 +112,7 @@ def claims_reasons(claims: DataFrame, months: Iterable[str] | None = None, wide:
     if not wide:
         return sums
     grid = (sums.withColumn("Mes", F.date_format("Mes", "yyyy-MM-dd"))
-            .groupBy(*keys).pivot("Mes", list(months) if months is not None else None).agg(F.max("claims")))
+            .groupBy(*keys).pivot("Mes").agg(F.max("claims")))
     cells = [F.coalesce(F.col(c), F.lit(0)) for c in grid.columns if c not in keys]
     return grid.filter(F.exists(F.array(*cells), lambda n: n != 0))
 
@@ -124,7 +122,7 @@ def _bpp_rows(bpp: DataFrame, paid_col: str, recovered_col: str) -> DataFrame:
     return not_null_filter(bpp, "mes").select(
         month_from_yyyymm(F.col("mes")).alias("Mes"), blank_to_total(F.col("CLAIM_TYPE"), OTHER, ("",)).alias("CLAIM_TYPE"),
         amount(paid_col).alias("paid"), amount(recovered_col).alias("recovered"),
-        F.coalesce(F.col("casos").cast("double").cast("bigint"), F.lit(0)).alias("cases"))
+        F.coalesce(F.col("casos").try_cast("double").try_cast("bigint"), F.lit(0)).alias("cases"))
 
 
 def bpp_by_type(bpp: DataFrame, paid_col: str, recovered_col: str, total: str = "TOTAL") -> DataFrame:

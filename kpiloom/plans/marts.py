@@ -3,11 +3,13 @@
 All inputs here are period tables (one row per day or week, and store), so their size
 follows the calendar. Spark broadcasts the lookups when their measured size allows.
 Window and rolling marts read the growth table more than once: give them a stored
-table (``session.materialise``), not a plan that goes back to the order lines.
+table, not a plan that goes back to the order lines.
 """
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from kpiloom.constants import DAILY_WINDOW_DAYS
@@ -109,12 +111,13 @@ def daily_ops(ops_daily: DataFrame, dates: DataFrame) -> DataFrame:
     return between_filter(_ops_select(ops_daily, ["Fecha"], OPS_NAMES), "Fecha", first, last)
 
 
-def monthly_ops(ops_weekly: DataFrame, weight: str | None = None) -> DataFrame:
-    return mean_of_rates(ops_weekly, "Semana", OPS_NAMES, weight=weight)
+def monthly_ops(ops_weekly: DataFrame, weights: Mapping[str, str] | None = None) -> DataFrame:
+    """Month means of the ten rates; ``weights`` names each rate's denominator, as ``ops.RATE_WEIGHTS`` does."""
+    return mean_of_rates(ops_weekly, "Semana", OPS_NAMES, weights=weights)
 
 
-def monthly_ops_store(ops_weekly_store: DataFrame, weight: str | None = None) -> DataFrame:
-    return mean_of_rates(ops_weekly_store, "Semana", OPS_STORE_NAMES, ["Tienda"], weight)
+def monthly_ops_store(ops_weekly_store: DataFrame, weights: Mapping[str, str] | None = None) -> DataFrame:
+    return mean_of_rates(ops_weekly_store, "Semana", OPS_STORE_NAMES, ["Tienda"], weights)
 
 
 def weekly_store_mart(growth_weekly_store: DataFrame) -> DataFrame:

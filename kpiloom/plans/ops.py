@@ -26,6 +26,8 @@ RATES = {
     "Cancel_Stockout": ("cr_stockout_cancels", "cr_purchases"),
     "Cancel_Seller": ("cr_seller_cancels", "cr_purchases"),
 }
+#: Rate -> the column of ``ops_weekly(totals=True)`` that weighs it.
+RATE_WEIGHTS = {name: f"{den}_weight" for name, (_, den) in RATES.items()}
 STORE_RATES = ("FR_Items", "FR_Items_Reemplazo", "FR_Compras", "Compra_Perfecta", "On_Time", "Cancel_Rate")
 
 #: Columns of the ready-made daily scorecard, defaulted to 0.
@@ -52,10 +54,13 @@ def _of_stores(scorecard: DataFrame, stores: Iterable[str], site: str | None) ->
 
 
 def ops_weekly(scorecard: DataFrame, stores: Iterable[str], start: DateLike | None = None,
-               site: str | None = None) -> DataFrame:
+               site: str | None = None, totals: bool = False) -> DataFrame:
+    """The ten rates per week; with ``totals`` also the sum of each rate's denominator."""
+    weights = sorted({den for _, den in RATES.values()}) if totals else []
     rows = start_date_filter(_of_stores(scorecard, stores, site), "day", start)
     return rows.groupBy(to_period(F.col("day"), "week").alias("Semana")).agg(
-        *rate_columns(), F.sum("cr_purchases").alias("CR_Purchases_total"))
+        *rate_columns(), F.sum("cr_purchases").alias("CR_Purchases_total"),
+        *[F.sum(c).alias(f"{c}_weight") for c in weights])
 
 
 def ops_daily(scorecard: DataFrame, stores: Iterable[str], as_of: DateLike, days: int = OPS_LOOKBACK_DAYS,

@@ -116,3 +116,10 @@ def test_decimal_comma_round_trip(spark, numbers):
     text = [f"{n / 10:,.1f}".translate(str.maketrans(",.", ".,")) for n in numbers]
     df = spark.createDataFrame([(t,) for t in text], "x string").select(fn.parse_decimal_comma(F.col("x")))
     assert [r[0] for r in df.collect()] == [n / 10 for n in numbers]
+
+
+def test_junk_numbers_are_null_not_errors(evaluate):
+    from kpiloom.functions import month_from_yyyymm
+    from kpiloom.functions.retail import nps_bucket
+    assert evaluate(nps_bucket, ["NaN", "1e12", "-1e300", "9.4", "n/a"]) == [None, None, None, 1, None]
+    assert evaluate(month_from_yyyymm, ["NaN", "1e300", "202601.0"])[:2] == [None, None]

@@ -69,7 +69,7 @@ def test_sum_times_average_of_nonzero(spark, rows):
 def test_weighted_mean_of_rates(spark, rows):
     df = frame(spark, [(d(2026, 1, 4), 0.5, 10), (d(2026, 1, 11), None, 90), (d(2026, 1, 18), 1.0, 30)], "w date, r double, n int")
     assert rows(ops.mean_of_rates(df, "w", ["r"])) == [(d(2026, 1, 1), 0.75)]
-    assert rows(ops.mean_of_rates(df, "w", ["r"], weight="n")) == [(d(2026, 1, 1), 0.875)]
+    assert rows(ops.mean_of_rates(df, "w", ["r"], weights={"r": "n"})) == [(d(2026, 1, 1), 0.875)]
 
 
 def test_delta_skips_nulls_and_zero(spark, rows):
