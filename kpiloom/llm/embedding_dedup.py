@@ -17,8 +17,8 @@ from pyspark.sql import types as T
 
 from .common import components, stored
 
-#: Vectors of a tile, and rows of a tile that one product takes.
-TILE, SLAB = 8192, 1024
+#: Vectors of a tile at most on average, rows of a tile that one product takes, and tiles at least.
+TILE, SLAB, LEAST_TILES = 8192, 1024, 8
 #: Integer products up to this many components are exact in single precision.
 EXACT_DIM = 1024
 
@@ -122,7 +122,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9) -> DataFrame:
         packed_vectors, "vec_id long, vector binary")
     distinct = stored(rows.where("vector is not null").groupBy("vector").agg(
         F.min("vec_id").alias("rep"), F.count("*").alias("copies")), "vectors")
-    tiles = max(1, -(-distinct.count() // TILE))
+    tiles = max(LEAST_TILES, -(-distinct.count() // TILE))
     tile = F.pmod(F.xxhash64("vector"), F.lit(tiles)).cast("int")
     dealt = distinct.where("rep is not null").select(
         "rep", "copies", "vector", F.octet_length("vector").alias("size"), tile.alias("tile"),
