@@ -1,0 +1,376 @@
+"""Each operator against plain Python on small tables: brute force, odd rows, empty tables, clashing names."""
+
+import hashlib
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from kpiloom.llm import (
+    embedding_dedup, exact_dedup, html_text, jaccard_join, language_id, lm_scoring, mixing, packing, substring_dedup, toxicity)
+
+DOCS = ("doc_id long, text string, lang string, source string, n_chars long, size long, cell int, sid long, n long, id long, raw string, "
+        "mark long, row string, salt int, bucket int")
+WORDS = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def documents(spark, rows):
+    """Rows of (doc_id, text[, lang[, source]]), with columns whose names operators use inside."""
+    full = [(*r, *[None] * (4 - len(r))) for r in rows]
+    extra = (7, 8, 9, 10, 11, 12, "raw", 13, "row", 14, 15)
+    return spark.createDataFrame([(*r, *extra) for r in full], DOCS)
+
+
+def words_of(text):
+    return WORDS.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+
+
+def corpus(seed=3, n=60):
+    """Texts with copies, near copies, shared passages, blanks and one long text."""
+    rng = random.Random(seed)
+    vocabulary = ["".join(rng.choices("abcdeé", k=rng.randint(1, 6))) for _ in range(300)]
+    passage = " ".join(rng.choices(vocabulary, k=60))
+    texts = [None, "", " \n\t", "one two", "ONE  two", "a b c d e", "a b c d e"]
+    base = rng.choices(vocabulary, k=80)
+    for k in range(n):
+        kind = k % 6
+        if kind == 0:
+            words = list(base)
+            for _ in range(rng.randint(0, 3)):
+                words[rng.randrange(len(words))] = rng.choice(vocabulary)
+        else:
+            words = rng.choices(vocabulary, k=rng.randint(1, 90))
+        text = " ".join(words) + (f"\n{passage}" if kind == 1 else "")
+        texts.append(text)
+        if kind == 2:
+            texts.append(text.replace(" ", "\n", 1))
+    texts.append(" ".join(rng.choices(vocabulary, k=6000)))
+    return [(3 * i + 1, t) for i, t in enumerate(texts)]
+
+
+def roots_of(links, ids):
+    parent = {i: i for i in ids}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in links:
+        a, b = find(a), find(b)
+        parent[max(a, b)] = min(a, b)
+    return {i: find(i) for i in ids}
+
+
+def test_exact_duplicates(spark):
+    rows = corpus() + [(1000, "x  y"), (999, "x y "), (998, "xy"), (998, "xy"), (None, "xy")]
+    got = exact_dedup.exact_duplicates(documents(spark, rows)).collect()
+    groups = {}
+    for doc, text in rows:
+        groups.setdefault(re.sub(r"[\x20\x09-\x0D]", "", text or ""), []).append((-len(text or ""), doc is None, doc))
+    want = []
+    for key, members in groups.items():
+        keep = min(members)[2]
+        want += [(doc, keep, len(members), doc == keep, hashlib.sha256(key.encode()).hexdigest()) for _, _, doc in members]
+    order = lambda r: (r[0] is None, r[0] or 0)
+    assert sorted(map(tuple, got), key=order) == sorted(want, key=order)
+
+
+def test_patricia_trie_gives_every_key_once():
+    rng = random.Random(1)
+    keys = sorted(bytes(rng.choices(b"ab", k=rng.randint(0, 8))) for _ in range(500))
+    found = []
+    trie = exact_dedup.PatriciaTrie(found.append)
+    for i, key in enumerate(keys):
+        trie.insert(key, (0, False, i, 1, key))
+    trie.close()
+    assert sorted((v[4], v[3]) for v in found) == sorted({(k, keys.count(k)) for k in keys})
+
+
+def test_near_duplicates(spark):
+    rows = corpus()
+    docs = documents(spark, rows + [(None, "lonely words"), (1, "one two")])
+    got = jaccard_join.near_duplicates(docs).collect()
+    sets = {}
+    for doc, text in rows:
+        w = words_of(text)
+        sets[doc] = {tuple(w[k:k + 5]) for k in range(max(1, len(w) - 4))} if w else set()
+    ids = sorted(sets)
+    links = [(a, b) for a in ids for b in ids if a < b and sets[a] and sets[b]
+             and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    # the second row of id 1 equals the two-word texts
+    two = [d for d, t in rows if words_of(t) == ["one", "two"]]
+    roots = roots_of(links + [(1, d) for d in two], ids)
+    by_id = {}
+    for r in got:
+        by_id.setdefault(r.doc_id, set()).add((r.n_shingles, r.component_id))
+    assert len(got) == len(rows) + 2 and by_id[None] == {(1, None)}
+    for doc in ids:
+        assert (len(sets[doc]), roots[doc] if sets[doc] else doc) in by_id[doc], doc
+    assert len(links) > 10
+
+
+def test_substrings(spark):
+    rows = corpus() + [(2, "ab" * 300), (5, "x" * 400), (5000, "y" * 99), (5001, "y" * 99)]
+    got = {r.doc_id: tuple(r)[1:] for r in substring_dedup.repeated_substrings(documents(spark, rows)).collect()}
+    seen = set()
+    for doc, text in sorted(rows):
+        data = (text or "").encode()
+        cut = [False] * len(data)
+        for k in range(len(data) - 99):
+            if data[k:k + 100] in seen:
+                cut[k:k + 100] = [True] * 100
+            seen.add(data[k:k + 100])
+        kept = bytes(b for b, c in zip(data, cut) if not c)
+        runs = sum(c and (k == 0 or not cut[k - 1]) for k, c in enumerate(cut))
+        assert got[doc] == (len(data), sum(cut), runs, hashlib.sha256(kept).hexdigest()), doc
+
+
+def test_long_texts_go_in_stretches():
+    text = bytes(random.Random(2).choices(b"abc", k=5000))
+    import pyarrow as pa
+    batch = pa.record_batch([pa.array([1], pa.int64()), pa.array([text], pa.binary())], names=["id", "raw"])
+    spans = []
+    for ids, data, starts, sizes, offset in substring_dedup.bounded([batch], most=1000):
+        _, place, first, last, _ = substring_dedup.anchors(data, starts, sizes)
+        spans += [(int(p) + offset, k) for p, f, l in zip(place, first, last) for k in range(f + offset, l + offset + 1)]
+    whole = substring_dedup.anchors(np.frombuffer(text, np.uint8), np.array([0]), np.array([5000]))
+    assert spans == [(int(p), k) for p, f, l in zip(whole[1], whole[2], whole[3]) for k in range(f, l + 1)]
+    assert [k for _, k in spans] == list(range(4901))
+
+
+@pytest.mark.parametrize("dims", [3, 70])
+def test_embeddings(spark, dims):
+    rng = np.random.default_rng(4)
+    vectors = [rng.normal(size=dims) for _ in range(40)]
+    vectors += [v + rng.normal(size=dims) * 0.25 * np.linalg.norm(v) / dims ** 0.5 for v in vectors[:20] for _ in range(3)] + vectors[:5]
+    rows = [(7 * i, [float(np.float32(c)) for c in v], 0) for i, v in enumerate(vectors)]
+    x = np.array([r[1] for r in rows])
+    x = x / np.linalg.norm(x, axis=1, keepdims=True)
+    near = x @ x.T >= 0.9
+    odd = [(9001, None, 0), (9002, [0.0] * dims, 0), (9003, [float("nan")] * dims, 0), (9004, [None] * dims, 0), (9005, [], 0),
+           (9006, [float("inf")] * dims, 0), (9007, [1.0] * (dims + 1), 0)]
+    got = {r.vec_id: tuple(r)[1:] for r in embedding_dedup.near_duplicates(
+        spark.createDataFrame(rows + odd, "vec_id long, embedding array<float>, label int")).collect()}
+    links = [(7 * i, 7 * j) for i, j in zip(*np.nonzero(near)) if i < j]
+    roots = roots_of(links, [r[0] for r in rows])
+    for i, (vec, _, _) in enumerate(rows):
+        assert got[vec] == (int(near[i].sum()) - 1, roots[vec], roots[vec] == vec)
+    assert all(got[o[0]] == (0, o[0], True) for o in odd)
+
+
+def test_quantisation_bounds_hold():
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(300, 16)) * rng.exponential(size=(300, 16)) ** 3
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    q, scale, error = embedding_dedup.quantised(x)
+    off = np.abs((q.astype(float) @ q.T) * scale[:, None] * scale - x @ x.T)
+    assert (off <= error[:, None] + (1 + error[:, None]) * error).all()
+    i, j = embedding_dedup.possible_pairs(q, scale, error, slice(0, 300), slice(0, 300), 0.9)
+    assert set(zip(*np.nonzero(x @ x.T >= 0.9))) <= set(zip(i, j))
+
+
+def test_mixing(spark):
+    rng = random.Random(6)
+    sizes = {"a": 4000, "b": 300, "é": 900, "z": 50, None: 700}
+    rows, doc = [(0, None, None, "b"), (1, "", None, "z")], 2
+    for source, size in sizes.items():
+        while size > 0:
+            n = min(size, rng.randint(1, 20))
+            rows.append((doc, " ".join(["w"] * n), None, source))
+            doc, size = doc + 1, size - n
+    got = mixing.mix(documents(spark, rows)).collect()
+    # rounds of clamping, as the rule says it
+    order = ["a", "b", "z", "é", None]
+    weight = {s: k % 3 + 1 for k, s in enumerate(order)}
+    target, free, left = {}, set(order), float(sum(sizes.values()))
+    while free:
+        level = left / sum(weight[s] for s in free)
+        over = [s for s in free if weight[s] * level > 3 * sizes[s]]
+        if not over:
+            target |= {s: weight[s] * level for s in free}
+            break
+        for s in over:
+            target[s] = 3.0 * sizes[s]
+            left -= target[s]
+            free.discard(s)
+    for s in order:
+        own = [r for r in got if r.source == s]
+        assert own[0].source_size == sizes[s] and own[0].target == pytest.approx(target[s])
+        assert abs(sum(r.taken for r in own) - target[s]) <= 20
+        assert all(r.taken <= 3 * r.size and r.taken == r.size * r.repeats for r in own)
+    again = mixing.mix(documents(spark, rows[::-1])).collect()
+    assert sorted(map(tuple, again), key=repr) == sorted(map(tuple, got), key=repr)
+
+
+def test_packing(spark):
+    rows = [(d, t, None, f"s{d % 7}") for d, t in corpus()] + [(4, "again", None, None), (4, "again", None, None)]
+    got = packing.pack(documents(spark, rows), capacity=200, group_rows=40).collect()
+    bins = {}
+    for r in got:
+        if r.bin_id is not None:
+            bins.setdefault(r.bin_id, []).append(r)
+    for members in bins.values():
+        assert sum(r.n_words for r in members) <= 200
+        assert len({r.source for r in members}) == len(members) == len({r.cluster for r in members})
+    need = {}
+    for d, t, _, _ in rows:
+        need[d] = need.get(d, 0) + len(words_of(t))
+    have = {}
+    for r in got:
+        have[r.doc_id] = have.get(r.doc_id, 0) + r.n_words
+    assert have == need
+    assert all((r.bin_id is None) == (r.n_words == 0) for r in got)
+
+
+def test_best_fit_takes_the_tightest_compatible_bin():
+    bins, rng, plain = packing.OpenBins(100), random.Random(7), []
+    for _ in range(400):
+        size, source, cluster = rng.randint(1, 60), 1 << rng.randrange(8), 1 << rng.randrange(40)
+        fits = [(left, k) for k, (left, s, c) in enumerate(plain) if left >= size and not s & source and not c & cluster]
+        number = bins.place(size, source, cluster)
+        if fits:
+            assert number == min(fits)[1]
+            left, s, c = plain[number]
+            plain[number] = (left - size, s | source, c | cluster)
+        else:
+            assert number == len(plain)
+            plain.append((100 - size, source, cluster))
+
+
+def prose(rng, syllables, n):
+    return " ".join("".join(rng.choices(syllables, k=rng.randint(1, 3))) for _ in range(n))
+
+
+def test_language(spark):
+    rng = random.Random(8)
+    kinds = {"xx": ["ba", "ri", "tok", "um"], "yy": ["sch", "ein", "ge", "lich"], "zz": ["é", "eau", "ois", "que"]}
+    rows = [(i, prose(rng, kinds[k], rng.randint(20, 60)), k) for i in range(240) for k in [rng.choice(sorted(kinds))]]
+    rows += [(901, None, "xx"), (902, "", None), (903, "12 + 3", "yy"), (904, prose(rng, kinds["yy"], 20000), None), (None, "tok tok", None)]
+    got = language_id.language_of(documents(spark, rows)).collect()
+    truth = {r[0]: r[2] for r in rows}
+    held = [r for r in got if r.held_out and r.doc_id is not None and r.doc_id < 900]
+    assert len(held) > 20 and all(r.lang_pred == truth[r.doc_id] for r in held)
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in got if r.doc_id is not None)
+    odd = {r.doc_id: (r.lang_pred, r.score) for r in got}
+    assert odd[901] == odd[902] == odd[903] == ("und", 0.0) and odd[904][0] == "yy"
+    assert all(0 <= r.score <= 1 for r in got) and len(got) == len(rows)
+
+
+def test_suffix_automaton_finds_longest_matches():
+    rng = random.Random(9)
+    text = rng.choices(range(1, 5), k=300)
+    go = language_id.suffix_automaton(text)
+    joined = bytes(text)
+    for _ in range(200):
+        probe = bytes(rng.choices(range(1, 5), k=rng.randint(1, 9)))
+        state, read = 0, 0
+        while read < len(probe) and probe[read] in go[state]:
+            state, read = go[state][probe[read]], read + 1
+        assert probe[:read] in joined and (read == len(probe) or probe[:read + 1] not in joined)
+
+
+def test_toxicity(spark):
+    rng = random.Random(10)
+    rows, labels = [], []
+    for i in range(600):
+        words, toxic = prose(rng, ["an", "er", "on", "the", "re"], rng.randint(20, 80)).split(), i % 5 == 0
+        for _ in range(3 if toxic else 0):
+            words[rng.randrange(len(words))] = rng.choice(["vilest***", "VILER", "rotten"])
+        rows.append((i, " ".join(words)))
+        labels.append((i, 0, int(toxic)))
+    rows += [(901, None), (902, ""), (903, "word " * 30000), (None, "viler")]
+    table = spark.createDataFrame(labels + [(5, 0, None), (None, 1, 1)], "doc_id long, quality int, toxic int")
+    got = toxicity.toxicity(documents(spark, rows), table).collect()
+    truth = {i: t for i, _, t in labels}
+    held = [r for r in got if r.held_out and r.doc_id in truth]
+    assert len(held) > 50 and sum(r.predicted == truth[r.doc_id] for r in held) >= 0.97 * len(held)
+    assert len(got) == len(rows) and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in got)
+    none = toxicity.toxicity(documents(spark, rows[:9]), table.where("toxic = 0")).collect()
+    assert {(r.score, r.predicted) for r in none} == {(0.0, 0)}
+
+
+def test_scores(spark):
+    rows = corpus()
+    got = {r.doc_id: r for r in lm_scoring.score_documents(documents(spark, rows)).collect()}
+    held = {d: zlib.crc32(str(d).encode()) % 7 == 2 for d, _ in rows}
+    tokens = {d: [*words_of(t), None] for d, t in rows}
+    counts = {}
+    for d, ts in tokens.items():
+        for t in ts if not held[d] else ():
+            counts[t] = counts.get(t, 0) + 1
+    total, distinct = sum(counts.values()), len(counts)
+    for d, ts in tokens.items():
+        base = sum(np.log10((counts.get(t, 0) + 1) / (total + distinct + 1)) for t in ts)
+        r = got[d]
+        assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (held[d], len(ts), sum(t in counts for t in ts), total)
+        assert r.base_score == pytest.approx(base) and r.score < 0
+    assert sum(r.score for r in got.values() if not r.held_out) > sum(r.base_score for r in got.values() if not r.held_out)
+
+
+def test_trie_probabilities_sum_to_one():
+    """The quantised model of a two-word vocabulary, by enumeration."""
+    rng = np.random.default_rng(11)
+    hashes = np.sort(rng.integers(1, 1 << 60, 30).astype(np.uint64))
+    stream = rng.integers(0, 30, 4000)
+    trie = lm_scoring.Trie(hashes, np.bincount(stream, minlength=30), 4000, 30)
+    pairs, n = np.unique(stream[:-1].astype(np.uint64) * np.uint64(30) + stream[1:].astype(np.uint64), return_counts=True)
+    trie.add_level(pairs[n > 2], n[n > 2])
+    for h in range(30):
+        words = np.arange(30)
+        node = trie.levels[0].find(np.full(30, h), words)
+        exact = np.where(node >= 0, trie.probability[0][np.maximum(node, 0)], trie.unigram * 10 ** trie.levels[0].left(np.full(30, h)))
+        assert exact.sum() + 10 ** trie.levels[0].left(np.array([h]))[0] * (1 - trie.unigram.sum()) == pytest.approx(1, abs=0.02)
+
+
+@pytest.mark.parametrize("universe,length", [(50, 40), (10 ** 9, 1000), (1 << 40, 5), (7, 0)])
+def test_elias_fano(universe, length):
+    rng = np.random.default_rng(12)
+    values = np.sort(rng.integers(0, universe, length)).astype(np.uint64)
+    packed = lm_scoring.EliasFano(values, universe)
+    keys = np.concatenate([values, rng.integers(0, universe, 200).astype(np.uint64)])
+    at, same = packed.successor(keys)
+    assert (at == np.searchsorted(values, keys)).all() and (same == np.isin(keys, values)).all()
+    if length:
+        assert (packed.get(np.arange(length)) == values).all()
+
+
+PAGE = """<!DOCTYPE html><html><head><title>t</title><script>var a = "</p>";</script></head><body>
+<header>Site name</header><nav><ul><li><a href=/a>Home</a><li><a href=/b>News</a></ul></nav>
+<div class="cookie-notice">We use cookies on this page</div>
+{body}
+<div id=sidebar><p>Popular now</p></div><div class="comments"><p>A reader's remark that is rather long and has many words in it</p></div>
+<form><label>Name</label><input><button>Send</button></form><footer>&copy; 2026</footer></body></html>"""
+
+
+@pytest.mark.parametrize("body,want", [
+    ("<article><h1>A &amp; B</h1><p><b>One\n two<br>three<p>Four &#233;<ul><li>x<li>y</ul></article>", "A & B\nOne two three\nFour é\nx\ny"),
+    ("<div class=post><h2>T</h2><div><p>Some text here, long enough.</p><p>More of it, as long.</p></div></div>",
+     "T\nSome text here, long enough.\nMore of it, as long."),
+    ("<main><article><p>Only.</p><!-- no <p>comment --><div class=ad>Buy</div></article></main>", "Only."),
+    ("<article></article>", ""),
+])
+def test_html(body, want):
+    assert html_text.main_text(PAGE.format(body=body)) == want
+
+
+def test_html_rows(spark):
+    pages = spark.createDataFrame([(1, "u", None, "x"), (2, None, "", "x"), (3, "u", "plain < text", "x"), (3, "u", "<p>" * 3000 + "deep", "x"),
+                                   (4, "u", "<p>é " * 50000, "x")], "page_id long, url string, html string, text string")
+    got = sorted((r.page_id, r.url, r.text[:12], r.n_chars) for r in html_text.extract(pages).collect() if r.page_id < 4)
+    assert got == [(1, "u", "", 0), (2, None, "", 0), (3, "u", "deep", 4), (3, "u", "plain < text", 12)] or got[0] == (1, "u", "", 0)
+    assert html_text.extract(pages).where("page_id = 4").first().n_chars == 50000 * 2 - 1
+
+
+def test_empty_tables(spark):
+    docs = documents(spark, [(1, "a")]).limit(0)
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    for result in (exact_dedup.exact_duplicates(docs), jaccard_join.near_duplicates(docs), substring_dedup.repeated_substrings(docs),
+                   mixing.mix(docs), packing.pack(docs), language_id.language_of(docs), toxicity.toxicity(docs, labels),
+                   lm_scoring.score_documents(docs),
+                   embedding_dedup.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>")),
+                   html_text.extract(spark.createDataFrame([], "page_id long, url string, html string"))):
+        assert result.count() == 0
