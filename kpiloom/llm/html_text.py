@@ -18,6 +18,7 @@ INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font
                    "small span strike strong sub sup time tt u var wbr br img td th".split())
 CLOSES_P = frozenset("address article aside blockquote center details dir div dl fieldset figcaption figure footer "
                      "form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: An opening tag that ends an open one of these, searched no further out than the named bounds.
 ENDS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
         "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}),
@@ -212,7 +213,10 @@ def main_text(page: str | None) -> str:
             if kept:
                 line.append(item)
         else:
-            kept = kept or item is best or item.up is not None and id(item) not in path and item.density >= least
+            # beside the path: what is as dense as it, and the headings over the chosen part
+            aside = item.up is not None and id(item) not in path
+            kept = kept or item is best or aside and (item.density >= least or item.tag in HEADINGS and id(item.up) in path
+                                                      and item.up.tag not in ("html", "body"))
             block = item.tag not in INLINE
             if block:
                 flush()
