@@ -126,12 +126,12 @@ LEFT JOIN {sums('c_day', 'sum(Buyers) / nullif(sum(Visitors), 0) AS CVR')} USING
 
 @check("rolling_7d", _rolling_sql(7, 14, "P"))
 def _(spark, sf):
-    return plans.rolling_7d(i.g_day(spark, sf), i.v_day(spark, sf), i.c_day(spark, sf), i.AS_OF)
+    return plans.rolling_7d(*i.window(spark, sf, 14 * 7), i.AS_OF)
 
 
 @check("rolling_28d", _rolling_sql(28, 7, "P28"))
 def _(spark, sf):
-    return plans.rolling_28d(i.g_day(spark, sf), i.v_day(spark, sf), i.c_day(spark, sf), i.AS_OF)
+    return i.rolled_28d(spark, sf)
 
 
 PL_LINES = ("TGMV, NMV, Net_Variable_Fee, Net_Monetization, Product_Net_Monetization, Variable_Contribution, "
@@ -361,7 +361,7 @@ def _(spark, sf):
     "SELECT", _rolling_sql(28, 7, "P28").replace("SELECT s.bucket", "rolled AS (SELECT s.bucket", 1).replace(
         "AS anchor FROM g_day)\n", "AS anchor FROM g_day),\n", 1) + ")\nSELECT", 1))
 def _(spark, sf):
-    rolled = plans.rolling_28d(i.g_day(spark, sf), i.v_day(spark, sf), i.c_day(spark, sf), i.AS_OF)
+    rolled = i.rolled_28d(spark, sf)
     return plans.metric_table(rolled, tables.ROLLING_METRICS, "end")
 
 

@@ -103,6 +103,13 @@ def last_n_days(daily: DataFrame, date_col: str, as_of: DateLike, n: int,
     return daily.filter(F.col(date_col).between(F.date_sub(end, n - 1), end))
 
 
+def within_days(df: DataFrame, date_col: str, anchor: DataFrame, days: int) -> DataFrame:
+    """Rows of the ``days`` days up to the anchor. The bounds stand on the column itself, so
+    that they reach the scan of a fact; nothing is kept without an anchor."""
+    end = anchor.scalar()
+    return df.filter((F.col(date_col) >= F.date_sub(end, days - 1)) & (F.col(date_col) < F.date_add(end, 1)))
+
+
 def rolling_sums(daily: DataFrame, date_col: str, anchor: DataFrame, width: int, n: int,
                  measures: Iterable[str]) -> DataFrame:
     """Sums per ``width``-day bucket counted back from the anchor; one pass, one

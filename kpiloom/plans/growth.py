@@ -23,6 +23,7 @@ from kpiloom.operators.filters import (
     DateLike, equality_filter, flag_filter, has_tag, lookback_filter, start_date_filter,
     status_filter, store_filter, tag_filter, unnest_items)
 from kpiloom.operators.joins import join_picks
+from kpiloom.operators.periods import rolling_anchor
 
 Stores = Mapping[str, str]
 
@@ -48,6 +49,15 @@ def scoped_lines(order_lines: DataFrame, start: DateLike | None = None, site: st
     return status_filter(lines, "status", excluded) if excluded else lines
 
 
+def sales_anchor(order_lines: DataFrame, as_of: DateLike, start: DateLike | None = None, **scope) -> DataFrame:
+    """One row ``anchor``: the last day with sales before ``as_of``, from a narrow pass over the lines.
+
+    Give it and ``within_days`` the facts of a rolling or daily mart, and only its window is read.
+    """
+    days = scoped_lines(order_lines, start, **scope).select("closed_at")
+    return rolling_anchor(days.agg(day(F.max("closed_at")).alias("last")), "last", as_of)
+
+
 def pick_quantities(picks: DataFrame, keys: Iterable[str]) -> DataFrame:
     """Requested (TSIE) and picked pieces per pick row."""
     pieces = lambda q: qty_normalise(F.col(q), F.col("measure"), F.col("net_weight"))

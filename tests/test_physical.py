@@ -37,3 +37,11 @@ def test_growth_windows_see_compacted_orders_only(spark):
 def test_fact_joins_are_never_broadcast(spark):
     text = plan_of(QUERIES["growth_weekly"](spark, SF))
     assert "BroadcastHashJoin" not in text and "SortMergeJoin" in text
+
+
+def test_window_marts_bound_the_scans(spark):
+    """The window's days stand on the date columns of lines, visits and traffic."""
+    for name in ("daily_kpis", "rolling_7d", "rolling_28d"):
+        text = plan_of(QUERIES[name](spark, SF))
+        bounds = [line for line in text.splitlines() if "o_orderdate" in line and "Filter" in line and "subquery" in line.lower()]
+        assert len(bounds) >= 4, name
