@@ -370,3 +370,30 @@ WHERE Mes = (SELECT max(Mes) FROM k_month)""")
 def _(spark, sf):
     table = plans.metric_table(i.k_month(spark, sf), tables.GROWTH_METRICS, "Mes")
     return plans.metric_table_latest(table, "Mes")
+
+
+@check("metric_table_daily", metric_table_sql("k_day", "Fecha", tables.DAILY_METRICS))
+def _(spark, sf):
+    return plans.metric_table(i.k_day(spark, sf), tables.DAILY_METRICS, "Fecha")
+
+
+DAY_STORE = f"(SELECT Fecha, Tienda, NMV, Compras, Ordenes, NSI, {ECONOMICS} FROM g_day_store)"
+
+
+def _daily_store(spark, sf):
+    return plans.metric_table(plans.unit_economics(i.g_day_store(spark, sf)), tables.DAILY_STORE_METRICS, "Fecha", ["Tienda"])
+
+
+@check("metric_table_daily_store", metric_table_sql(DAY_STORE, "Fecha", tables.DAILY_STORE_METRICS, "Tienda,"))
+def _(spark, sf):
+    return _daily_store(spark, sf)
+
+
+# a store without sales on the last day of the view has no value there
+@check("metric_table_latest_store", f"""
+WITH shown AS ({metric_table_sql(DAY_STORE, "Fecha", tables.DAILY_STORE_METRICS, "Tienda,")}), final AS (SELECT max(Fecha) AS Fecha FROM shown)
+SELECT k.Tienda, k.metric, f.Fecha, s.value, s.prev_value, s.delta, coalesce(s.direction, 'neutral') AS direction
+FROM (SELECT DISTINCT Tienda, metric FROM shown) k CROSS JOIN final f
+LEFT JOIN shown s ON s.Tienda = k.Tienda AND s.metric = k.metric AND s.Fecha = f.Fecha""")
+def _(spark, sf):
+    return plans.metric_table_latest(_daily_store(spark, sf), "Fecha", ["Tienda"])

@@ -11,6 +11,8 @@ from kpiloom.operators.periods import delta_direction, prev_non_null_delta, tren
 # Fixed values -- metrics of each table; False where a lower value is better.
 GROWTH_METRICS = {"NMV": True, "Compras": True, "Ordenes": True, "NSI": True, "APV_LC": True, "NASP_LC": True,
                   "FR_Items": True, "NSI_Cart": True, "Ord_Comp": True, "Visitas": True, "CVR": True, "Stores": True}
+DAILY_METRICS = {m: up for m, up in GROWTH_METRICS.items() if m != "Stores"}
+DAILY_STORE_METRICS = {m: GROWTH_METRICS[m] for m in ("NMV", "Compras", "Ordenes", "NSI", "FR_Items")}
 OPS_METRICS = {"FR_Items": True, "FR_Items_Remp": True, "FR_Compras": True, "FR_Compras_Remp": True,
                "Compra_Perfecta": True, "On_Time": True, "Cancel_Rate": False, "Cancel_Buyer": False,
                "Cancel_Stockout": False, "Cancel_Seller": False}
@@ -66,10 +68,15 @@ def metric_table(mart: DataFrame, metrics: Mapping[str, bool], period: str, by:
 
 
 def metric_table_latest(table: DataFrame, period: str, by: list[str] = ()) -> DataFrame:
-    """The last period of every metric, the only one shown with its change."""
+    """The view's last period, the only one shown with its change, for every metric and key.
+
+    A key without a row in that period has nulls there, not its own last value.
+    """
     key = [*by, "metric"]
-    row = F.max_by(F.struct("value", "prev_value", "delta", "direction"), period)
-    return table.groupBy(*key).agg(F.max(period).alias(period), row.alias("r")).select(*key, period, "r.*")
+    last = table.agg(F.max(period)).scalar()
+    row = F.max(F.when(F.col(period) == last, F.struct("value", "prev_value", "delta", "direction")))
+    return table.groupBy(*key).agg(row.alias("r")).select(
+        *key, last.alias(period), "r.value", "r.prev_value", "r.delta", F.coalesce("r.direction", F.lit("neutral")).alias("direction"))
 
 
 def status_flags(df: DataFrame, keys: list[str], thresholds: Mapping[str, tuple[float, bool]] = THRESHOLDS) -> DataFrame:
