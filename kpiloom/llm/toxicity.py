@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fold, share
+from .common import fold, share, stored
 
 #: Bytes of labelled text per class that the models, and that the logistic fit, learn from, about.
 SAMPLE_BYTES = 6 << 20
@@ -157,10 +157,10 @@ def toxicity(docs: DataFrame, labels: DataFrame, folds: int = 5, sample_bytes: i
     spark = docs.sparkSession
     raw = F.col("text").cast("binary").alias("raw")
     label = labels.where("toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    known = (docs.where(fold("doc_id", folds) != 0).select("doc_id", raw).join(label, "doc_id")
-             .select("doc_id", "toxic", "raw", (share(F.col("doc_id"), 21) < 0.25).alias("checks")))
-    sizes = {(r[0], r[1]): r[2] for r in known.groupBy("toxic", "checks").agg(
-        F.sum(F.coalesce(F.octet_length("raw"), F.lit(0)))).collect()}
+    known = (docs.where(fold("doc_id", folds) != 0).select("doc_id", F.octet_length("text").alias("size"))
+             .where("size > 0").join(label, "doc_id")
+             .select("doc_id", "toxic", "size", (share(F.col("doc_id"), 21) < 0.25).alias("checks")))
+    sizes = {(r[0], r[1]): r[2] for r in known.groupBy("toxic", "checks").agg(F.sum("size")).collect()}
     have = {toxic for toxic, _ in sizes}
     held = (fold("doc_id", folds) == 0).alias("held_out")
     if have != {0, 1}:
@@ -168,22 +168,26 @@ def toxicity(docs: DataFrame, labels: DataFrame, folds: int = 5, sample_bytes: i
         return docs.select("doc_id", held, F.lit(only).alias("score"), F.lit(int(only)).alias("predicted"))
     # where a class is too small to be parted, the fit looks at the models' own rows
     parted = all((c, part) in sizes for c in (0, 1) for part in (False, True))
+    whole = {c: sizes.get((c, True), 0) + sizes.get((c, False), 0) for c in (0, 1)}
+    rate = {(c, part): min(1.0, sample_bytes / (sizes[c, part] if parted else whole[c]))
+            for c in (0, 1) for part in (False, True)}
+    limit = F.create_map(*[F.lit(x) for (c, part), r in rate.items() for x in (f"{c}{part}".lower(), r)])
+    key = F.concat(F.col("toxic").cast("string"), F.col("checks").cast("string"))
+    # the ids of the sample are few by its size in bytes, so no text but the sample's moves
+    chosen = known.where(share(F.col("doc_id"), 22) < limit[key]).select("doc_id", "toxic", "checks").distinct()
+    sample = stored(docs.select("doc_id", raw).join(F.broadcast(chosen), "doc_id"), "toxicity-sample")
 
     def drawn(checks: bool):
-        rows = known.where(F.col("checks") == checks) if parted else known
-        total = {c: sizes[c, checks] if parted else sizes.get((c, True), 0) + sizes.get((c, False), 0) for c in (0, 1)}
-        rate = {c: min(1.0, sample_bytes / max(1, total[c])) for c in (0, 1)}
-        return rows.where(share(F.col("doc_id"), 22) < F.when(F.col("toxic") == 1, rate[1]).otherwise(rate[0])), rate
+        return sample.where(F.col("checks") == checks) if parted else sample
 
-    model = spark.sparkContext.broadcast(fit_ratios(drawn(False)[0].select("toxic", "raw")))
+    model = spark.sparkContext.broadcast(fit_ratios(drawn(False).select("toxic", "raw")))
     kinds = "whole double, stretch double, word double"
-    rows, rate = drawn(True)
-    seen = rows.select(F.col("toxic").cast("long"), "raw").mapInArrow(
+    seen = drawn(True).select(F.col("toxic").cast("long"), "raw").mapInArrow(
         lambda batches: measured(batches, model), f"toxic long, {kinds}").collect()
     x = np.array([r[1:] for r in seen], np.float64).reshape(-1, 3)
     y = np.array([r[0] for r in seen], np.float64)
     order = np.lexsort((*x.T, y))
-    beta = logistic(x[order], y[order], np.where(y[order] == 1, 1 / rate[1], 1 / rate[0]) * min(rate.values()))
+    beta = logistic(x[order], y[order], np.where(y[order] == 1, 1 / rate[1, True], 1 / rate[0, True]) * min(rate[1, True], rate[0, True]))
     margin = F.col("whole") * float(beta[0]) + F.col("stretch") * float(beta[1]) + F.col("word") * float(beta[2]) + float(beta[3])
     scored = docs.select("doc_id", raw).mapInArrow(lambda batches: measured(batches, model), f"doc_id long, {kinds}")
     out = scored.select("doc_id", held, (1 / (1 + F.exp(-margin))).alias("score"))
