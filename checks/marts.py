@@ -397,3 +397,32 @@ FROM (SELECT DISTINCT Tienda, metric FROM shown) k CROSS JOIN final f
 LEFT JOIN shown s ON s.Tienda = k.Tienda AND s.metric = k.metric AND s.Fecha = f.Fecha""")
 def _(spark, sf):
     return plans.metric_table_latest(_daily_store(spark, sf), "Fecha", ["Tienda"])
+
+
+MONTH_NAMES = "['Ene','Feb','Mar','Abr','May','Jun','Jul','Ago','Sep','Oct','Nov','Dic']"
+MONTH_LABEL = MONTH_NAMES + "[CAST(month({0}) AS INTEGER)] || chr(39) || strftime({0}, '%y')"
+DAY_LABEL = "day({0}) || '/' || lower(" + MONTH_NAMES + "[CAST(month({0}) AS INTEGER)])"
+SHOWN = {  # mart: (table, period, store, label, a measure)
+    "weekly": ("k_week", "Fecha", "NULL", DAY_LABEL, "Compras"), "monthly": ("k_month", "Mes", "NULL", MONTH_LABEL, "Compras"),
+    "daily": ("k_day", "Fecha", "NULL", DAY_LABEL, "Compras"), "weekly_store": ("g_week_store", "Semana", "Tienda", DAY_LABEL, "Ordenes"),
+    "weekly_ops": ("o_week", "Semana", "NULL", DAY_LABEL, "On_Time"),
+    "weekly_ops_store": ("o_week_store", "Semana", "Tienda", DAY_LABEL, "On_Time"),
+    "weekly_buyers": ("b_week_store", "Semana", "TIENDA", DAY_LABEL, "Buyers"), "nps": ("nps", "Mes", "Tienda", MONTH_LABEL, "NPS_Score"),
+    "cx": ("cx_month", "Mes", "NULL", MONTH_LABEL, "Total_Claims"), "cx_store": ("cx_store", "Mes", "Tienda", MONTH_LABEL, "Total_Claims")}
+
+
+@check("scorecard_records", " UNION ALL ".join(
+    f"SELECT '{name}' AS mart, CAST({period} AS VARCHAR) AS period, CAST({store} AS VARCHAR) AS store, {label.format(period)} AS label, "
+    f"CAST({measure} AS DOUBLE) AS measure FROM {table}" for name, (table, period, store, label, measure) in SHOWN.items()))
+def _(spark, sf):
+    growth, visits, cvr = i.window(spark, sf, 28)
+    days = {"growth_day": growth, "visits_day": visits, "cvr_day": cvr}
+    rest = {"growth_week": i.g_week(spark, sf), "growth_week_store": i.g_week_store(spark, sf), "visits_week": i.v_week(spark, sf),
+            "cvr_week": i.c_week(spark, sf), "ops_week": i.o_week(spark, sf), "ops_week_store": i.o_week_store(spark, sf),
+            "buyers_week_store": i.b_week_store(spark, sf), "nps": i.nps(spark, sf), "cx_month": b.cx_month(spark, sf),
+            "cx_store": b.cx_store(spark, sf), "growth_day": i.g_day(spark, sf), "visits_day": i.v_day(spark, sf)}
+    shown = plans.scorecard_records(rest, i.AS_OF).unionByName(plans.scorecard_records(days, i.AS_OF))
+    value = F.coalesce(*[F.when(F.col("mart") == name, F.get_json_object("values", f"$.{spec[4]}")) for name, spec in SHOWN.items()])
+    return shown.filter(F.col("mart").isin(*SHOWN)).select(
+        "mart", F.col("keys")[0].alias("period"), F.get("keys", F.lit(1)).alias("store"),
+        F.get_json_object("values", "$.label").alias("label"), value.cast("double").alias("measure"))
