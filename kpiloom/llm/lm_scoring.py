@@ -37,57 +37,78 @@ class EliasFano:
         self.low = pack_bits(low, self.low_bits)
         high = (values >> np.uint64(self.low_bits)).astype(np.int64)
         self.buckets = (universe >> self.low_bits) + 1
-        # one bit per value, one zero per bucket
+        # one bit per value, one zero per bucket, in words of 16 bits
         bits = np.zeros(self.length + self.buckets + 1, np.uint8)
         bits[high + np.arange(self.length)] = 1
-        bits = np.pad(bits, (0, -len(bits) % 64))
-        self.high = np.packbits(bits, bitorder="little").view(np.uint64)
-        zeros = 64 - np.bitwise_count(self.high).astype(np.int64)
+        bits = np.pad(bits, (0, -len(bits) % 16 + 80))
+        self.high = np.packbits(bits, bitorder="little").view(np.uint16)
+        zeros = 16 - np.bitwise_count(self.high).astype(np.int64)
         self.zeros_before = np.concatenate([[0], np.cumsum(zeros)]).astype(np.uint32)
-
-    def before_bucket(self, bucket: np.ndarray) -> np.ndarray:
-        """Values in the buckets before each of ``bucket``: the place of its zero, less the zeros."""
-        k = bucket.astype(np.int64) - 1
-        word = np.searchsorted(self.zeros_before, np.maximum(k, 0), side="right") - 1
-        rest = np.maximum(k, 0) - self.zeros_before[word].astype(np.int64)
-        bits, at = ~self.high[word], np.zeros(len(k), np.int64)
-        for width in (32, 16, 8, 4, 2, 1):
-            here = np.bitwise_count(bits & np.uint64((1 << width) - 1)).astype(np.int64)
-            further = here <= rest
-            rest = np.where(further, rest - here, rest)
-            at += np.where(further, width, 0)
-            bits = np.where(further, bits >> np.uint64(width), bits)
-        return np.where(k < 0, 0, word * 64 + at - np.maximum(k, 0))
+        self.zero_of = None
+
+    def __getstate__(self):
+        return self.__dict__ | {"zero_of": None}
+
+    def bucket_start(self, bucket: np.ndarray) -> np.ndarray:
+        """The bit after the zero that ends the bucket before."""
+        if self.zero_of is None:
+            self.zero_of = zero_places()
+        k = bucket - 1
+        zero = np.maximum(k, 0)
+        word = np.searchsorted(self.zeros_before, zero.astype(np.uint32), side="right") - 1
+        place = self.zero_of[self.high[word], zero - self.zeros_before[word]]
+        return np.where(k < 0, 0, word * 16 + place + 1)
+
+    def range_of(self, bucket: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First value of each bucket and the one after its last."""
+        start = self.bucket_start(bucket)
+        word, shift = start >> 4, (start & 15).astype(np.uint64)
+        ahead = (self.high[word].astype(np.uint64) | self.high[word + 1].astype(np.uint64) << np.uint64(16)
+                 | self.high[word + 2].astype(np.uint64) << np.uint64(32)) >> shift
+        free = ~ahead & np.uint64((1 << 32) - 1)
+        run = np.bitwise_count((free & (~free + np.uint64(1))) - np.uint64(1)).astype(np.int64)
+        first = start - bucket
+        long = np.flatnonzero(free == 0)
+        if len(long):
+            run[long] = self.bucket_start(bucket[long] + 1) - (bucket[long] + 1) - first[long]
+        return first, first + run
 
     def successor(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Position of the first value >= each key, and whether it equals the key."""
         high = (keys >> np.uint64(self.low_bits)).astype(np.int64)
         low = keys & np.uint64((1 << self.low_bits) - 1)
         inside = high < self.buckets
-        high = np.minimum(high, self.buckets - 1)
-        at, end = self.before_bucket(high), self.before_bucket(high + 1)
-        at = np.where(inside, at, self.length)
-        end = np.where(inside, end, self.length)
-        open_ = np.flatnonzero(at < end)
+        first, end = self.range_of(np.minimum(high, self.buckets - 1))
+        first, end = np.where(inside, first, self.length), np.where(inside, end, self.length)
+        last = end.copy()
+        # a frequent context fills whole buckets: halve the ranges
+        open_ = np.flatnonzero(first < last)
         while len(open_):
-            smaller = unpack_bits(self.low, self.low_bits, at[open_]) < low[open_]
-            open_ = open_[smaller]
-            at[open_] += 1
-            open_ = open_[at[open_] < end[open_]]
-        same = at < end
-        same[same] = unpack_bits(self.low, self.low_bits, at[same]) == low[same]
-        return at, same
+            middle = (first[open_] + last[open_]) >> 1
+            smaller = unpack_bits(self.low, self.low_bits, middle) < low[open_]
+            first[open_] = np.where(smaller, middle + 1, first[open_])
+            last[open_] = np.where(smaller, last[open_], middle)
+            open_ = open_[first[open_] < last[open_]]
+        same = first < end
+        same[same] = unpack_bits(self.low, self.low_bits, first[same]) == low[same]
+        return first, same
 
     def get(self, index: np.ndarray) -> np.ndarray:
         """Values at positions, by the bucket whose range holds them."""
         first, last = np.zeros(len(index), np.int64), np.full(len(index), self.buckets, np.int64)
         while (last - first > 1).any():
             middle = (first + last) // 2
-            up = self.before_bucket(middle) <= index
+            up = self.bucket_start(middle) - middle <= index
             first, last = np.where(up, middle, first), np.where(up, last, middle)
         return (first.astype(np.uint64) << np.uint64(self.low_bits)) | unpack_bits(self.low, self.low_bits, index)
 
 
+def zero_places() -> np.ndarray:
+    """Place of the k-th zero in every word of 16 bits."""
+    bits = (np.arange(1 << 16)[:, None] >> np.arange(16)) & 1
+    return np.argsort(bits, axis=1, kind="stable").astype(np.uint8)
+
+
 def pack_bits(values: np.ndarray, width: int) -> np.ndarray:
     if not width or not len(values):
         return np.zeros(0, np.uint64)
@@ -243,10 +264,13 @@ REQUEST = ("bucket int, slice long, tokens binary, holders binary, docs binary,
 
 
 def requests(batches, buckets: int):
-    """Of each slice the distinct tokens by bucket, with the documents that hold them and how often."""
+    """Of each slice the distinct tokens by bucket, with the documents that hold them and how often.
+
+    One more row without tokens names the slice's documents; its bucket hands it on.
+    """
     hashes, number = WordHashes(), TaskContext.get().partitionId() << 32
     for batch in slices(batches, SLICE_BYTES):
-        _, trained, tokens, sizes, _, _ = slice_tokens(*batch.columns, hashes)
+        ids, trained, tokens, sizes, _, marks = slice_tokens(*batch.columns, hashes)
         owner = np.repeat(np.arange(len(sizes), dtype=np.uint16), sizes)
         order = np.argsort(tokens, kind="stable")
         tokens, owner = tokens[order], owner[order]
@@ -268,6 +292,7 @@ def requests(batches, buckets: int):
                 p, q = first[x], first[y] if y < len(first) else len(entry)
                 out.append((b, number, distinct[x:y].tobytes(), held[x:y].tobytes(), docs[p:q].tobytes(),
                             times[p:q].tobytes(), flags))
+        out.append((number % buckets, number, None, ids.tobytes(), sizes.tobytes(), marks.tobytes(), None))
         columns = list(zip(*out))
         yield pa.RecordBatch.from_arrays(
             [pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.int64()),
@@ -276,46 +301,40 @@ def requests(batches, buckets: int):
         number += 1
 
 
-REPLY = "slice long, docs binary, logs binary, known binary, words binary, counts binary, tokens long, distinct long"
+REPLY = ("slice long, docs binary, logs binary, known binary, words binary, counts binary, ids binary, sizes binary, "
+         "marks binary, tokens long, distinct long")
 
 
 def reply(table: pa.Table) -> pa.Table:
     """Counts of one bucket's tokens, and per slice the sums of their logs by document."""
-    pieces = []
+    pieces, out, none = [], [], [None] * 3
     for number, *parts in zip(*(table[c].to_pylist() for c in ("slice", "tokens", "holders", "docs", "times", "trained"))):
+        if parts[0] is None:
+            out.append((number, *none, None, None, *parts[1:4], None, None))
+            continue
         tokens, holders, docs, times = (np.frombuffer(p, k) for p, k in zip(parts, (np.uint64, np.uint32, np.uint16, np.uint32)))
         holders = holders.astype(np.int64)
         trained = np.unpackbits(np.frombuffer(parts[4], np.uint8)).astype(bool)
         count = np.add.reduceat(np.where(trained[docs], times, 0).astype(np.int64), np.cumsum(holders) - holders)
         pieces.append((number, tokens, holders, docs, times, count))
-    words, where = np.unique(np.concatenate([p[1] for p in pieces]), return_inverse=True)
-    counts = np.bincount(where, np.concatenate([p[5] for p in pieces]).astype(np.float64), len(words)).astype(np.int64)
-    total, out, at = int(counts.sum()), [], 0
-    for number, tokens, holders, docs, times, _ in pieces:
-        own = counts[where[at:at + len(tokens)]]
-        at += len(tokens)
-        logs = np.bincount(docs, np.repeat(np.log10(own + 1.0), holders) * times)
-        known = np.bincount(docs, np.repeat(own > 0, holders) * times.astype(np.float64)).astype(np.int64)
-        rows = np.flatnonzero(np.bincount(docs)).astype(np.uint16)
-        out.append((number, rows.tobytes(), logs[rows].tobytes(), known[rows].tobytes(), None, None, None, None))
-    often = counts * KEPT_WORDS >= max(1, total)
-    out.append((-1, None, None, None, words[often].tobytes(), counts[often].tobytes(), total, int((counts > 0).sum())))
-    kinds = (pa.int64(), *[pa.binary()] * 5, pa.int64(), pa.int64())
+    if pieces:
+        words, where = np.unique(np.concatenate([p[1] for p in pieces]), return_inverse=True)
+        counts = np.bincount(where, np.concatenate([p[5] for p in pieces]).astype(np.float64), len(words)).astype(np.int64)
+        total, at = int(counts.sum()), 0
+        for number, tokens, holders, docs, times, _ in pieces:
+            own = counts[where[at:at + len(tokens)]]
+            at += len(tokens)
+            logs = np.bincount(docs, np.repeat(np.log10(own + 1.0), holders) * times)
+            known = np.bincount(docs, np.repeat(own > 0, holders) * times.astype(np.float64)).astype(np.int64)
+            rows = np.flatnonzero(np.bincount(docs)).astype(np.uint16)
+            out.append((number, rows.tobytes(), logs[rows].tobytes(), known[rows].tobytes(), None, None, *none, None, None))
+        often = counts * KEPT_WORDS >= max(1, total)
+        out.append((-1, *none, words[often].tobytes(), counts[often].tobytes(), *none, total, int((counts > 0).sum())))
+    kinds = (pa.int64(), *[pa.binary()] * 8, pa.int64(), pa.int64())
     return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)],
                                 names=[f.split()[0] for f in REPLY.split(", ")])
 
 
-def document_rows(batches):
-    """The documents of each slice, in its order."""
-    hashes, number = WordHashes(), TaskContext.get().partitionId() << 32
-    for batch in slices(batches, SLICE_BYTES):
-        ids, _, _, sizes, _, marks = slice_tokens(*batch.columns, hashes)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([number], pa.int64()), *(pa.array([x.tobytes()], pa.binary()) for x in (ids, sizes, marks))],
-            names=["slice", "ids", "sizes", "marks"])
-        number += 1
-
-
 def ngram_counts(batches, trie, buckets: int):
     """Keys of the next order in training texts, where both shorter n-grams are in the trie."""
     hashes = WordHashes()
@@ -418,11 +437,7 @@ def score_documents(docs: DataFrame, folds: int = 7, held_fold: int = 2, order:
     trie.compact()
     model = spark.sparkContext.broadcast(trie)
 
-    empty = [F.lit(None).cast("binary").alias(c) for c in ("docs", "logs", "known")]
-    known = rows.mapInArrow(document_rows, "slice long, ids binary, sizes binary, marks binary")
-    parts = known.select("slice", "ids", "sizes", "marks", *empty).unionByName(
-        replies.where("slice >= 0").select("slice", *(F.lit(None).cast("binary").alias(c) for c in ("ids", "sizes", "marks")),
-                                           "docs", "logs", "known"))
+    parts = replies.where("slice >= 0").select("slice", "ids", "sizes", "marks", "docs", "logs", "known")
     base = parts.groupBy("slice").applyInArrow(
         base_rows, "id long, mark long, n_tokens long, n_known long, logs double").groupBy("id", "mark").agg(
         *(F.first(c).alias(c) for c in ("n_tokens", "n_known", "logs")))
