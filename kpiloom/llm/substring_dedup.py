@@ -26,7 +26,7 @@ LENGTH, GRAM = 100, 16
 WINDOW = LENGTH - GRAM + 1
 REACH = LENGTH + WINDOW - 1
 #: Text bytes of a slice, anchors of a hash bucket and bytes of a range on average, bytes of the splitters' sample.
-SLICE_BYTES, BUCKET_ANCHORS, RANGE_BYTES, SAMPLE_BYTES = 4 << 20, 2_000_000, 16 << 20, 4 << 20
+SLICE_BYTES, BUCKET_ANCHORS, RANGE_BYTES, SAMPLE_BYTES = 1 << 20, 350_000, 8 << 20, 4 << 20
 LOW48 = np.uint64((1 << 48) - 1)
 
 
@@ -301,7 +301,7 @@ def matched(table: pa.Table, parts: int) -> pa.Table:
     return by_part(all_docs, spans, parts, "spans")
 
 
-def alike_chunks(rank, shared, alike, most: int = 30_000):
+def alike_chunks(rank, shared, alike, most: int = 15_000):
     """Rows that share their gram with another one, in chunks that don't part such rows."""
     cuts = np.flatnonzero(shared * 8 < GRAM)
     rows_of = np.append(cuts, len(rank))
