@@ -206,7 +206,9 @@ def suffixes(batches, splitters: np.ndarray):
                 own = [entries[i] for i in np.flatnonzero(place == k)]
                 out.append((int(k), False, np.array([e[0] for e in own], np.int64).tobytes(),
                             np.array([e[1] for e in own], np.uint32).tobytes(),
-                            np.array([(e[2], len(e[3])) for e in own], np.uint8).tobytes(), b"".join(e[3] for e in own)))
+                            np.array([(e[2], len(e[3])) for e in own], np.uint8).tobytes(),
+                            # neighbouring stretches overlap; the shuffle's own codec makes less of that
+                            pa.compress(b"".join(e[3] for e in own), "zstd", asbytes=True)))
         if echo:
             docs = np.array([e[0] for e in echo], np.int64)
             spans = np.array([e[1:] for e in echo], np.uint32)
@@ -269,7 +271,7 @@ def matched(table: pa.Table, parts: int) -> pa.Table:
             docs.append(np.frombuffer(d, np.int64))
             firsts.append(np.frombuffer(f, np.uint32))
             shape.append(np.frombuffer(s, np.uint8).reshape(-1, 2))
-            texts.append(t)
+            texts.append(pa.decompress(t, int(shape[-1][:, 1].sum(dtype=np.int64)), "zstd", asbytes=True))
     if docs:
         docs, firsts, shape = np.concatenate(docs), np.concatenate(firsts).astype(np.int64), np.concatenate(shape).astype(np.int64)
         data = np.frombuffer(b"".join(texts), np.uint8)
