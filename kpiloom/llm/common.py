@@ -62,13 +62,13 @@ class WordHashes(dict):
     """64-bit hashes of words, remembered up to a limit."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 300_000:
+        if len(self) > 150_000:
             self.clear()
         value = self[word] = xxhash.xxh3_64_intdigest(word)
         return value
 
 
-def slices(batches, most_bytes: int = 6 << 20):
+def slices(batches, most_bytes: int = 4 << 20):
     """Batches cut to about ``most_bytes`` of their last column, so that a task's arrays stay small."""
     for batch in batches:
         at, held = 0, 0

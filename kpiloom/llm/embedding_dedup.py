@@ -140,3 +140,17 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9) -> DataFrame:
         "vec_id", F.coalesce("n", F.lit(0)).cast("long").alias("n_links"),
         F.coalesce("root", "vec_id").alias("component_id"))
     return out.select("*", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)).alias("kept"))
+
+
+ORACLE = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+    AND len(list_filter(embedding, lambda c: c <> 0)) > 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  AND list_cosine_similarity(a.e, b.e) >= 0.9),
+r(a, b) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+c AS (SELECT a AS vec_id, min(b) AS component_id FROM r GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM c LEFT JOIN (SELECT a, count(*) AS n FROM l GROUP BY a) k ON k.a = c.vec_id
+"""

@@ -22,7 +22,7 @@ from .common import WordHashes, components, mixed, slices, stored
 
 WORDS = 5
 #: Tokens of one bucket on average; a token in one of RARITY sets or more is common.
-BUCKET_TOKENS, RARITY = 3_000_000, 100
+BUCKET_TOKENS, RARITY = 2_000_000, 100
 #: Members that every other one of a posting list is compared with at first.
 LEADERS = 4
 LOW48 = np.uint64((1 << 48) - 1)
@@ -285,3 +285,18 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     named = heads.join(least, "root").select("sid", "component_id")
     return members.join(named, (members.sid == named.sid) & (members.n > 0), "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+ORACLE = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS words FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(words[i:i + 4], ' ') AS shingle
+  FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 3, 2))) AS i FROM w WHERE len(words) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 80 * (x.n + y.n - k)),
+r(a, b) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a)
+SELECT r.a AS doc_id, CAST(coalesce(any_value(n.n), 0) AS BIGINT) AS n_shingles, min(r.b) AS component_id
+FROM r LEFT JOIN n ON n.doc_id = r.a GROUP BY r.a
+"""

@@ -53,4 +53,5 @@ QUERIES = {"op10_jaccard_join": op10_jaccard_join, "op1_substring_dedup": op1_su
            "op6_language_id": op6_language_id,
            "op7_exact_dedup": op7_exact_dedup,
            "op8_html_text": op8_html_text, "op9_packing": op9_packing}
-ORACLES = {"op3_mixing": mixing.ORACLE, "op7_exact_dedup": exact_dedup.ORACLE}
+ORACLES = {"op3_mixing": mixing.ORACLE, "op5_embedding_dedup": embedding_dedup.ORACLE,
+           "op10_jaccard_join": jaccard_join.ORACLE, "op7_exact_dedup": exact_dedup.ORACLE}
