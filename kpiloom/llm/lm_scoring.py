@@ -21,7 +21,7 @@ from .common import WordHashes, fold, mixed, slices, stored
 ORDER, KEPT, KEPT_WORDS = 3, 1 << 22, 1 << 20
 DISCOUNT = 0.75
 #: Text bytes of a slice, and tokens of a bucket on average.
-SLICE_BYTES, BUCKET_TOKENS = 12 << 20, 4_000_000
+SLICE_BYTES, BUCKET_TOKENS = 6 << 20, 4_000_000
 #: Hash of the end of a text.
 END = np.uint64(0x454E44)
 
