@@ -78,6 +78,8 @@ def ask_grams(batches, buckets: int):
         grams, place, first, last, text = anchors(data, starts, sizes)
         if not len(grams):
             continue
+        # anchors have small hashes: scrambled again, they spread evenly over the buckets
+        grams = mixed(grams ^ np.uint64(0x5851F42D4C957F2D))
         base = starts[text] - offset
         places = np.stack([place - base, first - base, last - base], axis=1).astype(np.uint32)
         order = np.argsort(grams, kind="stable")
