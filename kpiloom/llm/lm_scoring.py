@@ -1,10 +1,11 @@
-"""Language-model scores from a compact n-gram trie counted over the whole corpus.
-
-Unigram counts stay spread over hash buckets: slices of documents send each bucket their
-words with the documents that hold them, and get back per document the sum of log counts.
-Higher orders keep n-grams of a relative frequency of at least 2^-22 (words: 2^-20), which
-bounds the trie at any corpus size. A level is an Elias-Fano sequence of (context, word) keys with
-monotone pointers to each context's range and probabilities quantised to a byte.
+"""Language-model scores from compact n-gram levels counted over the whole corpus.
+
+Every n-gram counts, at any corpus size. A slice of documents sends each hash bucket the
+contexts that fall into it with the words that follow; the bucket packs what the training
+texts hold of them as Elias-Fano sequences of contexts and of (context, word) keys, and
+looks every slice's n-grams up: how often each occurs, and of each context how often it
+occurs and before how many words. Slices meet their replies and are scored. Contexts that
+a sample finds frequent are split by the hash of the next word, so that no bucket is hot.
 """
 
 from __future__ import annotations
@@ -15,13 +16,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, fold, mixed, slices, stored
+from .common import WordHashes, fold, mixed, share, slices, stored
 
-#: Highest order; n-grams and words kept are those with count * KEPT >= tokens, so at most KEPT of each order.
-ORDER, KEPT, KEPT_WORDS = 3, 1 << 22, 1 << 20
+#: Highest order.
+ORDER = 3
 DISCOUNT = 0.75
-#: Text bytes of a slice, and tokens of a bucket on average.
-SLICE_BYTES, BUCKET_TOKENS = 6 << 20, 4_000_000
+#: Text bytes of a slice, tokens of a bucket on average, text bytes of the sample that finds frequent contexts.
+SLICE_BYTES, BUCKET_TOKENS, SAMPLE_BYTES = 6 << 20, 1_500_000, 4 << 20
+#: Bits of a context's hash inside its bucket, and of a word's hash inside its context.
+CONTEXT_BITS, WORD_BITS = 48, 40
+SPLIT = np.uint64(0x9E3779B97F4A7C15)
 #: Hash of the end of a text.
 END = np.uint64(0x454E44)
 
@@ -177,7 +181,7 @@ def nearest(x: np.ndarray, book: np.ndarray) -> np.ndarray:
 
 
 class Trie:
-    """Words by hash, with counts, and the levels of order 2 and up."""
+    """Words by hash, with counts, and the levels of order 2 and up: the model of a small corpus, in one place."""
 
     def __init__(self, hashes: np.ndarray, counts: np.ndarray, tokens: int, distinct: int):
         order = np.argsort(hashes)
@@ -241,214 +245,313 @@ class Trie:
         return out
 
 
-def slice_tokens(ids, trained, raws, hashes):
-    """Token hashes of a slice with their documents: words, then one end each."""
-    parts, sizes = [], []
-    for raw in raws.to_pylist():
-        words = (raw or b"").lower().split()
+def packed(values: np.ndarray) -> bytes:
+    """Unsigned numbers, compressed; their width and length go in front."""
+    raw = values.tobytes()
+    return bytes([values.itemsize]) + len(raw).to_bytes(8, "little") + pa.compress(raw, "zstd", asbytes=True)
+
+
+def unpacked(block: bytes) -> np.ndarray:
+    return np.frombuffer(pa.decompress(block[9:], int.from_bytes(block[1:9], "little"), "zstd", asbytes=True), f"u{block[0]}")
+
+
+def low_bytes(values: np.ndarray, bits: int) -> bytes:
+    """The low ``bits`` of numbers, laid end to end."""
+    return np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :bits // 8]).tobytes()
+
+
+def from_low_bytes(block: bytes, bits: int) -> np.ndarray:
+    out = np.zeros((len(block) * 8 // bits, 8), np.uint8)
+    out[:, :bits // 8] = np.frombuffer(block, np.uint8).reshape(-1, bits // 8)
+    return out.view("<u8").ravel().astype(np.uint64)
+
+
+SLICES = "slice long, ids binary, flags binary, sizes binary, text binary"
+
+
+def numbered(batches):
+    """Documents in numbered slices: ids, whether an id is null and whether the row teaches, text sizes, text."""
+    number = TaskContext.get().partitionId() << 32
+    for part in slices(batches, SLICE_BYTES):
+        raws = [r or b"" for r in part.column(2).to_pylist()]
+        ids = part.column(0).to_pylist()
+        flags = np.array([[d is None for d in ids], part.column(1).to_pylist()], np.uint8)
+        row = (number, np.array([d or 0 for d in ids], np.int64).tobytes(), flags.tobytes(),
+               np.array(list(map(len, raws)), np.int64).tobytes(), packed(np.frombuffer(b"".join(raws), np.uint8)))
+        number += 1
+        yield pa.RecordBatch.from_arrays([pa.array([row[0]], pa.int64()), *(pa.array([x], pa.binary()) for x in row[1:])],
+                                         names=["slice", "ids", "flags", "sizes", "text"])
+
+
+def tokens_of(sizes: bytes, text: bytes, hashes: WordHashes) -> tuple[np.ndarray, np.ndarray]:
+    """Token hashes of a slice, words and then one end of each document, and the documents' token counts."""
+    raw, at, parts = unpacked(text).tobytes(), 0, []
+    for size in np.frombuffer(sizes, np.int64).tolist():
+        words = raw[at:at + size].lower().split()
+        at += size
         h = np.empty(len(words) + 1, np.uint64)
         h[:-1] = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
         h[-1] = END
         parts.append(h)
-        sizes.append(len(h))
-    tokens = np.concatenate(parts)
-    sizes = np.array(sizes, np.int64)
-    starts = np.cumsum(sizes) - sizes
-    marks = np.add.reduceat(mixed(tokens + np.arange(len(tokens), dtype=np.uint64)
-                                  - np.repeat(starts, sizes).astype(np.uint64)), starts).view(np.int64)
-    return (np.array([d or 0 for d in ids.to_pylist()], np.int64), np.array(trained.to_pylist(), bool), tokens, sizes,
-            starts, marks)
+    return np.concatenate(parts), np.array(list(map(len, parts)), np.int64)
 
 
-REQUEST = ("bucket int, slice long, tokens binary, holders binary, docs binary, times binary, trained binary")
+def contexts_of(tokens: np.ndarray, sizes: np.ndarray, levels: int):
+    """Per level the hash of the 1, 2, ... tokens before each token, and which tokens have so many. Texts begin after an end."""
+    starts = np.cumsum(sizes) - sizes
+    place = np.arange(len(tokens)) - np.repeat(starts, sizes)
+    before = np.concatenate([[END], tokens[:-1]])  # the token before a text is the end of another one
+    scrambled = mixed(before ^ np.uint64(0x5851F42D4C957F2D))
+    context = scrambled
+    for level in range(levels):
+        if level:
+            context = mixed(np.concatenate([context[:1], context[:-1]]) * SPLIT + scrambled)
+        yield context, place >= level
 
 
-def requests(batches, buckets: int):
-    """Of each slice the distinct tokens by bucket, with the documents that hold them and how often.
+class Grams:
+    """The distinct (context, word) pairs of one level of a slice in the order of their buckets.
 
-    One more row without tokens names the slice's documents; its bucket hands it on.
+    ``hot`` has the hashes of frequent contexts and their numbers of parts. A part is a context of its own, with
+    the words whose hash falls to it; a slice with a frequent context asks for all its parts.
     """
-    hashes, number = WordHashes(), TaskContext.get().partitionId() << 32
-    for batch in slices(batches, SLICE_BYTES):
-        ids, trained, tokens, sizes, _, marks = slice_tokens(*batch.columns, hashes)
-        owner = np.repeat(np.arange(len(sizes), dtype=np.uint16), sizes)
-        order = np.argsort(tokens, kind="stable")
-        tokens, owner = tokens[order], owner[order]
-        new_token = np.concatenate([[True], tokens[1:] != tokens[:-1]])
-        new_entry = new_token.copy()
-        new_entry[1:] |= owner[1:] != owner[:-1]
-        entry = np.flatnonzero(new_entry)
-        times = np.diff(np.append(entry, len(tokens))).astype(np.uint32)
-        first = np.flatnonzero(new_token[entry])
-        held = np.diff(np.append(first, len(entry))).astype(np.uint32)
-        distinct, docs = tokens[entry[first]], owner[entry]
-        place = ((distinct >> np.uint64(48)) * np.uint64(buckets)) >> np.uint64(16)
-        edges = np.searchsorted(place, np.arange(buckets + 1))
-        flags = np.packbits(trained).tobytes()
-        out = []
-        for b in range(buckets):
-            x, y = edges[b], edges[b + 1]
-            if x < y:
-                p, q = first[x], first[y] if y < len(first) else len(entry)
-                out.append((b, number, distinct[x:y].tobytes(), held[x:y].tobytes(), docs[p:q].tobytes(),
-                            times[p:q].tobytes(), flags))
-        out.append((number % buckets, number, None, ids.tobytes(), sizes.tobytes(), marks.tobytes(), None))
-        columns = list(zip(*out))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.int64()),
-             *(pa.array(c, pa.binary()) for c in columns[2:])],
-            names=["bucket", "slice", "tokens", "holders", "docs", "times", "trained"])
-        number += 1
 
+    def __init__(self, context: np.ndarray, use: np.ndarray, tokens: np.ndarray, hot: tuple[np.ndarray, np.ndarray]):
+        self.rows = np.flatnonzero(use)
+        key, word = context[self.rows], tokens[self.rows] & np.uint64((1 << WORD_BITS) - 1)
+        self.parts = []
+        if len(hot[0]):
+            at = np.minimum(np.searchsorted(hot[0], key), len(hot[0]) - 1)
+            frequent = np.flatnonzero(hot[0][at] == key)
+            parts = hot[1][at[frequent]].astype(np.uint64)
+            key[frequent] = part_keys(key[frequent], mixed(word[frequent]) % parts)
+            self.parts = [part_keys(hot[0][k], np.arange(hot[1][k], dtype=np.uint64)) for k in np.unique(at[frequent])]
+            key = np.concatenate([key, *self.parts])
+            word = np.concatenate([word, np.zeros(len(key) - len(word), np.uint64)])
+        self.order = np.lexsort((word, key))
+        key, word = key[self.order], word[self.order]
+        new_key = np.concatenate([[True], key[1:] != key[:-1]])[:len(key)]
+        new = new_key | np.concatenate([[True], word[1:] != word[:-1]])[:len(key)]
+        self.entry = np.flatnonzero(new)
+        self.entry_of = np.cumsum(new) - 1
+        first = np.flatnonzero(new_key[self.entry])
+        self.keys, self.words, self.first = key[self.entry[first]], word[self.entry], first
+        self.held = np.diff(np.append(first, len(self.entry)))
+
+    def times(self, trained: np.ndarray) -> np.ndarray:
+        """How often training texts of the slice hold each pair."""
+        own = np.zeros(len(self.order), np.int64)
+        own[:len(self.rows)] = trained[self.rows]
+        return np.add.reduceat(own[self.order], self.entry) if len(self.entry) else own
+
+    def spread(self, counts: np.ndarray, totals: np.ndarray, followers: np.ndarray):
+        """Per token the pair's count, the context's count and number of different next words."""
+        totals, followers = totals.copy(), followers.copy()
+        for parts in self.parts:
+            at = np.searchsorted(self.keys, parts)
+            totals[at], followers[at] = totals[at].sum(), followers[at].sum()
+        entry = np.empty(len(self.order), np.int64)
+        entry[self.order] = self.entry_of
+        entry = entry[:len(self.rows)]
+        key = np.repeat(np.arange(len(self.keys)), self.held)[entry]
+        return counts[entry], totals[key], followers[key]
+
+
+def part_keys(context, part: np.ndarray) -> np.ndarray:
+    return mixed(context + (part + np.uint64(1)) * SPLIT)
+
+
+def home(keys: np.ndarray, buckets: int) -> np.ndarray:
+    return ((keys >> np.uint64(48)) * np.uint64(buckets)) >> np.uint64(16)
+
+
+def sampled_contexts(batches, levels: int):
+    hashes = WordHashes()
+    for batch in batches:
+        for raw in batch.column(0).to_pylist():
+            raw = (raw or b"")[:1 << 16]
+            tokens, sizes = tokens_of(np.array([len(raw)]).tobytes(), packed(np.frombuffer(raw, np.uint8)), hashes)
+            for level, (context, use) in enumerate(contexts_of(tokens, sizes, levels)):
+                yield pa.RecordBatch.from_arrays([pa.array([level], pa.int32()), pa.array([context[use].tobytes()], pa.binary())],
+                                                 names=["level", "contexts"])
+
+
+def frequent(sample, levels: int, buckets: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Per level the contexts that would take more than half a bucket, with the parts to split them into."""
+    out = []
+    for level in range(levels):
+        found = [np.frombuffer(r["contexts"], np.uint64) for r in sample if r["level"] == level]
+        keys, counts = np.unique(np.concatenate([np.zeros(0, np.uint64), *found]), return_counts=True)
+        load = counts * buckets / max(1, counts.sum())
+        hot = (load > 0.5) & (counts >= 8)
+        out.append((keys[hot], np.ceil(2 * load[hot]).astype(np.int64) + 1))
+    return out
+
+
+REQUEST = "bucket int, slice long, contexts binary, held binary, words binary, times binary"
 
-REPLY = ("slice long, docs binary, logs binary, known binary, words binary, counts binary, ids binary, sizes binary, "
-         "marks binary, tokens long, distinct long")
-
-
-def reply(table: pa.Table) -> pa.Table:
-    """Counts of one bucket's tokens, and per slice the sums of their logs by document."""
-    pieces, out, none = [], [], [None] * 3
-    for number, *parts in zip(*(table[c].to_pylist() for c in ("slice", "tokens", "holders", "docs", "times", "trained"))):
-        if parts[0] is None:
-            out.append((number, *none, None, None, *parts[1:4], None, None))
-            continue
-        tokens, holders, docs, times = (np.frombuffer(p, k) for p, k in zip(parts, (np.uint64, np.uint32, np.uint16, np.uint32)))
-        holders = holders.astype(np.int64)
-        trained = np.unpackbits(np.frombuffer(parts[4], np.uint8)).astype(bool)
-        count = np.add.reduceat(np.where(trained[docs], times, 0).astype(np.int64), np.cumsum(holders) - holders)
-        pieces.append((number, tokens, holders, docs, times, count))
-    if pieces:
-        words, where = np.unique(np.concatenate([p[1] for p in pieces]), return_inverse=True)
-        counts = np.bincount(where, np.concatenate([p[5] for p in pieces]).astype(np.float64), len(words)).astype(np.int64)
-        total, at = int(counts.sum()), 0
-        for number, tokens, holders, docs, times, _ in pieces:
-            own = counts[where[at:at + len(tokens)]]
-            at += len(tokens)
-            logs = np.bincount(docs, np.repeat(np.log10(own + 1.0), holders) * times)
-            known = np.bincount(docs, np.repeat(own > 0, holders) * times.astype(np.float64)).astype(np.int64)
-            rows = np.flatnonzero(np.bincount(docs)).astype(np.uint16)
-            out.append((number, rows.tobytes(), logs[rows].tobytes(), known[rows].tobytes(), None, None, *none, None, None))
-        often = counts * KEPT_WORDS >= max(1, total)
-        out.append((-1, *none, words[often].tobytes(), counts[often].tobytes(), *none, total, int((counts > 0).sum())))
-    kinds = (pa.int64(), *[pa.binary()] * 8, pa.int64(), pa.int64())
+
+def requests(batches, buckets: int, hot: list):
+    """Of each slice the distinct n-grams by bucket of their context, with their counts in training texts."""
+    hashes = WordHashes()
+    for batch in batches:
+        for number, flags, sizes, text in zip(*(c.to_pylist() for c in batch.columns)):
+            tokens, sizes = tokens_of(sizes, text, hashes)
+            trained = np.repeat(np.frombuffer(flags, np.uint8).reshape(2, -1)[1], sizes)
+            for level, (context, use) in enumerate(contexts_of(tokens, sizes, len(hot))):
+                grams = Grams(context, use, tokens, hot[level])
+                times = grams.times(trained).astype(np.uint32)
+                edges = np.searchsorted(home(grams.keys, buckets), np.arange(buckets + 1))
+                firsts = np.append(grams.first, len(grams.entry))
+                out = []
+                for b in range(buckets):
+                    x, y = edges[b], edges[b + 1]
+                    if x < y:
+                        p, q = firsts[x], firsts[y]
+                        out.append((level * buckets + b, number, low_bytes(grams.keys[x:y], CONTEXT_BITS),
+                                    packed(grams.held[x:y].astype(np.uint32)), low_bytes(grams.words[p:q], WORD_BITS),
+                                    packed(times[p:q])))
+                if out:
+                    columns = list(zip(*out))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.int64()),
+                         *(pa.array(c, pa.binary()) for c in columns[2:])],
+                        names=["bucket", "slice", "contexts", "held", "words", "times"])
+
+
+class Bucket:
+    """What training texts hold of one bucket: Elias-Fano sequences of contexts and of (context, word) keys, with counts."""
+
+    def __init__(self, contexts: np.ndarray, words: np.ndarray, times: np.ndarray):
+        self.names = np.unique(contexts)
+        key = np.searchsorted(self.names, contexts).astype(np.uint64) << np.uint64(WORD_BITS) | words
+        order = np.argsort(key)
+        key = key[order]
+        starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])[:len(key)])
+        self.counts = np.add.reduceat(times[order], starts) if len(key) else np.zeros(0, np.int64)
+        key = key[starts]
+        owner = (key >> np.uint64(WORD_BITS)).astype(np.int64)
+        self.totals = np.bincount(owner, self.counts, len(self.names)).astype(np.int64)
+        self.followers = np.bincount(owner, minlength=len(self.names))
+        self.contexts = EliasFano(self.names, 1 << CONTEXT_BITS)
+        self.grams = EliasFano(key, max(1, len(self.names)) << WORD_BITS)
+
+    def look_up(self, contexts: np.ndarray, held: np.ndarray, words: np.ndarray):
+        """Counts of n-grams, and of each context its count and its number of different next words."""
+        counts = np.zeros(len(words), np.int64)
+        totals, followers = np.zeros((2, len(contexts)), np.int64)
+        if len(self.names):
+            at, known = self.contexts.successor(contexts)
+            totals[known], followers[known] = self.totals[at[known]], self.followers[at[known]]
+            rank, some = np.repeat(at, held), np.flatnonzero(np.repeat(known, held))
+            place, same = self.grams.successor(rank[some].astype(np.uint64) << np.uint64(WORD_BITS) | words[some])
+            counts[some[same]] = self.counts[place[same]]
+        return counts, totals, followers
+
+
+REPLY = "slice long, bucket int, counts binary, totals binary, followers binary, tokens long, distinct long"
+
+
+def reply(table: pa.Table, buckets: int, parts: np.ndarray) -> pa.Table:
+    """Each slice's look-ups in one bucket; of the first level also its tokens and words, and the parts of frequent ones."""
+    bucket, taught, out = table["bucket"][0].as_py(), [], []
+    columns = [table[c] for c in ("slice", "contexts", "held", "words", "times")]
+    for _, contexts, held, words, times in zip(*columns):
+        contexts, words = from_low_bytes(contexts.as_py(), CONTEXT_BITS), from_low_bytes(words.as_py(), WORD_BITS)
+        times, held = unpacked(times.as_py()), unpacked(held.as_py())
+        use = np.flatnonzero(times)
+        taught.append((np.repeat(contexts, held)[use], words[use], times[use].astype(np.int64)))
+    model = Bucket(*(np.concatenate(x) for x in zip(*taught)))
+    del taught
+    for number, contexts, held, words, _ in zip(*columns):
+        found = model.look_up(from_low_bytes(contexts.as_py(), CONTEXT_BITS), unpacked(held.as_py()),
+                              from_low_bytes(words.as_py(), WORD_BITS))
+        out.append((number.as_py(), bucket, *(packed(small(x)) for x in found), None, None))
+    if bucket < buckets:
+        own = parts[home(parts, buckets) == bucket] & np.uint64((1 << CONTEXT_BITS) - 1)
+        split = np.isin(model.names, own)
+        out.append((-1, bucket, model.names[split].tobytes(), None, None, int(model.totals.sum()), int((~split).sum())))
+    kinds = (pa.int64(), pa.int32(), *[pa.binary()] * 3, pa.int64(), pa.int64())
     return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)],
                                 names=[f.split()[0] for f in REPLY.split(", ")])
 
 
-def ngram_counts(batches, trie, buckets: int):
-    """Keys of the next order in training texts, where both shorter n-grams are in the trie."""
-    hashes = WordHashes()
-    model = trie.value
-    end = int(model.ids(np.array([END]))[0])
-    words = np.uint64(max(1, len(model.hashes)))
-    for batch in slices(batches, SLICE_BYTES):
-        _, trained, tokens, sizes, starts, _ = slice_tokens(*batch.columns, hashes)
-        first = np.zeros(len(tokens), bool)
-        first[starts] = True
-        ids = model.ids(tokens)
-        found = model.nodes(ids, first, end)
-        context = model.last_contexts[-1]
-        use = np.repeat(trained, sizes) & (context >= 0) & (found[-1] >= 0)
-        keys, counts = np.unique(context[use].astype(np.uint64) * words + ids[use].astype(np.uint64), return_counts=True)
-        place = (mixed(keys) % np.uint64(buckets)).astype(np.int64)
-        order = np.argsort(place, kind="stable")
-        edges = np.searchsorted(place[order], np.arange(buckets + 1))
-        out = [(b, keys[order[x:y]].tobytes(), counts[order[x:y]].astype(np.uint32).tobytes())
-               for b, (x, y) in enumerate(zip(edges[:-1], edges[1:])) if x < y]
-        columns = list(zip(*out)) or [[]] * 3
-        yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.binary()),
-                                          pa.array(columns[2], pa.binary())], names=["bucket", "keys", "counts"])
-
-
-def kept_ngrams(table: pa.Table, tokens: int) -> pa.Table:
-    keys = np.concatenate([np.frombuffer(x, np.uint64) for x in table["keys"].to_pylist()])
-    counts = np.concatenate([np.frombuffer(x, np.uint32) for x in table["counts"].to_pylist()])
-    keys, where = np.unique(keys, return_inverse=True)
-    counts = np.bincount(where, counts, len(keys)).astype(np.int64)
-    often = counts * KEPT >= tokens
-    return pa.table({"keys": pa.array([keys[often].tobytes()], pa.binary()),
-                     "counts": pa.array([counts[often].tobytes()], pa.binary())})
-
-
-def scored(batches, trie):
-    hashes, model = WordHashes(), trie.value
-    end = int(model.ids(np.array([END]))[0])
-    for batch in slices(batches, SLICE_BYTES):
-        _, _, tokens, sizes, starts, marks = slice_tokens(*batch.columns, hashes)
-        first = np.zeros(len(tokens), bool)
-        first[starts] = True
-        gains = np.add.reduceat(model.gains(model.ids(tokens), first, end), starts)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(marks), pa.array(gains)],
-                                         names=["doc_id", "mark", "gain"])
-
-
-def base_rows(table: pa.Table) -> pa.Table:
-    """Documents of one slice with what all buckets say of them."""
-    ids = sizes = marks = None
-    for row in zip(*(table[c].to_pylist() for c in ("ids", "sizes", "marks"))):
-        if row[0] is not None:
-            ids, sizes, marks = (np.frombuffer(x, np.int64) for x in row)
-    logs, known = np.zeros(len(ids)), np.zeros(len(ids), np.int64)
-    for docs, more, have in zip(*(table[c].to_pylist() for c in ("docs", "logs", "known"))):
-        if docs is not None:
-            rows = np.frombuffer(docs, np.uint16)
-            logs[rows] += np.frombuffer(more, np.float64)
-            known[rows] += np.frombuffer(have, np.int64)
-    return pa.table({"id": ids, "mark": marks, "n_tokens": sizes, "n_known": known, "logs": logs})
+def small(x: np.ndarray) -> np.ndarray:
+    """Counts as 32-bit numbers, or as 64-bit ones where they are larger."""
+    return x.astype(np.uint64 if len(x) and x.max() >= 1 << 32 else np.uint32)
+
+
+SCORES = "id long, n_tokens long, n_known long, base double, total double"
+
+
+def scored(table: pa.Table, tokens_in_all: int, distinct: int, hot: list, order: int) -> pa.Table:
+    """Scores of one slice's documents from the replies of all buckets."""
+    replies = []
+    for row in table.to_pylist():
+        if row["text"] is not None:
+            ids, flags = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["flags"], np.uint8).reshape(2, -1)
+            tokens, sizes = tokens_of(row["sizes"], row["text"], WordHashes())
+        else:
+            replies.append((row["bucket"], row["counts"], row["totals"], row["followers"]))
+    replies.sort(key=lambda r: r[0])
+    starts, ends = np.cumsum(sizes) - sizes, np.cumsum(sizes) - 1
+    counts, totals, followers = (np.concatenate([unpacked(r[k]) for r in replies]).astype(np.int64) for k in (1, 2, 3))
+    p = known = one = None
+    entries = keys = 0
+    for level, (context, use) in enumerate(contexts_of(tokens, sizes, len(hot))):
+        grams = Grams(context, use, tokens, hot[level])
+        e, k = entries + len(grams.entry), keys + len(grams.keys)
+        n, total, after = grams.spread(counts[entries:e], totals[keys:k], followers[keys:k])
+        entries, keys = e, k
+        if not level:
+            # what precedes the next token is this one; before a text's first token is an end
+            known = np.append(total[1:], 0)
+            known[ends] = total[starts]
+            one = np.log10(known + 1.0)
+            p = (known + 1.0) / (tokens_in_all + distinct + 1)
+        if level > order - 2:
+            break
+        seen = total > 0
+        rows, total = grams.rows[seen], total[seen]
+        p[rows] = np.maximum(n[seen] - DISCOUNT, 0) / total + DISCOUNT * after[seen] / total * p[rows]
+    base = np.add.reduceat(one, starts) - sizes * np.log10(tokens_in_all + distinct + 1)
+    return pa.table({"id": pa.array(ids, pa.int64(), mask=flags[0].astype(bool)), "n_tokens": sizes,
+                     "n_known": np.add.reduceat((known > 0).astype(np.int64), starts), "base": base,
+                     "total": np.add.reduceat(np.log10(p), starts)})
 
 
 def score_documents(docs: DataFrame, folds: int = 7, held_fold: int = 2, order: int = ORDER) -> DataFrame:
     """Unigram and n-gram log10 probabilities of every text of ``docs`` (doc_id, text).
 
-    Rows outside fold ``held_fold`` teach. Tokens are words in ASCII lower case, then one
-    end; a null or empty text is its end alone. Returns doc_id, held_out, n_tokens,
-    n_known, train_tokens, base_score, score, one row per row. Without a training row,
-    N and V are 0. Rows that repeat an id and a text get equal scores.
+    Rows outside fold ``held_fold`` teach, with all their n-grams. Tokens are words in ASCII
+    lower case, then one end; a null or empty text is its end alone. Returns doc_id, held_out,
+    n_tokens, n_known, train_tokens, base_score, score, one row per row. Without a training
+    row, N and V are 0. Rows that repeat an id and a text get equal scores.
     """
     spark = docs.sparkSession
-    held = fold("doc_id", folds) == held_fold
-    rows = docs.select("doc_id", (~held).alias("trained"), F.col("text").cast("binary").alias("raw"))
+    levels = max(1, order - 1)
+    rows = docs.select("doc_id", (fold("doc_id", folds) != held_fold).alias("trained"), F.col("text").cast("binary").alias("raw"))
     letters = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = int(min(32768, max(8, -(-letters // (6 * BUCKET_TOKENS)))))
-    asked = rows.mapInArrow(lambda b: requests(b, buckets), REQUEST)
-    replies = stored(asked.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(reply, REPLY), "lm-replies")
-    totals = replies.where("slice = -1").agg(F.sum("tokens"), F.sum("distinct")).first()
-    tokens, distinct = totals[0] or 0, totals[1] or 0
-
-    def usual(batches):
-        for batch in batches:
-            for words, counts in zip(*(c.to_pylist() for c in batch.columns)):
-                w, c = np.frombuffer(words, np.uint64), np.frombuffer(counts, np.int64)
-                often = (c * KEPT_WORDS >= tokens) & (c > 0)
-                yield pa.RecordBatch.from_arrays([pa.array([w[often].tobytes()], pa.binary()),
-                                                  pa.array([c[often].tobytes()], pa.binary())], names=["words", "counts"])
-
-    vocabulary = replies.where("slice = -1").select("words", "counts").mapInArrow(
-        usual, "words binary, counts binary").collect()
-    trie = Trie(joined(vocabulary, 0, np.uint64), joined(vocabulary, 1, np.int64), tokens, distinct)
-    shared = spark.sparkContext.broadcast(trie)
-    for _ in range(order - 1):
-        model = shared
-        grams = rows.mapInArrow(lambda b: ngram_counts(b, model, buckets), "bucket int, keys binary, counts binary")
-        kept = (grams.repartition(buckets, "bucket").groupBy("bucket")
-                .applyInArrow(lambda t: kept_ngrams(t, tokens), "keys binary, counts binary").collect())
-        trie.add_level(joined(kept, 0, np.uint64), joined(kept, 1, np.int64))
-        shared = spark.sparkContext.broadcast(trie)
-    trie.compact()
-    model = spark.sparkContext.broadcast(trie)
-
-    parts = replies.where("slice >= 0").select("slice", "ids", "sizes", "marks", "docs", "logs", "known")
-    base = parts.groupBy("slice").applyInArrow(
-        base_rows, "id long, mark long, n_tokens long, n_known long, logs double").groupBy("id", "mark").agg(
-        *(F.first(c).alias(c) for c in ("n_tokens", "n_known", "logs")))
-    gained = rows.mapInArrow(lambda b: scored(b, model), "doc_id long, mark long, gain double")
-    out = gained.join(base.withColumnRenamed("mark", "base_mark"),
-                      (F.coalesce("doc_id", F.lit(0)) == F.col("id")) & (F.col("mark") == F.col("base_mark")))
-    base_score = F.col("logs") - F.col("n_tokens") * float(np.log10(tokens + distinct + 1))
-    return out.select("doc_id", held.alias("held_out"), "n_tokens", "n_known", F.lit(int(tokens)).cast("long").alias("train_tokens"),
-                      base_score.alias("base_score"), (base_score + F.col("gain")).alias("score"))
-
-
-def joined(rows, column: int, kind) -> np.ndarray:
-    parts = [np.frombuffer(r[column], kind) for r in rows]
-    return np.concatenate(parts) if parts else np.zeros(0, kind)
+    drawn = rows.where(share(F.xxhash64("doc_id", "raw"), 17) < min(1.0, SAMPLE_BYTES / max(1, letters))).select("raw")
+    hot = frequent(drawn.mapInArrow(lambda b: sampled_contexts(b, levels), "level int, contexts binary").collect(), levels, buckets)
+    parts = [part_keys(h, np.arange(n, dtype=np.uint64)) for h, n in zip(*hot[0])]
+    owner = {int(k) & ((1 << CONTEXT_BITS) - 1): i for i, own in enumerate(parts) for k in own}
+    part_list = np.concatenate([np.zeros(0, np.uint64), *parts])
+
+    cut = stored(rows.mapInArrow(numbered, SLICES), "lm-slices")
+    asked = cut.select("slice", "flags", "sizes", "text").mapInArrow(lambda b: requests(b, buckets, hot), REQUEST)
+    replies = stored(asked.repartition(levels * buckets, "bucket").groupBy("bucket").applyInArrow(
+        lambda t: reply(t, buckets, part_list), REPLY), "lm-replies")
+    every = replies.where("slice = -1")
+    tokens, distinct = (x or 0 for x in every.agg(F.sum("tokens"), F.sum("distinct")).first())
+    split = every.where(F.length("counts") > 0).select("counts").collect()
+    distinct += len({owner[int(k)] for r in split for k in np.frombuffer(r[0], np.uint64)})
+
+    both = replies.where("slice >= 0").select("slice", "bucket", "counts", "totals", "followers").unionByName(
+        cut, allowMissingColumns=True)
+    found = both.repartition(int(min(32768, max(8, letters // (2 * SLICE_BYTES)))), "slice").groupBy("slice").applyInArrow(
+        lambda t: scored(t, tokens, distinct, hot, order), SCORES)
+    return found.select(F.col("id").alias("doc_id"), (fold("id", folds) == held_fold).alias("held_out"), "n_tokens", "n_known",
+                        F.lit(int(tokens)).cast("long").alias("train_tokens"), F.col("base").alias("base_score"),
+                        F.col("total").alias("score"))

@@ -311,6 +311,38 @@ def test_scores(spark):
     assert sum(r.score for r in got.values() if not r.held_out) > sum(r.base_score for r in got.values() if not r.held_out)
 
 
+def interpolated(tokens, held):
+    """log10 probabilities of each document under an interpolated trigram model of the others, by plain counting."""
+    counts, after = {}, {}
+    for d, ts in tokens.items():
+        for i, t in enumerate(ts if not held[d] else ()):
+            for context in [(), (None if i == 0 else ts[i - 1],), *([(None if i == 1 else ts[i - 2], ts[i - 1])] if i else [])]:
+                counts[context, t] = counts.get((context, t), 0) + 1
+                after.setdefault(context, set()).add(t)
+    total = {c: sum(counts[c, t] for t in ts) for c, ts in after.items()}
+    out = {}
+    for d, ts in tokens.items():
+        out[d] = 0.0
+        for i, t in enumerate(ts):
+            p = (counts.get(((), t), 0) + 1) / (total[()] + len(after[()]) + 1)
+            for context in [(None if i == 0 else ts[i - 1],), *([(None if i == 1 else ts[i - 2], ts[i - 1])] if i else [])]:
+                if context in total:
+                    p = (max(counts.get((context, t), 0) - 0.75, 0) + 0.75 * len(after[context]) * p) / total[context]
+            out[d] += np.log10(p)
+    return out
+
+
+@pytest.mark.parametrize("filler", [0, 1_300_000])
+def test_rare_ngrams_count_at_any_size(spark, filler):
+    rows = [r for r in corpus(5) if r[0]] + [(5000 + k, "seldom seen words " + "and more " * (k % 3)) for k in range(14)]
+    rows += [(6000, "x y " * (filler // 2))]
+    held = {d: zlib.crc32(str(d).encode()) % 7 == 2 for d, _ in rows}
+    assert not held[6000]
+    want = interpolated({d: [*words_of(t), None] for d, t in rows}, held)
+    got = {r.doc_id: r.score for r in lm_scoring.score_documents(documents(spark, rows)).collect()}
+    assert got == {d: pytest.approx(w, rel=1e-9) for d, w in want.items()}
+
+
 def test_trie_probabilities_sum_to_one():
     """The quantised model of a two-word vocabulary, by enumeration."""
     rng = np.random.default_rng(11)
