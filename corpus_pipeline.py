@@ -23,9 +23,10 @@ def without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop texts in no language: those without a letter."""
-    found = language_id.language_of(docs)
-    return without(docs, found.where("lang_pred = 'und'"))
+    """Drop texts in no language: those without a letter, not those for which no language was learned."""
+    found = language_id.language_of(docs, carry=True)
+    lettered = F.coalesce(F.col("row.text").rlike(r"\p{L}"), F.lit(False))
+    return found.where((F.col("lang_pred") != "und") | lettered).select("row.*")
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from .common import fold, share
 
-#: Bytes of labelled text per language that the automata hold; rows longer than an eighth of it are passed over.
+#: Bytes of labelled text per language that the automata hold; longer rows than an eighth of it are drawn in blocks.
 SAMPLE_BYTES = 48 << 10
 #: Bytes of one parsing block. A long text is parsed in blocks, each starting a phrase.
 BLOCK = 256
@@ -69,18 +69,29 @@ def suffix_automaton(text) -> list[dict[int, int]]:
 def fit(docs: DataFrame, sample_bytes: int = SAMPLE_BYTES) -> dict[str, tuple]:
     """Automata of labelled ``docs`` (doc_id, text, lang): language -> (edges, bits of a position).
 
-    Rows are taken by the hash of their id until a language has ``sample_bytes``; the
-    draw's rate comes from each language's total, so that a few times that much reaches
-    the driver whatever the input.
+    Blocks of at most an eighth of ``sample_bytes`` (a short row is one block) are taken by
+    their hash until a language has ``sample_bytes``; the draw's rate comes from each
+    language's total, so that a few times that much reaches the driver whatever the input.
+    A language of which nothing is drawn gives the block of the least hash.
     """
+    most = sample_bytes // 8
     usable = docs.where("lang is not null").select("doc_id", "lang", F.col("text").cast("binary").alias("raw")).where(
-        (F.length("raw") > 0) & (F.length("raw") <= sample_bytes // 8))
-    total = {r[0]: r[1] for r in usable.groupBy("lang").agg(F.sum(F.length("raw"))).collect()}
+        F.length("raw") > 0)
+    total = {r[0]: r[1] for r in usable.groupBy("lang").agg(F.sum(F.length("raw").cast("long"))).collect()}
     if not total:
         return {}
     rate = F.create_map(*[x for k, v in total.items() for x in (F.lit(k), F.lit(min(1.0, 3 * sample_bytes / v)))])
-    drawn = usable.where(share(F.col("doc_id"), 6) < rate[F.col("lang")]).select(
-        "lang", F.xxhash64("doc_id", "raw").alias("place"), "raw").collect()
+    usable = usable.select("lang", "raw", F.xxhash64("doc_id", "raw").alias("place"), rate[F.col("lang")].alias("rate"))
+    blocks = F.filter(F.sequence(F.lit(0), ((F.length("raw") - 1) / most).cast("int")),
+                      lambda k: share(F.xxhash64("place", k), 6) < F.col("rate"))
+    cut = F.transform(blocks, lambda k: F.struct(F.xxhash64("place", k).alias("place"),
+                                                 F.substring(F.col("raw"), k * most + 1, F.lit(most)).alias("raw")))
+    drawn = usable.select("lang", F.explode(cut).alias("block")).select("lang", "block.*").collect()
+    missing = sorted(set(total) - {r["lang"] for r in drawn})
+    if missing:
+        first = F.struct("place", F.substring("raw", 1, most).alias("raw"))
+        drawn += usable.where(F.col("lang").isin(missing)).groupBy("lang").agg(F.min(first).alias("block")).select(
+            "lang", "block.*").collect()
     texts: dict[str, list[bytes]] = {k: [] for k in sorted(total)}
     for row in sorted(drawn, key=lambda r: (r["place"], bytes(r["raw"]))):
         if sum(map(len, texts[row["lang"]])) < sample_bytes:
@@ -131,7 +142,7 @@ def parsed(batches, model):
     tables = {lang: (step_table(states, edges), bits) for lang, (states, edges, bits) in model.items()}
     langs = sorted(tables)
     for batch in batches:
-        ids, raws, lettered = batch.columns
+        ids, raws, lettered, *carried = batch.columns
         raws, lettered = raws.to_pylist(), lettered.to_pylist()
         best, score = ["und"] * len(raws), np.zeros(len(raws))
         at = 0
@@ -161,27 +172,31 @@ def parsed(batches, model):
             for k, row in enumerate(rows):
                 best[row] = langs[low[k]]
                 score[row] = sure[k]
-        yield pa.RecordBatch.from_arrays([ids, pa.array(best, pa.string()), pa.array(score)],
-                                         names=["doc_id", "lang_pred", "score"])
+        yield pa.RecordBatch.from_arrays([ids, pa.array(best, pa.string()), pa.array(score), *carried],
+                                         names=["doc_id", "lang_pred", "score", "row"][:3 + len(carried)])
 
 
-def identify(docs: DataFrame, model: dict[str, tuple]) -> DataFrame:
-    """doc_id, lang_pred, score of every row of ``docs`` (doc_id, text).
+def identify(docs: DataFrame, model: dict[str, tuple], carry: bool = False) -> DataFrame:
+    """doc_id, lang_pred, score of every row of ``docs`` (doc_id, text), with ``carry`` also the row as a struct.
 
     ``und`` with score 0 where the text is null, has no letter, or nothing was learned.
     The score is the second language's entropy over the sum of the best two: 0.5 is a
     draw. A tie goes to the first language by name.
     """
     letters = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
-    return docs.select("doc_id", F.col("text").cast("binary").alias("raw"), letters.alias("lettered")).mapInArrow(
-        lambda batches: parsed(batches, model), "doc_id long, lang_pred string, score double")
+    row = F.struct("*")
+    asked = docs.select("doc_id", F.col("text").cast("binary").alias("raw"), letters.alias("lettered"),
+                        *([row.alias("row")] if carry else []))
+    kind = f", row {asked.schema['row'].dataType.simpleString()}" if carry else ""
+    return asked.mapInArrow(lambda batches: parsed(batches, model), "doc_id long, lang_pred string, score double" + kind)
 
 
-def language_of(docs: DataFrame, folds: int = 5, sample_bytes: int = SAMPLE_BYTES) -> DataFrame:
+def language_of(docs: DataFrame, folds: int = 5, sample_bytes: int = SAMPLE_BYTES, carry: bool = False) -> DataFrame:
     """Fit on the rows of ``docs`` outside fold 0 and label every row.
 
-    Returns doc_id, held_out, lang_pred, score, one row per row. Rows without a language
-    teach nothing; an empty table gives an empty result.
+    Returns doc_id, held_out, lang_pred, score, one row per row; ``carry`` adds the row as a
+    struct. Rows without a language teach nothing; an empty table gives an empty result.
     """
     model = fit(docs.where(fold("doc_id", folds) != 0), sample_bytes)
-    return identify(docs, model).select("doc_id", (fold("doc_id", folds) == 0).alias("held_out"), "lang_pred", "score")
+    return identify(docs, model, carry).select("doc_id", (fold("doc_id", folds) == 0).alias("held_out"), "lang_pred", "score",
+                                               *(["row"] if carry else []))

@@ -260,6 +260,20 @@ def test_language(spark):
     assert all(0 <= r.score <= 1 for r in got) and len(got) == len(rows)
 
 
+def test_languages_with_long_rows_only(spark):
+    rng = random.Random(9)
+    kinds = {"xx": ["ba", "ri", "tok", "um"], "yy": ["sch", "ein", "ge", "lich"], "zz": ["é", "eau", "ois", "que"]}
+    rows = [(i, prose(rng, kinds[k], 4000), k) for i in range(30) for k in ["xx", "yy", "zz"][i % 3:i % 3 + 1]]
+    rows += [(i, "la li lo lu " * 3000, "ww") for i in range(100, 110)]
+    assert all(len(r[1]) > language_id.SAMPLE_BYTES // 8 for r in rows)
+    model = language_id.fit(documents(spark, rows))
+    assert sorted(model) == ["ww", "xx", "yy", "zz"]
+    got = language_id.identify(documents(spark, rows), model).collect()
+    assert {r.doc_id: r.lang_pred for r in got} == {r[0]: r[2] for r in rows}
+    # copies of one row are drawn together or not at all; the language is learned all the same
+    assert all(sorted(language_id.fit(documents(spark, [(k, "same text " * 600, "vv")] * 900), 4800)) == ["vv"] for k in range(4))
+
+
 def test_suffix_automaton_finds_longest_matches():
     rng = random.Random(9)
     text = rng.choices(range(1, 5), k=300)

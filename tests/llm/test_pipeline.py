@@ -83,3 +83,9 @@ def test_rows_that_repeat_an_id(spark):
     rows = [(1, "aa bb", "x", "s", 5), (1, "aa bb", "x", "s", 5), (1, "aa  bb", "x", "s", 6), (2, "cc", "x", "s", 2), (None, "cc dd", "x", "s", 5)]
     got = corpus_pipeline.exact(spark, spark.createDataFrame(rows, COLUMNS), "")
     assert sorted((tuple(r) for r in got.collect()), key=repr) == sorted([rows[2], rows[3], rows[4]], key=repr)
+
+
+def test_language_keeps_texts_without_a_model(spark):
+    rows = [(1, "aa bb", None, "s", 5), (2, "12 34", None, "s", 5), (3, None, None, "s", 0)]
+    got = corpus_pipeline.language(spark, spark.createDataFrame(rows, COLUMNS), "")
+    assert [tuple(r) for r in got.collect()] == rows[:1]
