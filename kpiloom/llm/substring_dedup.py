@@ -165,14 +165,17 @@ def repeated_grams(table: pa.Table, parts: int) -> pa.Table:
 
 
 def by_document(table: pa.Table, name: str, width: int) -> pa.Table:
-    """One row per document of a part."""
+    """One row per document key of a part."""
     docs = np.concatenate([np.frombuffer(x, np.int64) for x in table["docs"].to_pylist()])
     values = np.concatenate([np.frombuffer(x, np.uint32).reshape(-1, width) for x in table[name].to_pylist()])
-    order = np.lexsort((values[:, 0], docs))
+    order = np.lexsort((values[:, 1], values[:, 0], docs))
     docs, values = docs[order], values[order]
+    # repeated rows tell the same twice
+    new = np.concatenate([[True], (docs[1:] != docs[:-1]) | (values[1:] != values[:-1]).any(axis=1)])[:len(docs)]
+    docs, values = docs[new], values[new]
     starts = np.flatnonzero(np.concatenate([[True], docs[1:] != docs[:-1]])) if len(docs) else np.zeros(0, np.int64)
     ends = np.append(starts[1:], len(docs))
-    return pa.table({"id": pa.array(docs[starts]),
+    return pa.table({"key": pa.array(docs[starts]),
                      name: pa.array([values[a:b].tobytes() for a, b in zip(starts, ends)], pa.binary())})
 
 
@@ -184,29 +187,34 @@ def sampled_leads(batches):
                                          names=["lead"])
 
 
-SUFFIXES = "range int, known boolean, docs binary, firsts binary, shape binary, text binary"
+SUFFIXES = "range int, known boolean, docs binary, keys binary, firsts binary, shape binary, text binary"
 
 
 def suffixes(batches, splitters: np.ndarray):
-    """Anchors' stretches of text by range of their leading bytes; of equal ones in a slice the earliest."""
+    """Anchors' stretches of text by range of their leading bytes; of equal ones in a slice the earliest.
+
+    Equal stretches at the same start of texts that share an id are all the earliest.
+    """
     ranges = len(splitters) + 1
     held, size = [], 0
 
     def flush():
         seen, entries, echo = {}, [], []
-        for doc, first, lead, rows in sorted(held, key=lambda h: h[:2]):
-            if (lead, rows) in seen:
-                echo.append((doc, first, first + len(rows)))
-            else:
-                seen[lead, rows] = True
-                entries.append((doc, first, lead, rows))
+        for doc, first, lead, rows, key in sorted(held, key=lambda h: h[:2]):
+            at, keys = seen.setdefault((lead, rows), ((doc, first), set()))
+            if at != (doc, first):
+                echo.append((key, first, first + len(rows)))
+            elif key not in keys:
+                keys.add(key)
+                entries.append((doc, first, lead, rows, key))
         out = []
         if entries:
-            leads = np.array([int.from_bytes(rows[lead:lead + 8], "big") for _, _, lead, rows in entries], np.uint64)
+            leads = np.array([int.from_bytes(rows[lead:lead + 8], "big") for _, _, lead, rows, _ in entries], np.uint64)
             place = np.searchsorted(splitters, leads, side="right")
             for k in np.unique(place):
                 own = [entries[i] for i in np.flatnonzero(place == k)]
                 out.append((int(k), False, np.array([e[0] for e in own], np.int64).tobytes(),
+                            np.array([e[4] for e in own], np.int64).tobytes(),
                             np.array([e[1] for e in own], np.uint32).tobytes(),
                             np.array([(e[2], len(e[3])) for e in own], np.uint8).tobytes(),
                             # neighbouring stretches overlap; the shuffle's own codec makes less of that
@@ -214,19 +222,19 @@ def suffixes(batches, splitters: np.ndarray):
         if echo:
             docs = np.array([e[0] for e in echo], np.int64)
             spans = np.array([e[1:] for e in echo], np.uint32)
-            out.append((int(mixed(docs[:1].view(np.uint64))[0] % np.uint64(ranges)), True, docs.tobytes(), spans.tobytes(),
+            out.append((int(mixed(docs[:1].view(np.uint64))[0] % np.uint64(ranges)), True, b"", docs.tobytes(), spans.tobytes(),
                         b"", b""))
-        columns = list(zip(*out)) or [[]] * 6
+        columns = list(zip(*out)) or [[]] * 7
         return pa.RecordBatch.from_arrays(
             [pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.bool_()),
              *(pa.array(c, pa.binary()) for c in columns[2:])],
-            names=["range", "known", "docs", "firsts", "shape", "text"])
+            names=["range", "known", "docs", "keys", "firsts", "shape", "text"])
 
     for batch in batches:
-        for doc, raw, places in zip(*(c.to_pylist() for c in batch.columns)):
+        for doc, key, raw, places in zip(*(c.to_pylist() for c in batch.columns)):
             for place, first, last in np.frombuffer(places, np.uint32).reshape(-1, 3).tolist():
                 if last + LENGTH <= len(raw):
-                    held.append((doc, first, place - first, raw[first:last + LENGTH]))
+                    held.append((doc, first, place - first, raw[first:last + LENGTH], key))
                     size += last - first + LENGTH + 150
             if size > 4 * SLICE_BYTES:
                 yield flush()
@@ -264,13 +272,14 @@ def multikey_groups(symbols, rows: np.ndarray, depth: int):
 
 def matched(table: pa.Table, parts: int) -> pa.Table:
     """Spans of one range's strings that occur earlier, by parts of the documents."""
-    docs, firsts, shape, texts, found_docs, found = [], [], [], [], [], []
-    for known, d, f, s, t in zip(*(table[x].to_pylist() for x in ("known", "docs", "firsts", "shape", "text"))):
+    docs, keys, firsts, shape, texts, found_docs, found = [], [], [], [], [], [], []
+    for known, d, i, f, s, t in zip(*(table[x].to_pylist() for x in ("known", "docs", "keys", "firsts", "shape", "text"))):
         if known:
-            found_docs.append(np.frombuffer(d, np.int64))
+            found_docs.append(np.frombuffer(i, np.int64))
             found.append(np.frombuffer(f, np.uint32).reshape(-1, 2))
         else:
             docs.append(np.frombuffer(d, np.int64))
+            keys.append(np.frombuffer(i, np.int64))
             firsts.append(np.frombuffer(f, np.uint32))
             shape.append(np.frombuffer(s, np.uint8).reshape(-1, 2))
             texts.append(pa.decompress(t, int(shape[-1][:, 1].sum(dtype=np.int64)), "zstd", asbytes=True))
@@ -279,7 +288,8 @@ def matched(table: pa.Table, parts: int) -> pa.Table:
         data = np.frombuffer(b"".join(texts), np.uint8)
         begin = np.cumsum(shape[:, 1]) - shape[:, 1]
         order = np.lexsort((firsts, docs))
-        docs, firsts, shape, begin = docs[order], firsts[order], shape[order], begin[order]
+        docs, keys, firsts, shape, begin = docs[order], np.concatenate(keys)[order], firsts[order], shape[order], begin[order]
+        number = np.cumsum(np.concatenate([[False], docs[1:] != docs[:-1]])).astype(np.uint64)
         words = words_at(data)
         room = shape[:, 1] - shape[:, 0]
 
@@ -296,9 +306,10 @@ def matched(table: pa.Table, parts: int) -> pa.Table:
         reach[rank] = np.maximum(shared, after) * 8 + 8
         alike = np.zeros(len(docs), bool)
         alike[rank] = np.maximum(shared, after) * 8 >= GRAM
-        hits = [repeats(data, begin[rows], shape[rows], reach[rows], rows) for rows in alike_chunks(rank, shared, alike)]
+        hits = [repeats(data, begin[rows], shape[rows], reach[rows], rows, number[rows] << np.uint64(32) | firsts[rows].astype(np.uint64))
+                for rows in alike_chunks(rank, shared, alike)]
         rows, low, high = (np.concatenate(x) for x in zip(*hits)) if hits else [np.zeros(0, np.int64)] * 3
-        found_docs.append(docs[rows])
+        found_docs.append(keys[rows])
         found.append(np.stack([firsts[rows] + low, firsts[rows] + high + LENGTH], axis=1).astype(np.uint32))
     all_docs = np.concatenate(found_docs) if found_docs else np.zeros(0, np.int64)
     spans = np.concatenate(found) if found else np.zeros((0, 2), np.uint32)
@@ -319,8 +330,11 @@ def alike_chunks(rank, shared, alike, most: int = 15_000):
             start = rows_of[k + 1]
 
 
-def repeats(data, begin, shape, reach, rows):
-    """Of entries in the order of their documents: those with strings seen before, and the first and last such string."""
+def repeats(data, begin, shape, reach, rows, at):
+    """Of entries in the order of their documents: those with strings seen before, and the first and last such string.
+
+    ``at`` has the document's number above and the first start below: only a string with a smaller one was seen before.
+    """
     base = np.uint64(0x9E3779B97F4A7C15)
     power = np.cumprod(np.full(REACH + 1, base, np.uint64))
     inverse = np.cumprod(np.full(REACH + 1, np.uint64(pow(int(base), -1, 1 << 64)), np.uint64))
@@ -342,11 +356,14 @@ def repeats(data, begin, shape, reach, rows):
         offsets.append(o)
     keys, entries, offsets = np.concatenate(keys), np.concatenate(entries), np.concatenate(offsets)
     order = np.argsort(keys, kind="stable")
-    again = np.concatenate([[False], keys[order][1:] == keys[order][:-1]]) if len(keys) else np.zeros(0, bool)
-    seen = np.sort(order[again])
+    ranked = keys[order]
+    fresh = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]])[:len(keys)])
+    places = (at[entries] + offsets.astype(np.uint64))[order]
+    earliest = np.minimum.reduceat(places, fresh) if len(keys) else places
+    seen = np.sort(order[places > np.repeat(earliest, np.diff(np.append(fresh, len(keys))))])
     entries, offsets = entries[seen], offsets[seen]
     first = np.flatnonzero(np.concatenate([[True], entries[1:] != entries[:-1]])) if len(entries) else np.zeros(0, np.int64)
-    last = np.append(first[1:], len(entries)) - 1
+    last = (np.append(first[1:], len(entries)) - 1)[:len(first)]
     return rows[entries[first]], offsets[first], offsets[last]
 
 
@@ -379,7 +396,7 @@ def removed(batches):
                                          names=["id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
 
-#: Stands for a null doc_id inside; such rows count as the first document.
+#: Stands for a null doc_id inside; such rows count as the first document, each with its own spans.
 NO_ID = -(1 << 63)
 
 
@@ -387,27 +404,29 @@ def repeated_substrings(docs: DataFrame) -> DataFrame:
     """What is left of each text of ``docs`` (doc_id, text) without 100-byte strings that occur earlier.
 
     Texts are bytes of UTF-8; null is empty. A string is earlier in a smaller doc_id, or at
-    an earlier start of the same one; a null id comes first. Rows that repeat an id are one
-    document whose equal starts don't count as earlier, and share each other's spans.
+    an earlier start of the same one; a null id comes first. Texts that share an id, or have
+    none, are one document whose equal starts don't count as earlier; each loses its own spans
+    only. Rows that repeat an id and a text get equal results.
     Returns doc_id, n_bytes, n_removed, n_spans, kept_sha256, one row per row.
     """
-    rows = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), F.col("text").cast("binary").alias("raw"))
+    raw = F.col("text").cast("binary")
+    rows = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), F.xxhash64("doc_id", raw).alias("key"), raw.alias("raw"))
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = int(min(32768, max(8, -(-total * 2 // WINDOW // BUCKET_ANCHORS))))
     ranges = int(min(32768, max(8, -(-total // RANGE_BYTES))))
-    asked = rows.mapInArrow(lambda b: ask_grams(b, buckets), ASKED)
+    asked = rows.select("key", "raw").mapInArrow(lambda b: ask_grams(b, buckets), ASKED)
     echoed = (asked.repartition(buckets, "bucket").groupBy("bucket")
               .applyInArrow(lambda t: repeated_grams(t, buckets), "part int, docs binary, places binary"))
     places = stored(echoed.repartition(buckets, "part").groupBy("part").applyInArrow(
-        lambda t: by_document(t, "places", 3), "id long, places binary"), "anchors")
-    sample = rows.where(share(F.col("id"), 11) < min(1.0, SAMPLE_BYTES / max(1, total))).select("id", "raw")
+        lambda t: by_document(t, "places", 3), "key long, places binary"), "anchors")
+    sample = rows.where(share(F.col("id"), 11) < min(1.0, SAMPLE_BYTES / max(1, total))).select("key", "raw")
     leads = np.sort(np.array([r[0] for r in sample.mapInArrow(sampled_leads, "lead long").collect()], np.int64).view(np.uint64))
     splitters = np.unique(leads[np.arange(1, ranges) * len(leads) // ranges]) if len(leads) else leads
-    cut = (rows.join(places, "id").select("id", "raw", "places").mapInArrow(lambda b: suffixes(b, splitters), SUFFIXES))
+    cut = (rows.join(places, "key").select("id", "key", "raw", "places").mapInArrow(lambda b: suffixes(b, splitters), SUFFIXES))
     spans = (cut.repartition(len(splitters) + 1, "range").groupBy("range")
              .applyInArrow(lambda t: matched(t, buckets), "part int, docs binary, spans binary"))
     spans = stored(spans.repartition(buckets, "part").groupBy("part").applyInArrow(
-        lambda t: by_document(t, "spans", 2), "id long, spans binary"), "spans")
-    out = rows.join(spans, "id", "left").select("id", "raw", "spans").mapInArrow(
+        lambda t: by_document(t, "spans", 2), "key long, spans binary"), "spans")
+    out = rows.join(spans, "key", "left").select("id", "raw", "spans").mapInArrow(
         removed, "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
     return out.select(F.when(F.col("id") != NO_ID, F.col("id")).alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")

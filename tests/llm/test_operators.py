@@ -129,6 +129,29 @@ def test_substrings(spark):
         assert got[doc] == (len(data), sum(cut), runs, hashlib.sha256(kept).hexdigest()), doc
 
 
+def test_substrings_of_rows_that_share_an_id(spark):
+    rng = random.Random(14)
+    text = lambda n: "".join(rng.choices("abcdefgh", k=n))
+    shared, own, tail, late = text(150), text(250), text(130), text(140)
+    rows = [(1, own), (1, own), (1, own), (None, shared + text(300)), (None, text(40) + shared), (None, text(460)),
+            (2, tail + "x"), (2, tail + "y"), (3, own + "z"), (4, late + text(90)), (4, text(60) + late), (None, None)]
+    got = substring_dedup.repeated_substrings(documents(spark, rows)).collect()
+    assert len(got) == len(rows)
+    first = {}
+    order = lambda d: -1 if d is None else d
+    for d, t in rows:
+        for k in range(len(t or "") - 99):
+            first[t[k:k + 100]] = min(first.get(t[k:k + 100], (9, 0)), (order(d), k))
+    want = []
+    for d, t in rows:
+        t = t or ""
+        cut = {j for k in range(len(t) - 99) if first[t[k:k + 100]] < (order(d), k) for j in range(k, k + 100)}
+        kept = "".join(c for j, c in enumerate(t) if j not in cut)
+        want.append((order(d), len(t), len(cut), hashlib.sha256(kept.encode()).hexdigest()))
+    assert sorted((order(r.doc_id), r.n_bytes, r.n_removed, r.kept_sha256) for r in got) == sorted(want)
+    assert {w[2] for w in want} == {0, 150, 250, 140}
+
+
 def test_long_texts_go_in_stretches():
     text = bytes(random.Random(2).choices(b"abc", k=5000))
     import pyarrow as pa
