@@ -31,6 +31,8 @@ BOILERPLATE = frozenset(
     "popup modal overlay newsletter subscribe subscription signup login comment comments reply replies respond disqus "
     "discussion share sharing social related recommended toolbar pagination pager search widget contentinfo "
     "complementary alertdialog skip copyright paywall".split())
+# Words before such a word in one name that make it say how a page is laid out.
+LAYOUT = frozenset("with without has no not".split())
 
 TOKEN = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*>|<(/?)([A-Za-z][^\s/>]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)/?>", re.S)
 LOOSE = re.compile(r"<(/?)([A-Za-z][^\s/>]*)([^>]*)>", re.S)
@@ -55,8 +57,13 @@ def boilerplate(tag: str, attributes: str, inside: bool) -> bool:
         return False
     if HIDDEN.search(" " + attributes):
         return True
+    if tag in HEADINGS:
+        return False
     for name, *values in NAMED.findall(attributes):
-        words = {w.lower() for w in PIECES.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", "".join(values)))}
+        words = set()
+        for value in "".join(values).split():
+            pieces = [w.lower() for w in PIECES.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", value))]
+            words.update(w for before, w in zip(["", *pieces], pieces) if before not in LAYOUT)
         if words & BOILERPLATE or name.lower() == "role" and words & {"banner", "form", "alert"}:
             return True
     return False

@@ -426,6 +426,12 @@ def test_html(body, want):
     assert html_text.main_text(PAGE.format(body=body)) == want
 
 
+@pytest.mark.parametrize("opening", ["<div id=content class='post with-sidebar'>", "<div class='wrapper no-sidebar'>", "<div class=hasSidebar>"])
+def test_html_layout_names_and_headings_stay(opening):
+    body = opening + "<h2 id='related-work'>Related work</h2><p>Some text here, long enough.</p><h2 id='search'>Search</h2><p>More of it, as long.</p></div>"
+    assert html_text.main_text(PAGE.format(body=body)) == "Related work\nSome text here, long enough.\nSearch\nMore of it, as long."
+
+
 def test_html_rows(spark):
     pages = spark.createDataFrame([(1, "u", None, "x"), (2, None, "", "x"), (3, "u", "plain < text", "x"), (3, "u", "<p>" * 3000 + "deep", "x"),
                                    (4, "u", "<p>é " * 50000, "x")], "page_id long, url string, html string, text string")
