@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import embedding_dedup, exact_dedup, html_text, jaccard_join, language_id, lm_scoring, mixing, packing, substring_dedup, toxicity
+from . import (
+    embedding_dedup, exact_dedup, fingerprints, hard_negatives, html_text, jaccard_join, language_id, lm_scoring, mixing, packing,
+    reversed_search, substring_dedup, toxicity)
 from .common import table
 
 
@@ -48,10 +50,25 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
+def op13_reversed_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reversed_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {"op10_jaccard_join": op10_jaccard_join, "op1_substring_dedup": op1_substring_dedup,
            "op2_toxicity": op2_toxicity, "op3_mixing": op3_mixing, "op4_lm_scoring": op4_lm_scoring, "op5_embedding_dedup": op5_embedding_dedup,
            "op6_language_id": op6_language_id,
            "op7_exact_dedup": op7_exact_dedup,
-           "op8_html_text": op8_html_text, "op9_packing": op9_packing}
+           "op8_html_text": op8_html_text, "op9_packing": op9_packing, "op11_fingerprints": op11_fingerprints,
+           "op12_hard_negatives": op12_hard_negatives, "op13_reversed_search": op13_reversed_search}
 ORACLES = {"op3_mixing": mixing.ORACLE, "op5_embedding_dedup": embedding_dedup.ORACLE,
-           "op10_jaccard_join": jaccard_join.ORACLE, "op7_exact_dedup": exact_dedup.ORACLE}
+           "op10_jaccard_join": jaccard_join.ORACLE, "op7_exact_dedup": exact_dedup.ORACLE,
+           "op11_fingerprints": fingerprints.ORACLE, "op12_hard_negatives": hard_negatives.ORACLE,
+           "op13_reversed_search": reversed_search.ORACLE}
