@@ -1,15 +1,10 @@
 """The pipeline's stages against plain Python, each on what its predecessor kept."""
 
-import os
 import re
-import sys
 
-sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
-
-from test_operators import DOCS, corpus, roots_of, words_of  # noqa: E402
-
-import corpus_pipeline  # noqa: E402
-from kpiloom.llm.common import stored  # noqa: E402
+import corpus_pipeline
+from kpiloom.llm.common import stored
+from llm_helpers import DOCS, corpus, roots_of, words_of
 
 COLUMNS = "doc_id long, text string, lang string, source string, n_chars long"
 
