@@ -3,9 +3,10 @@
 One bigram model per class, learned from a bounded labelled sample. Lower orders count
 continuations: a word's distinct predecessors in its class, backing off to the counts of
 both classes together; words that are rare in both are known by their first letters.
-Both models' log-likelihoods are compared per word over the whole text and over its most
-toxic short stretches, and a logistic fit on labelled rows that the models have not
-seen turns these length-normalised comparisons into a score.
+Both models' log-likelihoods are compared per word: by their mean over the text, and by the
+shares of its words that are likelier in toxic text by so many steps. A logistic fit on
+labelled rows that the models have not seen turns these comparisons into a score. None of
+them grows with the text's length, as the ratio of its most toxic word or stretch would.
 """
 
 from __future__ import annotations
@@ -27,8 +28,10 @@ RARE, STEM = 4, 4
 #: Pairs of words that the bigram level keeps.
 PAIR_COUNT = 5
 DISCOUNT = 0.75
-#: Words of a stretch.
-STRETCH = 6
+#: Log ratios above which the shares of words are taken, and words by which a short text's shares shrink.
+STEPS, SHRINK = (1.0, 2.0, 3.0, 4.0, 6.0), 20
+NAMES = ("whole", *(f"above{k}" for k in range(len(STEPS))))
+KINDS = ", ".join(f"{name} double" for name in NAMES)
 
 
 #: Letters of any script in lower case; everything else parts words.
@@ -114,22 +117,21 @@ def fit_ratios(sample: DataFrame) -> Ratios:
     return Ratios(ratios, pairs, {h: math.log(b[1] / b[0]) for h, b in back.items()}, unseen)
 
 
-def features(ratios: np.ndarray) -> tuple[float, float, float]:
-    """Mean log ratio per word of the text, of its most toxic stretch, and of its most toxic word."""
+def features(ratios: np.ndarray) -> tuple[float, ...]:
+    """Mean log ratio per word, and the square roots of the shares of words above each step."""
     if not len(ratios):
-        return 0.0, 0.0, 0.0
-    run = np.concatenate([[0.0], np.cumsum(ratios)])
-    width = min(STRETCH, len(ratios))
-    return float(ratios.mean()), float((run[width:] - run[:-width]).max() / width), float(ratios.max())
+        return (0.0,) * len(NAMES)
+    shares = [(ratios > step).sum() / (len(ratios) + SHRINK) for step in STEPS]
+    return float(ratios.mean()), *(math.sqrt(x) for x in shares)
 
 
 def measured(batches, model):
     for batch in batches:
         ids, raws = batch.columns
         rows = [features(model.value.of(words_of(r))) for r in raws.to_pylist()]
-        columns = list(zip(*rows)) or [[]] * 3
+        columns = list(zip(*rows)) or [[]] * len(NAMES)
         yield pa.RecordBatch.from_arrays([ids, *(pa.array(c, pa.float64()) for c in columns)],
-                                         names=["id", "whole", "stretch", "word"])
+                                         names=["id", *NAMES])
 
 
 def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
@@ -151,13 +153,14 @@ def toxicity(docs: DataFrame, labels: DataFrame, folds: int = 5, sample_bytes: i
     """Score every row of ``docs`` (doc_id, text); ``labels`` (doc_id, toxic) teach outside fold 0.
 
     Returns doc_id, held_out, score, predicted. A null or empty text has no word to compare
-    and gets the score of three zero comparisons. Where one class has no labelled row, every score
+    and gets the score of zero comparisons. Where one class has no labelled row, every score
     is 0 (or 1, if only toxic rows are known). Ids with contradictory labels count as toxic.
     """
     spark = docs.sparkSession
     raw = F.col("text").cast("binary").alias("raw")
     label = labels.where("toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    known = (docs.where(fold("doc_id", folds) != 0).select("doc_id", F.octet_length("text").alias("size"))
+    known = (docs.where(fold("doc_id", folds) != 0)
+             .select("doc_id", F.octet_length("text").alias("size"))
              .where("size > 0").join(label, "doc_id")
              .select("doc_id", "toxic", "size", (share(F.col("doc_id"), 21) < 0.25).alias("checks")))
     sizes = {(r[0], r[1]): r[2] for r in known.groupBy("toxic", "checks").agg(F.sum("size")).collect()}
@@ -181,14 +184,13 @@ def toxicity(docs: DataFrame, labels: DataFrame, folds: int = 5, sample_bytes: i
         return sample.where(F.col("checks") == checks) if parted else sample
 
     model = spark.sparkContext.broadcast(fit_ratios(drawn(False).select("toxic", "raw")))
-    kinds = "whole double, stretch double, word double"
     seen = drawn(True).select(F.col("toxic").cast("long"), "raw").mapInArrow(
-        lambda batches: measured(batches, model), f"toxic long, {kinds}").collect()
-    x = np.array([r[1:] for r in seen], np.float64).reshape(-1, 3)
+        lambda batches: measured(batches, model), f"toxic long, {KINDS}").collect()
+    x = np.array([r[1:] for r in seen], np.float64).reshape(-1, len(NAMES))
     y = np.array([r[0] for r in seen], np.float64)
     order = np.lexsort((*x.T, y))
     beta = logistic(x[order], y[order], np.where(y[order] == 1, 1 / rate[1, True], 1 / rate[0, True]) * min(rate[1, True], rate[0, True]))
-    margin = F.col("whole") * float(beta[0]) + F.col("stretch") * float(beta[1]) + F.col("word") * float(beta[2]) + float(beta[3])
-    scored = docs.select("doc_id", raw).mapInArrow(lambda batches: measured(batches, model), f"doc_id long, {kinds}")
+    margin = sum((F.col(name) * float(b) for name, b in zip(NAMES, beta)), F.lit(float(beta[-1])))
+    scored = docs.select("doc_id", raw).mapInArrow(lambda batches: measured(batches, model), f"doc_id long, {KINDS}")
     out = scored.select("doc_id", held, (1 / (1 + F.exp(-margin))).alias("score"))
     return out.select("*", (F.col("score") >= 0.5).cast("int").alias("predicted"))

@@ -280,6 +280,62 @@ def test_toxicity(spark):
     assert {(r.score, r.predicted) for r in none} == {(0.0, 0)}
 
 
+def test_clean_texts_of_any_length_score_alike(spark):
+    rng = random.Random(12)
+    syllables = ["an", "er", "on", "the", "re", "in", "ou", "st"]
+    rows, labels = [], []
+    for i in range(800):
+        toxic = i % 8 == 0
+        words = prose(rng, syllables, rng.choice([30, 100, 300, 1500])).split()
+        for _ in range(len(words) // 40 + 1 if toxic else 0):
+            words[rng.randrange(len(words))] = rng.choice(["vilest", "viler", "rotten", "foul", "crass"])
+        rows.append((i, " ".join(words)))
+        labels.append((i, 0, int(toxic)))
+    got = toxicity.toxicity(documents(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()
+    clean = [(len(rows[r.doc_id][1].split()), r.score) for r in got if r.held_out and r.doc_id % 8]
+    by_length = {n: [s for k, s in clean if k == n] for n in (30, 100, 300, 1500)}
+    assert all(len(s) > 10 and max(s) < 0.5 and sum(s) / len(s) < 0.1 for s in by_length.values())
+    toxic = [r.predicted for r in got if r.held_out and r.doc_id % 8 == 0]
+    assert sum(toxic) >= 0.9 * len(toxic)
+
+
+def kneser_ney(texts, toxic):
+    """log P(word | before, class) of plain Kneser-Ney bigrams over distinct texts, lower order shared by the classes."""
+    pairs = [{}, {}]
+    for text, label in {(t, c) for t, c in zip(texts, toxic)}:
+        words = toxicity.words_of(text.encode())
+        for pair in set(zip([b"", *words], words)):
+            pairs[label][pair] = pairs[label].get(pair, 0) + 1
+    before = [{w: sum(x[1] == w for x in p) for w in {x[1] for x in p}} for p in pairs]
+    known = {w: tuple(b.get(w, 0) for b in before) for w in {*before[0], *before[1]}}
+    assert all(sum(k) >= toxicity.RARE for k in known.values())
+    total = [sum(k[c] for k in known.values()) for c in (0, 1)]
+    kinds = [sum(k[c] > 0 for k in known.values()) for c in (0, 1)]
+
+    def p(h, w, c):
+        k = known[w]
+        shared = (sum(k) + 1) / (sum(total) + len(known) + 1)
+        lower = (max(k[c] - 0.75, 0) + (0.75 * kinds[c] + 1) * shared) / (total[c] + 1)
+        seen = [n for x, n in pairs[c].items() if x[0] == h]
+        if any(sum(n for x, n in pairs[d].items() if x[0] == h) < 20 for d in (0, 1)):
+            return lower
+        return max(pairs[c].get((h, w), 0) - 0.75, 0) / sum(seen) + 0.75 * len(seen) / sum(seen) * lower
+    return lambda h, w: np.log(p(h, w, 1) / p(h, w, 0)), [x for x in {*pairs[0], *pairs[1]}
+                                                           if sum(q.get(x, 0) for q in pairs) >= toxicity.PAIR_COUNT]
+
+
+def test_ratios_are_those_of_plain_kneser_ney(spark):
+    rng = random.Random(13)
+    texts = [" ".join(rng.choices(["aa", "bb", "cc", "dd", "ee", "ff"], k=6)) + (" gg" if k % 3 == 0 else "") for k in range(150)]
+    labels = [int(k % 3 == 0) for k in range(150)]
+    sample = spark.createDataFrame([(c, bytearray(t.encode())) for t, c in zip(texts, labels)], "toxic int, raw binary")
+    ratios, (plain, pairs) = toxicity.fit_ratios(sample), kneser_ney(texts, labels)
+    assert len(pairs) > 20
+    for h, w in pairs:
+        got = ratios.of([h, w])[1] if h else ratios.of([w])[0]
+        assert got == pytest.approx(plain(h, w))
+
+
 def test_scores(spark):
     rows = corpus()
     got = {r.doc_id: r for r in lm_scoring.score_documents(documents(spark, rows)).collect()}
