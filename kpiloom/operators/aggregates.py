@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from kpiloom.constants import TOTAL
 from kpiloom.functions.dates import month_start
@@ -17,14 +17,43 @@ def zero_sum(col: str | Column) -> Column:
     return F.coalesce(F.sum(col), F.lit(0))
 
 
-def count_distinct(df: DataFrame, by: list[str], cols: Mapping[str, str]) -> DataFrame:
-    """Exact distinct counts; ``cols`` maps output names to columns."""
-    return df.groupBy(*by).agg(*[F.countDistinct(c).alias(out) for out, c in cols.items()])
+def as_id(df: DataFrame, col: str | Column) -> Column:
+    """A text that is equal for equal values and differs for different ones."""
+    c = F.col(col) if isinstance(col, str) else col
+    kind = df.select(c.alias("c")).schema["c"].dataType
+    if isinstance(kind, T.TimestampType):  # its text repeats in the hour that a clock is set back
+        return F.unix_micros(c).cast("string")
+    if isinstance(kind, (T.DoubleType, T.FloatType)):  # 0 and -0 are equal
+        return (c + F.lit(0).cast(kind)).cast("string")
+    if isinstance(kind, T.BinaryType):
+        return F.hex(c)
+    return c.cast("string") if isinstance(kind, T.AtomicType) else F.when(c.isNotNull(), F.to_json(F.struct(c)))
 
 
-def count_distinct_if(df: DataFrame, by: list[str], col: str, cond: Column, name: str) -> DataFrame:
-    """Distinct values among the rows meeting ``cond``; groups without any count 0."""
-    return df.groupBy(*by).agg(F.countDistinct(F.when(cond, F.col(col))).alias(name))
+def count_distinct(df: DataFrame, by: list[str], cols: Mapping[str, str | Column]) -> DataFrame:
+    """Exact distinct counts; ``cols`` maps output names to columns or expressions.
+
+    With several columns, a row becomes one (group, kind, value) row per column. Those are
+    made distinct, with map-side combining, over a shuffle that spreads each group by its
+    values, and then only counted.
+    """
+    names = list(cols)
+    if len(names) == 1:
+        return df.groupBy(*by).agg(F.countDistinct(cols[names[0]]).alias(names[0]))
+    ids = F.array(*[F.struct(F.lit(k).alias("kind"), as_id(df, cols[out]).alias("id")) for k, out in enumerate(names)])
+    values = df.select(*by, F.explode(ids).alias("e")).select(*by, "e.kind", "e.id").distinct()
+    known = F.col("id").isNotNull()
+    return values.groupBy(*by).agg(*[F.count_if((F.col("kind") == k) & known).alias(out) for k, out in enumerate(names)])
+
+
+def count_distinct_if(df: DataFrame, by: list[str], col: str | Mapping[str, tuple[str, Column]], cond: Column | None = None,
+                      name: str | None = None) -> DataFrame:
+    """Distinct values among the rows meeting ``cond``; groups without any count 0.
+
+    For several counts at once, ``col`` maps output names to (column, condition).
+    """
+    wanted = col if isinstance(col, Mapping) else {name: (col, cond)}
+    return count_distinct(df, by, {out: F.when(c, F.col(value)) for out, (value, c) in wanted.items()})
 
 
 def count_if(df: DataFrame, by: list[str], conds: Mapping[str, Column]) -> DataFrame:

@@ -74,8 +74,40 @@ def range_membership(daily: DataFrame, date_col: str, anchor, width: int, n: int
     """Number the ``width``-day bucket of each date, 0 ending at ``anchor``.
 
     The bucket is arithmetic on the day distance, so no range join is needed; dates
-    outside the ``n`` buckets are dropped.
+    outside the ``n`` buckets are dropped by bounds on the column itself, which reach the scan.
     """
-    age = F.date_diff(anchor, F.col(date_col))
-    return (daily.filter((age >= 0) & (age < width * n))
-            .withColumn("bucket", F.floor(age / width).cast("int")))
+    inside = (F.col(date_col) >= F.date_sub(anchor, width * n - 1)) & (F.col(date_col) < F.date_add(anchor, 1))
+    return daily.filter(inside).withColumn("bucket", F.floor(F.date_diff(anchor, F.col(date_col)) / width).cast("int"))
+
+
+def period_membership(daily: DataFrame, date_col: str, periods: DataFrame, start: str = "start", end: str = "end",
+                      bin_days: int = 32) -> DataFrame:
+    """Each row of ``daily`` beside every period of ``periods`` that its date lies in, both ends included.
+
+    Periods may overlap, leave gaps, and be of any length; one without a start or an end, or
+    that ends before it starts, holds no date. Dates and periods meet by bins of ``bin_days`` days, a
+    join on equal keys, and then by their exact bounds. Columns of ``periods`` must not
+    repeat those of ``daily``.
+    """
+    number = lambda c: F.floor(F.date_diff(F.to_date(c), F.lit("1970-01-01").cast("date")) / bin_days)
+    spans = periods.filter(F.col(start) <= F.col(end))
+    binned = spans.select("*", F.explode(F.sequence(number(start), number(end))).alias("__bin"))
+    first, last = (spans.agg(f(F.to_date(c)).alias("d")).scalar() for f, c in ((F.min, start), (F.max, end)))
+    dated = daily.filter((F.col(date_col) >= first) & (F.col(date_col) < F.date_add(last, 1)))
+    met = dated.withColumn("__bin", number(date_col)).join(binned, "__bin")
+    return met.filter(F.to_date(date_col).between(F.to_date(start), F.to_date(end))).drop("__bin")
+
+
+def period_sums(daily: DataFrame, date_col: str, periods: DataFrame, measures: Iterable[str], start: str = "start",
+                end: str = "end") -> DataFrame:
+    """Sums of ``measures`` over each row of ``periods``; 0 for a period without rows.
+
+    Days are summed before they meet the periods, so a fact is shuffled by day only.
+    """
+    measures, keys = list(measures), periods.columns
+    days = daily.groupBy(F.to_date(date_col).alias("__day")).agg(*[F.sum(m).alias(f"__{m}") for m in measures])
+    met = period_membership(days, "__day", periods.distinct(), start, end)
+    sums = met.groupBy(*keys).agg(*[F.sum(f"__{m}").alias(m) for m in measures])
+    all_keys = periods.alias("p").join(sums.alias("s"), [F.col(f"p.{k}").eqNullSafe(F.col(f"s.{k}")) for k in keys], "left")
+    return all_keys.select(*[F.col(f"p.{k}").alias(k) for k in keys],
+                           *[F.coalesce(F.col(f"s.{m}"), F.lit(0)).alias(m) for m in measures])

@@ -56,14 +56,14 @@ def unit_economics(df: DataFrame) -> DataFrame:
     })
 
 
-def _growth_columns(growth: DataFrame, period: str) -> DataFrame:
+def growth_columns(growth: DataFrame, period: str) -> DataFrame:
     return unit_economics(growth.select(period, *GROWTH_MEASURES)).drop("TSIE_total")
 
 
 def weekly_kpis(growth: DataFrame, visits: DataFrame, cvr: DataFrame, store_growth: DataFrame,
                 as_of: DateLike) -> DataFrame:
     """Closed weeks with unit economics, visits, conversion and active stores."""
-    weeks = cutoff_filter(_growth_columns(growth, "Fecha"), "Fecha", as_of, "week")
+    weeks = cutoff_filter(growth_columns(growth, "Fecha"), "Fecha", as_of, "week")
     return enrich_period(weeks, [
         visits.select("Fecha", "Visitas"),
         cvr.select(F.col("Semana").alias("Fecha"), "CVR", "Buyers"),
@@ -76,7 +76,7 @@ def monthly_kpis(growth: DataFrame, visits: DataFrame, cvr: DataFrame, store_gro
 
     Purchases, buyers and visitors are sums of the finer period's distinct counts.
     """
-    months = cutoff_filter(_growth_columns(sum_to_period(growth, "Fecha", GROWTH_MEASURES), "Mes"),
+    months = cutoff_filter(growth_columns(sum_to_period(growth, "Fecha", GROWTH_MEASURES), "Mes"),
                            "Mes", as_of, "month")
     people = sum_to_period(cvr, "Semana", ["Buyers", "Visitors"])
     stores = store_growth.withColumn("Mes", month_start(F.col("Semana")))
@@ -89,7 +89,7 @@ def monthly_kpis(growth: DataFrame, visits: DataFrame, cvr: DataFrame, store_gro
 def daily_kpis(growth: DataFrame, visits: DataFrame, cvr: DataFrame, as_of: DateLike,
                days: int = DAILY_WINDOW_DAYS) -> DataFrame:
     """The last ``days`` days with unit economics, visits and conversion."""
-    window = last_n_days(_growth_columns(growth, "Fecha"), "Fecha", as_of, days)
+    window = last_n_days(growth_columns(growth, "Fecha"), "Fecha", as_of, days)
     return enrich_period(window, [visits.select("Fecha", "Visitas"), cvr.select("Fecha", "Buyers", "CVR")], "Fecha")
 
 
