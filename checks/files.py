@@ -171,6 +171,20 @@ def _(spark, sf):
     return _assortment_file(spark, sf).select("row_no", F.get("cells", F.lit(0)).alias("sheet"), F.get("cells", F.lit(1)).alias("head"), _filled())
 
 
+@check("scan_sheet_quotes", """SELECT row_number() OVER (ORDER BY o_orderkey) - 1 AS row_no, CAST(o_orderkey AS VARCHAR) AS key,
+  o_orderkey % 7 || '" wide' AS width, 'see, "' || o_orderpriority || '"' || chr(10) || 'end' AS note, o_orderstatus AS status FROM orders""")
+def _(spark, sf):
+    """Stray quotes, and quoted cells with commas, doubled quotes and line breaks."""
+    width, note = F.concat((F.col("o_orderkey") % 7).cast("string"), F.lit('" wide')), F.concat(
+        F.lit('"see, ""'), "o_orderpriority", F.lit('""\nend"'))
+    lines = b.scan_table(spark, "orders", sf).orderBy("o_orderkey").select(
+        F.concat_ws(",", F.col("o_orderkey").cast("string"), width, note, "o_orderstatus").alias("value"))
+    path = shared_path(spark, "quoted-sheet")
+    lines.write.text(path)
+    cell = lambda k, name: F.get("cells", F.lit(k)).alias(name)
+    return sources.scan_plan_sheet(spark, path).select("row_no", cell(0, "key"), cell(1, "width"), cell(2, "note"), cell(3, "status"))
+
+
 @check("plan_monthly", f"SELECT CAST(year(Fecha) AS INTEGER) AS sheet, {month('Fecha')} AS Mes, sum(NMV_V2) AS NMV_V2, sum(NMV_48) AS \"NMV_4+8\" FROM plan GROUP BY 1, 2")
 def _(spark, sf):
     months = plans.plan_monthly(b.plan_sheet(spark, sf), F.col("sheet"), ["sheet"])

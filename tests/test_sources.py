@@ -1,7 +1,10 @@
 """Files, sheets, documents and batches."""
 
+import csv
 import datetime as dt
+import io
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -123,6 +126,43 @@ def test_sheets_keep_all_cells_and_quoted_line_breaks(spark, tmp_path):
                        (4, ["last"])]
 
 
+def read_sheet(spark, path, split):
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        return [tuple(r) for r in sources.scan_plan_sheet(spark, str(path)).orderBy("row_no").collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_a_stray_quote_is_a_character(spark, tmp_path):
+    (tmp_path / "s.csv").write_text('a,b\n5" screen,2\nc,"3"\nd "x",4"\n"e" f,"g""h"" i"j"\n')
+    for split in ("4", "1m"):
+        assert read_sheet(spark, tmp_path, split) == [
+            (0, ["a", "b"]), (1, ['5" screen', "2"]), (2, ["c", "3"]), (3, ['d "x"', '4"']), (4, ["e f", 'g"h" ij"'])]
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_sheets_are_read_as_the_csv_module_reads_them(spark, tmp_path, seed):
+    rng, want = random.Random(seed), []
+    for name in "abc":
+        text = "".join(rng.choices('"",,\nxy', k=rng.choice([40, 150]))) + rng.choice(["", "\n", '"\n', ',"open\nto the end'])
+        (tmp_path / f"{name}.csv").write_text(text)
+        want += csv.reader(io.StringIO(text.removesuffix("\n"), newline=""))
+    # a blank line and one with an empty cell read alike here
+    plain = lambda rows: [[] if row in ([""], [None]) else [c or "" for c in row] for row in rows]
+    for split in ("2", "1m"):
+        got = read_sheet(spark, tmp_path, split)
+        assert [k for k, _ in got] == list(range(len(want)))
+        assert plain(row for _, row in got) == plain(want), split
+
+
+def test_an_open_quote_ends_with_its_file(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('a,"open\nb,c\n')
+    (tmp_path / "b.csv").write_text("d,e\n")
+    assert read_sheet(spark, tmp_path, "3") == [(0, ["a", "open\nb,c"]), (1, ["d", "e"])]
+
+
 def test_json_documents_per_period(spark, tmp_path):
     mart = spark.createDataFrame([(d(2026, 1, 4), "a", 1.0, None), (d(2026, 1, 4), None, 0.5, 1), (d(2026, 1, 4), "x/y~", 2.5, 2),
                                   (d(2026, 1, 11), 'q"', 2.0, 3), (None, "a", 9.0, 9)], "p date, s string, x double, y int")
