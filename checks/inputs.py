@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from checks.registry import shared_path
 from kpiloom import bindings as b, plans
 from kpiloom.operators.periods import within_days
+from kpiloom.session import materialise
 
 SCOPE = {"site": "S1", "marketplace": "TM", "pick_keys": b.PICK_KEYS}
 START = "1995-01-03"
@@ -80,22 +82,27 @@ def k_month(spark: SparkSession, sf: str) -> DataFrame:
     return plans.monthly_kpis(plans.growth_of_lines(lines, "day"), v_day(spark, sf), c_week(spark, sf), by_store, AS_OF)
 
 
-def window(spark: SparkSession, sf: str, days: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Daily growth, visits and conversion of the last ``days`` days with sales; only those are read."""
+def window(spark: SparkSession, sf: str, days: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Daily growth, visits and conversion of the last ``days`` days with sales, and the last day; only those are read.
+
+    The day is a stored row: a plan that names it many times does not hold its pass over the lines each time.
+    """
     lines = b.order_lines(spark, sf)
-    anchor = plans.sales_anchor(lines, AS_OF, START, site="S1", marketplace="TM")
+    anchor = materialise(plans.sales_anchor(lines, AS_OF, START, site="S1", marketplace="TM"), shared_path(spark, "anchor"))
     recent = lambda df, column="day": within_days(df, column, anchor, days)
     sold = plans.growth_daily_net(recent(lines, "closed_at"), b.picks(spark, sf), START, **SCOPE)
     return (sold, plans.visits_daily(recent(b.order_visits(spark, sf))),
-            plans.cvr_daily(recent(b.order_buyers(spark, sf)), recent(b.order_traffic(spark, sf))))
+            plans.cvr_daily(recent(b.order_buyers(spark, sf)), recent(b.order_traffic(spark, sf))), anchor)
 
 
 def k_day(spark: SparkSession, sf: str) -> DataFrame:
-    return plans.daily_kpis(*window(spark, sf, 28), AS_OF)
+    *facts, anchor = window(spark, sf, 28)
+    return plans.daily_kpis(*facts, AS_OF, anchor=anchor)
 
 
 def rolled_28d(spark: SparkSession, sf: str) -> DataFrame:
-    return plans.rolling_28d(*window(spark, sf, 7 * 28), AS_OF)
+    *facts, anchor = window(spark, sf, 7 * 28)
+    return plans.rolling_28d(*facts, AS_OF, anchor)
 
 
 def nps(spark: SparkSession, sf: str) -> DataFrame:

@@ -126,7 +126,8 @@ LEFT JOIN {sums('c_day', 'sum(Buyers) / nullif(sum(Visitors), 0) AS CVR')} USING
 
 @check("rolling_7d", _rolling_sql(7, 14, "P"))
 def _(spark, sf):
-    return plans.rolling_7d(*i.window(spark, sf, 14 * 7), i.AS_OF)
+    *facts, anchor = i.window(spark, sf, 14 * 7)
+    return plans.rolling_7d(*facts, i.AS_OF, anchor)
 
 
 @check("rolling_28d", _rolling_sql(28, 7, "P28"))
@@ -415,7 +416,7 @@ SHOWN = {  # mart: (table, period, store, label, a measure)
     f"SELECT '{name}' AS mart, CAST({period} AS VARCHAR) AS period, CAST({store} AS VARCHAR) AS store, {label.format(period)} AS label, "
     f"CAST({measure} AS DOUBLE) AS measure FROM {table}" for name, (table, period, store, label, measure) in SHOWN.items()))
 def _(spark, sf):
-    growth, visits, cvr = i.window(spark, sf, 28)
+    growth, visits, cvr, _ = i.window(spark, sf, 28)
     days = {"growth_day": growth, "visits_day": visits, "cvr_day": cvr}
     rest = {"growth_week": i.g_week(spark, sf), "growth_week_store": i.g_week_store(spark, sf), "visits_week": i.v_week(spark, sf),
             "cvr_week": i.c_week(spark, sf), "ops_week": i.o_week(spark, sf), "ops_week_store": i.o_week_store(spark, sf),

@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from kpiloom.constants import CANCELLED, INVALID, LOOKBACK_DAYS
-from kpiloom.functions.dates import as_date, day_before, previous_month_end
+from kpiloom.functions.dates import as_date, day_before, previous_month_end, to_period
 from kpiloom.functions.retail import store_label as store_label_expr
 
 DateLike = str | dt.date
@@ -45,8 +45,16 @@ def tag_filter(df: DataFrame, tags: str | Column, substring: str) -> DataFrame:
     return df.filter(has_tag(F.col(tags) if isinstance(tags, str) else tags, substring))
 
 
-def store_filter(df: DataFrame, node_col: str, stores: Iterable[str]) -> DataFrame:
-    return df.filter(F.col(node_col).isin(*stores))
+def store_filter(df: DataFrame, node_col: str, stores: Iterable[str] | DataFrame, key: str = "node_id") -> DataFrame:
+    """Rows of the listed stores: a list in code, or the ``key`` column of a stores table.
+
+    A table becomes a semi join on the column itself. Spark broadcasts it if its size allows
+    and otherwise shuffles both; on a fact that is partitioned by the column, it prunes folders at run time.
+    """
+    if not isinstance(stores, DataFrame):
+        return df.filter(F.col(node_col).isin(*stores))
+    kept = stores.select(F.col(key).alias("__store")).distinct()
+    return df.join(kept, F.col(node_col) == F.col("__store"), "left_semi")
 
 
 def store_filter_cast(df: DataFrame, id_col: str, ids: Iterable[str]) -> DataFrame:
@@ -69,13 +77,25 @@ def equality_filter(df: DataFrame, **eq) -> DataFrame:
     return reduce(lambda d, kv: d.filter(F.col(kv[0]) == kv[1]), eq.items(), df)
 
 
-def lookback_filter(df: DataFrame, date_col: str, as_of: DateLike, days: int = LOOKBACK_DAYS) -> DataFrame:
+#: A column of a partitioned table that holds the day, week or month of a date, and which of them.
+Partition = tuple[str, str]
+
+
+def from_day(df: DataFrame, date_col: str, first: Column, partition: Partition | None = None) -> DataFrame:
+    """Rows from the day ``first`` on. With ``partition``, such as ``("month", "month")``, the table's folders
+    are pruned too, not only its row groups."""
+    kept = df.filter(F.col(date_col) >= first)
+    return kept if partition is None else kept.filter(F.col(partition[0]) >= to_period(first, partition[1]))
+
+
+def lookback_filter(df: DataFrame, date_col: str, as_of: DateLike, days: int = LOOKBACK_DAYS,
+                    partition: Partition | None = None) -> DataFrame:
     """Rows of the last ``days`` days before ``as_of`` (and later ones)."""
-    return df.filter(F.col(date_col) >= F.date_sub(as_date(as_of), days))
+    return from_day(df, date_col, F.date_sub(as_date(as_of), days), partition)
 
 
-def start_date_filter(df: DataFrame, date_col: str, start: DateLike | None) -> DataFrame:
-    return df if start is None else df.filter(F.col(date_col) >= as_date(start))
+def start_date_filter(df: DataFrame, date_col: str, start: DateLike | None, partition: Partition | None = None) -> DataFrame:
+    return df if start is None else from_day(df, date_col, as_date(start), partition)
 
 
 def like_filter(df: DataFrame, col: str, text: str) -> DataFrame:

@@ -13,22 +13,25 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from kpiloom.functions.dates import as_date, day_before
 from kpiloom.functions.numbers import round_half_up, safe_ratio
 from kpiloom.operators.aggregates import zero_sum
-from kpiloom.operators.filters import DateLike, ytd_filter
+from kpiloom.operators.filters import DateLike, Partition, from_day, ytd_filter
 from kpiloom.operators.joins import range_membership
 
 NEUTRAL_BELOW = 0.001
 
 
-def order_flag_window(lines: DataFrame, key: str, pred: Column, name: str = "order_flag") -> DataFrame:
+def order_flag_window(lines: DataFrame, key: str, pred: Column, name: str = "order_flag",
+                      known_keys: bool = False) -> DataFrame:
     """Add to every line 1 if any line of its order meets ``pred``, else 0.
 
     An aggregate joined back instead of a window: partial aggregation collapses an
     order of any size, and AQE can split the join partition of a hot order, while a
-    window would sort that order in one task.
+    window would sort that order in one task. Lines without a key are one order. ``known_keys``
+    says that there are none: the join is then on the key itself and uses its buckets.
     """
     flags = (lines.groupBy(F.col(key).alias("__key"))
              .agg(F.max(F.when(pred, 1).otherwise(0)).alias(name)))
-    return lines.join(flags, F.col(key).eqNullSafe(F.col("__key")), "left").drop("__key")
+    same = F.col(key) == F.col("__key") if known_keys else F.col(key).eqNullSafe(F.col("__key"))
+    return lines.join(flags, same, "left").drop("__key")
 
 
 def _ordered(key: list[str], order: str) -> Window:
@@ -103,11 +106,14 @@ def last_n_days(daily: DataFrame, date_col: str, as_of: DateLike, n: int,
     return daily.filter(F.col(date_col).between(F.date_sub(end, n - 1), end))
 
 
-def within_days(df: DataFrame, date_col: str, anchor: DataFrame, days: int) -> DataFrame:
+def within_days(df: DataFrame, date_col: str, anchor: DataFrame, days: int,
+                partition: Partition | None = None) -> DataFrame:
     """Rows of the ``days`` days up to the anchor. The bounds stand on the column itself, so
-    that they reach the scan of a fact; nothing is kept without an anchor."""
+    that they reach the scan of a fact, and on its ``partition`` column if there is one;
+    nothing is kept without an anchor."""
     end = anchor.scalar()
-    return df.filter((F.col(date_col) >= F.date_sub(end, days - 1)) & (F.col(date_col) < F.date_add(end, 1)))
+    kept = from_day(df, date_col, F.date_sub(end, days - 1), partition).filter(F.col(date_col) < F.date_add(end, 1))
+    return kept if partition is None else kept.filter(F.col(partition[0]) <= end)
 
 
 def rolling_sums(daily: DataFrame, date_col: str, anchor: DataFrame, width: int, n: int,
@@ -129,9 +135,12 @@ def rolling_spine(anchor: DataFrame, width: int, n: int, prefix: str) -> DataFra
 
 
 def rolling_periods(daily: DataFrame, as_of: DateLike, width: int, n: int, measures: list[str],
-                    date_col: str = "Fecha", prefix: str = "P") -> DataFrame:
-    """Sums over ``n`` consecutive buckets; a bucket without rows has nulls."""
-    anchor = rolling_anchor(daily, date_col, as_of)
+                    date_col: str = "Fecha", prefix: str = "P", anchor: DataFrame | None = None) -> DataFrame:
+    """Sums over ``n`` consecutive buckets; a bucket without rows has nulls.
+
+    A known ``anchor`` spares the plan another copy of ``daily``.
+    """
+    anchor = anchor if anchor is not None else rolling_anchor(daily, date_col, as_of)
     sums = rolling_sums(daily, date_col, anchor, width, n, measures)
     return rolling_spine(anchor, width, n, prefix).join(sums, "bucket", "left")
 

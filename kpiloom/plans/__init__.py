@@ -4,7 +4,8 @@ from kpiloom.plans.experience import (  # noqa: F401
     nps_monthly, nps_pivot)
 from kpiloom.plans.growth import (  # noqa: F401
     cancel_rate_weekly, growth, growth_daily, growth_daily_net, growth_daily_store, growth_weekly,
-    growth_of_lines, sales_anchor, growth_weekly_store, pnl_daily, valued_lines)
+    growth_of_lines, growth_of_orders, orders_of_lines, sales_anchor, growth_weekly_store, pnl_daily, valued_lines)
+from kpiloom.plans.incremental import refresh_orders  # noqa: F401
 from kpiloom.plans.marts import (  # noqa: F401
     buyers_exact, buyers_table, daily_kpis, daily_ops, daily_store, monthly_buyers_store, monthly_kpis,
     monthly_ops, monthly_ops_store, monthly_store, pl_pct_of_growth, pl_ratios, rolling_28d, rolling_7d,

@@ -102,6 +102,12 @@ def growth_of_lines(lines: DataFrame, grain: str, stores: Stores | None = None,
     two distinct counts, so those expand orders rather than lines; every shuffle key
     includes the order id.
     """
+    orders = orders_of_lines(lines, grain, stores, only_stores)
+    return _of_orders(orders, ["period"] if stores is None else ["period", "Tienda"], name)
+
+
+def orders_of_lines(lines: DataFrame, grain: str, stores: Stores | None = None, only_stores: bool = False) -> DataFrame:
+    """One row per period (and store), purchase and order with its sums: what ``growth_of_lines`` counts."""
     if only_stores:
         lines = store_filter(lines, "node_id", stores)
     period = to_period(F.col("day"), grain).alias("period")
@@ -113,11 +119,22 @@ def growth_of_lines(lines: DataFrame, grain: str, stores: Stores | None = None,
         sold = (lines.select(period, store_label(F.col("node_id"), stores).alias("Tienda"), *rest)
                 .filter(F.col("Tienda").isNotNull()))
     fx = F.nullif(F.col("fx_ratio"), F.lit(0.0))
-    orders = sold.distinct().groupBy(*by, "purchase_id", "order_id").agg(
+    return sold.distinct().groupBy(*by, "purchase_id", "order_id").agg(
         F.sum(refund_value(F.col("status"), F.col("full_value"), F.col("picked_value"))).alias("nmv"),
         F.sum(fx).alias("fx_sum"), F.count(fx).alias("fx_n"),
         F.sum(F.coalesce("TSI", "TSIE")).alias("nsi"), F.sum("TSIE").alias("tsie"))
-    return _of_orders(orders, by, name)
+
+
+def growth_of_orders(orders: DataFrame, grain: str, name: str = "Fecha") -> DataFrame:
+    """Growth from daily order sums (``orders_of_lines`` by day, with the period as ``day``).
+
+    Per store if they have a store. Equal to ``growth_of_lines`` as long as an order's equal
+    lines lie on one day.
+    """
+    by = ["period", *(["Tienda"] if "Tienda" in orders.columns else [])]
+    sums = [F.sum(c).alias(c) for c in ("nmv", "fx_sum", "fx_n", "nsi", "tsie")]
+    periods = orders.withColumn("period", to_period(F.col("day"), grain))
+    return _of_orders(periods.groupBy(*by, "purchase_id", "order_id").agg(*sums), by, name)
 
 
 def _of_orders(orders: DataFrame, by: list[str], name: str) -> DataFrame:

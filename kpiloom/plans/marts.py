@@ -87,9 +87,9 @@ def monthly_kpis(growth: DataFrame, visits: DataFrame, cvr: DataFrame, store_gro
 
 
 def daily_kpis(growth: DataFrame, visits: DataFrame, cvr: DataFrame, as_of: DateLike,
-               days: int = DAILY_WINDOW_DAYS) -> DataFrame:
-    """The last ``days`` days with unit economics, visits and conversion."""
-    window = last_n_days(growth_columns(growth, "Fecha"), "Fecha", as_of, days)
+               days: int = DAILY_WINDOW_DAYS, anchor: DataFrame | None = None) -> DataFrame:
+    """The last ``days`` days with unit economics, visits and conversion; see ``rolling_kpis`` for ``anchor``."""
+    window = last_n_days(growth_columns(growth, "Fecha"), "Fecha", as_of, days, anchor)
     return enrich_period(window, [visits.select("Fecha", "Visitas"), cvr.select("Fecha", "Buyers", "CVR")], "Fecha")
 
 
@@ -154,9 +154,13 @@ def window_store_totals(growth_weekly_store: DataFrame, dates: DataFrame) -> Dat
 
 
 def rolling_kpis(growth: DataFrame, visits: DataFrame, cvr: DataFrame, as_of: DateLike, width: int, n: int,
-                 prefix: str) -> DataFrame:
-    """``n`` buckets of ``width`` days ending at the last day with growth data."""
-    anchor = rolling_anchor(growth, "Fecha", as_of)
+                 prefix: str, anchor: DataFrame | None = None) -> DataFrame:
+    """``n`` buckets of ``width`` days ending at the last day with growth data.
+
+    ``anchor`` is that day if it is known, as from ``sales_anchor``: without it the plan holds
+    ``growth`` once more wherever the day is needed.
+    """
+    anchor = anchor if anchor is not None else rolling_anchor(growth, "Fecha", as_of)
     sums = lambda df, cols: rolling_sums(df, "Fecha", anchor, width, n, cols)
     people = sums(cvr, ["Buyers", "Visitors"]).select(
         "bucket", safe_ratio(F.col("Buyers"), F.col("Visitors")).alias("CVR"))
@@ -168,12 +172,14 @@ def rolling_kpis(growth: DataFrame, visits: DataFrame, cvr: DataFrame, as_of: Da
         safe_ratio_nz(F.col("NSI"), F.col("TSIE_total")).alias("FR_Items"), "Visitas", "CVR")
 
 
-def rolling_7d(growth: DataFrame, visits: DataFrame, cvr: DataFrame, as_of: DateLike) -> DataFrame:
-    return rolling_kpis(growth, visits, cvr, as_of, 7, 14, "P")
+def rolling_7d(growth: DataFrame, visits: DataFrame, cvr: DataFrame, as_of: DateLike,
+               anchor: DataFrame | None = None) -> DataFrame:
+    return rolling_kpis(growth, visits, cvr, as_of, 7, 14, "P", anchor)
 
 
-def rolling_28d(growth: DataFrame, visits: DataFrame, cvr: DataFrame, as_of: DateLike) -> DataFrame:
-    return rolling_kpis(growth, visits, cvr, as_of, 28, 7, "P28")
+def rolling_28d(growth: DataFrame, visits: DataFrame, cvr: DataFrame, as_of: DateLike,
+                anchor: DataFrame | None = None) -> DataFrame:
+    return rolling_kpis(growth, visits, cvr, as_of, 28, 7, "P28", anchor)
 
 
 def pl_month(pl_monthly: DataFrame) -> DataFrame:

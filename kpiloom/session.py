@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 #: Settings to start a session with. Skew joins are forced because a join on a hot order
 #: id is often followed by an aggregate that could reuse the join's partitioning; without
@@ -18,6 +19,11 @@ RUNTIME_CONF = {
 }
 
 
+#: For sessions that read bucketed facts: a join on an order's id and more keys may then use
+#: buckets of the id alone. Leave it out where one id may hold a large share of the rows.
+BUCKETED_CONF = {"spark.sql.requireAllClusterKeysForCoPartition": "false"}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path for intermediate tables, under the folder of ``spark.checkpoint.dir``.
 
@@ -38,3 +44,38 @@ def materialise(df: DataFrame, path: str, by: list[str] = ()) -> DataFrame:
     """
     df.write.partitionBy(*by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def bucketed(df: DataFrame, path: str, name: str, cols: list[str], buckets: int, by: Iterable[str] = (),
+             most_rows: int | None = 1_000_000) -> DataFrame:
+    """Write ``df`` to ``path`` in ``buckets`` of equal ``cols``, as catalog table ``name``, and return it.
+
+    For facts that are joined or grouped by an order id again and again: joins and aggregates on the
+    bucket columns need no shuffle. Rows are dealt to buckets before they are written, so each
+    bucket is one sorted file per partition of ``by``. A bucket is read by one task: choose so
+    many that each fits one. A key of more than ``most_rows`` rows is an error (None: not
+    looked at), since its bucket can't be split; leave such facts unbucketed and to AQE.
+    The caller owns the table and its files.
+    """
+    dealt = df.repartition(buckets, *cols)
+    (dealt.write.format("parquet").option("path", path).partitionBy(*by).bucketBy(buckets, *cols).sortBy(*cols)
+     .saveAsTable(name))
+    table = df.sparkSession.table(name)
+    if most_rows is not None:
+        hot = table.groupBy(*cols).agg(F.count("*").alias("rows")).agg(F.max("rows")).first()[0]
+        if (hot or 0) > most_rows:
+            raise ValueError(f"{name}: a key of {', '.join(cols)} has {hot} rows, over {most_rows}")
+    return table
+
+
+def open_bucketed(spark: SparkSession, path: str, name: str, schema: str, cols: list[str], buckets: int,
+                  by: Iterable[str] = ()) -> DataFrame:
+    """A table that ``bucketed`` wrote in another session. ``schema`` ends with the columns of ``by``."""
+    by = list(by)
+    parts = f"PARTITIONED BY ({', '.join(by)})" if by else ""
+    keys = ", ".join(cols)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({schema}) USING parquet {parts} "
+              f"CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {buckets} BUCKETS LOCATION '{path}'")
+    if by:
+        spark.sql(f"MSCK REPAIR TABLE {name}")
+    return spark.table(name)

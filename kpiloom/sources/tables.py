@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from kpiloom.functions.dates import try_date
+from kpiloom.sources.batch import Drops
 
 
 def scan_table(spark: SparkSession, name: str, path: str | None = None,
@@ -31,10 +32,12 @@ def scan_csv(spark: SparkSession, path: str, schema: StructType | str, encoding:
             .csv(path))
 
 
-def coerce_dates(df: DataFrame, cols: list[str], fmt: str | None = None) -> DataFrame:
-    """Columns to date; rows with an unreadable date are dropped."""
+def coerce_dates(df: DataFrame, cols: list[str], fmt: str | None = None, drops: Drops | None = None) -> DataFrame:
+    """Columns to date; rows with an unreadable date are dropped, and counted by ``drops``."""
     parsed = df.withColumns({c: try_date(F.col(c).cast("string"), fmt) for c in cols})
-    return parsed.dropna(subset=cols)
+    if drops is None:
+        return parsed.dropna(subset=cols)
+    return reduce(lambda d, c: drops.keep(d, f"unreadable {c}", F.col(c).isNotNull()), cols, parsed)
 
 
 def optional_source(spark: SparkSession, path: str, schema: StructType | str, encoding: str = "UTF-8") -> DataFrame:
