@@ -416,13 +416,11 @@ SHOWN = {  # mart: (table, period, store, label, a measure)
     f"SELECT '{name}' AS mart, CAST({period} AS VARCHAR) AS period, CAST({store} AS VARCHAR) AS store, {label.format(period)} AS label, "
     f"CAST({measure} AS DOUBLE) AS measure FROM {table}" for name, (table, period, store, label, measure) in SHOWN.items()))
 def _(spark, sf):
-    growth, visits, cvr, _ = i.window(spark, sf, 28)
-    days = {"growth_day": growth, "visits_day": visits, "cvr_day": cvr}
-    rest = {"growth_week": i.g_week(spark, sf), "growth_week_store": i.g_week_store(spark, sf), "visits_week": i.v_week(spark, sf),
+    inputs = {"growth_week": i.g_week(spark, sf), "growth_week_store": i.g_week_store(spark, sf), "visits_week": i.v_week(spark, sf),
             "cvr_week": i.c_week(spark, sf), "ops_week": i.o_week(spark, sf), "ops_week_store": i.o_week_store(spark, sf),
             "buyers_week_store": i.b_week_store(spark, sf), "nps": i.nps(spark, sf), "cx_month": b.cx_month(spark, sf),
-            "cx_store": b.cx_store(spark, sf), "growth_day": i.g_day(spark, sf), "visits_day": i.v_day(spark, sf)}
-    shown = plans.scorecard_records(rest, i.AS_OF).unionByName(plans.scorecard_records(days, i.AS_OF))
+            "cx_store": b.cx_store(spark, sf), "growth_day": i.g_day(spark, sf), "visits_day": i.v_day(spark, sf), "cvr_day": i.c_day(spark, sf)}
+    shown = plans.scorecard_records(inputs, i.AS_OF)
     value = F.coalesce(*[F.when(F.col("mart") == name, F.get_json_object("values", f"$.{spec[4]}")) for name, spec in SHOWN.items()])
     return shown.filter(F.col("mart").isin(*SHOWN)).select(
         "mart", F.col("keys")[0].alias("period"), F.get("keys", F.lit(1)).alias("store"),

@@ -19,7 +19,7 @@ from kpiloom.plans.people import (  # noqa: F401
 from kpiloom.plans.people_states import (  # noqa: F401
     buyers_ytd_exact, conversion_exact, monthly_kpis_exact, people_per_period, people_states, rolling_people)
 from kpiloom.plans.planning import plan_daily, plan_monthly, plan_vs_actual, plan_weekly, plan_ytd  # noqa: F401
-from kpiloom.plans.scorecard import scorecard_marts, scorecard_records  # noqa: F401
+from kpiloom.plans.scorecard import scorecard_marts, scorecard_records, scorecard_tables  # noqa: F401
 from kpiloom.plans.tables import metric_table, metric_table_latest, status_flags  # noqa: F401
 from kpiloom.plans.traffic import (  # noqa: F401
     buyers_weekly_store, cvr_daily, cvr_weekly, visits_daily, visits_daily_store, visits_weekly)
