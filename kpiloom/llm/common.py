@@ -86,7 +86,8 @@ def components(edges: DataFrame, name: str = "components", most_rounds: int = 60
 
     Alternating large and small stars: every round hangs neighbours under the smallest
     neighbour by joins with a minimum per node, so no neighbourhood is gathered in one
-    task; a hot node's rows can be split by the join. Roots are the smallest ids.
+    task; a hot node's rows can be split by the join. Roots are the smallest ids. Rounds grow
+    with the logarithm of the longest path; if ``most_rounds`` are not enough, that is an error.
     """
     links = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(),
                    name)
@@ -105,5 +106,7 @@ def components(edges: DataFrame, name: str = "components", most_rounds: int = 60
         if mark == seen:
             break
         seen = mark
+    else:
+        raise RuntimeError(f"components did not settle in {most_rounds} rounds")
     roots = links.select(F.col("b").alias("id")).distinct().select("id", F.col("id").alias("root"))
     return links.select(F.col("a").alias("id"), F.col("b").alias("root")).unionByName(roots)

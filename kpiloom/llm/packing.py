@@ -109,10 +109,11 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, source_once: bool = True, gr
     two of one source; a null source is a source. Within a group, pieces go in by
     falling size, then doc_id. Returns one row per piece: doc_id, piece, start (first
     word), n_words, bin_id, source, cluster. Texts without words are one row without a
-    bin. Repeated rows are packed as often as they occur.
+    bin. Repeated rows are packed as often as they occur. Groups are dealt by id and text, so
+    rows without an id spread as well.
     """
     groups = max(1, -(-docs.count() // group_rows))
-    rows = sized(docs).withColumn("grp", F.pmod(F.xxhash64("doc_id"), F.lit(groups)).cast("int"))
+    rows = sized(docs).withColumn("grp", F.pmod(F.xxhash64("doc_id", "cluster"), F.lit(groups)).cast("int"))
     return (rows.repartition("grp").sortWithinPartitions("grp").select("grp", "doc_id", "source", "size", "cluster")
             .mapInArrow(lambda batches: packed(batches, capacity, source_once),
                         "doc_id long, piece int, start long, n_words long, bin_id long, source string, cluster long"))

@@ -80,6 +80,26 @@ def test_rows_that_repeat_an_id(spark):
     assert sorted((tuple(r) for r in got.collect()), key=repr) == sorted([rows[2], rows[3], rows[4]], key=repr)
 
 
+def test_rows_are_judged_by_themselves(spark, tmp_path):
+    text = "one clean text of more than five words that nobody else has"
+    near = text + " but for these few"
+    rows = [(0, "bbb  ", None, "s", 5), (1, "bbb", None, "s", 3), (1, text, None, "s", 50), (None, "ccc", None, "s", 3), (None, "ccc", None, "s", 3),
+            (None, " ccc", None, "s", 4), (None, "ddd", None, "s", 3), (2, "a b c d e f g h i j k l m n o p q r s t u v w x", None, "s", 9),
+            (2, "a b c d e f g h i j k l m n o p q r s t u v w y", None, "s", 9), (2, near * 3, None, "s", 9)]
+    docs = stored(spark.createDataFrame(rows, COLUMNS).coalesce(1), "odd-ids")
+    exact = corpus_pipeline.exact(spark, docs, "")
+    assert sorted((tuple(r) for r in exact.collect()), key=repr) == sorted([rows[0], rows[2], *rows[5:]], key=repr)
+    left = corpus_pipeline.near(spark, stored(exact.coalesce(1), "odd-exact"), "")
+    kept = [tuple(r) for r in left.collect()]
+    same = [r for r in kept if r[1].startswith("a b c")]
+    assert len(same) == 1 and sorted((r for r in kept if r not in same), key=repr) == sorted([rows[0], rows[2], *rows[5:7], rows[9]], key=repr)
+
+
+def test_an_empty_table_goes_through(spark, tmp_path):
+    spark.createDataFrame([], COLUMNS).write.parquet(f"{tmp_path}/documents.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
 def test_language_keeps_texts_without_a_model(spark):
     rows = [(1, "aa bb", None, "s", 5), (2, "12 34", None, "s", 5), (3, None, None, "s", 0)]
     got = corpus_pipeline.language(spark, spark.createDataFrame(rows, COLUMNS), "")
