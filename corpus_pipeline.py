@@ -6,7 +6,7 @@ DataFrame. Each stage works on all that its predecessor kept.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kpiloom.llm import exact_dedup, jaccard_join, language_id, mixing, packing
@@ -17,11 +17,16 @@ ORACLE_SQL = None
 
 
 def without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose doc_id is not among ``rejected``; a row without an id stays."""
+    """Rows of ``docs`` whose doc_id is not among ``rejected``: for ids that name one row each."""
     gone = rejected.select(F.col("doc_id").alias("gone_id")).distinct()
     return docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
 
 
+def text_key(doc_id: Column, sha: Column) -> Column:
+    """One text for an id, null too, and the digest of a normalised text."""
+    return F.md5(F.concat_ws(":", F.coalesce(doc_id.cast("string"), F.lit("none")), sha).cast("binary"))
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop texts in no language: those without a letter, not those for which no language was learned."""
     found = language_id.language_of(docs, carry=True)
@@ -30,33 +35,41 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one row of each group of equal texts, also where rows repeat an id."""
+    """Keep one row of each group of equal texts: of rows that also share an id, or have none, the longest.
+
+    Decisions are joined by id and text, so that another text under a rejected row's id stays. Equal rows are
+    one before the shuffle, however many there are.
+    """
     found = exact_dedup.exact_duplicates(docs)
-    # of rows that repeat an id as well as the text, the longest text stays
-    left = without(docs, found.where("not kept"))
-    repeated = docs.groupBy("doc_id").agg(F.count("*").alias("rows")).where("rows > 1")
-    again = repeated.select(F.col("doc_id").alias("again_id"))
-    once = left.join(again, left["doc_id"] == again["again_id"], "left_semi")
-    bare = F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]", "")
-    longest = F.max_by(F.struct("*"), F.coalesce(F.length("text"), F.lit(0)))
-    once = once.groupBy("doc_id", F.sha2(bare, 256)).agg(longest.alias("row")).select("row.*")
-    return without(left, repeated).unionByName(once.select(*docs.columns))
+    kept = found.where("kept").select(text_key(F.col("doc_id"), F.col("text_sha256")).alias("kept_key")).distinct()
+    text = F.coalesce("text", F.lit(""))
+    bare = F.sha2(F.regexp_replace(text, r"[\x20\x09-\x0D]", ""), 256)
+    rows = docs.select(F.struct("*").alias("row"), text_key(F.col("doc_id"), bare).alias("key"),
+                       F.struct(F.length(text), text).alias("size"))
+    longest = rows.groupBy("key").agg(F.max_by("row", "size").alias("row"))
+    return longest.join(kept, longest["key"] == kept["kept_key"], "left_semi").select("row.*")
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest id of each component of near duplicates."""
-    found = jaccard_join.near_duplicates(docs)
-    return without(docs, found.where("doc_id <> component_id"))
+    """Keep the document with the smallest id of each component of near duplicates.
+
+    Where an id is null or names several rows, rows are numbered for this stage and each is judged by itself.
+    """
+    if docs.groupBy("doc_id").agg(F.count("*").alias("rows")).where("doc_id is null or rows > 1").isEmpty():
+        return without(docs, jaccard_join.near_duplicates(docs).where("doc_id <> component_id"))
+    numbered = stored(docs.select(F.struct("*").alias("row"), "text", F.monotonically_increasing_id().alias("doc_id")), "near-rows")
+    found = jaccard_join.near_duplicates(numbered)
+    return without(numbered, found.where("doc_id <> component_id")).select("row.*")
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeat or leave out documents so that sources reach their targets."""
+    """Repeat or leave out documents so that sources reach their targets; rows that share an id share their draw."""
     mixed = mixing.mix(docs, carry=True)
     return mixed.select("row", F.explode(F.array_repeat(F.lit(1), F.col("repeats")))).select("row.*")
 
 
 def packs(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Place all words in training sequences."""
+    """Place all words in training sequences, each row as often as it comes; see ``packing.pack``."""
     return packing.pack(docs)
 
 
