@@ -1,4 +1,4 @@
-"""Language-model scores from compact n-gram levels counted over the whole corpus.
+"""Language-model scores from compact n-gram tables counted over the whole corpus.
 
 Every n-gram counts, at any corpus size. A slice of documents sends each hash bucket the
 contexts that fall into it with the words that follow; the bucket packs what the training
@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -97,15 +98,6 @@ class EliasFano:
         same[same] = unpack_bits(self.low, self.low_bits, first[same]) == low[same]
         return first, same
 
-    def get(self, index: np.ndarray) -> np.ndarray:
-        """Values at positions, by the bucket whose range holds them."""
-        first, last = np.zeros(len(index), np.int64), np.full(len(index), self.buckets, np.int64)
-        while (last - first > 1).any():
-            middle = (first + last) // 2
-            up = self.bucket_start(middle) - middle <= index
-            first, last = np.where(up, middle, first), np.where(up, last, middle)
-        return (first.astype(np.uint64) << np.uint64(self.low_bits)) | unpack_bits(self.low, self.low_bits, index)
-
 
 def zero_places() -> np.ndarray:
     """Place of the k-th zero in every word of 16 bits."""
@@ -136,115 +128,6 @@ def unpack_bits(packed: np.ndarray, width: int, index: np.ndarray) -> np.ndarray
     return value & np.uint64((1 << width) - 1)
 
 
-class Level:
-    """N-grams of one order: keys context * words + word, log ratios to the unigram, and each context's leftover."""
-
-    def __init__(self, keys: np.ndarray, words: int, contexts: int, gain: np.ndarray, left: np.ndarray):
-        self.words, self.contexts = words, contexts
-        self.keys = EliasFano(keys, max(1, contexts * words))
-        starts = np.searchsorted(keys, np.arange(contexts + 1, dtype=np.uint64) * np.uint64(words))
-        self.pointers = EliasFano(starts, len(keys) + 1)
-        self.gain_codes, self.gain_values = quantised(gain)
-        self.left_codes, self.left_values = quantised(left)
-
-    def find(self, context: np.ndarray, word: np.ndarray) -> np.ndarray:
-        """Positions of n-grams, -1 where there is none; contexts and words of -1 are unknown."""
-        known = (context >= 0) & (word >= 0)
-        out = np.full(len(context), -1, np.int64)
-        if self.keys.length and known.any():
-            key = context[known].astype(np.uint64) * np.uint64(self.words) + word[known].astype(np.uint64)
-            at, same = self.keys.successor(key)
-            out[known] = np.where(same, at, -1)
-        return out
-
-    def left(self, context: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(context))
-        known = context >= 0
-        out[known] = self.left_values[self.left_codes[context[known]]]
-        return out
-
-    def gain(self, position: np.ndarray) -> np.ndarray:
-        return self.gain_values[self.gain_codes[position]]
-
-
-def quantised(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Byte codes of values and the code book: quantiles, with zero kept exactly."""
-    if not len(x):
-        return np.zeros(0, np.uint8), np.zeros(1)
-    book = np.unique(np.append(np.quantile(x, np.linspace(0, 1, 255), method="nearest"), 0.0))
-    return np.abs(x[:, None] - book[None, :]).argmin(axis=1).astype(np.uint8) if len(x) < 1000 else nearest(x, book), book
-
-
-def nearest(x: np.ndarray, book: np.ndarray) -> np.ndarray:
-    at = np.clip(np.searchsorted(book, x), 1, len(book) - 1)
-    return np.where(x - book[at - 1] < book[at] - x, at - 1, at).astype(np.uint8)
-
-
-class Trie:
-    """Words by hash, with counts, and the levels of order 2 and up: the model of a small corpus, in one place."""
-
-    def __init__(self, hashes: np.ndarray, counts: np.ndarray, tokens: int, distinct: int):
-        order = np.argsort(hashes)
-        self.hashes, self.counts = hashes[order], counts[order].astype(np.float64)
-        self.tokens, self.unigram = tokens, (self.counts + 1) / (tokens + distinct + 1)
-        self.levels: list[Level] = []
-        self.probability: list[np.ndarray] = []
-        self.context_counts = self.counts
-
-    def ids(self, hashes: np.ndarray) -> np.ndarray:
-        if not len(self.hashes):
-            return np.full(len(hashes), -1, np.int64)
-        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
-        return np.where(self.hashes[at] == hashes, at, -1)
-
-    def nodes(self, ids: np.ndarray, first: np.ndarray, end: int) -> list[np.ndarray]:
-        """Per order, the trie node of the n-gram that ends at each token. A text's context begins with its end."""
-        before = np.where(first, end, np.concatenate([[-1], ids[:-1]]))
-        found, contexts = [ids], [before]
-        for level in self.levels:
-            node = level.find(contexts[-1], ids)
-            found.append(node)
-            contexts.append(np.where(first, -1, np.concatenate([[-1], node[:-1]])))
-        self.last_contexts = contexts
-        return found
-
-    def add_level(self, keys: np.ndarray, counts: np.ndarray) -> None:
-        """Interpolated absolute discounting over the order below."""
-        words = max(1, len(self.hashes))
-        order = np.argsort(keys)
-        keys, counts = keys[order], counts[order].astype(np.float64)
-        context, word = (keys // np.uint64(words)).astype(np.int64), (keys % np.uint64(words)).astype(np.int64)
-        total = self.context_counts
-        seen = (counts - DISCOUNT) / total[context]
-        left = np.maximum(1 - np.bincount(context, seen, minlength=len(total)), 1e-9)
-        lower = self.unigram[word]
-        if self.levels:
-            # the same word after the context without its first word
-            parent = self.levels[-1].find(self.parents[-1][context], word)
-            lower = np.where(parent >= 0, self.probability[-1][np.maximum(parent, 0)],
-                             self.unigram[word] * 10 ** self.levels[-1].left(self.parents[-1][context]))
-        probability = seen + left[context] * lower
-        self.levels.append(Level(keys, words, len(total), np.log10(probability / self.unigram[word]), np.log10(left)))
-        self.probability.append(probability)
-        self.parents = [word]
-        self.context_counts = counts
-
-    def compact(self) -> None:
-        """Drop what only building needs."""
-        self.probability, self.parents, self.context_counts, self.unigram, self.counts = [], [], None, None, None
-
-    def gains(self, ids: np.ndarray, first: np.ndarray, end: int) -> np.ndarray:
-        """log10 of P(word | context) over P(word) for each token."""
-        found = self.nodes(ids, first, end)
-        out = np.zeros(len(ids))
-        for k, level in enumerate(self.levels):
-            context, node = self.last_contexts[k], found[k + 1]
-            out += level.left(context)
-            hit = node >= 0
-            out[hit] = level.gain(node[hit])
-        return out
-
-
 def packed(values: np.ndarray) -> bytes:
     """Unsigned numbers, compressed; their width and length go in front."""
     raw = values.tobytes()
@@ -365,11 +248,19 @@ def home(keys: np.ndarray, buckets: int) -> np.ndarray:
     return ((keys >> np.uint64(48)) * np.uint64(buckets)) >> np.uint64(16)
 
 
+def sampled_block(raw: bytes, most: int = 1 << 16) -> bytes:
+    """A stretch of ``most`` bytes of a long text, from an offset that its hash draws."""
+    if len(raw) <= most:
+        return raw
+    start = xxhash.xxh3_64_intdigest(raw) % (len(raw) - most + 1)
+    return raw[start:start + most]
+
+
 def sampled_contexts(batches, levels: int):
     hashes = WordHashes()
     for batch in batches:
         for raw in batch.column(0).to_pylist():
-            raw = (raw or b"")[:1 << 16]
+            raw = sampled_block(raw or b"")
             tokens, sizes = tokens_of(np.array([len(raw)]).tobytes(), packed(np.frombuffer(raw, np.uint8)), hashes)
             for level, (context, use) in enumerate(contexts_of(tokens, sizes, levels)):
                 yield pa.RecordBatch.from_arrays([pa.array([level], pa.int32()), pa.array([context[use].tobytes()], pa.binary())],
