@@ -22,6 +22,11 @@ def without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
     return docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
 
 
+def ids_name_rows(docs: DataFrame) -> bool:
+    """Whether every row has an id of its own. Ids alone are looked at, with map-side combining."""
+    return docs.groupBy("doc_id").agg(F.count("*").alias("rows")).where("doc_id is null or rows > 1").isEmpty()
+
+
 def text_key(doc_id: Column, sha: Column) -> Column:
     """One text for an id, null too, and the digest of a normalised text."""
     return F.md5(F.concat_ws(":", F.coalesce(doc_id.cast("string"), F.lit("none")), sha).cast("binary"))
@@ -37,10 +42,12 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one row of each group of equal texts: of rows that also share an id, or have none, the longest.
 
-    Decisions are joined by id and text, so that another text under a rejected row's id stays. Equal rows are
-    one before the shuffle, however many there are.
+    Where an id is null or names several rows, decisions are joined by id and text, so that another text under
+    a rejected row's id stays. Equal rows are one before that shuffle, however many there are.
     """
     found = exact_dedup.exact_duplicates(docs)
+    if ids_name_rows(docs):
+        return without(docs, found.where("not kept"))
     kept = found.where("kept").select(text_key(F.col("doc_id"), F.col("text_sha256")).alias("kept_key")).distinct()
     text = F.coalesce("text", F.lit(""))
     bare = F.sha2(F.regexp_replace(text, r"[\x20\x09-\x0D]", ""), 256)
@@ -55,7 +62,7 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Where an id is null or names several rows, rows are numbered for this stage and each is judged by itself.
     """
-    if docs.groupBy("doc_id").agg(F.count("*").alias("rows")).where("doc_id is null or rows > 1").isEmpty():
+    if ids_name_rows(docs):
         return without(docs, jaccard_join.near_duplicates(docs).where("doc_id <> component_id"))
     numbered = stored(docs.select(F.struct("*").alias("row"), "text", F.monotonically_increasing_id().alias("doc_id")), "near-rows")
     found = jaccard_join.near_duplicates(numbered)
