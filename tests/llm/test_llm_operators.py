@@ -382,8 +382,22 @@ def test_rare_ngrams_count_at_any_size(spark, filler):
     held = {d: zlib.crc32(str(d).encode()) % 7 == 2 for d, _ in rows}
     assert not held[6000]
     want = interpolated({d: [*words_of(t), None] for d, t in rows}, held)
-    got = {r.doc_id: r.score for r in lm_scoring.score_documents(documents(spark, rows)).collect()}
-    assert got == {d: pytest.approx(w, rel=1e-9) for d, w in want.items()}
+    got = {r.doc_id: (r.score, r.n_tokens) for r in lm_scoring.score_documents(documents(spark, rows)).collect()}
+    assert got.keys() == want.keys()
+    for d, (score, tokens) in got.items():
+        assert score == pytest.approx(want[d], rel=1e-9, abs=tokens * np.log10(2) / 2048)  # the quantisation's bound
+
+
+def test_splits_and_names_change_no_score(spark, monkeypatch):
+    docs = documents(spark, corpus(5))
+    score = lambda: {r.doc_id: (r.n_known, r.base_score, r.score) for r in lm_scoring.score_documents(docs).collect()}
+    want = score()
+    monkeypatch.setattr(lm_scoring, "common_words", lambda sample: np.zeros(0, np.uint64))
+    assert score() == want
+    monkeypatch.setattr(lm_scoring, "frequent", lambda sample, levels, buckets: [
+        (keys, np.full(len(keys), 3)) for keys in (lm_scoring.tally(sample, level)[0][::2] for level in range(levels))])
+    for d, (known, base, total) in score().items():
+        assert (known, base) == want[d][:2] and total == pytest.approx(want[d][2], rel=1e-3)
 
 
 @pytest.mark.parametrize("universe,length", [(50, 40), (10 ** 9, 1000), (1 << 40, 5), (7, 0)])
@@ -394,6 +408,24 @@ def test_elias_fano(universe, length):
     keys = np.concatenate([values, rng.integers(0, universe, 200).astype(np.uint64)])
     at, same = packed.successor(keys)
     assert (at == np.searchsorted(values, keys)).all() and (same == np.isin(keys, values)).all()
+    assert (packed.get(np.arange(length)) == values).all()
+    start, stop = length // 4, length // 2
+    at, same = packed.successor(keys, start, stop)
+    assert (at == start + np.searchsorted(values[start:stop], keys)).all() and (same == np.isin(keys, values[start:stop])).all()
+
+
+def test_trie_pointers_bound_each_context():
+    rng = np.random.default_rng(3)
+    contexts, words = rng.integers(0, 40, 900).astype(np.uint64), rng.integers(0, 30, 900).astype(np.uint64)
+    times = rng.integers(1, 9, 900)
+    trie = lm_scoring.Trie(contexts, words, times)
+    asked, held = np.arange(50, dtype=np.uint64), np.full(50, 30)
+    codes, totals, followers = trie.look_up(asked, held, np.tile(np.arange(30, dtype=np.uint64), 50))
+    for c in range(50):
+        mine = {w: times[(contexts == c) & (words == w)].sum() for w in set(words[contexts == c].tolist())}
+        assert (totals[c], followers[c]) == (sum(mine.values()), len(mine))
+        for w, p in enumerate(lm_scoring.probabilities(codes[c * 30:c * 30 + 30])):
+            assert p == (pytest.approx((mine[w] - 0.75) / totals[c], rel=4e-4) if w in mine else 0)
 
 
 PAGE = """<!DOCTYPE html><html><head><title>t</title><script>var a = "</p>";</script></head><body>
