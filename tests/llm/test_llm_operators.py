@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -453,6 +454,43 @@ def test_html_layout_names_and_headings_stay(opening):
     assert html_text.main_text(PAGE.format(body=body)) == "Related work\nSome text here, long enough.\nSearch\nMore of it, as long."
 
 
+STORY = "<h1>Head</h1><p>Some text here, long enough.</p><p>More of it, as long.</p>"
+TOLD = "Head\nSome text here, long enough.\nMore of it, as long."
+
+
+@pytest.mark.parametrize("body,want", [
+    (f"<div class='market-share-report'>{STORY}</div>", TOLD),
+    (f"<div class='search-result-page'>{STORY}</div>", TOLD),
+    (f"<div class='post-header-ad-free'>{STORY}</div>", TOLD),
+    (f"<div class=market-share><div class=search-page>{STORY}<div class=ad>Buy</div></div></div>", TOLD),
+    (f"<article>{STORY}<section id='discussion'><p>Said.</p></section></article>", TOLD + "\nSaid."),
+    (f"<article>{STORY}<p title='a hidden gem'>Gem.</p><p hidden>No.</p><p style='display: none'>No.</p></article>", TOLD + "\nGem."),
+    (f"<article>{STORY}<p><label>Lab</label>el.</p></article>", TOLD + "\nLabel."),
+    (f"<main><article>{STORY}</article><article><p>Second one.</p></article></main>", TOLD + "\nSecond one."),
+    (f"<form action=x><input type=hidden><div>{STORY}</div></form>", TOLD),
+    (f"<form action=x><input type=hidden><article>{STORY}</article><input type=submit></form>", TOLD),
+    (f"<article>{STORY}<div class=comments>{STORY * 9}</div></article>", TOLD),
+    (f"<article>{STORY}</article><section class=comments><article>{STORY * 9}</article></section>", TOLD),
+])
+def test_html_names_count_against_the_page(body, want):
+    assert html_text.main_text(PAGE.format(body=body)) == want
+
+
+def test_html_of_one_form():
+    page = f"<html><body><form id=whole><nav>Menu</nav><div>{STORY}</div><input type=hidden><footer>f</footer></form></body></html>"
+    assert html_text.main_text(page) == TOLD
+
+
+@pytest.mark.parametrize("page", ["<b>{n}<p>x", "<div class=ad>{n}x", "<li>", "</b>", "<!--", "<p title='", "<div hidden><p>t</p>"])
+def test_html_time_grows_with_length(page):
+    def seconds(n):
+        parts = page.split("{n}")
+        start = time.perf_counter()
+        html_text.main_text(parts[0] * n + "".join(parts[1:]) * n)
+        return time.perf_counter() - start
+    assert seconds(16000) < 12 * max(seconds(4000), 0.05)
+
+
 def test_html_rows(spark):
     pages = spark.createDataFrame([(1, "u", None, "x"), (2, None, "", "x"), (3, "u", "plain < text", "x"), (3, "u", "<p>" * 3000 + "deep", "x"),
                                    (4, "u", "<p>é " * 50000, "x")], "page_id long, url string, html string, text string")
