@@ -80,16 +80,16 @@ def joined_labels(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray
 def tile_links(key, table: pa.Table, threshold: float) -> pa.Table:
     """Links between the two tiles of a group, or inside its one tile."""
     left, right = key[1].as_py(), key[2].as_py()
-    table = table.sort_by([("tile", "ascending"), ("rep", "ascending")])
-    reps = np.array(table["rep"].to_pylist(), np.int64)
+    table = table.sort_by([("tile", "ascending"), ("node", "ascending")])
+    nodes = np.array(table["node"].to_pylist(), np.int64)
     copies = np.array(table["copies"].to_pylist(), np.int64)
-    x = np.frombuffer(b"".join(table["vector"].to_pylist()), np.float64).reshape(len(reps), -1)
+    x = np.frombuffer(b"".join(table["vector"].to_pylist()), np.float64).reshape(len(nodes), -1)
     largest = np.abs(x).max(axis=1, keepdims=True)
     x = x / largest
     x = x / np.sqrt((x * x).sum(axis=1, keepdims=True))
     q, scale, error = quantised(x)
     border = int(np.searchsorted(np.array(table["tile"].to_pylist()), right))
-    n = len(reps)
+    n = len(nodes)
     links, label = np.zeros(n, np.int64), np.arange(n)
     first = range(0, n, SLAB) if left == right else range(0, border, SLAB)
     for a in first:
@@ -105,7 +105,7 @@ def tile_links(key, table: pa.Table, threshold: float) -> pa.Table:
             links += np.bincount(j, weights=copies[i], minlength=n).astype(np.int64)
             label = joined_labels(label, i, j)
     some = links > 0
-    return pa.table({"rep": reps[some], "links": links[some], "root": reps[label[some]]})
+    return pa.table({"node": nodes[some], "links": links[some], "root": nodes[label[some]]})
 
 
 def near_duplicates(vectors: DataFrame, threshold: float = 0.9) -> DataFrame:
@@ -113,32 +113,34 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9) -> DataFrame:
 
     ``vectors`` needs vec_id (long) and embedding (array). Vectors that are null, empty or
     zero, or hold a null or non-finite component link with nothing; vectors of different
-    lengths don't link. Every row counts as a vector, also one that repeats an id. Returns
-    one row per row: vec_id, n_links, component_id (smallest linked vec_id, own one
+    lengths don't link. Every row counts as a vector with links of its own, also one that
+    repeats an id or has none; components take the smallest id there is. Returns one row per row: vec_id, n_links, component_id (smallest linked vec_id, own one
     included), kept. Work grows with the square of the number of distinct vectors, in
     tiles; rows are copied to as many groups as there are tiles.
     """
     rows = vectors.select("vec_id", F.col("embedding").cast(T.ArrayType(T.DoubleType()))).mapInArrow(
         packed_vectors, "vec_id long, vector binary")
     distinct = stored(rows.where("vector is not null").groupBy("vector").agg(
-        F.min("vec_id").alias("rep"), F.count("*").alias("copies")), "vectors")
+        F.min("vec_id").alias("rep"), F.count("*").alias("copies")).withColumn("node", F.monotonically_increasing_id()), "vectors")
     tiles = max(LEAST_TILES, -(-distinct.count() // TILE))
     tile = F.pmod(F.xxhash64("vector"), F.lit(tiles)).cast("int")
-    dealt = distinct.where("rep is not null").select(
-        "rep", "copies", "vector", F.octet_length("vector").alias("size"), tile.alias("tile"),
+    dealt = distinct.select(
+        "node", "copies", "vector", F.octet_length("vector").alias("size"), tile.alias("tile"),
         F.explode(F.sequence(F.lit(0), F.lit(tiles - 1))).alias("other"))
     found = stored(
-        dealt.select("rep", "copies", "vector", "size", "tile", F.least("tile", "other").alias("i"),
+        dealt.select("node", "copies", "vector", "size", "tile", F.least("tile", "other").alias("i"),
                      F.greatest("tile", "other").alias("j")).groupBy("size", "i", "j").applyInArrow(
-            lambda key, t: tile_links(key, t, threshold), "rep long, links long, root long"), "tile-links")
-    roots = components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")), "vector-components")
-    counted = found.groupBy("rep").agg(F.sum("links").alias("links"))
-    known = (distinct.join(counted, "rep", "left").join(roots, F.col("rep") == roots.id, "left")
-             .select("vector", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n"),
-                     F.coalesce("root", "rep").alias("root")).where("n > 0"))
+            lambda key, t: tile_links(key, t, threshold), "node long, links long, root long"), "tile-links")
+    roots = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")), "vector-components")
+    counted = found.groupBy("node").agg(F.sum("links").alias("links"))
+    linked = (distinct.join(counted, "node", "left").join(roots, F.col("node") == roots.id, "left")
+              .select("vector", "rep", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n"),
+                      F.coalesce("root", "node").alias("root")).where("n > 0"))
+    names = linked.groupBy("root").agg(F.min("rep").alias("component_id"))
+    known = linked.select("vector", "n", "root").join(names, "root").drop("root")
     out = rows.join(known, "vector", "left").select(
         "vec_id", F.coalesce("n", F.lit(0)).cast("long").alias("n_links"),
-        F.coalesce("root", "vec_id").alias("component_id"))
+        F.coalesce("component_id", "vec_id").alias("component_id"))
     return out.select("*", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)).alias("kept"))
 
 

@@ -136,6 +136,16 @@ def test_embeddings(spark, dims):
     assert all(got[o[0]] == (0, o[0], True) for o in odd)
 
 
+def test_embeddings_that_share_an_id_or_have_none(spark):
+    rows = [(1, [1.0, 0.0, 0.0], "x"), (1, [0.0, 1.0, 0.0], "x"), (2, [1.0, 0.01, 0.0], "x"), (3, [0.0, 1.0, 0.01], "x"),
+            (None, [0.0, 0.0, 1.0], "x"), (5, [0.0, 0.01, 1.0], "x"), (None, [1.0, 1.0, 1.0], "x"), (2, [1.0, 0.01, 0.0], "x"),
+            (None, None, "x"), (8, [-1.0, 0.0, 0.0], "x")]
+    got = embedding_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, vector string")).collect()
+    assert sorted(map(tuple, got), key=str) == sorted([
+        (1, 2, 1, True), (1, 1, 1, True), (2, 2, 1, False), (2, 2, 1, False), (3, 1, 1, False), (None, 1, 5, False), (5, 1, 5, True),
+        (None, 0, None, False), (None, 0, None, False), (8, 0, 8, True)], key=str)
+
+
 def test_quantisation_bounds_hold():
     rng = np.random.default_rng(5)
     x = rng.normal(size=(300, 16)) * rng.exponential(size=(300, 16)) ** 3
