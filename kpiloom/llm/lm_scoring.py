@@ -7,7 +7,9 @@ sequence of contexts, monotone pointers to each context's range of words, the wo
 to their context's rank, and quantised discounted probabilities. A context's successor search
 gives its range, a word's successor search runs inside that range. Slices meet their replies
 and are scored. Contexts that a sample finds frequent are split by the hash of the next word,
-so that no bucket is hot; words that the sample holds travel as two bytes, others as eight.
+so that no bucket is hot. Words that the sample holds travel as two-byte names by falling
+frequency, others as the bits of their hash that the trie keeps; a context with such a word
+travels as its key. Ascending numbers travel as differences.
 """
 
 from __future__ import annotations
@@ -156,41 +158,71 @@ def unpacked(block: bytes) -> np.ndarray:
     return np.ascontiguousarray(raw.reshape(size, -1).T).view(f"u{size}").ravel()
 
 
-def named(codes: np.ndarray, hashes: np.ndarray) -> bytes:
-    """Words as two-byte names; those without one add their hash."""
-    names = packed(codes)
-    return len(names).to_bytes(8, "little") + names + hashes[codes == OTHER].tobytes()
+def steps(values: np.ndarray) -> bytes:
+    """Ascending numbers as their differences."""
+    values = values.astype(np.uint64)
+    return packed(np.diff(values, prepend=np.zeros(1, np.uint64)))
 
 
-def hashes_of(block: bytes, common: np.ndarray) -> np.ndarray:
-    """The words of ``named`` as hashes."""
+def climbed(block: bytes) -> np.ndarray:
+    """The numbers of ``steps``."""
+    return np.cumsum(unpacked(block), dtype=np.uint64)
+
+
+def joined(first: bytes, second: bytes) -> bytes:
+    return len(first).to_bytes(8, "little") + first + second
+
+
+def parted(block: bytes) -> tuple[bytes, bytes]:
     end = 8 + int.from_bytes(block[:8], "little")
-    codes = unpacked(block[8:end]).astype(np.int64)
-    other = codes == OTHER
-    out = np.append(common, END)[np.where(other, len(common), codes)]
-    out[other] = np.frombuffer(block[end:], np.uint64)
+    return block[8:end], block[end:]
+
+
+def names_of(words: np.ndarray, common: np.ndarray, by_hash: np.ndarray) -> np.ndarray:
+    """Two-byte names of words: their place in ``common``, OTHER without one."""
+    if not len(common):
+        return np.full(len(words), OTHER, np.uint16)
+    at = by_hash[np.minimum(np.searchsorted(common, words, sorter=by_hash), len(common) - 1)]
+    return np.where(common[at] == words, at, OTHER).astype(np.uint16)
+
+
+def followers_of(codes: np.ndarray, hashes: np.ndarray) -> bytes:
+    """Next words as two-byte names; those without one add the bits of their hash that a trie keeps."""
+    return joined(packed(codes), packed(hashes[codes == OTHER] & np.uint64((1 << WORD_BITS) - 1)))
+
+
+def low_hashes(block: bytes, common: np.ndarray) -> np.ndarray:
+    """The words of ``followers_of`` as the low bits of their hashes."""
+    codes, other = map(unpacked, parted(block))
+    codes = codes.astype(np.int64)
+    out = np.append(common, END)[np.minimum(codes, len(common))] & np.uint64((1 << WORD_BITS) - 1)
+    out[codes == OTHER] = other
     return out
 
 
-SLICES = "slice long, ids binary, flags binary, sizes binary, words binary, tokens binary, taught array<long>, learned long"
+SLICES = "slice long, ids binary, flags binary, sizes binary, words binary, tokens binary, learned long"
 
 
-def numbered(batches):
+def numbered(batches, common: np.ndarray):
     """Documents in numbered slices: ids, whether an id is null and whether the row teaches, token counts, the
-    distinct words' hashes, tokens as numbers of these, and of training texts the distinct words and the tokens."""
+    distinct words by name and then by hash, tokens as numbers of these, and the number of training tokens."""
     number = TaskContext.get().partitionId() << 32
-    hashes = WordHashes()
+    hashes, by_hash = WordHashes(), np.argsort(common)
     for part in slices(batches, SLICE_BYTES):
         ids = part.column(0).to_pylist()
         flags = np.array([[d is None for d in ids], part.column(1).to_pylist()], np.uint8)
         tokens, sizes = tokens_of((r or b"" for r in part.column(2).to_pylist()), hashes)
         words, tokens = np.unique(tokens, return_inverse=True)
-        teaches = np.repeat(flags[1].astype(bool), sizes)
-        taught = words[np.bincount(tokens[teaches], minlength=len(words)) > 0]
-        row = (number, np.array([d or 0 for d in ids], np.int64).tobytes(), flags.tobytes(), packed(sizes), words.tobytes(),
-               packed(tokens), taught.view(np.int64), int(teaches.sum()))
+        codes = names_of(words, common, by_hash)
+        order = np.argsort(codes, kind="stable")
+        place = np.empty(len(words), np.int64)
+        place[order] = np.arange(len(words))
+        codes, words = codes[order], words[order]
+        listed = joined(steps(codes[codes != OTHER]), steps(words[codes == OTHER]))
+        row = (number, np.array([d or 0 for d in ids], np.int64).tobytes(), flags.tobytes(), packed(sizes), listed,
+               packed(place[tokens]), int(sizes[flags[1] > 0].sum()))
         number += 1
-        kinds = (pa.int64(), *[pa.binary()] * 5, pa.list_(pa.int64()), pa.int64())
+        kinds = (pa.int64(), *[pa.binary()] * 5, pa.int64())
         yield pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(row, kinds)],
                                          names=[f.split()[0] for f in SLICES.split(", ")])
 
@@ -227,8 +259,11 @@ def home(keys: np.ndarray, buckets: int) -> np.ndarray:
 class Slice:
     """Tokens of a slice as numbers of its distinct words, and per level the number of each token's context."""
 
-    def __init__(self, sizes: bytes, words: bytes, tokens: bytes):
-        self.sizes, self.words = unpacked(sizes).astype(np.int64), np.frombuffer(words, np.uint64)
+    def __init__(self, sizes: bytes, words: bytes, tokens: bytes, common: np.ndarray):
+        self.sizes = unpacked(sizes).astype(np.int64)
+        names, others = map(climbed, parted(words))
+        self.words = np.concatenate([common[names.astype(np.int64)], others])
+        self.names = np.concatenate([names.astype(np.uint16), np.full(len(others), OTHER, np.uint16)])
         self.tokens = unpacked(tokens).astype(np.int64)
         self.starts = np.cumsum(self.sizes) - self.sizes
         self.ends = self.starts + self.sizes - 1
@@ -253,6 +288,9 @@ class Slice:
 class Grams:
     """The distinct (context, word) pairs of one level of a slice in the order of their buckets.
 
+    Of a bucket's contexts those of named words come first, by their words from the farthest to the nearest, then
+    the others by their keys.
+
     ``hot`` has the hashes of frequent contexts and their numbers of parts. A part is a context of its own, with
     the words whose hash falls to it; a slice with a frequent context asks for all its parts.
     """
@@ -282,7 +320,14 @@ class Grams:
         piece, self.word = pair // len(part.words), pair % len(part.words)
         # pieces of contexts and their entries by bucket
         bucket = home(key, buckets)
-        self.pieces, self.entries = np.argsort(bucket, kind="stable"), np.argsort(bucket[piece], kind="stable")
+        keyed = np.zeros(len(one), bool)
+        for b in self.before:
+            keyed |= part.names[b] == OTHER
+        self.keyed, self.key = keyed[self.context], key & np.uint64((1 << CONTEXT_BITS) - 1)
+        self.pieces = np.lexsort((np.where(self.keyed, self.key, 0), self.keyed, bucket))
+        place = np.empty(len(key), np.int64)
+        place[self.pieces] = np.arange(len(key))
+        self.entries = np.argsort(place[piece], kind="stable")
         self.piece_of, self.bucket = piece, bucket[self.pieces]
         self.held = np.bincount(piece, minlength=len(key))
 
@@ -345,21 +390,50 @@ def common_words(sample) -> np.ndarray:
     return words[np.lexsort((words, -counts))][:OTHER]
 
 
-REQUEST = "bucket int, slice long, contexts binary, parts binary, held binary, words binary, times binary"
+#: Names of a piece of the bitmap of names.
+PIECE = 1 << 10
+
+
+def taught_words(batches, common: np.ndarray, parts: int):
+    """Distinct words of training texts: of those without a name the hashes by part, of the others one bitmap a task,
+    in pieces with a negative number."""
+    seen = np.zeros(1 << 16, np.uint8)
+    rows = lambda parts, blocks: pa.RecordBatch.from_arrays([pa.array(parts, pa.int32()), pa.array(blocks, pa.binary())],
+                                                            names=["part", "words"])
+    for batch in batches:
+        for flags, *columns in zip(*(c.to_pylist() for c in batch.columns)):
+            part = Slice(*columns, common)
+            teaches = np.repeat(np.frombuffer(flags, np.uint8).reshape(2, -1)[1].astype(bool), part.sizes)
+            used = np.bincount(part.tokens[teaches], minlength=len(part.words)) > 0
+            seen[part.names[used]] = 1
+            others = part.words[used & (part.names == OTHER)]
+            where = home(others, parts)
+            edges = np.flatnonzero(np.diff(where, prepend=-1, append=parts))
+            yield rows(where[edges[:-1]], [steps(others[x:y]) for x, y in zip(edges[:-1].tolist(), edges[1:].tolist())])
+    seen[OTHER] = 0
+    used = np.flatnonzero(seen.reshape(-1, PIECE).any(axis=1))
+    yield rows(-1 - used, [np.packbits(seen[k * PIECE:(k + 1) * PIECE]).tobytes() for k in used.tolist()])
+
+
+def counted(table: pa.Table) -> pa.Table:
+    """The number of different words of one part."""
+    blocks = table["words"].to_pylist()
+    if table["part"][0].as_py() < 0:
+        n = int(np.bitwise_count(np.bitwise_or.reduce([np.frombuffer(b, np.uint8) for b in blocks])).sum())
+    else:
+        n = len(np.unique(np.concatenate(list(map(climbed, blocks)))))
+    return pa.table({"n": pa.array([n], pa.int64())})
+
+
+REQUEST = "bucket int, slice long, contexts binary, keys binary, parts binary, held binary, words binary, times binary"
 
 
 def requests(batches, buckets: int, hot: list, common: np.ndarray):
     """Of each slice the distinct n-grams by bucket of their context, with their counts in training texts."""
-    by_hash = np.argsort(common)
     for batch in batches:
         for number, flags, *columns in zip(*(c.to_pylist() for c in batch.columns)):
-            part = Slice(*columns)
-            codes = np.full(len(part.words), OTHER, np.uint16)
-            if len(common):
-                at = by_hash[np.minimum(np.searchsorted(common, part.words, sorter=by_hash), len(common) - 1)]
-                codes = np.where(common[at] == part.words, at, OTHER).astype(np.uint16)
+            part = Slice(*columns, common)
             trained = np.repeat(np.frombuffer(flags, np.uint8).reshape(2, -1)[1], part.sizes)
-            name = lambda words: named(codes[words], part.words[words])
             for level, found in enumerate(part.contexts(len(hot))):
                 grams = Grams(part, level, found, hot[level], buckets)
                 times = grams.times(trained)[grams.entries]
@@ -369,11 +443,16 @@ def requests(batches, buckets: int, hot: list, common: np.ndarray):
                 out = []
                 for x, y in zip(edges[:-1].tolist(), edges[1:].tolist()):
                     p, q = ends[x], ends[y]
-                    before = np.concatenate([b[grams.context[grams.pieces[x:y]]] for b in grams.before])
-                    out.append((level * buckets + int(grams.bucket[x]), number, name(before), packed(grams.share[grams.pieces[x:y]]),
-                                packed(held[x:y]), name(word[p:q]), packed(times[p:q])))
+                    pieces = grams.pieces[x:y]
+                    z = int((~grams.keyed[pieces]).sum())
+                    whole, keyed = pieces[:z], pieces[z:]
+                    *near, far = [part.names[b[grams.context[whole]]] for b in grams.before]
+                    names = joined(steps(far), packed(np.concatenate([np.zeros(0, np.uint16), *near])))
+                    out.append((level * buckets + int(grams.bucket[x]), number, names, steps(grams.key[keyed]),
+                                packed(grams.share[whole]), packed(held[x:y]), followers_of(part.names[word[p:q]], part.words[word[p:q]]),
+                                packed(times[p:q])))
                 if out:
-                    kinds = (pa.int32(), pa.int64(), *[pa.binary()] * 5)
+                    kinds = (pa.int32(), pa.int64(), *[pa.binary()] * 6)
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)],
                                                      names=[f.split()[0] for f in REQUEST.split(", ")])
 
@@ -434,12 +513,15 @@ def reply(table: pa.Table, buckets: int, common: np.ndarray) -> pa.Table:
     level = bucket // buckets
 
     def asked(row):
-        before, parts, held, words, times = (table[c][row].as_py() for c in ("contexts", "parts", "held", "words", "times"))
-        contexts, parts = context_keys(list(hashes_of(before, common).reshape(level + 1, -1))), unpacked(parts).astype(np.uint64)
+        names, keys, parts, held, words, times = (table[c][row].as_py() for c in ("contexts", "keys", "parts", "held", "words", "times"))
+        far, near = parted(names)
+        parts = unpacked(parts).astype(np.uint64)
+        before = [common[n] for n in unpacked(near).astype(np.int64).reshape(level, len(parts))] + [common[climbed(far).astype(np.int64)]]
+        contexts = context_keys(before)
         split = parts > 0
         contexts[split] = part_keys(contexts[split], parts[split] - np.uint64(1))
-        return (contexts & np.uint64((1 << CONTEXT_BITS) - 1), unpacked(held).astype(np.int64),
-                hashes_of(words, common) & np.uint64((1 << WORD_BITS) - 1), unpacked(times).astype(np.int64))
+        return (np.concatenate([contexts & np.uint64((1 << CONTEXT_BITS) - 1), climbed(keys)]), unpacked(held).astype(np.int64),
+                low_hashes(words, common), unpacked(times).astype(np.int64))
 
     taught = []
     for row in range(table.num_rows):
@@ -457,13 +539,13 @@ def reply(table: pa.Table, buckets: int, common: np.ndarray) -> pa.Table:
 SCORES = "id long, n_tokens long, n_known long, base double, total double"
 
 
-def scored(table: pa.Table, tokens_in_all: int, distinct: int, hot: list, order: int, buckets: int) -> pa.Table:
+def scored(table: pa.Table, tokens_in_all: int, distinct: int, hot: list, common: np.ndarray, order: int, buckets: int) -> pa.Table:
     """Scores of one slice's documents from the replies of all buckets."""
     replies = []
     for row in table.to_pylist():
         if row["tokens"] is not None:
             ids, flags = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["flags"], np.uint8).reshape(2, -1)
-            part = Slice(row["sizes"], row["words"], row["tokens"])
+            part = Slice(row["sizes"], row["words"], row["tokens"], common)
         else:
             replies.append((row["bucket"], row["codes"], row["totals"], row["followers"]))
     replies.sort(key=lambda r: r[0])
@@ -510,15 +592,16 @@ def score_documents(docs: DataFrame, folds: int = 7, held_fold: int = 2, order:
     sample = drawn.mapInArrow(lambda b: sampled_contexts(b, levels), "level int, contexts binary").collect()
     hot, common = frequent(sample, levels, buckets), common_words(sample)
 
-    cut = stored(rows.mapInArrow(numbered, SLICES), "lm-slices")
+    cut = stored(rows.mapInArrow(lambda b: numbered(b, common), SLICES), "lm-slices")
     tokens = cut.agg(F.sum("learned")).first()[0] or 0
-    distinct = cut.select(F.explode("taught").alias("word")).distinct().count()
+    taught = cut.select("flags", "sizes", "words", "tokens").mapInArrow(lambda b: taught_words(b, common, buckets), "part int, words binary")
+    distinct = taught.repartition(buckets, "part").groupBy("part").applyInArrow(counted, "n long").agg(F.sum("n")).first()[0] or 0
     asked = cut.select("slice", "flags", "sizes", "words", "tokens").mapInArrow(lambda b: requests(b, buckets, hot, common), REQUEST)
     replies = asked.repartition(levels * buckets, "bucket").groupBy("bucket").applyInArrow(
         lambda t: reply(t, buckets, common), REPLY)
-    both = replies.unionByName(cut.drop("taught", "learned"), allowMissingColumns=True)
+    both = replies.unionByName(cut.drop("learned"), allowMissingColumns=True)
     found = both.repartition(int(max(8, letters // (2 * SLICE_BYTES))), "slice").groupBy("slice").applyInArrow(
-        lambda t: scored(t, tokens, distinct, hot, order, buckets), SCORES)
+        lambda t: scored(t, tokens, distinct, hot, common, order, buckets), SCORES)
     return found.select(F.col("id").alias("doc_id"), (fold("id", folds) == held_fold).alias("held_out"), "n_tokens", "n_known",
                         F.lit(int(tokens)).cast("long").alias("train_tokens"), F.col("base").alias("base_score"),
                         F.col("total").alias("score"))
