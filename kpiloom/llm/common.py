@@ -38,6 +38,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
+    """Like ``stored``, in hash buckets of ``key``: grouping by it needs no shuffle of these rows."""
+    spark = df.sparkSession
+    mark = f"{name}_{uuid.uuid4().hex}"
+    df.write.bucketBy(buckets, key).option("path", f"{shared_dir(spark)}/{mark}").saveAsTable(mark, format="parquet")
+    return spark.table(mark)
+
+
 def fold(doc_id: Column | str, parts: int) -> Column:
     """crc32 of the id as text, modulo ``parts``; a null id is in fold 0."""
     column = F.col(doc_id) if isinstance(doc_id, str) else doc_id

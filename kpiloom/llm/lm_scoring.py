@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, fold, mixed, share, slices, stored
+from .common import WordHashes, bucketed, fold, mixed, share, slices
 
 #: Highest order.
 ORDER = 3
@@ -39,6 +39,10 @@ END = np.uint64(0x454E44)
 OTHER = (1 << 16) - 1
 
 
+#: Tasks that score at most, as Spark bounds the buckets of a table; a task scores one slice after another.
+MOST_TASKS = 100_000
+
+
 class EliasFano:
     """Ascending integers in about 2 + log2(universe / length) bits each, searched in bulk."""
 
@@ -273,8 +277,10 @@ class Slice:
 
     def contexts(self, levels: int):
         """Per level the tokens that have so long a context, its number at each, and one token of each number."""
-        rows, number = np.arange(len(self.tokens)), self.before
-        _, one, number = np.unique(number, return_index=True, return_inverse=True)
+        # every token is before another one, so the nearest words are all words
+        number, one = self.before, np.empty(len(self.words), np.int64)
+        one[number] = np.arange(len(number))
+        rows = np.arange(len(number))
         yield rows, number, one
         for level in range(1, levels):
             whole = np.zeros(len(self.tokens), np.int64)
@@ -390,26 +396,35 @@ def common_words(sample) -> np.ndarray:
     return words[np.lexsort((words, -counts))][:OTHER]
 
 
-#: Names of a piece of the bitmap of names.
-PIECE = 1 << 10
+#: Names of a piece of the bitmap of names; hashes that a task holds back to send each once.
+PIECE, MOST_KEPT = 1 << 10, 1 << 21
 
 
 def taught_words(batches, common: np.ndarray, parts: int):
     """Distinct words of training texts: of those without a name the hashes by part, of the others one bitmap a task,
     in pieces with a negative number."""
-    seen = np.zeros(1 << 16, np.uint8)
+    seen, kept, held = np.zeros(1 << 16, np.uint8), [], 0
     rows = lambda parts, blocks: pa.RecordBatch.from_arrays([pa.array(parts, pa.int32()), pa.array(blocks, pa.binary())],
                                                             names=["part", "words"])
+
+    def sent():
+        others = np.unique(np.concatenate([np.zeros(0, np.uint64), *kept]))
+        where = home(others, parts)
+        edges = np.flatnonzero(np.diff(where, prepend=-1, append=parts))
+        return rows(where[edges[:-1]], [steps(others[x:y]) for x, y in zip(edges[:-1].tolist(), edges[1:].tolist())])
+
     for batch in batches:
         for flags, *columns in zip(*(c.to_pylist() for c in batch.columns)):
             part = Slice(*columns, common)
             teaches = np.repeat(np.frombuffer(flags, np.uint8).reshape(2, -1)[1].astype(bool), part.sizes)
             used = np.bincount(part.tokens[teaches], minlength=len(part.words)) > 0
             seen[part.names[used]] = 1
-            others = part.words[used & (part.names == OTHER)]
-            where = home(others, parts)
-            edges = np.flatnonzero(np.diff(where, prepend=-1, append=parts))
-            yield rows(where[edges[:-1]], [steps(others[x:y]) for x, y in zip(edges[:-1].tolist(), edges[1:].tolist())])
+            kept.append(part.words[used & (part.names == OTHER)])
+            held += len(kept[-1])
+            if held > MOST_KEPT:
+                yield sent()
+                kept, held = [], 0
+    yield sent()
     seen[OTHER] = 0
     used = np.flatnonzero(seen.reshape(-1, PIECE).any(axis=1))
     yield rows(-1 - used, [np.packbits(seen[k * PIECE:(k + 1) * PIECE]).tobytes() for k in used.tolist()])
@@ -505,10 +520,12 @@ class Trie:
 
 
 REPLY = "slice long, bucket int, codes binary, totals binary, followers binary"
+#: Code of a pair that makes up all that a context holds.
+ONLY = quantised(np.array([1 - DISCOUNT]))[0]
 
 
 def reply(table: pa.Table, buckets: int, common: np.ndarray) -> pa.Table:
-    """Each slice's look-ups in one bucket."""
+    """Each slice's look-ups in one bucket; what several slices ask is looked up once."""
     bucket = table["bucket"][0].as_py()
     level = bucket // buckets
 
@@ -523,41 +540,70 @@ def reply(table: pa.Table, buckets: int, common: np.ndarray) -> pa.Table:
         return (np.concatenate([contexts & np.uint64((1 << CONTEXT_BITS) - 1), climbed(keys)]), unpacked(held).astype(np.int64),
                 low_hashes(words, common), unpacked(times).astype(np.int64))
 
-    taught = []
+    parts = [asked(row) for row in range(table.num_rows)]
+    pieces, grams = (np.cumsum([0] + [len(p[k]) for p in parts]) for k in (0, 2))
+    contexts, held, words, times = (np.concatenate(x) for x in zip(*parts))
+    del parts
+    contexts, context_of = np.unique(contexts, return_inverse=True)
+    keys, gram_of = np.unique(np.repeat(context_of, held).astype(np.uint64) << np.uint64(WORD_BITS) | words, return_inverse=True)
+    del words
+    times = np.bincount(gram_of, times, len(keys)).astype(np.int64)
+    owner, words = (keys >> np.uint64(WORD_BITS)).astype(np.int64), keys & np.uint64((1 << WORD_BITS) - 1)
+    taught = times > 0
+    trie = Trie(contexts[owner[taught]], words[taught], times[taught])
+    codes, totals, followers = trie.look_up(contexts, np.bincount(owner, minlength=len(contexts)), words)
+    out = []
     for row in range(table.num_rows):
-        contexts, held, words, times = asked(row)
-        use = np.flatnonzero(times)
-        taught.append((np.repeat(contexts, held)[use], words[use], times[use]))
-    trie = Trie(*(np.concatenate(x) for x in zip(*taught)))
-    del taught
-    out = [(table["slice"][row].as_py(), bucket, *map(packed, trie.look_up(*asked(row)[:3]))) for row in range(table.num_rows)]
+        own, pairs = context_of[pieces[row]:pieces[row + 1]], gram_of[grams[row]:grams[row + 1]]
+        out.append((table["slice"][row].as_py(), bucket,
+                    *told(codes[pairs], totals[own], followers[own], held[pieces[row]:pieces[row + 1]])))
     kinds = (pa.int64(), pa.int32(), *[pa.binary()] * 3)
     return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)],
                                 names=[f.split()[0] for f in REPLY.split(", ")])
 
 
+def told(codes: np.ndarray, totals: np.ndarray, followers: np.ndarray, held: np.ndarray) -> tuple[bytes, bytes, bytes]:
+    """A reply: all counts, next words of contexts seen twice or more, codes of their pairs, and of pairs of contexts
+    seen once whether they are what was seen."""
+    total = np.repeat(totals, held)
+    return (joined(packed(codes[total > 1]), packed(np.packbits(codes[total == 1] > 0))), packed(totals),
+            packed(followers[totals > 1]))
+
+
+def heard(codes: bytes, totals: bytes, followers: bytes, held: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """What ``told`` was given, from its bytes and the number of pairs of each context."""
+    totals = unpacked(totals).astype(np.int64)
+    after = np.minimum(totals, 1)
+    after[totals > 1] = unpacked(followers)
+    total = np.repeat(totals, held)
+    many, once = map(unpacked, parted(codes))
+    out = np.zeros(len(total), np.int64)
+    out[total > 1] = many
+    single = np.flatnonzero(total == 1)
+    out[single] = np.unpackbits(once, count=len(single)) * np.int64(ONLY)
+    return out, totals, after
+
+
 SCORES = "id long, n_tokens long, n_known long, base double, total double"
 
 
-def scored(table: pa.Table, tokens_in_all: int, distinct: int, hot: list, common: np.ndarray, order: int, buckets: int) -> pa.Table:
+def scored(cut: pa.Table, replies: pa.Table, tokens_in_all: int, distinct: int, hot: list, common: np.ndarray, order: int,
+           buckets: int) -> pa.Table:
     """Scores of one slice's documents from the replies of all buckets."""
-    replies = []
-    for row in table.to_pylist():
-        if row["tokens"] is not None:
-            ids, flags = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["flags"], np.uint8).reshape(2, -1)
-            part = Slice(row["sizes"], row["words"], row["tokens"], common)
-        else:
-            replies.append((row["bucket"], row["codes"], row["totals"], row["followers"]))
-    replies.sort(key=lambda r: r[0])
-    codes, totals, followers = (np.concatenate([unpacked(r[k]) for r in replies]).astype(np.int64) for k in (1, 2, 3))
-    shares = probabilities(codes)
+    row = cut.to_pylist()[0]
+    ids, flags = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["flags"], np.uint8).reshape(2, -1)
+    part = Slice(row["sizes"], row["words"], row["tokens"], common)
+    replies = {r["bucket"]: (r["codes"], r["totals"], r["followers"]) for r in replies.to_pylist()}
     p = known = one = None
-    entries = pieces = 0
     for level, found in enumerate(part.contexts(len(hot))):
         grams = Grams(part, level, found, hot[level], buckets)
-        e, k = entries + len(grams.entries), pieces + len(grams.pieces)
-        n, total, after = grams.spread(shares[entries:e], totals[pieces:k], followers[pieces:k])
-        entries, pieces = e, k
+        held = grams.held[grams.pieces]
+        edges = np.flatnonzero(np.diff(grams.bucket, prepend=-1, append=buckets)).tolist()
+        heards = [heard(*replies.pop(level * buckets + int(grams.bucket[x])), held[x:y]) for x, y in zip(edges[:-1], edges[1:])]
+        if not heards:
+            break
+        codes, totals, followers = map(np.concatenate, zip(*heards))
+        n, total, after = grams.spread(probabilities(codes), totals, followers)
         if not level:
             # what precedes the next token is this one; before a text's first token is an end
             known = np.append(total[1:], 0)
@@ -592,16 +638,16 @@ def score_documents(docs: DataFrame, folds: int = 7, held_fold: int = 2, order:
     sample = drawn.mapInArrow(lambda b: sampled_contexts(b, levels), "level int, contexts binary").collect()
     hot, common = frequent(sample, levels, buckets), common_words(sample)
 
-    cut = stored(rows.mapInArrow(lambda b: numbered(b, common), SLICES), "lm-slices")
+    cut = bucketed(rows.mapInArrow(lambda b: numbered(b, common), SLICES), "lm_slices", "slice",
+                   int(max(8, min(MOST_TASKS, letters // (2 * SLICE_BYTES)))))
     tokens = cut.agg(F.sum("learned")).first()[0] or 0
     taught = cut.select("flags", "sizes", "words", "tokens").mapInArrow(lambda b: taught_words(b, common, buckets), "part int, words binary")
     distinct = taught.repartition(buckets, "part").groupBy("part").applyInArrow(counted, "n long").agg(F.sum("n")).first()[0] or 0
     asked = cut.select("slice", "flags", "sizes", "words", "tokens").mapInArrow(lambda b: requests(b, buckets, hot, common), REQUEST)
     replies = asked.repartition(levels * buckets, "bucket").groupBy("bucket").applyInArrow(
         lambda t: reply(t, buckets, common), REPLY)
-    both = replies.unionByName(cut.drop("learned"), allowMissingColumns=True)
-    found = both.repartition(int(max(8, letters // (2 * SLICE_BYTES))), "slice").groupBy("slice").applyInArrow(
-        lambda t: scored(t, tokens, distinct, hot, common, order, buckets), SCORES)
+    found = cut.groupBy("slice").cogroup(replies.groupBy("slice")).applyInArrow(
+        lambda c, r: scored(c, r, tokens, distinct, hot, common, order, buckets), SCORES)
     return found.select(F.col("id").alias("doc_id"), (fold("id", folds) == held_fold).alias("held_out"), "n_tokens", "n_known",
                         F.lit(int(tokens)).cast("long").alias("train_tokens"), F.col("base").alias("base_score"),
                         F.col("total").alias("score"))
