@@ -124,26 +124,27 @@ def step_table(states: int, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 def phrases(blocks: np.ndarray, table) -> np.ndarray:
     """Phrases of each block: ``blocks`` has one block per column, ended by symbol 0."""
     steps, column, _ = table
-    columns = column[blocks]
-    inside = blocks > 0
     state = np.zeros(blocks.shape[1], np.int32)
     ended = np.ones(blocks.shape[1], np.int32)
-    for here, live in zip(columns, inside):
-        state += here
+    for here in blocks:
+        state += column[here]
         state = steps.take(state)
         cut = state < 0
         state = np.where(cut, -1 - state, state)
-        cut &= live
+        cut &= here > 0
         ended += cut
     return ended
 
 
-def parsed(batches, model):
+def parsed(batches, model, text_at: int | None = None):
+    """Languages of batches of ids, whether there is a letter, and texts or, with ``text_at``, rows that hold theirs there."""
     tables = {lang: (step_table(states, edges), bits) for lang, (states, edges, bits) in model.items()}
     langs = sorted(tables)
     for batch in batches:
-        ids, raws, lettered, *carried = batch.columns
-        raws, lettered = raws.to_pylist(), lettered.to_pylist()
+        ids, lettered, raws = batch.columns
+        carried = [] if text_at is None else [raws]
+        raws = raws if text_at is None else raws.field(text_at).cast(pa.binary())
+        lettered = lettered.to_pylist()
         best, score = ["und"] * len(raws), np.zeros(len(raws))
         at = 0
         while at < len(raws):
@@ -151,7 +152,7 @@ def parsed(batches, model):
             held = 0
             while at < len(raws) and held < LANES:
                 if lettered[at] and langs:
-                    s = symbols(raws[at])
+                    s = symbols(raws[at].as_py())
                     n = -(-len(s) // BLOCK)
                     rows.append(at)
                     parts.append(np.pad(s, (0, n * BLOCK - len(s))))
@@ -184,11 +185,13 @@ def identify(docs: DataFrame, model: dict[str, tuple], carry: bool = False) -> D
     draw. A tie goes to the first language by name.
     """
     letters = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
-    row = F.struct("*")
-    asked = docs.select("doc_id", F.col("text").cast("binary").alias("raw"), letters.alias("lettered"),
-                        *([row.alias("row")] if carry else []))
-    kind = f", row {asked.schema['row'].dataType.simpleString()}" if carry else ""
-    return asked.mapInArrow(lambda batches: parsed(batches, model), "doc_id long, lang_pred string, score double" + kind)
+    if not carry:
+        asked = docs.select("doc_id", letters.alias("lettered"), F.col("text").cast("binary").alias("raw"))
+        return asked.mapInArrow(lambda batches: parsed(batches, model), "doc_id long, lang_pred string, score double")
+    asked = docs.select("doc_id", letters.alias("lettered"), F.struct("*").alias("row"))
+    text_at = [c.lower() for c in docs.columns].index("text")
+    return asked.mapInArrow(lambda batches: parsed(batches, model, text_at),
+                            f"doc_id long, lang_pred string, score double, row {asked.schema['row'].dataType.simpleString()}")
 
 
 def language_of(docs: DataFrame, folds: int = 5, sample_bytes: int = SAMPLE_BYTES, carry: bool = False) -> DataFrame:
