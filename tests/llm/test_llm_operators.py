@@ -7,6 +7,8 @@ import time
 import zlib
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute
 import pytest
 from pyspark.sql import functions as F
 
@@ -518,3 +520,41 @@ def test_empty_tables(spark):
                    embedding_dedup.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>")),
                    html_text.extract(spark.createDataFrame([], "page_id long, url string, html string"))):
         assert result.count() == 0
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_replies_come_back_whole(seed):
+    rng = np.random.default_rng(seed)
+    held = rng.integers(1, 5, 200)
+    totals = rng.integers(0, 4, 200)
+    total = np.repeat(totals, held)
+    codes = np.where(total == 1, rng.integers(0, 2, len(total)) * int(lm_scoring.ONLY), np.where(total > 1, rng.integers(0, 9000, len(total)), 0))
+    followers = np.where(totals > 1, rng.integers(1, 4, 200), totals)
+    for cut in (200, 1, 0):
+        pairs = held[:cut].sum()
+        got = lm_scoring.heard(*lm_scoring.told(codes[:pairs], totals[:cut], followers[:cut], held[:cut]), held[:cut])
+        assert [x.tolist() for x in got] == [codes[:pairs].tolist(), totals[:cut].tolist(), followers[:cut].tolist()]
+
+
+@pytest.mark.parametrize("named, most", [(0, 1 << 21), (40, 3), (10_000, 1 << 21)])
+def test_distinct_training_words_are_counted_once(monkeypatch, named, most):
+    monkeypatch.setattr(lm_scoring, "MOST_KEPT", most)
+    rows = [(i, i % 7 != 2, (t or "").encode()) for i, t in corpus()]
+    words = [(taught, w) for _, taught, raw in rows for w in [*words_of(raw.decode()), None]]
+    hashes = lm_scoring.WordHashes()
+    common = np.array(sorted({lm_scoring.END if w is None else np.uint64(hashes[w.encode()]) for _, w in words}), np.uint64)[::-1][:named]
+    batches = [pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows[k::3])], names=["id", "taught", "raw"]) for k in range(3)]
+    monkeypatch.setattr(lm_scoring.TaskContext, "get", classmethod(lambda cls: type("Task", (), {"partitionId": lambda self: 0})()))
+    cut = list(lm_scoring.numbered(batches, common))
+    sent = [pa.Table.from_batches(list(lm_scoring.taught_words([b.select(["flags", "sizes", "words", "tokens"])], common, 5))) for b in cut]
+    table = pa.concat_tables(sent)
+    counts = [lm_scoring.counted(table.filter(pa.compute.equal(table["part"], part)))["n"][0].as_py()
+              for part in set(table["part"].to_pylist())]
+    assert sum(counts) == len({w for taught, w in words if taught})
+    for batch in cut:
+        part = lm_scoring.Slice(*(batch.column(c)[0].as_py() for c in ("sizes", "words", "tokens")), common)
+        assert (part.names < lm_scoring.OTHER).sum() == np.isin(part.words, common).sum()
+    tokens = [lm_scoring.Slice(*(b.column(c)[0].as_py() for c in ("sizes", "words", "tokens")), common) for b in cut]
+    for k, part in enumerate(tokens):
+        want, _ = lm_scoring.tokens_of([r[2] for r in rows[k::3]], hashes)
+        assert part.words[part.tokens].tolist() == want.tolist()
