@@ -8,21 +8,27 @@ from checks import inputs as i
 from checks.registry import check, shared_path
 from checks.tables_sql import STORE_LIST, month
 from kpiloom import bindings as b, functions as fn, operators as ops, plans, sources
-from kpiloom.session import bucketed, materialise
+from kpiloom.session import bucketed, materialise, parts_for
 
-#: Buckets of the checks' facts; a cluster takes so many that each fits one task.
+#: Least buckets of the checks' facts; there are so many that each fits one task.
 BUCKETS = 8
 LINE_SCOPE = {"site": "S1", "marketplace": "TM", "start": i.START}
 
 
-def by_order(spark, facts, name):
-    """``facts`` in buckets of their order id."""
-    return bucketed(facts, shared_path(spark, name), f"{name}_{uuid.uuid4().hex}", ["order_id"], BUCKETS)
+def buckets(spark, sf):
+    """Buckets of all facts by order: as many as the picks need, which have a row per line and are no join."""
+    return parts_for(b.picks(spark, sf).count(), BUCKETS)
+
+
+def by_order(spark, facts, name, count=BUCKETS):
+    """``facts`` in ``count`` buckets of their order id."""
+    return bucketed(facts, shared_path(spark, name), f"{name}_{uuid.uuid4().hex}", ["order_id"], count)
 
 
 @check("growth_weekly_bucketed", "SELECT * FROM g_week")
 def _(spark, sf):
-    lines, picks = by_order(spark, b.order_lines(spark, sf), "lines"), by_order(spark, b.picks(spark, sf), "picks")
+    count = buckets(spark, sf)
+    lines, picks = by_order(spark, b.order_lines(spark, sf), "lines", count), by_order(spark, b.picks(spark, sf), "picks", count)
     return plans.growth_weekly(lines, picks, i.START, **i.SCOPE)
 
 

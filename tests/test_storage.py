@@ -7,7 +7,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from kpiloom import operators as ops, plans, sources
+from checks import QUERIES
+from kpiloom import operators as ops, plans, session, sources
 from kpiloom.session import BUCKETED_CONF, bucketed, materialise, open_bucketed
 
 SCOPE = {"pick_keys": ("order_id", "line_id")}
@@ -213,3 +214,30 @@ def test_dropped_rows_are_counted_while_the_job_runs(spark, tmp_path):
         "visits": (2, {"unreadable day": 2, "unknown store": 1}), "plain": (3, {})}
     meta = sources.run_metadata(status).first()
     assert [tuple(r) for r in meta.dropped] == [("visits/unknown store", 1), ("visits/unreadable day", 2)]
+
+
+def star(spark, path, orders, lines=3):
+    """Small ``orders`` and ``lineitem`` tables at ``path``."""
+    day = F.expr("timestamp_ntz'1996-03-01 00:00:00' + make_interval(0, 0, 0, id % 90)")
+    head = spark.range(orders).select(
+        F.col("id").alias("o_orderkey"), (F.col("id") % 40).alias("o_custkey"), F.lit("O").alias("o_orderstatus"),
+        F.lit(100.0).alias("o_totalprice"), day.alias("o_orderdate"), F.lit("1-URGENT").alias("o_orderpriority"))
+    rows = spark.range(orders * lines).select(
+        (F.col("id") % orders).alias("l_orderkey"), (F.col("id") % 200).alias("l_partkey"), (F.col("id") % 7).alias("l_suppkey"),
+        F.floor(F.col("id") / orders).cast("int").alias("l_linenumber"), F.lit(4.0).alias("l_quantity"), F.lit(80.0).alias("l_extendedprice"),
+        F.lit(0.05).alias("l_discount"), F.lit(0.02).alias("l_tax"), F.lit("A").alias("l_returnflag"), F.lit("O").alias("l_linestatus"),
+        F.expr("timestamp_ntz'1996-04-01 00:00:00'").alias("l_shipdate"))
+    head.write.parquet(f"{path}/orders.parquet")
+    rows.write.parquet(f"{path}/lineitem.parquet")
+    return str(path)
+
+
+def test_bucket_counts_grow_with_the_facts(spark, rows, tmp_path, monkeypatch):
+    assert [session.parts_for(n, 8) for n in (0, 8_000_000, 8_000_001, 216_000_000)] == [8, 8, 9, 216]
+    path = star(spark, tmp_path, 1000)
+    few = QUERIES["growth_weekly_bucketed"](spark, path)
+    assert len(few.inputFiles()) == 2 * 8
+    monkeypatch.setattr(session, "TASK_ROWS", 100)
+    many = QUERIES["growth_weekly_bucketed"](spark, path)
+    assert len(many.inputFiles()) == 2 * 30
+    assert rows(many) == rows(few) == rows(QUERIES["growth_weekly"](spark, path)) != []
