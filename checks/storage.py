@@ -20,7 +20,7 @@ def buckets(spark, sf):
     return parts_for(b.picks(spark, sf).count(), BUCKETS)
 
 
-def by_order(spark, facts, name, count=BUCKETS):
+def by_order(spark, facts, name, count):
     """``facts`` in ``count`` buckets of their order id."""
     return bucketed(facts, shared_path(spark, name), f"{name}_{uuid.uuid4().hex}", ["order_id"], count)
 
@@ -36,7 +36,7 @@ def _(spark, sf):
 FROM order_lines JOIN (SELECT order_id, max(CASE WHEN node_id = 'N4' THEN 1 ELSE 0 END) AS order_flag FROM order_lines GROUP BY 1) USING (order_id)
 GROUP BY 1, 2""")
 def _(spark, sf):
-    lines = by_order(spark, b.order_lines(spark, sf), "flag_lines")
+    lines = by_order(spark, b.order_lines(spark, sf), "flag_lines", buckets(spark, sf))
     flagged = ops.order_flag_window(lines, "order_id", F.col("item.node_id") == "N4", known_keys=True)
     return flagged.groupBy("status", "order_flag").agg(F.count("*").alias("n"), F.sum("order_id").alias("checksum"))
 

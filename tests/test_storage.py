@@ -241,3 +241,12 @@ def test_bucket_counts_grow_with_the_facts(spark, rows, tmp_path, monkeypatch):
     many = QUERIES["growth_weekly_bucketed"](spark, path)
     assert len(many.inputFiles()) == 2 * 30
     assert rows(many) == rows(few) == rows(QUERIES["growth_weekly"](spark, path)) != []
+
+
+def test_flagged_lines_are_dealt_to_buckets_that_grow(spark, rows, tmp_path, monkeypatch):
+    path = star(spark, tmp_path, 1000)
+    few = rows(QUERIES["order_flag_bucketed"](spark, path))
+    monkeypatch.setattr(session, "TASK_ROWS", 100)
+    many = QUERIES["order_flag_bucketed"](spark, path)
+    assert len(many.inputFiles()) == 30
+    assert rows(many) == few == rows(QUERIES["order_flag_window"](spark, path)) != []
