@@ -95,8 +95,10 @@ def periods(spark, sf):
 @check("range_membership_periods", f"""SELECT kind, node_id, count(*) AS n, CAST(sum(visits) AS BIGINT) AS visits
 FROM order_visits JOIN ({PERIODS}) p ON day BETWEEN p.start AND p."end" GROUP BY 1, 2""")
 def _(spark, sf):
-    met = ops.period_membership(b.order_visits(spark, sf), "day", periods(spark, sf))
-    return met.groupBy("kind", "node_id").agg(F.count("*").alias("n"), F.sum("visits").alias("visits"))
+    # the rows of a day and store lie in the same periods: they meet them as one row, as in ``period_sums``
+    days = b.order_visits(spark, sf).groupBy("day", "node_id").agg(F.count("*").alias("n"), F.sum("visits").alias("visits"))
+    met = ops.period_membership(days, "day", periods(spark, sf))
+    return met.groupBy("kind", "node_id").agg(F.sum("n").alias("n"), F.sum("visits").alias("visits"))
 
 
 @check("period_sums", f"""SELECT p.start, p."end", kind, CAST(coalesce(sum(visits), 0) AS BIGINT) AS visits
