@@ -54,11 +54,11 @@ def mart_sql(name, spec):
 
 
 def stored_inputs(spark, sf):
-    """All inputs of the scorecard, each computed once."""
-    day = b.order_lines(spark, sf)
+    """All inputs of the scorecard, each computed once, and the lines behind the four growth results too."""
+    day, lines = b.order_lines(spark, sf), i.stored_lines(spark, sf)
     inputs = {
-        "growth_week": i.g_week(spark, sf), "growth_day": i.g_day(spark, sf), "growth_week_store": i.g_week_store(spark, sf),
-        "growth_day_store": i.g_day_store(spark, sf), "visits_week": i.v_week(spark, sf), "visits_day": i.v_day(spark, sf),
+        "growth_week": i.g_week(spark, sf, lines), "growth_day": i.g_day(spark, sf, lines), "growth_week_store": i.g_week_store(spark, sf, lines),
+        "growth_day_store": i.g_day_store(spark, sf, lines), "visits_week": i.v_week(spark, sf), "visits_day": i.v_day(spark, sf),
         "cvr_week": i.c_week(spark, sf), "cvr_day": i.c_day(spark, sf), "ops_week": i.o_week(spark, sf), "ops_day": i.o_day(spark, sf),
         "ops_week_store": i.o_week_store(spark, sf), "buyers_week_store": i.b_week_store(spark, sf), "nps": i.nps(spark, sf),
         "cx_month": b.cx_month(spark, sf), "cx_store": b.cx_store(spark, sf), "pl_month": b.pl_monthly(spark, sf),
