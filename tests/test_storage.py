@@ -3,12 +3,13 @@
 import datetime as dt
 import os
 import random
+import sys
 
 import pytest
 from pyspark.sql import functions as F
 
-from checks import QUERIES
-from kpiloom import operators as ops, plans, session, sources
+from checks import QUERIES, inputs, scorecard, states
+from kpiloom import bindings, operators as ops, plans, session, sources
 from kpiloom.session import BUCKETED_CONF, bucketed, materialise, open_bucketed
 
 SCOPE = {"pick_keys": ("order_id", "line_id")}
@@ -250,3 +251,40 @@ def test_flagged_lines_are_dealt_to_buckets_that_grow(spark, rows, tmp_path, mon
     many = QUERIES["order_flag_bucketed"](spark, path)
     assert len(many.inputFiles()) == 30
     assert rows(many) == few == rows(QUERIES["order_flag_window"](spark, path)) != []
+
+
+def test_rows_of_a_day_and_store_meet_periods_once(spark, rows, tmp_path, monkeypatch):
+    path, met = star(spark, tmp_path, 2000, lines=1), []
+    plain = ops.period_membership
+    monkeypatch.setattr(ops, "period_membership", lambda daily, *a, **k: met.append(daily.count()) or plain(daily, *a, **k))
+    got = QUERIES["range_membership_periods"](spark, path)
+    visits, spans = bindings.order_visits(spark, path), states.periods(spark, path)
+    brute = (visits.join(spans, visits.day.between(spans.start, spans.end)).groupBy("kind", "node_id")
+             .agg(F.count("*").alias("n"), F.sum("visits").alias("visits")))
+    assert rows(got) == rows(brute) != []
+    assert met == [visits.select("day", "node_id").distinct().count()] and met[0] < visits.count()
+
+
+def test_distinct_counts_deal_their_rows_to_enough_partitions(spark, rows, monkeypatch):
+    df = spark.range(1000).select((F.col("id") % 3).alias("g"), (F.col("id") % 70).alias("a"), F.col("id").cast("int").alias("b"))
+    plain = rows(df.groupBy("g").agg(F.countDistinct("a"), F.countDistinct("b")))
+    monkeypatch.setattr(session, "TASK_ROWS", 100)
+    for cols in ({"a": "a", "b": "b"}, {"a": "a", "b": F.col("b").cast("string")}):
+        got = ops.count_distinct(df, ["g"], cols)
+        assert rows(got) == plain
+        assert ", 10), REPARTITION_BY_NUM" in plan_of(got)
+    maps = df.select("g", F.create_map("a", "a").alias("m"), "b")
+    assert rows(ops.count_distinct(maps, ["g"], {"m": "m", "b": "b"})) == plain
+
+
+def test_scorecard_joins_its_lines_once(spark, rows, tmp_path, monkeypatch):
+    path, joins, module = star(spark, tmp_path, 300), [], sys.modules["kpiloom.plans.growth"]
+    spark.createDataFrame([(k, "c", k % 5, 100.0 * k, "BUILDING") for k in range(40)], bindings.SCHEMAS["customer"]).write.parquet(f"{path}/customer.parquet")
+    plain = module.join_picks
+    monkeypatch.setattr(module, "join_picks", lambda *a: joins.append(1) or plain(*a))
+    QUERIES["scorecard_records"](spark, path)
+    scorecard.stored_inputs(spark, path)
+    assert len(joins) == 2
+    lines = inputs.stored_lines(spark, path)
+    for result in (inputs.g_day, inputs.g_week, inputs.g_day_store, inputs.g_week_store):
+        assert rows(result(spark, path, lines)) == rows(result(spark, path)) != []
