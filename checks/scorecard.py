@@ -6,8 +6,9 @@ from checks import inputs as i, marts as m
 from checks.registry import ORACLES, check, shared_path
 from checks.tables_sql import month
 from kpiloom import bindings as b, plans
+from kpiloom.operators.periods import rolling_anchor
 from kpiloom.plans.scorecard import VIEWS
-from kpiloom.session import materialise
+from kpiloom.session import materialise, materialise_all
 
 PLAN_MONTH = f"SELECT {month('Fecha')} AS Mes, sum(NMV_V2) AS NMV_V2, sum(NMV_48) AS \"NMV_4+8\" FROM plan GROUP BY 1"
 PLAN_DAY = 'SELECT Fecha, NMV_V2, NSI_V2, NMV_48 AS "NMV_4+8", NSI_48 AS "NSI_4+8", Pur_48 AS "Purchases_4+8" FROM plan'
@@ -53,23 +54,31 @@ def mart_sql(name, spec):
   ON COLUMNS(* EXCLUDE (key)) INTO NAME measure VALUE value)"""
 
 
+def store_all(spark, tables):
+    return materialise_all(spark, tables, {name: shared_path(spark, f"score-{name}") for name in tables})
+
+
 def stored_inputs(spark, sf):
-    """All inputs of the scorecard, each computed once, and the lines behind the four growth results too."""
-    day, lines = b.order_lines(spark, sf), i.stored_lines(spark, sf)
-    inputs = {
-        "growth_week": i.g_week(spark, sf, lines), "growth_day": i.g_day(spark, sf, lines), "growth_week_store": i.g_week_store(spark, sf, lines),
-        "growth_day_store": i.g_day_store(spark, sf, lines), "visits_week": i.v_week(spark, sf), "visits_day": i.v_day(spark, sf),
-        "cvr_week": i.c_week(spark, sf), "cvr_day": i.c_day(spark, sf), "ops_week": i.o_week(spark, sf), "ops_day": i.o_day(spark, sf),
-        "ops_week_store": i.o_week_store(spark, sf), "buyers_week_store": i.b_week_store(spark, sf), "nps": i.nps(spark, sf),
-        "cx_month": b.cx_month(spark, sf), "cx_store": b.cx_store(spark, sf), "pl_month": b.pl_monthly(spark, sf),
-        "demographics": b.demographics(spark, sf), "plan_week": plans.plan_weekly(b.plan(spark, sf)),
-        "plan_day": b.plan(spark, sf).select("Fecha", "NMV_V2", "NSI_V2", "`NMV_4+8`", "`NSI_4+8`", "`Purchases_4+8`"),
-        "plan_month": b.plan(spark, sf).groupBy(F.trunc("Fecha", "month").alias("Mes")).agg(
+    """All inputs of the scorecard, each computed once. What several of them are made from is stored too, and read once."""
+    facts = store_all(spark, {
+        "tallies": lambda: i.tallies(spark, sf), "nps": lambda: i.nps(spark, sf), "pl_month": lambda: b.pl_monthly(spark, sf),
+        "demographics": lambda: plans.demographic_totals(b.demographics(spark, sf)), "buyers_week_store": lambda: i.b_week_store(spark, sf),
+        "cvr_week": lambda: i.c_week(spark, sf), "cvr_day": lambda: i.c_day(spark, sf), "ops": lambda: plans.ops_totals(b.scorecard(spark, sf)),
+        "cx_month": lambda: b.cx_month(spark, sf), "cx_store": lambda: b.cx_store(spark, sf), "sheet": lambda: b.assortment_sheet(spark, sf),
+        "claims": lambda: plans.claims_totals(b.claims_monthly(spark, sf)),
+        "bpp": lambda: plans.bpp_totals(b.bpp_monthly(spark, sf), "paid_lc", "recovered_lc"),
+        "plan": lambda: b.plan(spark, sf), "visits_week": lambda: i.v_week(spark, sf), "visits_day": lambda: i.v_day(spark, sf)})
+    counted, ops, sheet, plan = (facts.pop(name) for name in ("tallies", "ops", "sheet", "plan"))
+    results = i.growth_results(counted)
+    inputs = facts | store_all(spark, {name: lambda df=df: df for name, df in results.items()} | {
+        "ops_week": lambda: i.o_week(spark, sf, ops), "ops_day": lambda: i.o_day(spark, sf, ops), "ops_week_store": lambda: i.o_week_store(spark, sf, ops),
+        "plan_week": lambda: plans.plan_weekly(plan),
+        "plan_day": lambda: plan.select("Fecha", "NMV_V2", "NSI_V2", "`NMV_4+8`", "`NSI_4+8`", "`Purchases_4+8`"),
+        "plan_month": lambda: plan.groupBy(F.trunc("Fecha", "month").alias("Mes")).agg(
             F.sum("NMV_V2").alias("NMV_V2"), F.sum("`NMV_4+8`").alias("NMV_4+8")),
-        "assortment": i.assortment(spark, sf), "claims": b.claims_monthly(spark, sf), "bpp": b.bpp_monthly(spark, sf)}
-    anchor = plans.sales_anchor(day, i.AS_OF, i.START, site="S1", marketplace="TM")
-    return ({name: materialise(df, shared_path(spark, f"score-{name}")) for name, df in inputs.items()},
-            materialise(anchor, shared_path(spark, "score-anchor")))
+        "assortment": lambda: i.assortment(spark, sf, sheet)})
+    # the last day of the stored daily growth is the last day with sales
+    return inputs, materialise(rolling_anchor(inputs["growth_day"], "Fecha", i.AS_OF), shared_path(spark, "score-anchor"))
 
 
 @check("scorecard_all", " UNION ALL ".join(mart_sql(name, spec) for name, spec in MARTS.items()))
