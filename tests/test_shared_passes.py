@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 from test_storage import star
 
-from checks import inputs, scorecard
+from checks import QUERIES, inputs, scorecard
 from kpiloom import bindings, plans, session
 from kpiloom.functions.masks import held, mask_names, row_masks
 
@@ -83,6 +83,9 @@ def test_scorecard_reads_its_facts_once(spark, tmp_path, monkeypatch):
         monkeypatch.setattr(bindings, name, lambda *a, plain=getattr(bindings, name), name=name: seen.update([name]) or plain(*a))
     scorecard.stored_inputs(spark, path)
     assert seen == {"order_lines": 2, "scorecard": 1, "plan": 1, "assortment_sheet": 1, "claims_monthly": 1, "bpp_monthly": 1}
+    seen.clear()
+    QUERIES["scorecard_records"](spark, path)
+    assert seen == {"order_lines": 2, "scorecard": 1}
 
 
 def test_tables_are_stored_under_their_names(spark, rows, tmp_path):
