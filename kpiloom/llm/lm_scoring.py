@@ -14,6 +14,8 @@ travels as its key. Ascending numbers travel as differences.
 
 from __future__ import annotations
 
+from functools import cache
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -119,6 +121,7 @@ class EliasFano:
         return first, same
 
 
+@cache
 def places(bit: int) -> np.ndarray:
     """Place of the k-th zero, or one, in every word of 16 bits."""
     bits = (np.arange(1 << 16)[:, None] >> np.arange(16)) & 1
@@ -131,9 +134,11 @@ def pack_bits(values: np.ndarray, width: int) -> np.ndarray:
     out = np.zeros(len(values) * width // 64 + 2, np.uint64)
     start = np.arange(len(values), dtype=np.uint64) * np.uint64(width)
     word, shift = (start >> np.uint64(6)).astype(np.int64), start & np.uint64(63)
-    np.bitwise_or.at(out, word, values << shift)
-    over = shift + np.uint64(width) > np.uint64(64)
-    np.bitwise_or.at(out, word[over] + 1, values[over] >> (np.uint64(64) - shift[over]))
+    # values are narrower than a word: one begins in each, and one at most reaches into the next
+    firsts = -(-64 * np.arange(word[-1] + 1) // width)
+    out[:len(firsts)] = np.bitwise_or.reduceat(values << shift, firsts)
+    over = np.flatnonzero(shift + np.uint64(width) > np.uint64(64))
+    out[word[over] + 1] |= values[over] >> (np.uint64(64) - shift[over])
     return out
 
 
@@ -148,6 +153,36 @@ def unpack_bits(packed: np.ndarray, width: int, index: np.ndarray) -> np.ndarray
     return value & np.uint64((1 << width) - 1)
 
 
+def ordered(keys: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys (0 to ``most``) in ascending order and their places.
+
+    Where key and place fit one number, that is sorted, which is several times faster than sorting
+    places, and of equal keys the first place comes first. Keys in order stay as they are.
+    """
+    bits = len(keys).bit_length()
+    if (keys[1:] >= keys[:-1]).all():
+        return keys, np.arange(len(keys))
+    if int(most).bit_length() + bits > 64:
+        order = np.argsort(keys)
+        return keys[order], order
+    both = keys.astype(np.uint64) << np.uint64(bits)
+    both |= np.arange(len(keys), dtype=np.uint64)
+    both.sort()
+    order = (both & np.uint64((1 << bits) - 1)).astype(np.int64)
+    both >>= np.uint64(bits)
+    return both.astype(keys.dtype, copy=False), order
+
+
+def grouped(keys: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The different keys (0 to ``most``) in ascending order, a place of each, and the number of each place's key."""
+    keys, order = ordered(keys, most)
+    first = np.ones(len(keys), bool)
+    first[1:] = keys[1:] != keys[:-1]
+    number = np.empty(len(keys), np.int64)
+    number[order] = np.cumsum(first) - 1
+    return keys[first], order[first], number
+
+
 def packed(values: np.ndarray) -> bytes:
     """Unsigned numbers in as few bytes as the largest needs, byte by byte of all of them, compressed."""
     most = int(values.max()) if len(values) else 0
@@ -287,7 +322,7 @@ class Slice:
             whole[rows] = number
             rows = np.flatnonzero(self.place >= level)
             key = whole[rows - 1] * len(self.words) + self.before[rows]
-            _, one, number = np.unique(key, return_index=True, return_inverse=True)
+            _, one, number = grouped(key, len(self.tokens) * len(self.words))
             yield rows, number, rows[one]
 
 
@@ -322,20 +357,24 @@ class Grams:
         if len(wide):
             low = part.words[word[wide]] & np.uint64((1 << WORD_BITS) - 1)
             piece[wide] += (mixed(low) % splits[number[wide]].astype(np.uint64)).astype(np.int64)
-        pair, self.entry_of = np.unique(piece * len(part.words) + word, return_inverse=True)
-        piece, self.word = pair // len(part.words), pair % len(part.words)
+        pair, _, self.entry_of = grouped(piece * len(part.words) + word, len(key) * len(part.words))
+        piece, self.word = np.divmod(pair, len(part.words))
         # pieces of contexts and their entries by bucket
         bucket = home(key, buckets)
         keyed = np.zeros(len(one), bool)
         for b in self.before:
             keyed |= part.names[b] == OTHER
         self.keyed, self.key = keyed[self.context], key & np.uint64((1 << CONTEXT_BITS) - 1)
-        self.pieces = np.lexsort((np.where(self.keyed, self.key, 0), self.keyed, bucket))
-        place = np.empty(len(key), np.int64)
-        place[self.pieces] = np.arange(len(key))
-        self.entries = np.argsort(place[piece], kind="stable")
+        # named contexts are numbered by their words: their order inside a bucket is that of their places
+        many, self.pieces = ordered(bucket * 2 + self.keyed, 2 * buckets)
+        many = np.flatnonzero(many & 1)
+        at = self.pieces[many]
+        self.pieces[many] = at[np.lexsort((self.key[at], bucket[at]))]
         self.piece_of, self.bucket = piece, bucket[self.pieces]
         self.held = np.bincount(piece, minlength=len(key))
+        # pairs are in the order of their pieces
+        held = self.held[self.pieces]
+        self.entries = np.repeat((np.cumsum(self.held) - self.held)[self.pieces] - (np.cumsum(held) - held), held) + np.arange(len(piece))
 
     def times(self, trained: np.ndarray) -> np.ndarray:
         """How often training texts of the slice hold each pair."""
@@ -489,10 +528,8 @@ class Trie:
     """
 
     def __init__(self, contexts: np.ndarray, words: np.ndarray, times: np.ndarray):
-        names = np.unique(contexts)
-        key = np.searchsorted(names, contexts).astype(np.uint64) << np.uint64(WORD_BITS) | words
-        order = np.argsort(key)
-        key = key[order]
+        names, _, number = grouped(contexts, 1 << CONTEXT_BITS)
+        key, order = ordered(number.astype(np.uint64) << np.uint64(WORD_BITS) | words, len(names) << WORD_BITS)
         starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])[:len(key)])
         counts = np.add.reduceat(times[order], starts) if len(key) else np.zeros(0, np.int64)
         key = key[starts]
@@ -544,8 +581,8 @@ def reply(table: pa.Table, buckets: int, common: np.ndarray) -> pa.Table:
     pieces, grams = (np.cumsum([0] + [len(p[k]) for p in parts]) for k in (0, 2))
     contexts, held, words, times = (np.concatenate(x) for x in zip(*parts))
     del parts
-    contexts, context_of = np.unique(contexts, return_inverse=True)
-    keys, gram_of = np.unique(np.repeat(context_of, held).astype(np.uint64) << np.uint64(WORD_BITS) | words, return_inverse=True)
+    contexts, _, context_of = grouped(contexts, 1 << CONTEXT_BITS)
+    keys, _, gram_of = grouped(np.repeat(context_of, held).astype(np.uint64) << np.uint64(WORD_BITS) | words, len(contexts) << WORD_BITS)
     del words
     times = np.bincount(gram_of, times, len(keys)).astype(np.int64)
     owner, words = (keys >> np.uint64(WORD_BITS)).astype(np.int64), keys & np.uint64((1 << WORD_BITS) - 1)

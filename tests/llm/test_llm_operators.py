@@ -427,6 +427,28 @@ def test_elias_fano(universe, length):
     assert (at == start + np.searchsorted(values[start:stop], keys)).all() and (same == np.isin(keys, values[start:stop])).all()
 
 
+@pytest.mark.parametrize("most", [0, 5, 1 << 30, (1 << 64) - 1])
+@pytest.mark.parametrize("length", [0, 1, 3000])
+def test_keys_are_grouped_as_by_unique(most, length):
+    keys = np.random.default_rng(most % 97 + length).integers(0, most, length, np.uint64, endpoint=True)
+    for given in (keys, np.sort(keys)):
+        found, one, number = lm_scoring.grouped(given, most)
+        want, numbers = np.unique(given, return_inverse=True)
+        assert np.array_equal(found, want) and np.array_equal(number, numbers) and np.array_equal(given[one], want)
+
+
+def test_tables_of_places_are_made_once():
+    assert lm_scoring.places(0) is lm_scoring.places(0) and lm_scoring.places(1) is lm_scoring.places(1)
+
+
+def test_bits_are_packed_at_every_width():
+    rng = np.random.default_rng(1)
+    for width in range(64):
+        for length in (0, 1, 2, 63, 64, 65, 1000):
+            values = rng.integers(0, 1 << width, length, np.uint64)
+            assert np.array_equal(lm_scoring.unpack_bits(lm_scoring.pack_bits(values, width), width, np.arange(length)), values)
+
+
 def test_trie_pointers_bound_each_context():
     rng = np.random.default_rng(3)
     contexts, words = rng.integers(0, 40, 900).astype(np.uint64), rng.integers(0, 30, 900).astype(np.uint64)
