@@ -66,13 +66,27 @@ def merged(a: Column, b: Column, fraction: float = FRACTION) -> Column:
 
 def likeness(a: Column, b: Column) -> Column:
     """Share of common hashes among all of both, an estimate of the Jaccard similarity; two empty sketches are alike."""
-    return bound(F.size(F.array_intersect(a, b)), lambda n: F.when(
-        F.size(a) + F.size(b) > 0, n / (F.size(a) + F.size(b) - n)).otherwise(F.lit(1.0)))
+    return bound(common(a, b), lambda n: share_of_all(a, b, n))
+
+
+def common(a: Column, b: Column) -> Column:
+    """Number of hashes that both have."""
+    return F.size(F.array_intersect(a, b))
+
+
+def share_of_all(a: Column, b: Column, n: Column) -> Column:
+    """``likeness`` of two sketches with ``n`` common hashes."""
+    return F.when(F.size(a) + F.size(b) > 0, n / (F.size(a) + F.size(b) - n)).otherwise(F.lit(1.0))
+
+
+def share_of_one(a: Column, n: Column) -> Column:
+    """``containment`` of a sketch of which another has ``n`` hashes."""
+    return F.when(F.size(a) > 0, n / F.size(a)).otherwise(F.lit(1.0))
 
 
 def containment(a: Column, b: Column) -> Column:
     """Share of ``a``'s hashes that ``b`` has: how much of one text is in another of any length. Nothing is in all."""
-    return F.when(F.size(a) > 0, F.size(F.array_intersect(a, b)) / F.size(a)).otherwise(F.lit(1.0))
+    return share_of_one(a, common(a, b))
 
 
 def as_text(hashes: Column) -> Column:
@@ -140,12 +154,14 @@ def fingerprints(docs: DataFrame, words: int = WORDS, fraction: float = FRACTION
         from_binary(F.col("next_packed")).alias("next"))
     found = found.select("*", F.sha2("edited", 256).alias("edited_sha256"), sketch(F.col("edited"), words, fraction).alias("new"))
     own, new, follower = F.col("own"), F.col("new"), F.col("next")
+    # counted once, for both shares
+    found = found.select("*", common(own, new).alias("n_new"), common(own, follower).alias("n_next"))
     steps = F.sequence(F.lit(0), ((F.col("times") - 1) / CHUNK).cast("long"))
     out = found.select(
         F.when(F.col("z") == 0, F.bitwise_not("o")).alias("doc_id"), "n_chars", "edited_sha256",
         as_text(own).alias("fingerprint"), as_text(new).alias("edited_fingerprint"),
-        likeness(own, new).alias("near_edited"), likeness(own, follower).alias("near_next"),
-        containment(own, new).alias("in_edited"), containment(own, follower).alias("in_next"),
+        share_of_all(own, new, F.col("n_new")).alias("near_edited"), share_of_all(own, follower, F.col("n_next")).alias("near_next"),
+        share_of_one(own, F.col("n_new")).alias("in_edited"), share_of_one(own, F.col("n_next")).alias("in_next"),
         "times", F.explode(steps).alias("step"))
     more = F.least(F.lit(CHUNK), F.col("times") - F.col("step") * CHUNK).cast("int")
     return out.select("*", F.explode(F.array_repeat(F.lit(1), more)).alias("one")).drop("times", "step", "one")

@@ -232,3 +232,12 @@ def test_very_long_texts(spark):
     assert by_repr(fingerprints.fingerprints(documents(spark, rows)).collect()) == by_repr(plain_fingerprints(rows))
     items = [(1, "a1 b2 c3 é4")]
     assert by_repr(reversed_search.search(documents(spark, rows), items_of(spark, items)).collect()) == by_repr(plain_search(rows, items))
+
+
+def test_common_hashes_of_a_document_are_counted_once(spark):
+    rows = [(1, "a b c d e f g"), (2, "a b c d e f h"), (3, None)]
+    found = fingerprints.fingerprints(documents(spark, rows))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("array_intersect(") == 2  # with the edited text's, with the next text's
+    got = {r.doc_id: r for r in found.collect()}
+    assert got[3].in_edited == got[3].near_edited == 1.0 and got[3].near_next == 0.0 and got[3].in_next == 1.0
