@@ -63,15 +63,17 @@ def stored_inputs(spark, sf):
     facts = store_all(spark, {
         "tallies": lambda: i.tallies(spark, sf), "nps": lambda: i.nps(spark, sf), "pl_month": lambda: b.pl_monthly(spark, sf),
         "demographics": lambda: plans.demographic_totals(b.demographics(spark, sf)), "buyers_week_store": lambda: i.b_week_store(spark, sf),
-        "cvr_week": lambda: i.c_week(spark, sf), "cvr_day": lambda: i.c_day(spark, sf), "ops": lambda: plans.ops_totals(b.scorecard(spark, sf)),
-        "cx_month": lambda: b.cx_month(spark, sf), "cx_store": lambda: b.cx_store(spark, sf), "sheet": lambda: b.assortment_sheet(spark, sf),
+        "cvr": lambda: i.c_tallies(spark, sf), "ops": lambda: plans.ops_totals(b.scorecard(spark, sf)),
+        "cx": lambda: b.cx_counts(spark, sf), "sheet": lambda: b.assortment_sheet(spark, sf),
         "claims": lambda: plans.claims_totals(b.claims_monthly(spark, sf)),
         "bpp": lambda: plans.bpp_totals(b.bpp_monthly(spark, sf), "paid_lc", "recovered_lc"),
         "plan": lambda: b.plan(spark, sf), "visits_week": lambda: i.v_week(spark, sf), "visits_day": lambda: i.v_day(spark, sf)})
-    counted, ops, sheet, plan = (facts.pop(name) for name in ("tallies", "ops", "sheet", "plan"))
+    counted, ops, sheet, plan, cvr, cx = (facts.pop(name) for name in ("tallies", "ops", "sheet", "plan", "cvr", "cx"))
     results = i.growth_results(counted)
     inputs = facts | store_all(spark, {name: lambda df=df: df for name, df in results.items()} | {
         "ops_week": lambda: i.o_week(spark, sf, ops), "ops_day": lambda: i.o_day(spark, sf, ops), "ops_week_store": lambda: i.o_week_store(spark, sf, ops),
+        "cvr_week": lambda: i.c_week(spark, sf, cvr), "cvr_day": lambda: i.c_day(spark, sf, cvr),
+        "cx_month": lambda: b.cx_month(spark, sf, cx), "cx_store": lambda: b.cx_store(spark, sf, cx),
         "plan_week": lambda: plans.plan_weekly(plan),
         "plan_day": lambda: plan.select("Fecha", "NMV_V2", "NSI_V2", "`NMV_4+8`", "`NSI_4+8`", "`Purchases_4+8`"),
         "plan_month": lambda: plan.groupBy(F.trunc("Fecha", "month").alias("Mes")).agg(

@@ -22,4 +22,4 @@ from kpiloom.plans.planning import plan_daily, plan_monthly, plan_vs_actual, pla
 from kpiloom.plans.scorecard import scorecard_marts, scorecard_records, scorecard_tables  # noqa: F401
 from kpiloom.plans.tables import metric_table, metric_table_latest, status_flags  # noqa: F401
 from kpiloom.plans.traffic import (  # noqa: F401
-    buyers_weekly_store, cvr_daily, cvr_weekly, visits_daily, visits_daily_store, visits_weekly)
+    buyers_weekly_store, conversion_of_tallies, conversion_tallies, cvr_daily, cvr_weekly, visits_daily, visits_daily_store, visits_weekly)

@@ -12,6 +12,7 @@ from test_storage import star
 from checks import QUERIES, inputs, scorecard
 from kpiloom import bindings, plans, session
 from kpiloom.functions.masks import held, mask_names, row_masks
+from kpiloom.functions.retail import nps_bucket, store_number
 
 D = dt.date
 LINES = ("day date, node_id string, purchase_id long, order_id long, status string, fx_ratio double, "
@@ -94,3 +95,55 @@ def test_tables_are_stored_under_their_names(spark, rows, tmp_path):
     assert {name: df.count() for name, df in stored.items()} == {f"t{k}": k for k in range(6)}
     with pytest.raises(ZeroDivisionError):
         session.materialise_all(spark, {"a": lambda: 1 / 0}, {"a": str(tmp_path / "x")})
+
+
+def test_conversion_of_days_and_weeks_from_one_count(spark, rows):
+    days = [D(2026, 4, 5), D(2026, 4, 6), D(2026, 4, 11), D(2026, 4, 12), D(2026, 5, 3), None]
+    page, other = [("ITEM_PAGE",)], [("FOOTER",)]
+    sold = spark.createDataFrame([(d, b) for k, d in enumerate(days) for b in (1, 1, 2 + k % 2, None)] + [(D(2026, 6, 1), None)], "day date, buyer_id long")
+    seen = spark.createDataFrame([(d, u, p) for k, d in enumerate(days[1:]) for u, p in ((1, page), (1, page), (3 + k % 2, page), (9, other), (None, page))],
+                                 "day date, user_id long, page_events array<struct<name string>>")
+    for visits in (seen, seen.limit(0)):
+        counted = plans.conversion_tallies(sold, visits)
+        for plan in (plans.cvr_daily, plans.cvr_weekly):
+            got, alone = plan(sold, visits, tallies=counted), plan(sold, visits)
+            assert got.schema.simpleString() == alone.schema.simpleString()
+            assert rows(got) == rows(alone) != []
+    with pytest.raises(ValueError):
+        plans.conversion_of_tallies(counted, "month", "Mes")
+
+
+def test_people_and_lines_of_both_files_are_counted_once(spark, rows, tmp_path, monkeypatch):
+    path, seen = star(spark, tmp_path, 200), Counter()
+    counts = bindings.cx_counts(spark, path).localCheckpoint()
+    assert rows(bindings.cx_month(spark, path, counts)) == rows(bindings.cx_month(spark, path)) != []
+    assert rows(bindings.cx_store(spark, path, counts)) == rows(bindings.cx_store(spark, path)) != []
+    for module, name in ((bindings, "cx_counts"), (plans, "conversion_tallies")):
+        monkeypatch.setattr(module, name, lambda *a, plain=getattr(module, name), name=name: seen.update([name]) or plain(*a))
+    monkeypatch.setattr(plans.traffic, "conversion", None)
+    QUERIES["scorecard_records"](spark, path)
+    assert seen == {"cx_counts": 1, "conversion_tallies": 1}
+
+
+def test_scores_fall_into_the_bucket_of_their_integer(spark):
+    texts = ["6.4999999999999", "6.49999999999999999999", "6.5", "6.500001", "8.5", "8.4999999", "8.999", "9", "10", "10.4999", "10.5", "11", "0.5", "-0.5", "-3",
+             "-2147483648", "-2147483648.4", "-2147483648.5", "-2147483649", "-1e12", "1e12", "2147483647.4", "NaN", "Infinity", "-Infinity", "n/a", "", None]
+    s = F.round(F.col("x").try_cast("double"), 0).try_cast("int")
+    rounded = F.when(s < 7, -1).when(s < 9, 0).when(s.isin(9, 10), 1)
+    for made in (spark.createDataFrame([(x,) for x in texts], "x string"), spark.range(-40, 240).select((F.col("id") / 20).alias("x"))):
+        found = made.select("x", nps_bucket(F.col("x")).alias("now"), rounded.alias("then")).collect()
+        assert [r for r in found if r.now != r.then] == [] and {r.now for r in found} >= {-1, 0, 1, None}
+
+
+def test_nodes_are_numbered_by_store(spark):
+    stores = {"N0": "North", "N1": None, "N2": "South", "N3": "North"}
+    number = store_number(F.col("n"), stores)
+    got = spark.createDataFrame([(n,) for n in ("N0", "N1", "N2", "N3", "N4", None)], "n string").select(number.alias("k")).collect()
+    assert [r.k for r in got] == [1, 0, 2, 1, 0, 0]
+    assert spark.sql("SELECT 'N0' AS n").select(store_number(F.col("n"), {}).alias("k")).first().k == 0
+
+
+def test_a_filter_on_the_score_does_not_round_the_cents_again(spark, tmp_path):
+    survey = bindings.survey(spark, star(spark, tmp_path, 20))
+    kept = survey.filter(nps_bucket(F.col("score")).isNotNull())
+    assert kept._jdf.queryExecution().optimizedPlan().toString().count("round(") == 1
